@@ -77,8 +77,12 @@ def activity_label(activity_id, running_number) -> Column:
 
 def normalize_event_type(c) -> Column:
     """Accept ``ActivityTaskScheduled`` and ``EVENT_TYPE_ACTIVITY_TASK_SCHEDULED`` alike."""
-    snake = F.upper(F.regexp_replace(col(c), "([a-z0-9])([A-Z])", "$1_$2"))
-    return F.when(snake.startswith(EVENT_TYPE_PREFIX), snake).otherwise(F.concat(F.lit(EVENT_TYPE_PREFIX), snake))
+    c = col(c)
+    # The canonical spelling passes through without touching the regex engine.
+    snake = F.upper(F.regexp_replace(c, "([a-z0-9])([A-Z])", "$1_$2"))
+    return (F.when(c.startswith(EVENT_TYPE_PREFIX), c)
+            .when(snake.startswith(EVENT_TYPE_PREFIX), snake)
+            .otherwise(F.concat(F.lit(EVENT_TYPE_PREFIX), snake)))
 
 
 def strip_host(worker) -> Column:

@@ -25,7 +25,7 @@ from tally.functions.timefn import (
     activity_label, clamp_round_ms, label_number, micros, micros_between, normalize_event_type,
     parse_ts, percent, round_ms, seconds, strip_host, task_label,
 )
-from tally.operators.sequence import dense_index, ordinal, with_next, with_previous
+from tally.operators.sequence import DAY_US, dense_index, ordinal, with_next, with_previous
 
 WF = "workflow_id"
 TASK_TIMING_COLUMNS = ["workflow_id", "task_no", "task", "created_at", "started_at", "completed_at",
@@ -74,9 +74,11 @@ def correlate_event_history(pages: DataFrame) -> DataFrame:
       workflow without one yields no rows;
     * label: missing activityId -> ``task_%02d`` of the running number of
       scheduled events, digits -> ``task_%02d``, else verbatim;
-    * started -> scheduled by ``scheduledEventId``, completed -> started by
-      ``startedEventId``; for a repeated label the latest scheduled event
-      wins, with only its own started/completed events;
+    * started and completed events attach to their scheduled event by
+      ``scheduledEventId``; the latest of each kind wins and the completion
+      must name that started event (``startedEventId``); for a repeated label
+      the latest scheduled event wins, with only its own started/completed
+      events;
     * activities lacking a phase are dropped (P16).
     """
     ev = _explode(pages, "history.events")
@@ -89,45 +91,54 @@ def correlate_event_history(pages: DataFrame) -> DataFrame:
         F.col("_e.activityTaskScheduledEventAttributes.activityId").alias("activity_id"),
         F.col("_e.activityTaskStartedEventAttributes.scheduledEventId").alias("scheduled_ref"),
         F.col("_e.activityTaskStartedEventAttributes.identity").alias("identity"),
+        F.col("_e.activityTaskCompletedEventAttributes.scheduledEventId").alias("completed_sched_ref"),
         F.col("_e.activityTaskCompletedEventAttributes.startedEventId").alias("started_ref"),
     ).where(F.col("t").isNotNull())
 
-    zero = ev.where(F.col("etype") == WORKFLOW_STARTED).groupBy(WF).agg(F.min_by("t", "seq").alias("zero_at"))
-
-    scheduled = ordinal(
-        ev.where(F.col("etype") == ACTIVITY_SCHEDULED).select(WF, "seq", "event_id", "t", "activity_id"),
-        [WF], "seq", TASK_BLOCK * 16, out="sched_no",
-    ).withColumn("task", activity_label("activity_id", "sched_no"))
-    latest = (
-        scheduled.groupBy(WF, "task")
-        .agg(F.max_by(F.struct("event_id", "t"), "seq").alias("s"))
-        .select(WF, "task", F.col("s.event_id").alias("sched_event"), F.col("s.t").alias("created_at"))
-    )
-    started = (
-        ev.where(F.col("etype") == ACTIVITY_STARTED)
-        .select(WF, F.col("scheduled_ref").alias("sched_event"), F.col("event_id").alias("started_event"),
-                F.col("t").alias("started_at"), F.col("identity").alias("worker"), "seq")
+    # One grouped pass: every event is keyed by the scheduled event it belongs
+    # to (its own id, the started event's scheduledEventId, the completed
+    # event's scheduledEventId); WORKFLOW_EXECUTION_STARTED events share the
+    # NULL key of their workflow. Later steps chain off this single exchange.
+    etype = F.col("etype")
+    key = (F.when(etype == ACTIVITY_SCHEDULED, F.col("event_id"))
+           .when(etype == ACTIVITY_STARTED, F.col("scheduled_ref"))
+           .when(etype == ACTIVITY_COMPLETED, F.col("completed_sched_ref")))
+    of = lambda name: F.when(etype == name, F.col("seq"))
+    grouped = (
+        ev.where(etype.isin(WORKFLOW_STARTED, ACTIVITY_SCHEDULED, ACTIVITY_STARTED, ACTIVITY_COMPLETED))
+        .withColumn("sched_event", key)
         .groupBy(WF, "sched_event")
-        .agg(F.max_by(F.struct("started_event", "started_at", "worker"), "seq").alias("s"))
-        .select(WF, "sched_event", "s.*")
+        .agg(
+            F.max_by(F.struct("t", "activity_id", "seq"), of(ACTIVITY_SCHEDULED)).alias("s"),
+            F.max_by(F.struct("t", "identity", "event_id"), of(ACTIVITY_STARTED)).alias("a"),
+            F.max_by(F.struct("t", "started_ref"), of(ACTIVITY_COMPLETED)).alias("c"),
+            F.min_by("t", of(WORKFLOW_STARTED)).alias("zero_at"),
+        )
     )
-    completed = (
-        ev.where(F.col("etype") == ACTIVITY_COMPLETED)
-        .select(WF, F.col("started_ref").alias("started_event"), F.col("t").alias("completed_at"), "seq")
-        .groupBy(WF, "started_event")
-        .agg(F.max_by("completed_at", "seq").alias("completed_at"))
+    zero = grouped.where(F.col("sched_event").isNull() & F.col("zero_at").isNotNull()).select(WF, "zero_at")
+    scheduled = grouped.where(F.col("sched_event").isNotNull() & F.col("s.t").isNotNull()).select(
+        WF, F.col("s.seq").alias("sched_seq"), F.col("s.activity_id").alias("activity_id"),
+        F.col("s.t").alias("created_at"), F.col("a.t").alias("started_at"), F.col("a.identity").alias("worker"),
+        F.col("a.event_id").alias("started_event"), F.col("c.t").alias("completed_at"),
+        F.col("c.started_ref").alias("completed_ref"),
     )
-    return (
-        latest.join(started, [WF, "sched_event"])
-        .join(completed, [WF, "started_event"])
-        .join(zero, WF)
-        .select(
-            WF,
-            label_number("task", 1).alias("task_no"),
-            "task", "created_at", "started_at", "completed_at", "zero_at",
-            F.col("created_at").alias("own_created_at"),
-            "worker",
-        )
+    labelled = ordinal(scheduled, [WF], "sched_seq", TASK_BLOCK * 16, out="sched_no").withColumn(
+        "task", activity_label("activity_id", "sched_no"))
+    # Latest scheduled event per label wins, with only its own started/completed events.
+    latest = (
+        labelled.groupBy(WF, "task")
+        .agg(F.max_by(F.struct("created_at", "started_at", "worker", "started_event", "completed_at",
+                               "completed_ref"), "sched_seq").alias("l"))
+        .select(WF, "task", "l.*")
+        .where(F.col("started_at").isNotNull() & F.col("completed_at").isNotNull()
+               & (F.col("completed_ref") == F.col("started_event")))
+    )
+    return latest.join(zero, WF).select(
+        WF,
+        label_number("task", 1).alias("task_no"),
+        "task", "created_at", "started_at", "completed_at", "zero_at",
+        F.col("created_at").alias("own_created_at"),
+        "worker",
     )
 
 
@@ -312,7 +323,7 @@ def relative_job_times(hierarchy: DataFrame, jobs: DataFrame, multi_worker: bool
         df = df.withColumn("_ord", micros("created_at"))
         ties = ("id",)
         created = F.col("created_at")
-    df = ordinal(df, ["root_id"], "_ord", 3_600_000_000, out="task_no", tie_cols=ties)
+    df = ordinal(df, ["root_id"], "_ord", DAY_US, out="task_no", tie_cols=ties)
     return df.select(
         F.col("root_id").alias(WF),
         "task_no",

@@ -24,7 +24,7 @@ TS_TEXT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
 
 def _life(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fx.lifecycle_events(read_table(spark, sf_dir, "events"))
+    return fx.land(fx.lifecycle_events(read_table(spark, sf_dir, "events")))
 
 
 def _ts(c: str) -> F.Column:
@@ -39,19 +39,24 @@ def _relative_seconds(tt: DataFrame, extra=()) -> DataFrame:
 
 
 def _event_history_timing(spark, sf_dir):
-    return timing.correlate_event_history(fx.event_history_pages(_life(spark, sf_dir)))
+    return timing.correlate_event_history(fx.land(fx.event_history_pages(_life(spark, sf_dir))))
 
 
 def _run_document_timing(spark, sf_dir):
-    return timing.pivot_task_events(fx.run_document_pages(_life(spark, sf_dir)))
+    return timing.pivot_task_events(fx.land(fx.run_document_pages(_life(spark, sf_dir))))
 
 
 def _phase_times(spark, sf_dir):
-    return timing.history_phase_times(fx.execution_pages(_life(spark, sf_dir)))
+    return timing.history_phase_times(fx.land(fx.execution_pages(_life(spark, sf_dir))))
 
 
-def _job_timing(spark, sf_dir):
+def _jobs(spark, sf_dir):
     jobs, completions = fx.job_tables(_life(spark, sf_dir))
+    return fx.land(jobs), fx.land(completions)
+
+
+def _job_timing(spark, sf_dir):
+    jobs, completions = _jobs(spark, sf_dir)
     return timing.relative_job_times(timing.job_hierarchy(jobs, completions), jobs)
 
 
@@ -72,7 +77,8 @@ def t2_pivot_task_events(spark, sf_dir):
 
 def t3_bulk_task_times(spark, sf_dir):
     life = _life(spark, sf_dir)
-    rows = timing.clamped_relative(timing.bulk_task_times(fx.run_document_pages(life), fx.id_list(life)))
+    docs, ids = fx.land(fx.run_document_pages(life)), fx.land(fx.id_list(life))
+    rows = timing.clamped_relative(timing.bulk_task_times(docs, ids))
     rows = dense_index(rows, [], "worker", [F.col("worker")])
     return rows.select("pos", WF, "created_at", "started_at", "completed_at", "worker", "worker_index")
 
@@ -85,7 +91,7 @@ def t4_history_phase_times(spark, sf_dir):
 
 
 def t5_flatten_task_groups(spark, sf_dir):
-    flat = timing.flatten_task_groups(fx.dag_run_pages(_life(spark, sf_dir)))
+    flat = timing.flatten_task_groups(fx.land(fx.dag_run_pages(_life(spark, sf_dir))))
     return flat.select(
         WF, "id", "queued_dttm", "start_date", "end_date",
         seconds(micros_between(parse_ts("queued_dttm"), parse_ts("start_date"))).alias("assignment_s"),
@@ -94,7 +100,7 @@ def t5_flatten_task_groups(spark, sf_dir):
 
 
 def t6_job_hierarchy(spark, sf_dir):
-    jobs, completions = fx.job_tables(_life(spark, sf_dir))
+    jobs, completions = _jobs(spark, sf_dir)
     return timing.job_hierarchy(jobs, completions).select(
         "root_id", "sub_parent_id", _ts("sub_parent_created_at"), "id", _ts("created_at"), _ts("started_at"),
         "duration_ms", "worker",

@@ -19,13 +19,26 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tally.functions.timefn import iso_string, micros
-from tally.operators.sequence import HOUR_US, ordinal
+from tally.operators.sequence import DAY_US, ordinal
+from tally.session import ensure_checkpoint_dir
 
 PAGE_TASKS = 32
 PAGE_EVENTS = 3 * PAGE_TASKS
 PHASE_NAMES = ["created", "started", "completed"]
 
 
+def land(df: DataFrame) -> DataFrame:
+    """Materialise a derived run-log table, as if it had been landed as files.
+
+    Uses a reliable ``checkpoint`` in the session's ``spark.checkpoint.dir``
+    (a shared folder on a cluster), which also cuts the lineage, so a lost
+    executor never forces the derivation to rerun and every later branch of
+    an operator reads the landed rows instead of recomputing them.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def lifecycle_events(events: DataFrame) -> DataFrame:
     """One row per event: workflow_id, rn, task_no, phase, ts, k."""
     ev = events.select(
@@ -34,7 +47,7 @@ def lifecycle_events(events: DataFrame) -> DataFrame:
         F.col("ts").cast("timestamp").alias("ts"),
         F.get_json_object("props", "$.k").cast("int").alias("k"),
     ).withColumn("ts_us", micros("ts"))
-    ev = ordinal(ev, ["workflow_id"], "ts_us", HOUR_US, out="rn", tie_cols=("event_id",))
+    ev = ordinal(ev, ["workflow_id"], "ts_us", DAY_US, out="rn", tie_cols=("event_id",))
     return ev.select(
         "workflow_id", "rn", "ts", "k",
         F.floor(F.col("rn") / 3).cast("long").alias("task_no"),
@@ -85,8 +98,12 @@ def event_history_pages(life: DataFrame) -> DataFrame:
             event_id(base + 1).alias("startedEventId"),
         )).otherwise(null_struct).alias("activityTaskCompletedEventAttributes"),
     )
-    acts = life.select("workflow_id", F.floor(F.col("rn") / PAGE_EVENTS).cast("int").alias("page"), activity.alias("e"))
-    start = workflow_starts(life).select(
+    acts = life.select("workflow_id", F.floor(F.col("rn") / PAGE_EVENTS).cast("int").alias("page"),
+                       activity.alias("e"), "ts")
+    act_pages = acts.groupBy("workflow_id", "page").agg(F.collect_list("e").alias("evs"), F.min("ts").alias("first"))
+    # The start event is derived from the (small) page table, not from a second pass over events.
+    start = act_pages.groupBy("workflow_id").agg(
+        (F.min("first") - F.expr("INTERVAL 1 SECOND")).alias("start_at")).select(
         "workflow_id",
         F.lit(0).alias("page"),
         F.struct(
@@ -102,7 +119,13 @@ def event_history_pages(life: DataFrame) -> DataFrame:
             .alias("activityTaskCompletedEventAttributes"),
         ).alias("e"),
     )
-    pages = acts.unionByName(start).groupBy("workflow_id", "page").agg(F.sort_array(F.collect_list("e")).alias("evs"))
+    # The start event goes first in page 0 (every workflow has a page 0).
+    pages = (
+        act_pages.join(start.select("workflow_id", "page", F.col("e").alias("start_e")), ["workflow_id", "page"], "left")
+        .select("workflow_id", "page",
+                F.sort_array(F.when(F.col("start_e").isNull(), F.col("evs"))
+                             .otherwise(F.concat(F.array("start_e"), F.col("evs")))).alias("evs"))
+    )
     return pages.select(
         "workflow_id",
         F.lit(None).cast("string").alias("run_id"),
