@@ -470,3 +470,31 @@ def timing_table(phases: DataFrame) -> DataFrame:
                         F.col("pos"), F.col("relative_created"), F.col("relative_started"),
                         F.col("relative_completed")),
     )
+
+
+# --- S10 / A17: event filter and tasks per worker -----------------------------
+
+
+def event_times(pages: DataFrame, types=(ACTIVITY_SCHEDULED, ACTIVITY_STARTED, ACTIVITY_COMPLETED)) -> DataFrame:
+    """Events of the given types (either spelling) with their time, per workflow."""
+    wanted = [t if t.startswith("EVENT_TYPE_") else f"EVENT_TYPE_{t}" for t in types]
+    ev = _explode(pages, "history.events").select(
+        WF, "seq",
+        F.col("_e.eventId").alias("event_id"),
+        normalize_event_type("_e.eventType").alias("event_type"),
+        F.col("_e.eventTime").alias("event_time"),
+    )
+    return ev.where(F.col("event_type").isin(*wanted))
+
+
+def tasks_per_worker(tt: DataFrame) -> DataFrame:
+    """Per (workflow, worker) the number of tasks and the first / last task label.
+
+    The full worker -> tasks mapping is the long ``task_timing`` table itself;
+    it is not packed into one list per worker, which could be unbounded.
+    """
+    return tt.groupBy(WF, "worker").agg(
+        F.count(F.lit(1)).alias("tasks"),
+        F.min("task").alias("first_task"),
+        F.max("task").alias("last_task"),
+    )

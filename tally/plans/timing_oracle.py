@@ -293,6 +293,17 @@ select workflow_id,
               case when n > 1 then {fixed('trans_us', 'total_us', 2, 100)} else '0.00' end,
               n) as report
 from a
+""",
+    "s10_event_times": BASE + f"""
+select workflow_id, cast(rn + 2 as varchar) as event_id,
+       case phase when 0 then 'EVENT_TYPE_ACTIVITY_TASK_SCHEDULED' when 1 then 'EVENT_TYPE_ACTIVITY_TASK_STARTED'
+                  else 'EVENT_TYPE_ACTIVITY_TASK_COMPLETED' end as event_type,
+       {iso('ts')} as event_time
+from life
+""",
+    "a17_tasks_per_worker": T1 + """
+select workflow_id, worker_id as worker, count(*) as tasks, min(task) as first_task, max(task) as last_task
+from t1 group by workflow_id, worker_id
 """,
     "x1_bulk_fibonacci": """
 with recursive fibs(n, a, b) as (

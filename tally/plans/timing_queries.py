@@ -161,6 +161,15 @@ def t14_benchmark_document(spark, sf_dir):
     )
 
 
+def s10_event_times(spark, sf_dir):
+    pages = fx.land(fx.event_history_pages(_life(spark, sf_dir)))
+    return timing.event_times(pages).select(WF, "event_id", "event_type", "event_time")
+
+
+def a17_tasks_per_worker(spark, sf_dir):
+    return timing.tasks_per_worker(_event_history_timing(spark, sf_dir))
+
+
 def x1_bulk_fibonacci(spark, sf_dir):
     return bulk_fibonacci(fx.bulk_inputs(read_table(spark, sf_dir, "part")))
 
@@ -182,5 +191,7 @@ TIMING_BUILDERS = {
     "k9_printed_arrays": k9_printed_arrays,
     "t13_timing_table": t13_timing_table,
     "t14_benchmark_document": t14_benchmark_document,
+    "s10_event_times": s10_event_times,
+    "a17_tasks_per_worker": a17_tasks_per_worker,
     "x1_bulk_fibonacci": x1_bulk_fibonacci,
 }

@@ -106,3 +106,16 @@ def write_text_by_workflow(df: DataFrame, text_col: str, path: str, order_col: s
 def write_documents(docs: DataFrame, path: str) -> None:
     """K4/K5: document rows as JSON lines, partitioned by usecase."""
     docs.write.mode("overwrite").partitionBy("usecase").json(path)
+
+
+def read_documents(spark, path: str, schema) -> DataFrame:
+    """Existing result documents for a merge; a missing path gives an empty frame.
+
+    Unlike a reset-on-parse-error, a corrupt document fails the read
+    (``FAILFAST``), so a merge never silently drops earlier results.
+    """
+    jvm_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(jvm_path):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("mode", "FAILFAST").json(path)

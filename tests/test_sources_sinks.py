@@ -112,3 +112,31 @@ def test_benchmark_document_and_json_sink(spark, tmp_path):
     out = str(tmp_path / "docs")
     files.write_documents(doc, out)
     assert spark.read.json(out).count() == 1
+
+
+def test_read_documents_missing_path_is_empty(spark, tmp_path):
+    from pyspark.sql import types as T
+
+    schema = T.StructType([T.StructField("usecase", T.StringType())])
+    assert files.read_documents(spark, str(tmp_path / "none"), schema).count() == 0
+    (tmp_path / "d").mkdir()
+    (tmp_path / "d" / "x.json").write_text('{"usecase": "a"}\n')
+    assert files.read_documents(spark, str(tmp_path / "d"), schema).count() == 1
+
+
+def test_streaming_landed_run_documents(spark, tmp_path):
+    from tally.streaming.landed_runs import stream_run_documents
+
+    src = tmp_path / "landed"
+    src.mkdir()
+    for wf in ("r1", "r2"):
+        doc = {"workflow_id": wf, "run": {"createdAt": "2024-01-01T00:00:00Z"},
+               "shape": [{"taskName": "task_0", "taskExternalId": f"{wf}-0"}],
+               "taskEvents": [{"taskId": f"{wf}-0", "eventType": t, "timestamp": f"2024-01-01T00:00:0{i + 1}Z",
+                               "workerId": "w"} for i, t in enumerate(["QUEUED", "STARTED", "FINISHED"])]}
+        (src / f"{wf}.json").write_text(json.dumps(doc))
+    out = tmp_path / "out"
+    q = stream_run_documents(spark, str(src), str(out), checkpoint_location=str(tmp_path / "ckpt"))
+    q.awaitTermination(120)
+    got = spark.read.parquet(str(out)).select("workflow_id", "task").collect()
+    assert sorted((r.workflow_id, r.task) for r in got) == [("r1", "task_0"), ("r2", "task_0")]
