@@ -1,0 +1,31 @@
+"""Join helpers: broadcast only behind a checked size."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from tally.session import ensure_checkpoint_dir
+
+# Rows a broadcast side may hold (narrow key tables: a few tens of MB).
+MAX_BROADCAST_ROWS = 2_000_000
+
+
+def land_and_measure(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
+    """Land ``df`` with a reliable checkpoint and report whether it holds at most ``max_rows`` rows."""
+    ensure_checkpoint_dir(df.sparkSession)
+    landed = df.checkpoint(eager=True)
+    return landed, landed.count() <= max_rows
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Broadcast ``df`` only if its counted size proves it small; otherwise keep a shuffle join.
+
+    ``df`` is landed with a reliable checkpoint (shared ``spark.checkpoint.dir``)
+    and counted from there, so the count costs no recomputation and the join
+    reads the landed rows. Unlike AQE's runtime conversion, the decision is
+    made before the other side is scanned, so a large fact table is streamed
+    through a broadcast hash join instead of being shuffled.
+    """
+    landed, small = land_and_measure(df, max_rows)
+    return F.broadcast(landed) if small else landed

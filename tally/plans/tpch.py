@@ -32,6 +32,8 @@ from decimal import Decimal
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tally.operators.joins import bounded_broadcast, land_and_measure
+
 
 def _one():
     return F.lit(Decimal("1"))
@@ -344,7 +346,8 @@ def supplier_count(
         & ~F.col("p_type").like(p.type_prefix + "%")
         & F.col("p_size").isin(*p.sizes)
     ).select("p_partkey", "p_brand", "p_type", "p_size")
-    excluded = supplier.where(F.col("s_comment").like(p.comment_pattern)).select("s_suppkey")
+    # The excluded suppliers are broadcast only after a counted size check.
+    excluded = bounded_broadcast(supplier.where(F.col("s_comment").like(p.comment_pattern)).select("s_suppkey"))
     offers = (
         partsupp.select("ps_partkey", "ps_suppkey")
         .where(F.col("ps_suppkey").isNotNull())
@@ -371,11 +374,16 @@ def large_orders(
         .agg(F.sum("l_quantity").alias("qty"))
         .where(F.col("qty") > F.lit(p.min_quantity))
     )
+    # Large orders are few: after a counted size check they are broadcast and
+    # ``orders`` / ``customer`` are streamed instead of shuffled. Each large
+    # order matches at most one order row, so the joined side keeps the bound.
+    big, small = land_and_measure(per_order)
+    with_orders = (F.broadcast(big) if small else big).join(
+        orders.select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice"),
+        F.col("l_orderkey") == F.col("o_orderkey"),
+    )
     return (
-        per_order.join(
-            orders.select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice"),
-            F.col("l_orderkey") == F.col("o_orderkey"),
-        )
+        (F.broadcast(with_orders) if small else with_orders)
         .join(customer.select("c_custkey", "c_name"), F.col("o_custkey") == F.col("c_custkey"))
         .select(
             "c_name",
