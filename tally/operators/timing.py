@@ -53,7 +53,13 @@ def _explode(df: DataFrame, array_col: str, keep=(WF, "page")) -> DataFrame:
 
 
 def _task_order(df: DataFrame, out: str = "pos") -> DataFrame:
-    """Dense position by numeric task suffix (labels without a number last, by text)."""
+    """Dense position by numeric task suffix (labels without a number last, by text).
+
+    A ``pos`` column already present is taken as that dense order (operators
+    that number tasks themselves, such as ``relative_job_times``, provide it).
+    """
+    if out in df.columns:
+        return df
     keyed = df.withColumn("_tn", F.coalesce(F.col("task_no"), F.lit(NO_NUMBER)))
     return ordinal(keyed, [WF], "_tn", TASK_BLOCK, out=out, tie_cols=("task",)).drop("_tn")
 
@@ -327,6 +333,7 @@ def relative_job_times(hierarchy: DataFrame, jobs: DataFrame, multi_worker: bool
     return df.select(
         F.col("root_id").alias(WF),
         "task_no",
+        F.col("task_no").alias("pos"),
         task_label("task_no").alias("task"),
         created.alias("created_at"),
         "started_at",
