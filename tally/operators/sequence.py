@@ -9,9 +9,13 @@ of earlier blocks, so:
 * ``ordinal`` - dense 0-based position in the group (replaces
   ``row_number``). Windows run per ``(group, block)``; only the small
   per-block count table is windowed per group.
-* ``with_previous`` / ``with_next`` - values of the row at ``pos - 1`` /
-  ``pos + 1`` through an equi-join on ``(group, pos)`` (replaces
-  ``lag`` / ``lead``); the join key is near-unique, so it never skews.
+* ``ordinal(..., previous=, following=)`` - also the values of the row
+  before / after (replaces ``lag`` / ``lead``), from the same block window;
+  a block's edge rows read the neighbouring block's last / first row from
+  the small per-block table.
+* ``with_previous`` / ``with_next`` - the same for a frame that already has
+  a dense position, through an equi-join on ``(group, pos)``; the join key
+  is near-unique, so it never skews, but both sides are shuffled.
 
 ``block_width`` is in units of the order key. Wider blocks cost less for
 small groups (one block = one plain window); narrower blocks split a hot
@@ -35,27 +39,61 @@ def ordinal(
     block_width: int,
     out: str = "pos",
     tie_cols: tuple = (),
+    previous: tuple = (),
+    following: tuple = (),
+    prev_prefix: str = "prev_",
+    next_prefix: str = "next_",
 ) -> DataFrame:
     """Add ``out``: 0-based dense position of each row in its group by ``(order_col, *tie_cols)``.
 
+    ``previous`` / ``following`` name columns whose values from the row before
+    / after (in the same order) are added as ``prev_prefix + c`` /
+    ``next_prefix + c`` (NULL at the group's ends), like ``lag`` / ``lead``
+    over the whole group. They are taken inside the same ``(group, block)``
+    window; only a block's first or last row reads its neighbour from the
+    per-block summary, so they cost no extra shuffle of the rows.
+
     ``order_col`` must be numeric and non-null; ties must be broken by
     ``tie_cols`` for a deterministic result.
     """
-    blk = "_blk"
+    blk, loc = "_blk", "_local"
+    previous, following = tuple(previous), tuple(following)
     keyed = df.withColumn(blk, F.floor(F.col(order_col) / F.lit(block_width)).cast("long"))
-    local = keyed.withColumn(
-        "_local",
-        F.row_number().over(Window.partitionBy(*group_cols, blk).orderBy(order_col, *tie_cols)) - 1,
+    w = Window.partitionBy(*group_cols, blk).orderBy(order_col, *tie_cols)
+    local = keyed.withColumns({
+        loc: F.row_number().over(w) - 1,
+        **{f"_lag_{c}": F.lag(c).over(w) for c in previous},
+        **{f"_lead_{c}": F.lead(c).over(w) for c in following},
+    })
+    # Per-block summary, from ``local``: it is already partitioned by
+    # (group, block), so the aggregate needs no second shuffle of the rows.
+    summary = [F.count(F.lit(1)).alias("_n")]
+    if previous:
+        summary.append(F.max_by(F.struct(*previous), loc).alias("_last"))
+    if following:
+        summary.append(F.min_by(F.struct(*following), loc).alias("_first"))
+    counts = local.groupBy(*group_cols, blk).agg(*summary)
+    by_block = Window.partitionBy(*group_cols).orderBy(blk)
+    earlier = by_block.rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(
+        *group_cols, blk, "_n",
+        F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_off"),
+        *([F.lag("_last").over(by_block).alias("_prev_blk")] if previous else []),
+        *([F.lead("_first").over(by_block).alias("_next_blk")] if following else []),
     )
-    # Counted from ``local``: it is already partitioned by (group, block), so
-    # the count needs no second shuffle of the full data.
-    counts = local.groupBy(*group_cols, blk).agg(F.count(F.lit(1)).alias("_n"))
-    earlier = Window.partitionBy(*group_cols).orderBy(blk).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*group_cols, blk, F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_off"))
+    first = F.col(loc) == 0
+    last = F.col(loc) == F.col("_n") - 1
     return (
         local.join(offsets, [*group_cols, blk])
-        .withColumn(out, (F.col("_off") + F.col("_local")).cast("long"))
-        .drop(blk, "_local", "_off")
+        .withColumns({
+            out: (F.col("_off") + F.col(loc)).cast("long"),
+            **{prev_prefix + c: F.when(first, F.col("_prev_blk")[c]).otherwise(F.col(f"_lag_{c}"))
+               for c in previous},
+            **{next_prefix + c: F.when(last, F.col("_next_blk")[c]).otherwise(F.col(f"_lead_{c}"))
+               for c in following},
+        })
+        .drop(blk, loc, "_off", "_n", *(["_prev_blk"] if previous else []), *(["_next_blk"] if following else []),
+              *[f"_lag_{c}" for c in previous], *[f"_lead_{c}" for c in following])
     )
 
 

@@ -25,7 +25,7 @@ from tally.functions.timefn import (
     activity_label, clamp_round_ms, label_number, micros, micros_between, normalize_event_type,
     parse_ts, percent, round_ms, seconds, strip_host, task_label,
 )
-from tally.operators.sequence import DAY_US, dense_index, ordinal, with_next, with_previous
+from tally.operators.sequence import DAY_US, dense_index, ordinal
 
 WF = "workflow_id"
 TASK_TIMING_COLUMNS = ["workflow_id", "task_no", "task", "created_at", "started_at", "completed_at",
@@ -52,16 +52,22 @@ def _explode(df: DataFrame, array_col: str, keep=(WF, "page")) -> DataFrame:
     )
 
 
-def _task_order(df: DataFrame, out: str = "pos") -> DataFrame:
+def _task_order(df: DataFrame, out: str = "pos", previous=(), following=()) -> DataFrame:
     """Dense position by numeric task suffix (labels without a number last, by text).
 
     A ``pos`` column already present is taken as that dense order (operators
     that number tasks themselves, such as ``relative_job_times``, provide it).
+    ``previous`` / ``following`` add the neighbouring task's values
+    (``prev_<c>`` / ``next_<c>``) from the same window pass.
     """
     if out in df.columns:
-        return df
+        if not previous and not following:
+            return df
+        return ordinal(df, [WF], out, TASK_BLOCK, out="_given_pos", previous=previous,
+                       following=following).drop("_given_pos")
     keyed = df.withColumn("_tn", F.coalesce(F.col("task_no"), F.lit(NO_NUMBER)))
-    return ordinal(keyed, [WF], "_tn", TASK_BLOCK, out=out, tie_cols=("task",)).drop("_tn")
+    return ordinal(keyed, [WF], "_tn", TASK_BLOCK, out=out, tie_cols=("task",), previous=previous,
+                   following=following).drop("_tn")
 
 
 def relative_us(df: DataFrame, cols=("created_at", "started_at", "completed_at")) -> DataFrame:
@@ -246,8 +252,7 @@ def history_phase_times(executions: DataFrame, task_types=("python", "script"))
         parse_ts(F.get(h, 1)["date"]).alias("started_at"),
         parse_ts(F.get(h, 2)["date"]).alias("success_at"),
     ).where(F.col("created_at").isNotNull() & F.col("started_at").isNotNull() & F.col("success_at").isNotNull())
-    runs = ordinal(runs, [WF], "seq", SEQ_PAGE, out="pos")
-    runs = with_previous(runs, [WF], "pos", ["success_at"])
+    runs = ordinal(runs, [WF], "seq", SEQ_PAGE, out="pos", previous=("success_at",))
     transition = F.coalesce(micros_between("prev_success_at", "created_at"), F.lit(0))
     assignment = micros_between("created_at", "started_at")
     execution = micros_between("started_at", "success_at")
@@ -374,8 +379,7 @@ def phase_breakdown_by_duration(tt: DataFrame) -> DataFrame:
     the n-1 gaps (0 when n = 1; negative when tasks overlap).
     """
     df = relative_us(tt, ("created_at", "started_at", "completed_at", "own_created_at"))
-    df = _task_order(df)
-    df = with_next(df, [WF], "pos", ["created_at_us"])
+    df = _task_order(df, following=("created_at_us",))
     agg = df.groupBy(WF).agg(
         F.count(F.lit(1)).alias("total_tasks"),
         F.max_by("completed_at_us", "pos").alias("total_us"),
@@ -436,8 +440,7 @@ def phase_breakdown_by_means(phases: DataFrame) -> DataFrame:
 
 def waiting_times(tt: DataFrame) -> DataFrame:
     """First task ``started - created``; others ``started - previous completed``."""
-    df = _task_order(tt)
-    df = with_previous(df, [WF], "pos", ["completed_at"])
+    df = _task_order(tt, previous=("completed_at",))
     wait = micros_between(F.coalesce(F.col("prev_completed_at"), F.col("created_at")), F.col("started_at"))
     return df.withColumn("waiting_time", seconds(wait)).drop("prev_completed_at")
 

@@ -16,7 +16,7 @@ from tally.sources.fixtures import tpch_frames
 
 
 def _tpch(key: str, spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tpch.run_query(key, tpch_frames(spark, sf_dir), fixture=True)
+    return tpch.run_query(key, tpch_frames(spark, sf_dir, tpch.QUERIES[key].tables), fixture=True)
 
 
 QUERY_BUILDERS = {key: partial(_tpch, key) for key in tpch.QUERIES}

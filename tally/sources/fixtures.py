@@ -91,23 +91,38 @@ def derive_partsupp(lineitem: DataFrame) -> DataFrame:
     return lineitem.select(F.col("l_partkey").alias("ps_partkey"), F.col("l_suppkey").alias("ps_suppkey")).distinct()
 
 
-def tpch_frames(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    """All eight TPC-H tables under ``root`` with adapters applied (lazy)."""
-    raw = {name: read_table(spark, root, name) for name in
-           ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")}
-    frames = {
-        "region": raw["region"],
-        "nation": raw["nation"],
-        "customer": adapt_customer(raw["customer"]),
-        "supplier": adapt_supplier(raw["supplier"]),
-        "part": _money(raw["part"], "part"),
-        "orders": adapt_orders(raw["orders"]),
-        "lineitem": adapt_lineitem(raw["lineitem"]),
-    }
+_ADAPTERS = {
+    "region": lambda df: df,
+    "nation": lambda df: df,
+    "customer": adapt_customer,
+    "supplier": adapt_supplier,
+    "part": lambda df: _money(df, "part"),
+    "orders": adapt_orders,
+    "lineitem": adapt_lineitem,
+}
+
+
+def _partsupp(spark: SparkSession, root: str) -> DataFrame:
     try:
-        frames["partsupp"] = _money(read_table(spark, root, "partsupp"), "partsupp")
+        return _money(read_table(spark, root, "partsupp"), "partsupp")
     except Exception as exc:
         if "PATH_NOT_FOUND" not in str(exc) and "Path does not exist" not in str(exc):
             raise
-        frames["partsupp"] = derive_partsupp(raw["lineitem"])
+        return derive_partsupp(read_table(spark, root, "lineitem"))
+
+
+def tpch_frames(spark: SparkSession, root: str, tables=None) -> dict[str, DataFrame]:
+    """TPC-H tables under ``root`` with adapters applied (lazy).
+
+    ``tables`` names the tables to open (default: all eight). Each open costs
+    a file listing and a footer read on the driver, so callers pass only the
+    tables their query scans.
+    """
+    names = tuple(tables) if tables is not None else (*_ADAPTERS, "partsupp")
+    frames = {}
+    for name in names:
+        if name == "partsupp":
+            frames[name] = _partsupp(spark, root)
+        else:
+            frames[name] = _ADAPTERS[name](read_table(spark, root, name))
     return frames

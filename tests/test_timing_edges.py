@@ -174,3 +174,22 @@ def test_ordinal_matches_row_number_under_skew(spark):
     lead = F.lead("id").over(Window.partitionBy("g").orderBy("o", "id"))
     expect = df.select("id", lag.alias("prev_id"), lead.alias("next_id"))
     assert sorted(linked.select("id", "prev_id", "next_id").collect()) == sorted(expect.collect())
+
+
+def test_ordinal_neighbours_match_lag_lead_under_skew(spark):
+    random.seed(11)
+    rows = [("hot", random.randrange(0, 5_000), i, None if i % 7 == 0 else i * 3) for i in range(2500)]
+    rows += [(f"g{i % 30}", random.randrange(0, 5_000), 10_000 + i, i) for i in range(400)]
+    rows += [("single", 5, 99_999, 1)]
+    df = spark.createDataFrame(rows, "g string, o long, id long, v long")
+    got = ordinal(df, ["g"], "o", 61, out="pos", tie_cols=("id",), previous=("v", "id"), following=("v",))
+    w = Window.partitionBy("g").orderBy("o", "id")
+    want = df.select(
+        "id",
+        (F.row_number().over(w) - 1).cast("long").alias("pos"),
+        F.lag("v").over(w).alias("prev_v"),
+        F.lag("id").over(w).alias("prev_id"),
+        F.lead("v").over(w).alias("next_v"),
+    )
+    cols = ["id", "pos", "prev_v", "prev_id", "next_v"]
+    assert sorted(got.select(cols).collect()) == sorted(want.select(cols).collect())
