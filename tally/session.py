@@ -56,3 +56,49 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         configured = tempfile.mkdtemp(prefix="tally-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
+
+
+MB = 1 << 20
+SPLIT_BYTES = 256 * MB            # Parquet bytes per scan task
+SHUFFLE_TARGET_BYTES = 256 * MB   # shuffled bytes per reduce task before AQE coalescing
+MAX_SHUFFLE_PARTITIONS = 32_768   # beyond this, map x reduce block metadata dominates
+
+
+def input_bytes(spark: SparkSession, paths) -> int:
+    """Total size of the files under ``paths`` (driver-side metadata call, no data read)."""
+    sc = spark.sparkContext
+    conf = sc._jsc.hadoopConfiguration()
+    total = 0
+    for path in ([paths] if isinstance(paths, str) else paths):
+        p = sc._jvm.org.apache.hadoop.fs.Path(path)
+        total += p.getFileSystem(conf).getContentSummary(p).getLength()
+    return int(total)
+
+
+def partition_conf(data_bytes: int, cores: int) -> dict:
+    """Scan and shuffle partition settings for a job over ``data_bytes`` on ``cores`` task slots.
+
+    Scan splits stay at ``SPLIT_BYTES`` so a task's decoded batch fits in one
+    core's share of executor memory. The shuffle starts with about one
+    partition per ``SHUFFLE_TARGET_BYTES`` of input (an upper bound on what
+    is shuffled: filters, pruning and partial aggregation only shrink it),
+    at least two per core and at most ``MAX_SHUFFLE_PARTITIONS``; AQE then
+    coalesces to ``advisoryPartitionSizeInBytes`` from measured sizes and
+    splits skewed join partitions.
+    """
+    shuffle = min(MAX_SHUFFLE_PARTITIONS, max(2 * cores, -(-data_bytes // SHUFFLE_TARGET_BYTES)))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(SPLIT_BYTES),
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(shuffle),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * MB),
+    }
+
+
+def size_partitions(spark: SparkSession, paths, cores: int | None = None) -> dict:
+    """Apply ``partition_conf`` for the inputs under ``paths`` to the running session."""
+    cores = cores or spark.sparkContext.defaultParallelism
+    conf = partition_conf(input_bytes(spark, paths), cores)
+    for key, value in conf.items():
+        spark.conf.set(key, value)
+    return conf
