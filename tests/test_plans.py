@@ -84,3 +84,28 @@ def test_library_never_collects_to_the_driver():
     root = pathlib.Path(tpch.__file__).parents[1]
     offenders = [str(f) for f in root.rglob("*.py") if ".collect()" in f.read_text() or ".toPandas()" in f.read_text()]
     assert offenders == []
+
+
+@pytest.mark.parametrize("key", ["q2_shipping_priority", "q3_local_supplier_volume", "q5_returned_items"])
+def test_selective_order_side_prunes_lineitem_before_its_shuffle(spark, frames, key):
+    # At scale the joins are shuffle joins and lineitem is far larger than the
+    # filtered order side. Catalyst then injects a runtime bloom filter into
+    # the lineitem scan, below the pre-aggregation, so the rows that cannot
+    # join are dropped before they are shuffled. Simulated here by lowering
+    # the size thresholds.
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "1",
+        "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "1g",
+    }
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        text = optimized(tpch.run_query(key, frames, fixture=True))
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    lineitem_filters = [line for line in text.splitlines() if "might_contain" in line and "l_orderkey" in line]
+    assert lineitem_filters, text
