@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tally.session import ensure_checkpoint_dir
+from tally.session import land
 
 # Rows a broadcast side may hold (narrow key tables: a few tens of MB).
 MAX_BROADCAST_ROWS = 2_000_000
@@ -13,8 +13,7 @@ MAX_BROADCAST_ROWS = 2_000_000
 
 def land_and_measure(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
     """Land ``df`` with a reliable checkpoint and report whether it holds at most ``max_rows`` rows."""
-    ensure_checkpoint_dir(df.sparkSession)
-    landed = df.checkpoint(eager=True)
+    landed = land(df)
     return landed, landed.count() <= max_rows
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every tally job wants: UTC so timestamp arithmetic matches the
 # ISO strings of run logs, AQE so join strategy / partition count / skew
@@ -58,6 +58,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def land(df: DataFrame) -> DataFrame:
+    """Materialise ``df`` with a reliable checkpoint in the shared ``spark.checkpoint.dir``.
+
+    Cuts the lineage: later branches read the landed rows instead of
+    recomputing them, and a lost executor never forces the upstream to rerun.
+    Use it where one derived table feeds many analyses (a landed run log,
+    the canonical ``task_timing`` table).
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 MB = 1 << 20
 SPLIT_BYTES = 256 * MB            # Parquet bytes per scan task
 SHUFFLE_TARGET_BYTES = 256 * MB   # shuffled bytes per reduce task before AQE coalescing

@@ -20,25 +20,13 @@ from pyspark.sql import functions as F
 
 from tally.functions.timefn import iso_string, micros
 from tally.operators.sequence import DAY_US, ordinal
-from tally.session import ensure_checkpoint_dir
+from tally.session import land  # noqa: F401 - landed run logs are reliable checkpoints
 
 PAGE_TASKS = 32
 PAGE_EVENTS = 3 * PAGE_TASKS
 PHASE_NAMES = ["created", "started", "completed"]
 
 
-def land(df: DataFrame) -> DataFrame:
-    """Materialise a derived run-log table, as if it had been landed as files.
-
-    Uses a reliable ``checkpoint`` in the session's ``spark.checkpoint.dir``
-    (a shared folder on a cluster), which also cuts the lineage, so a lost
-    executor never forces the derivation to rerun and every later branch of
-    an operator reads the landed rows instead of recomputing them.
-    """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def lifecycle_events(events: DataFrame) -> DataFrame:
     """One row per event: workflow_id, rn, task_no, phase, ts, k."""
     ev = events.select(
