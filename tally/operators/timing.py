@@ -26,6 +26,7 @@ from tally.functions.timefn import (
     parse_ts, percent, round_ms, seconds, strip_host, task_label,
 )
 from tally.operators.sequence import DAY_US, dense_index, ordinal
+from tally.session import land
 
 WF = "workflow_id"
 TASK_TIMING_COLUMNS = ["workflow_id", "task_no", "task", "created_at", "started_at", "completed_at",
@@ -92,6 +93,10 @@ def correlate_event_history(pages: DataFrame) -> DataFrame:
       the latest scheduled event wins, with only its own started/completed
       events;
     * activities lacking a phase are dropped (P16).
+
+    Runs one job when called: the per-activity groups are landed with a
+    reliable checkpoint (``tally.session.land``) because three branches read
+    them.
     """
     ev = _explode(pages, "history.events")
     ev = ev.select(
@@ -127,6 +132,11 @@ def correlate_event_history(pages: DataFrame) -> DataFrame:
             F.min_by("t", of(WORKFLOW_STARTED)).alias("zero_at"),
         )
     )
+    # ``grouped`` feeds three branches (time zero, the activities, and the
+    # per-block counts of their ordinal); their pruned exchanges differ, so
+    # without landing each branch would explode and shuffle the whole history
+    # again. Landed once (reliable checkpoint), every branch reads it.
+    grouped = land(grouped)
     zero = grouped.where(F.col("sched_event").isNull() & F.col("zero_at").isNotNull()).select(WF, "zero_at")
     scheduled = grouped.where(F.col("sched_event").isNotNull() & F.col("s.t").isNotNull()).select(
         WF, F.col("s.seq").alias("sched_seq"), F.col("s.activity_id").alias("activity_id"),
