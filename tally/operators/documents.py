@@ -12,7 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tally.functions.timefn import micros_between, round_ms
+from tally.functions.timefn import micros, micros_between, round_ms
+from tally.operators.sequence import DAY_US, ordinal
 from tally.operators.timing import WF, _task_order
 
 CHUNK = 1024
@@ -95,3 +96,36 @@ def printed_arrays(df: DataFrame, group: list[str], value_cols: list[str]) -> Da
     """K9 over long rows (``pos`` + values): one printed array per value column and chunk."""
     packed = _packed(df, group, value_cols)
     return packed.select(*group, "chunk", *[printed_array(c).alias(c) for c in value_cols])
+
+
+def worker_activities(tt: DataFrame, chunk: int = CHUNK) -> DataFrame:
+    """Per (workflow, worker) the tasks that worker ran, in start order.
+
+    One row per ``(workflow, worker, chunk)`` with ``activities`` (at most
+    ``chunk`` task labels, ordered by ``(started_at, task)``) and ``tasks``,
+    the worker's total; concatenating the chunks in order gives the full
+    list. Positions come from the block ordinal, so a worker that ran a third
+    of all tasks is still numbered by many tasks. A NULL worker is its own
+    group (grouped on ``(is null, coalesce)`` so the keys are never NULL).
+    """
+    group = [WF, "_wnull", "_wkey"]
+    keyed = tt.select(
+        WF, "task",
+        F.col("worker").isNull().alias("_wnull"),
+        F.coalesce(F.col("worker"), F.lit("")).alias("_wkey"),
+        micros("started_at").alias("_start_us"),
+    )
+    ranked = ordinal(keyed, group, "_start_us", DAY_US, out="pos", tie_cols=("task",))
+    lists = (
+        ranked.withColumn("chunk", F.floor(F.col("pos") / chunk).cast("long"))
+        .groupBy(*group, "chunk")
+        .agg(F.sort_array(F.collect_list(F.struct("pos", "task"))).alias("_items"))
+    )
+    totals = keyed.groupBy(*group).agg(F.count(F.lit(1)).alias("tasks"))
+    return lists.join(totals, group).select(
+        WF,
+        F.when(~F.col("_wnull"), F.col("_wkey")).alias("worker"),
+        "chunk",
+        F.col("tasks").cast("long").alias("tasks"),
+        F.transform("_items", _field("task")).alias("activities"),
+    )

@@ -304,6 +304,17 @@ from life
     "a17_tasks_per_worker": T1 + """
 select workflow_id, worker_id as worker, count(*) as tasks, min(task) as first_task, max(task) as last_task
 from t1 group by workflow_id, worker_id
+""",
+    "a17_worker_activities": T1 + """,
+ranked as (
+    select workflow_id, worker_id, task,
+           row_number() over (partition by workflow_id, worker_id order by s_ts, task) - 1 as pos,
+           count(*) over (partition by workflow_id, worker_id) as tasks
+    from t1
+)
+select workflow_id, worker_id as worker, cast(pos // 1024 as bigint) as chunk, cast(max(tasks) as bigint) as tasks,
+       string_agg(task, ',' order by pos) as activities
+from ranked group by workflow_id, worker_id, pos // 1024
 """,
     "x1_bulk_fibonacci": """
 with recursive fibs(n, a, b) as (

@@ -201,6 +201,11 @@ def a17_tasks_per_worker(spark, sf_dir):
     return timing.tasks_per_worker(_event_history_timing(spark, sf_dir))
 
 
+def a17_worker_activities(spark, sf_dir):
+    acts = documents.worker_activities(_event_history_timing(spark, sf_dir))
+    return acts.select(WF, "worker", "chunk", "tasks", F.array_join("activities", ",").alias("activities"))
+
+
 def x1_bulk_fibonacci(spark, sf_dir):
     return bulk_fibonacci(fx.bulk_inputs(read_table(spark, sf_dir, "part")))
 
@@ -224,5 +229,6 @@ TIMING_BUILDERS = {
     "t14_benchmark_document": t14_benchmark_document,
     "s10_event_times": s10_event_times,
     "a17_tasks_per_worker": a17_tasks_per_worker,
+    "a17_worker_activities": a17_worker_activities,
     "x1_bulk_fibonacci": x1_bulk_fibonacci,
 }

@@ -193,3 +193,24 @@ def test_ordinal_neighbours_match_lag_lead_under_skew(spark):
     )
     cols = ["id", "pos", "prev_v", "prev_id", "next_v"]
     assert sorted(got.select(cols).collect()) == sorted(want.select(cols).collect())
+
+
+def test_worker_activities_chunks_hot_worker_and_null_worker(spark):
+    from tally.operators.documents import worker_activities
+
+    random.seed(5)
+    rows = []
+    for i in range(200):
+        worker = "hot" if i % 3 else random.choice(["w1", "w2", None])
+        start = T0 + timedelta(seconds=random.randrange(0, 50), days=random.randrange(0, 3))
+        rows.append(("wf", f"task_{i:03d}", start, worker))
+    rows.append(("other", "task_000", T0, "hot"))
+    tt = spark.createDataFrame(rows, "workflow_id string, task string, started_at timestamp, worker string")
+    got = {(r.workflow_id, r.worker, r.chunk): (r.tasks, r.activities)
+           for r in worker_activities(tt, chunk=7).collect()}
+    want = {}
+    for wf, worker in {(r[0], r[3]) for r in rows}:
+        ordered = [r[1] for r in sorted((r for r in rows if r[0] == wf and r[3] == worker), key=lambda r: (r[2], r[1]))]
+        for c in range(0, len(ordered), 7):
+            want[(wf, worker, c // 7)] = (len(ordered), ordered[c:c + 7])
+    assert got == want
