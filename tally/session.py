@@ -96,10 +96,16 @@ def partition_conf(data_bytes: int, cores: int) -> dict:
     is shuffled: filters, pruning and partial aggregation only shrink it),
     at least two per core and at most ``MAX_SHUFFLE_PARTITIONS``; AQE then
     coalesces to ``advisoryPartitionSizeInBytes`` from measured sizes and
-    splits skewed join partitions.
+    splits skewed join partitions. The smallest coalesced partition is
+    1/256 of the input per core, between 64 KiB and Spark's 1 MiB default:
+    a small input's many small shuffles (per-block counts, per-workflow
+    totals) then still spread over the cores, while large inputs keep the
+    default.
     """
     shuffle = min(MAX_SHUFFLE_PARTITIONS, max(2 * cores, -(-data_bytes // SHUFFLE_TARGET_BYTES)))
+    min_partition = min(MB, max(64 * 1024, data_bytes // (cores * 256)))
     return {
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": str(min_partition),
         "spark.sql.files.maxPartitionBytes": str(SPLIT_BYTES),
         "spark.sql.shuffle.partitions": str(shuffle),
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(shuffle),

@@ -11,6 +11,8 @@ def test_partition_conf_scales_with_input_and_is_bounded():
     huge = partition_conf(100 << 40, 8000)
     assert int(huge["spark.sql.shuffle.partitions"]) == MAX_SHUFFLE_PARTITIONS
     assert huge["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] == huge["spark.sql.shuffle.partitions"]
+    assert small["spark.sql.adaptive.coalescePartitions.minPartitionSize"] == str(64 * 1024)
+    assert huge["spark.sql.adaptive.coalescePartitions.minPartitionSize"] == str(1 << 20)
 
 
 def test_size_partitions_reads_sizes_and_sets_session(spark):
