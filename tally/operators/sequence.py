@@ -43,6 +43,7 @@ def ordinal(
     following: tuple = (),
     prev_prefix: str = "prev_",
     next_prefix: str = "next_",
+    block_cols: tuple = (),
 ) -> DataFrame:
     """Add ``out``: 0-based dense position of each row in its group by ``(order_col, *tie_cols)``.
 
@@ -55,11 +56,20 @@ def ordinal(
 
     ``order_col`` must be numeric and non-null; ties must be broken by
     ``tie_cols`` for a deterministic result.
+
+    ``block_cols`` replaces the numeric blocks by given columns whose order
+    is consistent with ``order_col`` (e.g. the input split a row came from);
+    ``block_width`` is then unused.
     """
-    blk, loc = "_blk", "_local"
+    loc = "_local"
     previous, following = tuple(previous), tuple(following)
-    keyed = df.withColumn(blk, F.floor(F.col(order_col) / F.lit(block_width)).cast("long"))
-    w = Window.partitionBy(*group_cols, blk).orderBy(order_col, *tie_cols)
+    if block_cols:
+        blocks = list(block_cols)
+        keyed = df
+    else:
+        blocks = ["_blk"]
+        keyed = df.withColumn("_blk", F.floor(F.col(order_col) / F.lit(block_width)).cast("long"))
+    w = Window.partitionBy(*group_cols, *blocks).orderBy(order_col, *tie_cols)
     local = keyed.withColumns({
         loc: F.row_number().over(w) - 1,
         **{f"_lag_{c}": F.lag(c).over(w) for c in previous},
@@ -72,11 +82,13 @@ def ordinal(
         summary.append(F.max_by(F.struct(*previous), loc).alias("_last"))
     if following:
         summary.append(F.min_by(F.struct(*following), loc).alias("_first"))
-    counts = local.groupBy(*group_cols, blk).agg(*summary)
-    by_block = Window.partitionBy(*group_cols).orderBy(blk)
+    counts = local.groupBy(*group_cols, *blocks).agg(*summary)
+    # Without group columns this window holds one row per block: bounded by
+    # the number of blocks (e.g. input splits), not by the rows.
+    by_block = Window.partitionBy(*group_cols).orderBy(*blocks) if group_cols else Window.orderBy(*blocks)
     earlier = by_block.rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(
-        *group_cols, blk, "_n",
+        *group_cols, *blocks, "_n",
         F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_off"),
         *([F.lag("_last").over(by_block).alias("_prev_blk")] if previous else []),
         *([F.lead("_first").over(by_block).alias("_next_blk")] if following else []),
@@ -84,7 +96,7 @@ def ordinal(
     first = F.col(loc) == 0
     last = F.col(loc) == F.col("_n") - 1
     return (
-        local.join(offsets, [*group_cols, blk])
+        local.join(offsets, [*group_cols, *blocks])
         .withColumns({
             out: (F.col("_off") + F.col(loc)).cast("long"),
             **{prev_prefix + c: F.when(first, F.col("_prev_blk")[c]).otherwise(F.col(f"_lag_{c}"))
@@ -92,7 +104,7 @@ def ordinal(
             **{next_prefix + c: F.when(last, F.col("_next_blk")[c]).otherwise(F.col(f"_lead_{c}"))
                for c in following},
         })
-        .drop(blk, loc, "_off", "_n", *(["_prev_blk"] if previous else []), *(["_next_blk"] if following else []),
+        .drop(*([] if block_cols else ["_blk"]), loc, "_off", "_n", *(["_prev_blk"] if previous else []), *(["_next_blk"] if following else []),
               *[f"_lag_{c}" for c in previous], *[f"_lead_{c}" for c in following])
     )
 

@@ -196,14 +196,20 @@ def read_id_list(spark: SparkSession, path: str) -> DataFrame:
     """Workflow ids one per line, stripped, blanks dropped, file order kept as ``pos``.
 
     Line order is part of the semantics (results are concatenated in file
-    order), and a DataFrame text scan does not expose line numbers, so the
-    Hadoop line reader's ``zipWithIndex`` supplies them (one extra counting
-    job, no data through the driver).
+    order). ``pos`` is the 0-based line number over all files in path order
+    (blank lines count, as in the file): each input split is a block,
+    ordered by ``(file path, split start)``; inside a split the scan keeps
+    line order, which ``monotonically_increasing_id`` records. The block
+    ordinal adds the line counts of earlier splits, so no task and no
+    driver sees more than one split's lines.
     """
-    lines = spark.sparkContext.textFile(path).zipWithIndex()
-    df = lines.toDF(T.StructType([T.StructField("line", S), T.StructField("line_no", T.LongType())]))
-    return (
-        df.select(F.trim(F.col("line")).alias("workflow_id"), "line_no")
-        .where(F.col("workflow_id") != "")
-        .withColumnRenamed("line_no", "pos")
+    from tally.operators.sequence import ordinal
+
+    lines = spark.read.text(path).select(
+        F.col("value").alias("line"),
+        F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_block_start").alias("_split"),
+        F.monotonically_increasing_id().alias("_row"),
     )
+    numbered = ordinal(lines, [], "_row", 0, out="pos", block_cols=("_file", "_split"))
+    return numbered.select(F.trim(F.col("line")).alias("workflow_id"), "pos").where(F.col("workflow_id") != "")

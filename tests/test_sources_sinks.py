@@ -42,6 +42,25 @@ def test_id_list_strips_blanks_and_keeps_order(spark, tmp_path):
     assert [r.pos for r in ids] == sorted(r.pos for r in ids)
 
 
+def test_id_list_line_numbers_across_splits_and_files(spark, tmp_path):
+    d = tmp_path / "ids"
+    d.mkdir()
+    files = {"a.txt": [f"wf-{i}" if i % 17 else "  " for i in range(1500)], "b.txt": [f"x{i}" for i in range(700)]}
+    for name, lines in files.items():
+        (d / name).write_text("\n".join(lines) + "\n")
+    want = [(line.strip(), pos) for pos, line in enumerate(files["a.txt"] + files["b.txt"]) if line.strip()]
+    old = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "2048")   # many splits per file
+        spark.conf.set("spark.sql.files.openCostInBytes", "0")
+        got = runlogs.read_id_list(spark, str(d))
+        rows = sorted((r.workflow_id, r.pos) for r in got.collect())
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert rows == sorted(want)
+
+
 def test_bulk_task_times_in_list_order(spark, tmp_path):
     docs = [{"workflow_id": wf, "run": {"createdAt": "2024-01-01T00:00:00Z"},
              "tasks": [{"taskExternalId": "t", "taskInsertedAt": f"2024-01-01T00:00:0{i}Z",
