@@ -73,7 +73,7 @@ def test_large_orders_are_broadcast_after_a_size_check(frames):
 @pytest.mark.parametrize("key", [
     "t1_correlate_event_history", "t2_pivot_task_events", "t4_history_phase_times", "t7_relative_job_times",
     "t9_phase_breakdown_by_duration", "t10_phase_breakdown_by_means", "t11_waiting_times", "t13_timing_table",
-    "t14_benchmark_document",
+    "t14_benchmark_document", "t8_normalize_workers", "a17_worker_activities",
 ])
 def test_per_workflow_operators_never_use_a_single_partition(spark, key):
     p = plan(entry.queries()[key](spark, SF_SMALL))
@@ -109,3 +109,11 @@ def test_selective_order_side_prunes_lineitem_before_its_shuffle(spark, frames,
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     lineitem_filters = [line for line in text.splitlines() if "might_contain" in line and "l_orderkey" in line]
     assert lineitem_filters, text
+
+
+@pytest.mark.parametrize("key", sorted(entry.queries()))
+def test_no_cross_join_nested_loop_or_python_in_any_registered_plan(spark, key):
+    p = plan(entry.queries()[key](spark, SF_SMALL))
+    for node in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
+                 "FlatMapGroupsInPandas", "MapInPandas"):
+        assert node not in p, (key, node)
