@@ -214,3 +214,20 @@ def test_worker_activities_chunks_hot_worker_and_null_worker(spark):
         for c in range(0, len(ordered), 7):
             want[(wf, worker, c // 7)] = (len(ordered), ordered[c:c + 7])
     assert got == want
+
+
+def test_history_split_into_pages_in_any_order_matches_one_page(spark):
+    evs = [START]
+    for i in range(12):
+        evs += activity(10 + 10 * i, 1 + 2 * i, None if i % 4 == 0 else str(i), worker=f"{i % 3}@h")
+    one = history(spark, {"w": evs})
+    pages = [{"workflow_id": "w", "page": p, "history": {"events": evs[s:s + 5]}}
+             for p, s in enumerate(range(0, len(evs), 5))]
+    paged = spark.createDataFrame(list(reversed(pages)), runlogs.EVENT_HISTORY)
+    cols = ["task", "created_at", "started_at", "completed_at", "worker", "waiting_time"]
+
+    def result(df):
+        return sorted(tuple(r) for r in timing.waiting_times(timing.correlate_event_history(df)).select(cols).collect())
+
+    got, want = result(paged), result(one)
+    assert got == want and len(want) == 12
