@@ -24,7 +24,7 @@ from tally.operators.sequence import dense_index
 from tally.operators.timing import WF
 from tally.sinks.files import stats_report
 from tally.sources import runlog_fixtures as fx
-from tally.sources.tables import read_table
+from tally.sources.tables import read_table, source_signature
 
 TS_TEXT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
@@ -32,17 +32,10 @@ TS_TEXT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 _LANDED: dict = {}
 
 
-def _source_signature(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    status = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(p)
-    return status.getModificationTime(), status.getLen()
-
-
 def _landed(spark: SparkSession, sf_dir: str, name: str, build):
     """Land ``build()`` once per (session, input, shape)."""
     key = (spark.sparkContext.applicationId, sf_dir, name,
-           _source_signature(spark, f"{sf_dir.rstrip('/')}/events.parquet"))
+           source_signature(spark, f"{sf_dir.rstrip('/')}/events.parquet"))
     if key not in _LANDED:
         _LANDED[key] = build()
     return _LANDED[key]

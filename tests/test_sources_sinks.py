@@ -159,3 +159,18 @@ def test_streaming_landed_run_documents(spark, tmp_path):
     q.awaitTermination(120)
     got = spark.read.parquet(str(out)).select("workflow_id", "task").collect()
     assert sorted((r.workflow_id, r.task) for r in got) == [("r1", "task_0"), ("r2", "task_0")]
+
+
+def test_read_table_reuses_relation_until_the_table_changes(spark, tmp_path):
+    import time as _time
+
+    root = str(tmp_path)
+    spark.range(3).write.parquet(f"{root}/t.parquet")
+    first = tables.read_table(spark, root, "t")
+    assert tables.read_table(spark, root, "t") is first and first.count() == 3
+    _time.sleep(0.05)
+    spark.range(5).write.mode("overwrite").parquet(f"{root}/t.parquet")
+    again = tables.read_table(spark, root, "t")
+    assert again is not first and again.count() == 5
+    tables.forget_tables()
+    assert tables.read_table(spark, root, "t") is not again
