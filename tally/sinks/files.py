@@ -48,9 +48,27 @@ def timing_csv(phases: DataFrame) -> DataFrame:
     )
 
 
-def write_timing_csv(phases: DataFrame, path: str) -> None:
-    """K6: one CSV directory per workflow (``workflow_id=<id>/``), header, no index."""
-    (timing_csv(phases).repartition(WF).sortWithinPartitions(WF, "pos").drop("pos")
+def _ordered_by_workflow(df: DataFrame, order_col: str, num_partitions: int | None = None) -> DataFrame:
+    """Range-partition on ``(workflow, order_col)`` and sort inside each partition.
+
+    Range partitioning splits a hot workflow's key range over several
+    tasks (hash partitioning on the workflow would give it one task), and
+    partitions are numbered in key order, so a workflow's part files read in
+    name order give its rows in order. ``num_partitions`` defaults to the
+    session's shuffle partitions, coalesced by AQE.
+    """
+    keys = [WF, order_col]
+    out = df.repartitionByRange(num_partitions, *keys) if num_partitions else df.repartitionByRange(*keys)
+    return out.sortWithinPartitions(*keys)
+
+
+def write_timing_csv(phases: DataFrame, path: str, num_partitions: int | None = None) -> None:
+    """K6: one CSV directory per workflow (``workflow_id=<id>/``), header, no index.
+
+    A large workflow may span several part files (each with its header);
+    read in name order they give its tasks in order.
+    """
+    (_ordered_by_workflow(timing_csv(phases), "pos", num_partitions).drop("pos")
      .write.mode("overwrite").partitionBy(WF).option("header", "true").csv(path))
 
 
@@ -95,11 +113,14 @@ def stats_report(stats: DataFrame) -> DataFrame:
     )
 
 
-def write_text_by_workflow(df: DataFrame, text_col: str, path: str, order_col: str | None = None) -> None:
-    """Write one text file set per workflow (``workflow_id=<id>/``)."""
-    out = df.repartition(WF)
-    if order_col:
-        out = out.sortWithinPartitions(WF, order_col)
+def write_text_by_workflow(df: DataFrame, text_col: str, path: str, order_col: str | None = None,
+                           num_partitions: int | None = None) -> None:
+    """Write one text file set per workflow (``workflow_id=<id>/``), lines in ``order_col`` order.
+
+    A large workflow may span several part files; read in name order they
+    give its lines in order.
+    """
+    out = _ordered_by_workflow(df, order_col or text_col, num_partitions)
     out.select(WF, text_col).write.mode("overwrite").partitionBy(WF).text(path)
 
 

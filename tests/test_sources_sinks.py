@@ -174,3 +174,16 @@ def test_read_table_reuses_relation_until_the_table_changes(spark, tmp_path):
     assert again is not first and again.count() == 5
     tables.forget_tables()
     assert tables.read_table(spark, root, "t") is not again
+
+
+def test_text_sink_splits_a_hot_workflow_and_keeps_line_order(spark, tmp_path):
+    import pathlib
+
+    rows = [("hot", i, f"line {i:05d}") for i in range(3000)] + [("cold", i, f"c {i}") for i in range(5)]
+    df = spark.createDataFrame(rows, "workflow_id string, pos long, line string")
+    out = tmp_path / "text"
+    files.write_text_by_workflow(df, "line", str(out), order_col="pos", num_partitions=6)
+    parts = sorted(pathlib.Path(out, "workflow_id=hot").glob("part-*"))
+    assert len(parts) > 1                                     # the hot workflow is written by several tasks
+    lines = [line for p in parts for line in p.read_text().splitlines()]
+    assert lines == [f"line {i:05d}" for i in range(3000)]
