@@ -48,6 +48,11 @@ def _plus_months(d: date, months: int):
     return F.add_months(F.lit(d), months)
 
 
+def _top(df: DataFrame, limit: int | None) -> DataFrame:
+    """Keep the first ``limit`` rows of an ordered frame; ``None`` or negative (``-1``) = no limit."""
+    return df if limit is None or limit < 0 else df.limit(limit)
+
+
 def _as_date(column: str):
     return F.col(column).cast("date").alias(column)
 
@@ -185,8 +190,7 @@ def shipping_priority(
             "o_shippriority",
         )
         .orderBy(F.desc("revenue"), "o_orderdate", "l_orderkey")
-        .limit(p.limit)
-    )
+    ).transform(_top, p.limit)
 
 
 def local_supplier_volume(
@@ -280,8 +284,7 @@ def returned_items(
             "c_comment",
         )
         .orderBy(F.desc("revenue"), "c_custkey")
-        .limit(p.limit)
-    )
+    ).transform(_top, p.limit)
 
 
 def shipmode_priority(
@@ -394,8 +397,7 @@ def large_orders(
             F.col("qty").cast("double").alias("sum_qty"),
         )
         .orderBy(F.desc("o_totalprice"), "o_orderdate", "o_orderkey")
-        .limit(p.limit)
-    )
+    ).transform(_top, p.limit)
 
 
 # --- registry ----------------------------------------------------------------

@@ -90,3 +90,11 @@ def test_reference_defaults_build_and_run(spark, key):
     # The reference literals (1993-1995 windows) select little or nothing here, but must run.
     df = tpch.run_query(key, tpch_frames(spark, SF_SMALL))
     assert df.count() >= 0
+
+
+@pytest.mark.parametrize("key", ["q2_shipping_priority", "q5_returned_items", "q9_large_orders"])
+def test_limit_minus_one_means_no_limit(frames, key):
+    top = run(key, frames).collect()
+    full = run(key, frames, limit=-1).collect()
+    assert len(full) >= len(top) and full[:len(top)] == top
+    assert len(run(key, frames, limit=None).collect()) == len(full)
