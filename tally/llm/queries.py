@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tally.llm.exact_dedup import exact_dedup, with_digest
 from tally.llm.language_id import fit_language_filters, identify_language
+from tally.llm.mixing import mix_sources, n_words
 from tally.llm.shared import fold
 
 
@@ -22,9 +24,65 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         "language.coverage", "language.n_grams")
 
 
+def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = with_digest(table(spark, sf_dir, "documents")).select("doc_id", "n_code_points", "text_sha256")
+    return exact_dedup(docs, digest="text_sha256", length="n_code_points", key="doc_id").select(
+        "doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", n_words(F.col("text")).alias("size"))
+    return mix_sources(docs, size="size").select(
+        "doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
+    "op9_exact_dedup": op9_exact_dedup,
+    "op10_mix_sources": op10_mix_sources,
 }
 
 #: DuckDB twins, where SQL can express the operator.
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op9_exact_dedup": r"""
+        WITH d AS (
+            SELECT doc_id, length(coalesce(text, '')) AS n,
+                   sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', '', 'g')) AS text_sha256
+            FROM documents),
+        r AS (
+            SELECT *, row_number() OVER w AS place, first_value(doc_id) OVER w AS keep_id,
+                   count(*) OVER (PARTITION BY text_sha256) AS group_size
+            FROM d WINDOW w AS (PARTITION BY text_sha256 ORDER BY n DESC, doc_id))
+        SELECT doc_id, keep_id, group_size, place = 1 AS kept, text_sha256 FROM r
+    """,
+    "op10_mix_sources": r"""
+        WITH d AS (
+            SELECT doc_id, source,
+                   CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size
+            FROM documents),
+        t AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
+        w AS (
+            SELECT *, 3 * source_size AS cap,
+                   [5, 2, 1][CAST((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS INT)] AS weight
+            FROM t),
+        l AS (
+            SELECT *, CAST(sum(source_size) OVER ()
+                           - coalesce(sum(cap) OVER below, 0) AS DOUBLE)
+                      / CAST(sum(weight) OVER () - coalesce(sum(weight) OVER below, 0) AS DOUBLE) AS level
+            FROM w WINDOW below AS (ORDER BY CAST(cap AS DOUBLE) / weight, source NULLS LAST
+                                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+        f AS (
+            SELECT *, max(CASE WHEN cap >= weight * level THEN level END) OVER () AS final_level FROM l),
+        p AS (
+            SELECT source, source_size,
+                   CASE WHEN final_level IS NULL OR cap < weight * final_level THEN CAST(cap AS DOUBLE)
+                        ELSE weight * final_level END AS target,
+                   CASE WHEN source_size = 0 THEN 0.0 ELSE target / source_size END AS rate
+            FROM f)
+        SELECT doc_id, size, source_size, target,
+               CAST(size * (floor(rate) + CASE
+                    WHEN CAST('0x' || md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), ''))[1:8] AS BIGINT)
+                         / 4294967296.0 < rate - floor(rate) THEN 1 ELSE 0 END) AS BIGINT) AS taken
+        FROM d JOIN p ON d.source IS NOT DISTINCT FROM p.source
+    """,
+}
