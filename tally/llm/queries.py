@@ -2,13 +2,21 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tally.llm.bpe import round_trip
 from tally.llm.exact_dedup import exact_dedup, with_digest
 from tally.llm.language_id import fit_language_filters, identify_language
 from tally.llm.mixing import mix_sources, n_words
-from tally.llm.shared import fold
+from tally.llm.setsketch import near_duplicates
+from tally.llm.shared import fold, shared_path
+from tally.llm.token_counts import count_tokens
+
+#: The vocabulary that the token queries use, and the length above which a document is over the limit.
+TOKENIZER = "word_bpe_49k.json"
+TOKEN_LIMIT = 2048
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,8 +44,35 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
+def op3_setsketch_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = near_duplicates(docs, shingle=4, percent=80)
+    return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id",
+                        F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+def op5_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = round_trip(docs, public_tokenizers.path(TOKENIZER), out="coded")
+    return coded.select(
+        "doc_id", (F.octet_length("coded.ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2(F.col("coded.ids"), 256).alias("ids_sha256"),
+        F.sha2(F.col("coded.decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Starts from an empty cache of its own, so that every distinct text is encoded in the run."""
+    text = F.coalesce(F.col("text"), F.lit(""))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.octet_length(text).cast("long").alias("n_bytes"))
+    counted = count_tokens(docs, public_tokenizers.path(TOKENIZER), cache=shared_path(spark, "token-counts"))
+    return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
+    "op3_setsketch_near_dedup": op3_setsketch_near_dedup,
+    "op5_bpe_round_trip": op5_bpe_round_trip,
+    "op7_token_counts": op7_token_counts,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_mix_sources": op10_mix_sources,
 }
