@@ -10,13 +10,18 @@ from tally.llm.bpe import round_trip
 from tally.llm.exact_dedup import exact_dedup, with_digest
 from tally.llm.language_id import fit_language_filters, identify_language
 from tally.llm.mixing import mix_sources, n_words
+from tally.llm.quality import fit_quality, score_quality
 from tally.llm.setsketch import near_duplicates
 from tally.llm.shared import fold, shared_path
 from tally.llm.token_counts import count_tokens
+from tally.llm.toxicity import fit_toxicity, score_toxicity
+from tally.llm.vafile import exact_top_k
 
 #: The vocabulary that the token queries use, and the length above which a document is over the limit.
 TOKENIZER = "word_bpe_49k.json"
 TOKEN_LIMIT = 2048
+TOXIC_FROM = 0.7
+GOOD_FROM = 0.3
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,6 +37,14 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         "language.coverage", "language.n_grams")
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = fold(F.col("doc_id"), 5) == 0
+    model = fit_quality(docs, table(spark, sf_dir, "labels"), train=~held_out)
+    return score_quality(docs, model).select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= GOOD_FROM).cast("int").alias("predicted"))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = with_digest(table(spark, sf_dir, "documents")).select("doc_id", "n_code_points", "text_sha256")
     return exact_dedup(docs, digest="text_sha256", length="n_code_points", key="doc_id").select(
@@ -44,6 +57,14 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = fold(F.col("doc_id"), 3) == 1
+    model = fit_toxicity(docs, table(spark, sf_dir, "labels"), train=~held_out)
+    return score_toxicity(docs, model).select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= TOXIC_FROM).cast("int").alias("predicted"))
+
+
 def op3_setsketch_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = near_duplicates(docs, shingle=4, percent=80)
@@ -51,6 +72,12 @@ def op3_setsketch_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
+def op4_va_file_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    found = exact_top_k(vectors, queries=F.col("vec_id") % 50 == 0, k=5)
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
 def op5_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     coded = round_trip(docs, public_tokenizers.path(TOKENIZER), out="coded")
@@ -70,15 +97,35 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_language_id": op1_language_id,
+    "op2_toxicity": op2_toxicity,
     "op3_setsketch_near_dedup": op3_setsketch_near_dedup,
+    "op4_va_file_top_k": op4_va_file_top_k,
     "op5_bpe_round_trip": op5_bpe_round_trip,
     "op7_token_counts": op7_token_counts,
+    "op8_quality": op8_quality,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_mix_sources": op10_mix_sources,
 }
 
 #: DuckDB twins, where SQL can express the operator.
 ORACLE_SQL: dict[str, str] = {
+    "op4_va_file_top_k": r"""
+        WITH v AS (
+            SELECT vec_id, [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+              AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+        s AS (
+            SELECT q.vec_id AS query_id, c.vec_id,
+                   CAST(list_inner_product(CAST(q.v AS DOUBLE[]), CAST(c.v AS DOUBLE[])) AS BIGINT) AS score
+            FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
+            WHERE q.vec_id % 50 = 0),
+        r AS (
+            SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank,
+                   vec_id, score
+            FROM s)
+        SELECT * FROM r WHERE rank <= 5
+    """,
     "op9_exact_dedup": r"""
         WITH d AS (
             SELECT doc_id, length(coalesce(text, '')) AS n,
