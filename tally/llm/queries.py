@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tally.llm.bpe import round_trip
 from tally.llm.exact_dedup import exact_dedup, with_digest
+from tally.llm.html_consensus import extract_main_text
 from tally.llm.language_id import fit_language_filters, identify_language
 from tally.llm.mixing import mix_sources, n_words
 from tally.llm.quality import fit_quality, score_quality
@@ -87,6 +88,11 @@ def op5_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.col("coded.decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
+def op6_consensus_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return extract_main_text(pages).select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Starts from an empty cache of its own, so that every distinct text is encoded in the run."""
     text = F.coalesce(F.col("text"), F.lit(""))
@@ -101,6 +107,7 @@ QUERIES = {
     "op3_setsketch_near_dedup": op3_setsketch_near_dedup,
     "op4_va_file_top_k": op4_va_file_top_k,
     "op5_bpe_round_trip": op5_bpe_round_trip,
+    "op6_consensus_html": op6_consensus_html,
     "op7_token_counts": op7_token_counts,
     "op8_quality": op8_quality,
     "op9_exact_dedup": op9_exact_dedup,
