@@ -72,9 +72,10 @@ def exact_dedup(df: DataFrame, digest: str, length: str, key: str, bits: int | N
 
     Adds ``keep_id`` (key of the row that stays), ``group_size`` and ``kept``.
     A null key sorts last. Rows that repeat one key within a group are one
-    document: exactly one of them is kept. All other columns pass unchanged.
-    ``df`` must not have columns of these three names.
+    document: exactly one of them is kept. All other columns pass unchanged;
+    existing ones of these three names are replaced.
     """
+    df = df.drop("keep_id", "group_size", "kept")
     flag = free_name(df, "maybe_repeated")
     flagged = flag_repeated(df, digest, flag, bits)
     alone = flagged.where(~F.col(flag)).drop(flag).withColumns(

@@ -65,9 +65,10 @@ def mix_sources(df: DataFrame, size: str, source: str = "source", key: str = "do
 
     A row gets floor(rate) copies, rate = target / source_size, and one more if
     the hash of its key falls below the fraction. Sources without words get no
-    copies. Equal keys get equal draws, so reruns agree. ``df`` must not have
-    columns of these names.
+    copies. Equal keys get equal draws, so reruns agree. Existing columns of
+    these names are replaced.
     """
+    df = df.drop("source_size", "target", "copies")
     of = free_name(df, "plan_source")
     plan = source_plan(df, source, size, weights, max_repeat).withColumnRenamed("source", of)
     if plan.count() <= BROADCAST_SOURCES:

@@ -91,13 +91,9 @@ def count_tokens(docs: DataFrame, tokenizer: str, cache: str, text: str = "text"
     """
     fill_cache(docs, tokenizer, cache, text)
     spark, version = docs.sparkSession, tokenizer_digest(tokenizer)
-    digest, own = free_name(docs, "content_of"), free_name(docs, "stored_digest")
-    stored = spark.read.schema(CACHE_SCHEMA).parquet(cache).where(F.col("tokenizer_digest") == version)
-    stored = stored.select(F.col("content_digest").alias(own), F.col("n_tokens").alias("stored_tokens"))
+    digest, own, count = free_name(docs, "content_of"), free_name(docs, "stored_digest"), free_name(docs, "stored_tokens")
     # The cache may hold a digest twice if two jobs ran at once: one entry of each. Its bytes are
     # grouped and their text is joined, so that AQE may split the partition of a much repeated text.
-    stored = stored.groupBy(own).agg(F.max("stored_tokens").alias(f"{out}_stored"))
-    stored = stored.select(F.hex(own).alias(own), f"{out}_stored")
+    stored = read_cache(spark, cache, version).select(F.hex("content_digest").alias(own), F.col("n_tokens").alias(count))
     keyed = docs.drop(out).withColumn(digest, F.hex(content_digest(F.col(text))))
-    joined = keyed.join(stored, F.col(digest) == F.col(own))
-    return joined.withColumn(out, F.col(f"{out}_stored")).drop(digest, own, f"{out}_stored")
+    return keyed.join(stored, F.col(digest) == F.col(own)).withColumnRenamed(count, out).drop(digest, own)
