@@ -21,12 +21,14 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tally.llm.shared import ship_package
 
-REMEMBERED = 500_000  # words, and as many pre-tokens, that a process keeps (some 100 MB); beyond, it starts afresh
+REMEMBERED = 200_000  # words, and as many pre-tokens, in each of a process's two generations (some 100 MB in all)
+LATIN_END = "\u0250"   # below: letters that are composed already, with settled classes and lower cases
 LONG_FRAGMENT = 100   # letters from which a heap finds the next merge
 WORD_END = "</w>"
 
@@ -43,16 +45,20 @@ def _byte_letters() -> list[str]:
 
 
 class _Memo(dict):
-    """Values by key, made on first use; starts afresh once it holds ``REMEMBERED``."""
+    """Values by key, made on first use; what the last ``REMEMBERED`` or so uses didn't need is forgotten."""
 
     def __init__(self, make):
         super().__init__()
-        self.make = make
+        self.make, self.older = make, {}
 
     def __missing__(self, key):
+        value = self.older.get(key)
+        if value is None:
+            value = self.make(key)
         if len(self) >= REMEMBERED:
+            self.older = dict(self)
             self.clear()
-        value = self[key] = self.make(key)
+        self[key] = value
         return value
 
 
@@ -64,8 +70,9 @@ class WordBpe:
 
         spec = json.loads(definition)
         model = spec["model"]
-        if model["type"] != "BPE" or model.get("end_of_word_suffix") != WORD_END:
-            raise ValueError("a byte-level BPE with word ends is needed")
+        rules = [r["type"] for r in spec["normalizer"]["normalizers"]], [r["type"] for r in spec["pre_tokenizer"]["pretokenizers"]]
+        if model.get("end_of_word_suffix") != WORD_END or rules != (["NFC", "Replace", "Lowercase"], ["Split", "ByteLevel"]):
+            raise ValueError("a lower-casing byte-level BPE with word ends is needed")
         self.vocab: dict[str, int] = model["vocab"]
         merges = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]]
         self.rank = {pair: i for i, pair in enumerate(merges)}
@@ -74,15 +81,20 @@ class WordBpe:
         self.special_pattern = re.compile("(" + "|".join(map(re.escape, sorted(special, key=len, reverse=True))) + ")") if special else None
         library = Tokenizer.from_str(definition)
         self.normalizer, self.pre_tokenizer = library.normalizer, library.pre_tokenizer
+        # The file's own pattern finds the pre-tokens of Latin words without the library.
+        split = spec["pre_tokenizer"]["pretokenizers"][0]
+        self.latin_pattern = regex.compile(split["pattern"]["Regex"])
 
         self.letters = _byte_letters()
+        self.latin_letters = dict(enumerate(self.letters))
         of_letter = {c: b for b, c in enumerate(self.letters)}
         #: joined[a, b]: some token has byte b right after byte a.
         self.joined = np.zeros((256, 256), dtype=bool)
         for token in {x + y for x, y in merges}:
             body = [of_letter[c] for c in token.removesuffix(WORD_END)]
             self.joined[body[:-1], body[1:]] = True
-        self.cut_after = {a: {self.letters[int(b)] for b in np.flatnonzero(~self.joined[of_letter[a]])} for a in self.letters}
+        self.joined_letters = {a + self.letters[int(b)] for a in self.letters for b in np.flatnonzero(self.joined[of_letter[a]])}
+        self.id_bytes = {text: np.array([i], dtype="<u4").tobytes() for text, i in self.vocab.items()}
 
         top = max([*self.vocab.values(), *special.values()], default=-1) + 1
         self.surface = [b""] * top
@@ -91,8 +103,8 @@ class WordBpe:
         self.pieces = _Memo(self._encode_piece)
         self.words = _Memo(self._encode_word)
 
-    def _merge(self, letters: str, is_end: bool) -> list[int]:
-        """Ids of one fragment (letters for bytes; whether its end is a word's end): lowest rank first, leftmost first."""
+    def _merge(self, letters: str, is_end: bool) -> list[str]:
+        """Tokens of one fragment (letters for bytes; whether its end is a word's end): lowest rank first, leftmost first."""
         parts = list(letters)
         if is_end:
             parts[-1] += WORD_END
@@ -112,7 +124,7 @@ class WordBpe:
                     ranks[i] = get((parts[i], parts[i + 1]), none)
                 if i:
                     ranks[i - 1] = get((parts[i - 1], parts[i]), none)
-        return [self.vocab[p] for p in parts]
+        return parts
 
     def _merge_long(self, parts: list[str]) -> list[str]:
         """The same merges in n log n steps: a heap of pairs over a linked list."""
@@ -136,25 +148,31 @@ class WordBpe:
 
     def cut(self, letters: str) -> list[tuple[str, bool]]:
         """The fragments of one pre-token between its certain cuts."""
-        out, start = [], 0
-        for i in range(1, len(letters)):
-            if letters[i] in self.cut_after[letters[i - 1]]:
-                out.append((letters[start:i], False))
-                start = i
-        out.append((letters[start:], True))
-        return out
+        joined = self.joined_letters
+        cuts = [i for i in range(1, len(letters)) if letters[i - 1:i + 1] not in joined]
+        if not cuts:
+            return [(letters, True)]
+        edges = [0, *cuts, len(letters)]
+        return [(letters[x:y], y == len(letters)) for x, y in zip(edges, edges[1:])]
 
     def _encode_piece(self, letters: str) -> bytes:
         """Ids of one pre-token, its bytes as letters: fragment by fragment."""
-        ids: list[int] = []
+        parts: list[str] = []
         for fragment, is_end in self.cut(letters):
-            ids += self._merge(fragment, is_end)
-        return np.array(ids, dtype="<u4").tobytes()
+            parts += self._merge(fragment, is_end)
+        return b"".join([self.id_bytes[p] for p in parts])
 
     def _encode_word(self, word: str) -> bytes:
         """Ids of one word between white space, as little-endian 32-bit integers."""
-        if word.isalpha() and word.isascii():  # any of the normalisers and pre-tokenisers only lowers it
+        if word.isalpha() and word.isascii():
             return self.pieces[word.lower()]
+        if "<|" not in word and word.isprintable() and max(word) < LATIN_END:
+            # Composed Latin letters: the normaliser only lowers them, one by one.
+            found = self.latin_pattern.findall(word.lower())
+            if word.isascii():
+                return b"".join([self.pieces[x] for x in found])
+            letters = self.latin_letters
+            return b"".join([self.pieces[x.encode().decode("latin-1").translate(letters)] for x in found])
         out = []
         for piece in self.special_pattern.split(word) if self.special_pattern else [word]:
             if piece in self.special:
