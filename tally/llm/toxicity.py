@@ -26,6 +26,7 @@ FEATURES = 2000               # buckets that the classifier uses: those most typ
 POSITIVES = 4000              # bounds of the samples that reach the driver
 UNLABELLED = 8000
 CALIBRATION = 4000
+LEAST_TYPICAL = 4.0           # standard errors by which a bucket must be more frequent in toxic texts
 FOLDS = 4
 STEPS, RATE, RIDGE = 400, 0.05, 3e-5
 
@@ -93,7 +94,7 @@ def train_nnpu(rows: np.ndarray, buckets: np.ndarray, positive: np.ndarray, unla
     typical = (in_p - in_u) / np.sqrt(in_u * (1 - in_u) / n_p + 1e-6)
     typical[(seen < max(2, 0.002 * n_p)) | (in_p <= in_u)] = 0
     chosen = np.argsort(-typical, kind="stable")[:FEATURES]
-    chosen = chosen[typical[chosen] > 0]
+    chosen = chosen[typical[chosen] >= LEAST_TYPICAL]
     number = np.full(BUCKETS, -1)
     number[chosen] = np.arange(len(chosen))
     own = number[buckets] >= 0

@@ -1,0 +1,92 @@
+"""BPE and token counts against the tokenizers library."""
+
+import hashlib
+import random
+
+import numpy as np
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+from tally.llm import queries
+from tally.llm.bpe import codec_of, decode_ids, encode_text
+from tally.llm.token_counts import count_tokens, read_cache, tokenizer_digest
+
+PATH = public_tokenizers.path("word_bpe_49k.json")
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def library():
+    return Tokenizer.from_file(PATH)
+
+
+def check(codec, library, text):
+    want = library.encode(text, add_special_tokens=False)
+    ids = codec.encode(text)
+    assert np.frombuffer(ids, "<u4").tolist() == want.ids, repr(text)
+    assert codec.decode(ids).decode() == library.decode(want.ids, skip_special_tokens=False), repr(text)
+
+
+def test_odd_texts(library):
+    codec = codec_of(PATH)
+    rng = random.Random(1)
+    odd = ["", " ", "<|endoftext|>", "a<|endoftext|>b <|startoftext|>x", "<|ENDOFTEXT|>", "A\x1cB \x1d", "a b　c᠎d﻿",
+           "İSTANBUL ΣΑΣ ς", "é ́x", "K ` ;", "don't I'LL we'vE 'S", "4²5 Ⅷ",
+           "th" * 500, "a" * 3000, "x1y" * 400, "\x00\x01\x7f", "ﬁ ß ẞ", "_a_b__", "\U00010400"]
+    chars = [chr(c) for c in range(0x3000) if not 0xD800 <= c < 0xE000]
+    odd += ["".join(rng.choice(chars) for _ in range(rng.randint(1, 12))) for _ in range(1500)]
+    odd += [f"A{chr(c)}b" for c in range(0x600)]
+    for text in odd:
+        check(codec, library, text)
+
+
+def test_cuts_are_certain(library):
+    """No token has two bytes next to each other where the table cuts, and some cuts fall inside words."""
+    codec = codec_of(PATH)
+    for token in codec.vocab:
+        body = token.removesuffix("</w>")
+        assert codec.cut(body)[0][0] == body
+    assert not codec.joined[:, 32].any() and not codec.joined[32].any()
+    assert len(codec.cut("qxzqj")) > 1
+
+
+def test_columns_round_trip(spark, library, edge_docs):
+    got = decode_ids(encode_text(edge_docs, PATH), PATH).collect()
+    for r in got:
+        want = library.encode(r["text"] or "", add_special_tokens=False)
+        assert np.frombuffer(r["ids"], "<u4").tolist() == want.ids
+        assert r["decoded"] == library.decode(want.ids, skip_special_tokens=False)
+
+
+def test_queries_match_the_library(spark, library, edge_docs, no_docs, tables):
+    for folder in (SF, tables(documents=edge_docs)):
+        texts = [(r["doc_id"], r["text"] or "") for r in spark.read.parquet(f"{folder}/documents.parquet").collect()]
+        coded, counted = [], []
+        for i, text in texts:
+            want = library.encode(text, add_special_tokens=False)
+            ids = np.array(want.ids, dtype="<u4").tobytes()
+            decoded = library.decode(want.ids, skip_special_tokens=False).encode()
+            coded.append((i, len(want.ids), hashlib.sha256(ids).hexdigest(), hashlib.sha256(decoded).hexdigest()))
+            counted.append((i, len(text.encode()), len(want.ids), len(want.ids) > 2048))
+        assert sorted(map(tuple, queries.op5_bpe_round_trip(spark, folder).collect()), key=repr) == sorted(coded, key=repr)
+        assert sorted(map(tuple, queries.op7_token_counts(spark, folder).collect()), key=repr) == sorted(counted, key=repr)
+    empty = tables(documents=no_docs)
+    assert queries.op5_bpe_round_trip(spark, empty).count() == 0 and queries.op7_token_counts(spark, empty).count() == 0
+
+
+def test_cache_is_kept_and_only_misses_are_added(spark, tmp_path):
+    cache = str(tmp_path / "cache")
+    df = spark.createDataFrame([(1, "a b"), (2, " a\t b "), (3, "c"), (4, None)], "doc_id long, text string")
+    assert {r["doc_id"]: r["n_tokens"] for r in count_tokens(df, PATH, cache).collect()} == {1: 2, 2: 2, 3: 1, 4: 0}
+    stored = lambda: spark.read.parquet(cache).count()
+    assert stored() == 3
+    more = df.unionByName(spark.createDataFrame([(5, "c"), (6, "new words here")], df.schema)).selectExpr("*", "1 as n_tokens", "2 as content_of")
+    got = {r["doc_id"]: r["n_tokens"] for r in count_tokens(more, PATH, cache).collect()}
+    assert got == {1: 2, 2: 2, 3: 1, 4: 0, 5: 1, 6: 3} and stored() == 4
+    # A stored count is believed, whatever the text: it isn't encoded again.
+    version = tokenizer_digest(PATH)
+    other = str(tmp_path / "other")
+    read_cache(spark, cache, version).selectExpr("content_digest", "n_tokens + 100 as n_tokens", f"'{version}' as tokenizer_digest") \
+        .write.partitionBy("tokenizer_digest").parquet(other)
+    assert {r["n_tokens"] for r in count_tokens(df, PATH, other).collect()} == {102, 101, 100}
