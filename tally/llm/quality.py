@@ -197,7 +197,8 @@ def fit_quality(docs: DataFrame, labels: DataFrame, train: Column, text: str = "
         rows = np.concatenate([*pooled(column, shipped.value), np.zeros((0, DIM + SHARES))])
         return pa.array([r.astype("<f4").tobytes() for r in rows], pa.binary())
 
-    found = (base.join(marks, F.col("key") == F.col("marked"))
+    # About ``sample`` keys at most are broadcast: the texts don't shuffle to be sampled.
+    found = (base.join(F.broadcast(marks), F.col("key") == F.col("marked"))
              .select("key", "quality", inputs("text").alias("inputs")).toArrow().sort_by([("key", "ascending"), ("inputs", "ascending")]))
     n_in = DIM + SHARES
     if not found.num_rows:

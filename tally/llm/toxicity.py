@@ -82,7 +82,7 @@ def train_nnpu(rows: np.ndarray, buckets: np.ndarray, positive: np.ndarray, unla
     Risk: prior * E_p[l(f)] + max(0, E_u[l(-f)] - prior * E_p[l(-f)]) with the
     logistic loss, minimised by Adam over all rows from a fixed start.
     """
-    n = int(max(positive.max(initial=-1), unlabelled.max(initial=-1))) + 1
+    n = int(max(rows.max(initial=-1), positive.max(initial=-1), unlabelled.max(initial=-1))) + 1
     n_p, n_u = len(positive), len(unlabelled)
     model = ToxicityModel(np.zeros(BUCKETS), float(np.log(max(prior, 1e-6) / max(1 - prior, 1e-6))))
     if not n_p or not n_u:
@@ -172,7 +172,8 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, train: Column, text: str =
             out += [buckets[a:b].astype("<i4").tobytes() for a, b in zip(edges[:-1], edges[1:])]
         return pa.array(out, pa.binary())
 
-    sample = (base.dropna(subset=["key"]).join(roles, "key")
+    # At most some POSITIVES + UNLABELLED + CALIBRATION keys: the texts don't shuffle to be sampled.
+    sample = (base.dropna(subset=["key"]).join(F.broadcast(roles), "key")
               .select("toxic", "positive", "unlabelled", "calibration", buckets_of("text").alias("buckets")))
     found = sample.toArrow()
     if not found.num_rows:

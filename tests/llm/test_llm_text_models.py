@@ -74,6 +74,9 @@ def test_nnpu_finds_the_marker():
     slope, shift = calibrate(margin[n_p:], marked[n_p:])
     p = 1 / (1 + np.exp(-(slope * margin[n_p:] + shift)))
     assert ((p >= 0.7) == marked[n_p:]).mean() > 0.98
+    # Rows that are in neither sample (kept for calibration only) don't count.
+    fewer = train_nnpu(rows, buckets, np.arange(n_p - 50), np.arange(n_p, n_p + n_u - 50), 0.1)
+    assert auc(fewer.margins(rows, buckets, n_p + n_u)[-50:], marked[-50:]) > 0.99
     assert (train_nnpu(rows, buckets, np.arange(0), np.arange(5), 0.1).weights == 0).all()
     assert model.weights.shape == (BUCKETS,)
 
