@@ -12,17 +12,12 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession
 
 from tally.plans import tpch
-from tally.sources.fixtures import tpch_frames
+from tally.plans.timing_queries import TIMING_BUILDERS
+from tally.sources.fixtures import fixture_frames
 
 
 def _tpch(key: str, spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tpch.run_query(key, tpch_frames(spark, sf_dir, tpch.QUERIES[key].tables), fixture=True)
+    return tpch.run_query(key, fixture_frames(spark, sf_dir, tpch.QUERIES[key].tables), fixture=True)
 
 
-QUERY_BUILDERS = {key: partial(_tpch, key) for key in tpch.QUERIES}
-
-try:
-    from tally.plans.timing_queries import TIMING_BUILDERS
-except ImportError:  # pragma: no cover - during bootstrap
-    TIMING_BUILDERS = {}
-QUERY_BUILDERS.update(TIMING_BUILDERS)
+QUERY_BUILDERS = {**{key: partial(_tpch, key) for key in tpch.QUERIES}, **TIMING_BUILDERS}

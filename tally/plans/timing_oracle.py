@@ -315,14 +315,5 @@ ranked as (
 select workflow_id, worker_id as worker, cast(pos // 1024 as bigint) as chunk, cast(max(tasks) as bigint) as tasks,
        string_agg(task, ',' order by pos) as activities
 from ranked group by workflow_id, worker_id, pos // 1024
-""",
-    "x1_bulk_fibonacci": """
-with recursive fibs(n, a, b) as (
-    select 0, cast(0 as bigint), cast(1 as bigint)
-    union all
-    select n + 1, b, a + b from fibs where n < 80
-)
-select cast(p_partkey as bigint) as id, cast(p_size as integer) as n, a as result
-from part join fibs on fibs.n = part.p_size
 """,
 }

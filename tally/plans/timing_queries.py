@@ -5,11 +5,9 @@ operator consumes (``tally.sources.runlog_fixtures``) and applies the
 operator to every workflow at once. Timestamps in outputs are rendered as
 text with microseconds so both engines compare them exactly.
 
-The derived documents play the part of landed run logs: each shape is
-landed once per session (reliable checkpoint) and shared by every query that
-reads it, as a user would land run logs once and run all analyses over them.
-The cache key includes the source table's modification time, so changed
-input is derived again.
+The derived documents play the part of landed run logs. Each query derives
+and lands its own (reliable checkpoint): nothing is kept between queries, so
+changed input is always read anew.
 """
 
 from __future__ import annotations
@@ -17,37 +15,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tally.functions.fib import bulk_fibonacci
 from tally.functions.timefn import micros_between, parse_ts, seconds
 from tally.operators import documents, timing
 from tally.operators.sequence import dense_index
 from tally.operators.timing import WF
 from tally.sinks.files import stats_report
 from tally.sources import runlog_fixtures as fx
-from tally.sources.tables import read_table, source_signature
+from tally.sources.tables import read_table
 
 TS_TEXT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
 
-_LANDED: dict = {}
-
-
-def _landed(spark: SparkSession, sf_dir: str, name: str, build):
-    """Land ``build()`` once per (session, input, shape)."""
-    key = (spark.sparkContext.applicationId, sf_dir, name,
-           source_signature(spark, f"{sf_dir.rstrip('/')}/events.parquet"))
-    if key not in _LANDED:
-        _LANDED[key] = build()
-    return _LANDED[key]
-
-
 def _life(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _landed(spark, sf_dir, "life",
-                   lambda: fx.land(fx.lifecycle_events(read_table(spark, sf_dir, "events"))))
+    return fx.land(fx.lifecycle_events(read_table(spark, sf_dir, "events")))
 
 
-def _doc(spark: SparkSession, sf_dir: str, name: str, shape):
-    return _landed(spark, sf_dir, name, lambda: fx.land(shape(_life(spark, sf_dir))))
+def _doc(spark: SparkSession, sf_dir: str, shape) -> DataFrame:
+    return fx.land(shape(_life(spark, sf_dir)))
 
 
 def _ts(c: str) -> F.Column:
@@ -62,21 +46,20 @@ def _relative_seconds(tt: DataFrame, extra=()) -> DataFrame:
 
 
 def _event_history_timing(spark, sf_dir):
-    return timing.correlate_event_history(_doc(spark, sf_dir, "history", fx.event_history_pages))
+    return timing.correlate_event_history(_doc(spark, sf_dir, fx.event_history_pages))
 
 
 def _run_document_timing(spark, sf_dir):
-    return timing.pivot_task_events(_doc(spark, sf_dir, "run_docs", fx.run_document_pages))
+    return timing.pivot_task_events(_doc(spark, sf_dir, fx.run_document_pages))
 
 
 def _phase_times(spark, sf_dir):
-    return timing.history_phase_times(_doc(spark, sf_dir, "executions", fx.execution_pages))
+    return timing.history_phase_times(_doc(spark, sf_dir, fx.execution_pages))
 
 
 def _jobs(spark, sf_dir):
-    jobs = _doc(spark, sf_dir, "jobs", lambda life: fx.job_tables(life)[0])
-    completions = _doc(spark, sf_dir, "completions", lambda life: fx.job_tables(life)[1])
-    return jobs, completions
+    jobs, completions = fx.job_tables(_life(spark, sf_dir))
+    return fx.land(jobs), fx.land(completions)
 
 
 def _job_timing(spark, sf_dir):
@@ -100,8 +83,8 @@ def t2_pivot_task_events(spark, sf_dir):
 
 
 def t3_bulk_task_times(spark, sf_dir):
-    docs = _doc(spark, sf_dir, "run_docs", fx.run_document_pages)
-    ids = _doc(spark, sf_dir, "id_list", fx.id_list)
+    life = _life(spark, sf_dir)
+    docs, ids = fx.land(fx.run_document_pages(life)), fx.land(fx.id_list(life))
     rows = timing.clamped_relative(timing.bulk_task_times(docs, ids))
     rows = dense_index(rows, [], "worker", [F.col("worker")])
     return rows.select("pos", WF, "created_at", "started_at", "completed_at", "worker", "worker_index")
@@ -115,7 +98,7 @@ def t4_history_phase_times(spark, sf_dir):
 
 
 def t5_flatten_task_groups(spark, sf_dir):
-    flat = timing.flatten_task_groups(_doc(spark, sf_dir, "dag_runs", fx.dag_run_pages))
+    flat = timing.flatten_task_groups(_doc(spark, sf_dir, fx.dag_run_pages))
     return flat.select(
         WF, "id", "queued_dttm", "start_date", "end_date",
         seconds(micros_between(parse_ts("queued_dttm"), parse_ts("start_date"))).alias("assignment_s"),
@@ -186,7 +169,7 @@ def t14_benchmark_document(spark, sf_dir):
 
 
 def s10_event_times(spark, sf_dir):
-    pages = _doc(spark, sf_dir, "history", fx.event_history_pages)
+    pages = _doc(spark, sf_dir, fx.event_history_pages)
     return timing.event_times(pages).select(WF, "event_id", "event_type", "event_time")
 
 
@@ -199,10 +182,6 @@ def a17_worker_activities(spark, sf_dir):
     return acts.select(WF, "worker", "chunk", "tasks", F.array_join("activities", ",").alias("activities"))
 
 
-def x1_bulk_fibonacci(spark, sf_dir):
-    return bulk_fibonacci(fx.bulk_inputs(read_table(spark, sf_dir, "part")))
-
-
 TIMING_BUILDERS = {
     "t1_correlate_event_history": t1_correlate_event_history,
     "t2_pivot_task_events": t2_pivot_task_events,
@@ -223,5 +202,4 @@ TIMING_BUILDERS = {
     "s10_event_times": s10_event_times,
     "a17_tasks_per_worker": a17_tasks_per_worker,
     "a17_worker_activities": a17_worker_activities,
-    "x1_bulk_fibonacci": x1_bulk_fibonacci,
 }

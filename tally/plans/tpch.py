@@ -32,7 +32,6 @@ from decimal import Decimal
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tally.operators.joins import bounded_broadcast, land_and_measure
 
 
 def _one():
@@ -340,21 +339,23 @@ def supplier_count(
 ) -> DataFrame:
     """TPC-H Q16: suppliers per (brand, type, size) excluding complained-about ones.
 
-    ``NOT IN (subquery)`` becomes a left-anti join. That is exact because both
-    key columns are NOT NULL in the DDL; Spark's null-aware form would need a
-    broadcast of the excluded side or a nested-loop join.
+    ``NOT IN (subquery)`` becomes a left-anti join plus SQL's rule for NULL
+    keys, as scalar subqueries over the excluded suppliers: one NULL among
+    them leaves no row, and a NULL offer key passes only if nothing is
+    excluded. So no null-aware nested loop is needed at any size.
     """
     parts = part.where(
         (F.col("p_brand") != p.brand)
         & ~F.col("p_type").like(p.type_prefix + "%")
         & F.col("p_size").isin(*p.sizes)
     ).select("p_partkey", "p_brand", "p_type", "p_size")
-    # The excluded suppliers are broadcast only after a counted size check.
-    excluded = bounded_broadcast(supplier.where(F.col("s_comment").like(p.comment_pattern)).select("s_suppkey"))
+    excluded = supplier.where(F.col("s_comment").like(p.comment_pattern)).select("s_suppkey")
+    null_keys = excluded.where(F.col("s_suppkey").isNull()).agg(F.count(F.lit(1))).scalar()
+    all_keys = excluded.agg(F.count(F.lit(1))).scalar()
     offers = (
         partsupp.select("ps_partkey", "ps_suppkey")
-        .where(F.col("ps_suppkey").isNotNull())
         .join(excluded, F.col("ps_suppkey") == F.col("s_suppkey"), "left_anti")
+        .where((null_keys == 0) & (F.col("ps_suppkey").isNotNull() | (all_keys == 0)))
     )
     return (
         offers.join(parts, F.col("ps_partkey") == F.col("p_partkey"))
@@ -377,17 +378,13 @@ def large_orders(
         .agg(F.sum("l_quantity").alias("qty"))
         .where(F.col("qty") > F.lit(p.min_quantity))
     )
-    # Large orders are few: after a counted size check they are broadcast and
-    # ``orders`` / ``customer`` are streamed instead of shuffled. Each large
-    # order matches at most one order row, so the joined side keeps the bound.
-    big, small = land_and_measure(per_order)
-    with_orders = (F.broadcast(big) if small else big).join(
+    # Large orders are few; AQE broadcasts them if their measured size allows.
+    with_orders = per_order.join(
         orders.select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice"),
         F.col("l_orderkey") == F.col("o_orderkey"),
     )
     return (
-        (F.broadcast(with_orders) if small else with_orders)
-        .join(customer.select("c_custkey", "c_name"), F.col("o_custkey") == F.col("c_custkey"))
+        with_orders.join(customer.select("c_custkey", "c_name"), F.col("o_custkey") == F.col("c_custkey"))
         .select(
             "c_name",
             "c_custkey",

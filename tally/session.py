@@ -73,7 +73,6 @@ def land(df: DataFrame) -> DataFrame:
 MB = 1 << 20
 SPLIT_BYTES = 256 * MB            # Parquet bytes per scan task
 SHUFFLE_TARGET_BYTES = 256 * MB   # shuffled bytes per reduce task before AQE coalescing
-MAX_SHUFFLE_PARTITIONS = 32_768   # beyond this, map x reduce block metadata dominates
 
 
 def input_bytes(spark: SparkSession, paths) -> int:
@@ -87,14 +86,16 @@ def input_bytes(spark: SparkSession, paths) -> int:
     return int(total)
 
 
-def partition_conf(data_bytes: int, cores: int) -> dict:
+def partition_conf(data_bytes: int, cores: int, max_shuffle_partitions: int | None = None) -> dict:
     """Scan and shuffle partition settings for a job over ``data_bytes`` on ``cores`` task slots.
 
     Scan splits stay at ``SPLIT_BYTES`` so a task's decoded batch fits in one
     core's share of executor memory. The shuffle starts with about one
     partition per ``SHUFFLE_TARGET_BYTES`` of input (an upper bound on what
     is shuffled: filters, pruning and partial aggregation only shrink it),
-    at least two per core and at most ``MAX_SHUFFLE_PARTITIONS``; AQE then
+    at least two per core, so a reduce task's share does not grow with the
+    input. ``max_shuffle_partitions`` is the caller's bound on it, for a
+    driver that cannot track map x reduce blocks; none unless given. AQE then
     coalesces to ``advisoryPartitionSizeInBytes`` from measured sizes and
     splits skewed join partitions. The smallest coalesced partition is
     1/256 of the input per core, between 64 KiB and Spark's 1 MiB default:
@@ -102,7 +103,9 @@ def partition_conf(data_bytes: int, cores: int) -> dict:
     totals) then still spread over the cores, while large inputs keep the
     default.
     """
-    shuffle = min(MAX_SHUFFLE_PARTITIONS, max(2 * cores, -(-data_bytes // SHUFFLE_TARGET_BYTES)))
+    shuffle = max(2 * cores, -(-data_bytes // SHUFFLE_TARGET_BYTES))
+    if max_shuffle_partitions:
+        shuffle = min(max_shuffle_partitions, shuffle)
     min_partition = min(MB, max(64 * 1024, data_bytes // (cores * 256)))
     return {
         "spark.sql.adaptive.coalescePartitions.minPartitionSize": str(min_partition),
@@ -113,10 +116,11 @@ def partition_conf(data_bytes: int, cores: int) -> dict:
     }
 
 
-def size_partitions(spark: SparkSession, paths, cores: int | None = None) -> dict:
+def size_partitions(spark: SparkSession, paths, cores: int | None = None,
+                    max_shuffle_partitions: int | None = None) -> dict:
     """Apply ``partition_conf`` for the inputs under ``paths`` to the running session."""
     cores = cores or spark.sparkContext.defaultParallelism
-    conf = partition_conf(input_bytes(spark, paths), cores)
+    conf = partition_conf(input_bytes(spark, paths), cores, max_shuffle_partitions)
     for key, value in conf.items():
         spark.conf.set(key, value)
     return conf

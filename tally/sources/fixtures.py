@@ -1,11 +1,11 @@
-"""Adapters from the driver's TPC-H-ish tables to full TPC-H columns.
+"""TPC-H tables as frames, and adapters for the test tables.
 
-The driver tables lack ``partsupp`` and several columns the queries read
+``tpch_frames`` opens a real data set: every declared column must be there.
+The test tables lack ``partsupp`` and several columns the queries read
 (commit/receipt dates, ship mode, supplier comments, ship priority, customer
-address/phone/comment). Each adapter adds a *deterministic synthetic* column
-only when the column is missing, so a real dbgen data set passes through
-untouched. Money columns are cast to DECIMAL(15,2) as the DDL declares, so
-sums are exact.
+address/phone/comment); ``fixture_frames``, which only the registry and the
+tests call, adds *deterministic synthetic* columns where they are missing.
+Money columns are cast to DECIMAL(15,2) as the DDL declares, so sums are exact.
 
 The same rules are written as SQL in ``tally.plans.oracle`` for DuckDB.
 """
@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tally.sources.tables import MONEY, read_table
+from tally.sources.tables import MONEY, TPCH_TABLES, read_table, schema
 
 # Ship mode by l_linenumber 1..7.
 SHIPMODES = ["REG AIR", "AIR", "RAIL", "SHIP", "TRUCK", "MAIL", "FOB"]
@@ -111,18 +111,24 @@ def _partsupp(spark: SparkSession, root: str) -> DataFrame:
         return derive_partsupp(read_table(spark, root, "lineitem"))
 
 
-def tpch_frames(spark: SparkSession, root: str, tables=None) -> dict[str, DataFrame]:
-    """TPC-H tables under ``root`` with adapters applied (lazy).
+def tpch_frames(spark: SparkSession, root: str, tables=TPCH_TABLES) -> dict[str, DataFrame]:
+    """TPC-H tables under ``root`` (lazy); a missing table or declared column raises.
 
-    ``tables`` names the tables to open (default: all eight). Each open costs
-    a file listing and a footer read on the driver, so callers pass only the
-    tables their query scans.
+    Each open costs a file listing and a footer read on the driver, so callers
+    name only the tables their query scans.
     """
-    names = tuple(tables) if tables is not None else (*_ADAPTERS, "partsupp")
     frames = {}
-    for name in names:
-        if name == "partsupp":
-            frames[name] = _partsupp(spark, root)
-        else:
-            frames[name] = _ADAPTERS[name](read_table(spark, root, name))
+    for name in tables:
+        df = read_table(spark, root, name)
+        missing = [c for c in schema(name).fieldNames() if c not in df.columns]
+        if missing:
+            raise ValueError(f"table {name} under {root} lacks {', '.join(missing)}")
+        frames[name] = _money(df, name)
     return frames
+
+
+def fixture_frames(spark: SparkSession, root: str, tables=None) -> dict[str, DataFrame]:
+    """The test tables under ``root`` with synthetic columns where they lack declared ones (lazy)."""
+    names = tuple(tables) if tables is not None else (*_ADAPTERS, "partsupp")
+    return {name: _partsupp(spark, root) if name == "partsupp" else _ADAPTERS[name](read_table(spark, root, name))
+            for name in names}

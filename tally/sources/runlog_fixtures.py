@@ -124,7 +124,7 @@ def event_history_pages(life: DataFrame) -> DataFrame:
 
 
 def run_document_pages(life: DataFrame) -> DataFrame:
-    """S7 shape: ``run.createdAt``, paged ``shape`` and ``taskEvents``; ``tasks`` holds tasks 0 and 1."""
+    """S7 shape: ``run.createdAt``, paged ``shape``, ``taskEvents`` and ``tasks``."""
     tasks = lifecycle_tasks(life)
     ext_id = F.concat(F.col("workflow_id"), F.lit("-"), F.col("task_no").cast("string"))
     page = F.floor(F.col("task_no") / PAGE_TASKS).cast("int")
@@ -141,7 +141,7 @@ def run_document_pages(life: DataFrame) -> DataFrame:
         iso_string("ts").alias("timestamp"),
         F.when(F.col("phase") == 1, F.concat(F.lit("worker-"), F.col("k").cast("string"))).alias("workerId"),
     ).alias("t"))
-    first_tasks = tasks.where(F.col("task_no") < 2).select("workflow_id", F.lit(0).alias("page"), F.struct(
+    details = tasks.select("workflow_id", page.alias("page"), F.struct(
         F.col("task_no").alias("seq"),
         ext_id.alias("taskExternalId"),
         iso_string("created_at").alias("taskInsertedAt"),
@@ -151,7 +151,7 @@ def run_document_pages(life: DataFrame) -> DataFrame:
     ).alias("b"))
     shape_p = shape.groupBy("workflow_id", "page").agg(F.sort_array(F.collect_list("s")).alias("shape"))
     events_p = task_events.groupBy("workflow_id", "page").agg(F.sort_array(F.collect_list("t")).alias("taskEvents"))
-    tasks_p = first_tasks.groupBy("workflow_id", "page").agg(F.sort_array(F.collect_list("b")).alias("tasks"))
+    tasks_p = details.groupBy("workflow_id", "page").agg(F.sort_array(F.collect_list("b")).alias("tasks"))
     starts = workflow_starts(life).select("workflow_id", F.struct(iso_string("start_at").alias("createdAt")).alias("run"))
     drop_seq = lambda c: F.transform(c, lambda x: x.dropFields("seq"))
     return (
@@ -254,8 +254,3 @@ def job_tables(life: DataFrame) -> tuple[DataFrame, DataFrame]:
     completions = children.where(wf.cast("long") % 10 != 0).select(
         "id", F.concat(F.lit("wk-"), F.col("k").cast("string")).alias("worker"))
     return jobs, completions
-
-
-def bulk_inputs(part: DataFrame) -> DataFrame:
-    """X1 inputs from ``part``: id = p_partkey, n = p_size."""
-    return part.select(F.col("p_partkey").cast("long").alias("id"), F.col("p_size").cast("int").alias("n"))

@@ -115,40 +115,12 @@ def table_path(root: str, name: str) -> str:
     return f"{root.rstrip('/')}/{name}.parquet"
 
 
-def source_signature(spark: SparkSession, path: str) -> tuple:
-    """(modification time, length) of ``path`` from file-system metadata; changes when it is rewritten."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    status = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(p)
-    return status.getModificationTime(), status.getLen()
-
-
-_OPENED: dict = {}
-
-
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     """Parquet scan of one table under ``root`` (schema from the file footer).
 
-    Opening a table lists its files and reads a footer on the driver. Like a
-    catalog table, the opened relation is kept per session and reused while
-    the path's modification time and length are unchanged, so queries over
-    the same table do not list and infer again. ``forget_tables`` drops the
-    cache (for stores whose folders carry no modification time).
+    The folder is listed anew each time, so files appended anywhere below it are read.
     """
-    path = table_path(root, name)
-    try:
-        signature = source_signature(spark, path)
-    except Exception:  # missing path: let the reader raise its usual error
-        return spark.read.parquet(path)
-    key = (spark.sparkContext.applicationId, id(spark), path, signature)
-    if key not in _OPENED:
-        _OPENED[key] = spark.read.parquet(path)
-    return _OPENED[key]
-
-
-def forget_tables() -> None:
-    """Drop every cached table relation; the next ``read_table`` lists and infers again."""
-    _OPENED.clear()
+    return spark.read.parquet(table_path(root, name))
 
 
 def configure_object_store(

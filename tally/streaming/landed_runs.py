@@ -9,8 +9,8 @@ available without re-reading the whole history.
 * Each micro-batch is written to ``<out>/batch_id=<n>`` with ``overwrite``:
   a batch replayed after a failure rewrites the same folder instead of
   appending duplicates.
-* Progress lives in a checkpoint under the session's shared
-  ``spark.checkpoint.dir`` unless a location is given.
+* Progress lives in the given checkpoint location, one per stream, so a
+  restarted application goes on where it stopped.
 """
 
 from __future__ import annotations
@@ -22,7 +22,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tally.operators import timing
-from tally.session import ensure_checkpoint_dir
 from tally.sources import runlogs
 
 
@@ -37,15 +36,13 @@ def stream_run_documents(
     spark: SparkSession,
     src_dir: str,
     out_dir: str,
+    checkpoint_location: str,
     operator: Callable[[DataFrame], DataFrame] = timing.pivot_task_events,
     schema=runlogs.RUN_DOCUMENT,
-    checkpoint_location: str | None = None,
     available_now: bool = True,
     max_files_per_trigger: int | None = None,
 ) -> StreamingQuery:
     """Start the stream; ``available_now`` processes what has landed and stops."""
-    if checkpoint_location is None:
-        checkpoint_location = f"{ensure_checkpoint_dir(spark).rstrip('/')}/landed_runs"
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))

@@ -1,15 +1,16 @@
-from tally.session import MAX_SHUFFLE_PARTITIONS, partition_conf, size_partitions
+from tally.session import partition_conf, size_partitions
 
 from tests.conftest import SF_SMALL
 
 
-def test_partition_conf_scales_with_input_and_is_bounded():
+def test_partition_conf_scales_with_input():
     small = partition_conf(10 << 20, 8)
     assert small["spark.sql.shuffle.partitions"] == "16"            # at least two per core
     mid = partition_conf(1 << 40, 2000)
     assert mid["spark.sql.shuffle.partitions"] == "4096"            # 1 TiB / 256 MiB
     huge = partition_conf(100 << 40, 8000)
-    assert int(huge["spark.sql.shuffle.partitions"]) == MAX_SHUFFLE_PARTITIONS
+    assert int(huge["spark.sql.shuffle.partitions"]) == 400 * 1024    # no bound unless the caller gives one
+    assert partition_conf(100 << 40, 8000, max_shuffle_partitions=30_000)["spark.sql.shuffle.partitions"] == "30000"
     assert huge["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] == huge["spark.sql.shuffle.partitions"]
     assert small["spark.sql.adaptive.coalescePartitions.minPartitionSize"] == str(64 * 1024)
     assert huge["spark.sql.adaptive.coalescePartitions.minPartitionSize"] == str(1 << 20)

@@ -2,6 +2,7 @@
 
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from tally.operators import documents, timing
@@ -161,19 +162,23 @@ def test_streaming_landed_run_documents(spark, tmp_path):
     assert sorted((r.workflow_id, r.task) for r in got) == [("r1", "task_0"), ("r2", "task_0")]
 
 
-def test_read_table_reuses_relation_until_the_table_changes(spark, tmp_path):
-    import time as _time
-
+def test_read_table_sees_files_appended_below_a_partition(spark, tmp_path):
     root = str(tmp_path)
-    spark.range(3).write.parquet(f"{root}/t.parquet")
-    first = tables.read_table(spark, root, "t")
-    assert tables.read_table(spark, root, "t") is first and first.count() == 3
-    _time.sleep(0.05)
-    spark.range(5).write.mode("overwrite").parquet(f"{root}/t.parquet")
-    again = tables.read_table(spark, root, "t")
-    assert again is not first and again.count() == 5
-    tables.forget_tables()
-    assert tables.read_table(spark, root, "t") is not again
+    spark.range(3).selectExpr("id", "1 as d").write.partitionBy("d").parquet(f"{root}/t.parquet")
+    assert tables.read_table(spark, root, "t").count() == 3
+    spark.range(4).write.mode("append").parquet(f"{root}/t.parquet/d=1")
+    assert tables.read_table(spark, root, "t").count() == 7
+
+
+def test_a_missing_column_raises(spark, tmp_path):
+    from tally.sources.fixtures import tpch_frames
+
+    spark.createDataFrame([(1, "EUROPE")], "r_regionkey int, r_name string").write.parquet(f"{tmp_path}/region.parquet")
+    with pytest.raises(ValueError, match="r_comment"):
+        tpch_frames(spark, str(tmp_path), ("region",))
+    full = tmp_path / "full"
+    spark.createDataFrame([(1, "EUROPE", "c")], tables.schema("region")).write.parquet(f"{full}/region.parquet")
+    assert tpch_frames(spark, str(full), ("region",))["region"].count() == 1
 
 
 def test_text_sink_splits_a_hot_workflow_and_keeps_line_order(spark, tmp_path):

@@ -7,13 +7,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from tally.plans import tpch
-from tally.sources.fixtures import tpch_frames
+from tally.sources.fixtures import fixture_frames
 from tests.conftest import SF_ORACLE, SF_SMALL
 
 
 @pytest.fixture(scope="module")
 def frames(spark):
-    return tpch_frames(spark, SF_ORACLE)
+    return fixture_frames(spark, SF_ORACLE)
 
 
 def run(key, frames, **overrides):
@@ -88,7 +88,7 @@ def test_q9_large_orders(frames):
 @pytest.mark.parametrize("key", sorted(tpch.QUERIES))
 def test_reference_defaults_build_and_run(spark, key):
     # The reference literals (1993-1995 windows) select little or nothing here, but must run.
-    df = tpch.run_query(key, tpch_frames(spark, SF_SMALL))
+    df = tpch.run_query(key, fixture_frames(spark, SF_SMALL))
     assert df.count() >= 0
 
 
