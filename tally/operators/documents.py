@@ -1,76 +1,107 @@
 """Result documents: parallel arrays per workflow (T14, K4) and keyed upsert (K5).
 
-A benchmark document holds, per workflow, arrays of created / started /
-completed seconds (3 decimals) and optionally the normalised worker of each
-task. Arrays are packed in **chunks** of at most ``CHUNK`` tasks - one row per
-``(workflow, chunk)`` - so no row or task ever holds an unbounded workflow;
-concatenating the chunks in order gives the full arrays.
+The long ``task_timing`` table is the primary result. ``benchmark_arrays`` and
+``printed_arrays`` pack it in pieces of at most ``piece`` tasks - one row per
+``(workflow, chunk)`` - so no row holds an unbounded workflow; concatenating
+the pieces in order gives the full arrays and the full printed text.
+``benchmark_document`` makes the result document itself, one value per use
+case, which is as long as the workflow.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tally.functions.timefn import micros, micros_between, round_ms
-from tally.operators.sequence import DAY_US, ordinal
+from tally.functions.timefn import micros_between, round_ms
+from tally.operators.sequence import ordinal
 from tally.operators.timing import WF, _task_order
 
-CHUNK = 1024
+PIECE = 1024                 # tasks per packed row unless the caller says otherwise
 DOCUMENT_VERSION = "2.34.0"  # fixed value: version field of a new document
+ARRAYS = ["created_at", "started_at", "completed_at"]
 
 
-def _packed(df: DataFrame, group: list[str], value_cols: list[str]) -> DataFrame:
-    """Sorted ``collect_list`` per (group, chunk) of the named columns, ordered by ``pos``."""
+def _packed(df: DataFrame, group: list[str], value_cols: list[str], piece: int) -> DataFrame:
+    """Sorted ``collect_list`` per (group, chunk) of the named columns, ordered by ``pos``; ``last`` marks the last chunk."""
     items = F.sort_array(F.collect_list(F.struct("pos", *value_cols)))
-    packed = df.withColumn("chunk", F.floor(F.col("pos") / CHUNK).cast("long")).groupBy(*group, "chunk").agg(
+    packed = df.withColumn("chunk", F.floor(F.col("pos") / piece).cast("long")).groupBy(*group, "chunk").agg(
         items.alias("_items"))
-    return packed.select(*group, "chunk", *[F.transform("_items", _field(c)).alias(c) for c in value_cols])
+    ends = df.groupBy(*group).agg(F.floor(F.max("pos") / piece).cast("long").alias("_end"))
+    return packed.join(ends, group).select(
+        *group, "chunk", (F.col("chunk") == F.col("_end")).alias("last"),
+        *[F.transform("_items", _field(c)).alias(c) for c in value_cols])
 
 
 def _field(name: str):
     return lambda x: x[name]
 
 
-def benchmark_arrays(tt: DataFrame, worker_index_col: str | None = "worker_index", clamp: bool = False) -> DataFrame:
+def benchmark_arrays(tt: DataFrame, worker_index_col: str | None = "worker_index", clamp: bool = False,
+                     piece: int = PIECE) -> DataFrame:
     """Per (workflow, chunk) arrays ``created_at``, ``started_at``, ``completed_at``
     (seconds from zero, 3 decimals) and ``worker_execution`` when an index column is given.
     Also ``workers`` = distinct workers of the workflow.
     """
     rel = lambda c: round_ms(micros_between("zero_at", c))
-    df = _task_order(tt).withColumns({f"_{c}": rel(c) for c in ("created_at", "started_at", "completed_at")})
+    df = _task_order(tt).withColumns({f"_{c}": rel(c) for c in ARRAYS})
     if clamp:
-        df = df.withColumns({f"_{c}": F.greatest(F.lit(0.0), F.col(f"_{c}"))
-                             for c in ("created_at", "started_at", "completed_at")})
-    df = df.select(WF, "pos", "worker", *(f"_{c}" for c in ("created_at", "started_at", "completed_at")),
+        df = df.withColumns({f"_{c}": F.greatest(F.lit(0.0), F.col(f"_{c}")) for c in ARRAYS})
+    df = df.select(WF, "pos", "worker", *(f"_{c}" for c in ARRAYS),
                    *([F.col(worker_index_col).alias("_worker_execution")] if worker_index_col else []))
-    values = ["_created_at", "_started_at", "_completed_at"] + (["_worker_execution"] if worker_index_col else [])
-    packed = _packed(df, [WF], values)
+    values = [f"_{c}" for c in ARRAYS] + (["_worker_execution"] if worker_index_col else [])
+    packed = _packed(df, [WF], values, piece)
     workers = df.groupBy(WF).agg(F.count_distinct("worker").cast("int").alias("workers"))
-    out = packed.join(workers, WF)
-    return out.select(WF, "chunk", "workers", *[F.col(v).alias(v[1:]) for v in values])
+    return packed.join(workers, WF).select(WF, "chunk", "last", "workers", *[F.col(v).alias(v[1:]) for v in values])
 
 
-def benchmark_document(arrays: DataFrame, usecase: str, language: str, title: str, description: str,
-                       configured_workers: int | None = None) -> DataFrame:
-    """Document rows keyed by ``usecase``.
+def benchmark_document(arrays: DataFrame, language: str, title: str, description: str,
+                       usecase: Column | None = None, configured_workers: int | None = None) -> DataFrame:
+    """One row per use case (each workflow's own id unless ``usecase`` says otherwise).
 
-    ``worker_execution`` is kept only when more than one worker is configured
-    (or, if not configured, observed).
+    ``version, usecase, title, description, language, workers`` and the whole
+    arrays. ``worker_execution`` is kept only when more than one worker is
+    configured (or, if not configured, observed).
     """
-    workers = F.lit(configured_workers) if configured_workers is not None else F.col("workers")
-    doc = arrays.withColumn("workers", workers.cast("int"))
-    if "worker_execution" in doc.columns:
-        doc = doc.withColumn("worker_execution",
-                             F.when(F.col("workers") > 1, F.col("worker_execution")))
-    return doc.select(
-        F.lit(DOCUMENT_VERSION).alias("version"),
-        F.lit(usecase).alias("usecase"),
-        F.lit(title).alias("title"),
-        F.lit(description).alias("description"),
-        F.lit(language).alias("language"),
-        *doc.columns,
-    )
+    values = [c for c in (*ARRAYS, "worker_execution") if c in arrays.columns]
+    pieces = F.sort_array(F.collect_list(F.struct("chunk", *values)))
+    whole = arrays.groupBy(WF).agg(F.first("workers").alias("workers"), pieces.alias("_p")).select(
+        WF, "workers", *[F.flatten(F.transform("_p", _field(c))).alias(c) for c in values])
+    if configured_workers is not None:
+        whole = whole.withColumn("workers", F.lit(configured_workers))
+    if "worker_execution" in values:
+        whole = whole.withColumn("worker_execution", F.when(F.col("workers") > 1, F.col("worker_execution")))
+    return whole.select(
+        F.lit(DOCUMENT_VERSION).alias("version"), (F.col(WF) if usecase is None else usecase).alias("usecase"),
+        F.lit(title).alias("title"), F.lit(description).alias("description"), F.lit(language).alias("language"),
+        "workers", *values)
+
+
+def _json_text(value) -> Column:
+    """A string as JSON text, quoted and escaped."""
+    return F.regexp_extract(F.to_json(F.array(value)), r"^\[(.*)\]$", 1)
+
+
+def document_entries(doc: DataFrame) -> DataFrame:
+    """Rows ``version, usecase, fields``: the document's ``usecases`` map, one entry a row.
+
+    ``fields`` maps ``title`` and ``description`` to their text and the
+    language to the JSON text of its arrays.
+    """
+    body = F.to_json(F.struct("workers", *[c for c in (*ARRAYS, "worker_execution") if c in doc.columns]))
+    fields = F.map_from_arrays(F.array(F.lit("title"), F.lit("description"), "language"), F.array("title", "description", body))
+    return doc.select("version", "usecase", fields.alias("fields"))
+
+
+def document_lines(entries: DataFrame) -> DataFrame:
+    """``usecase, value``: each entry as a document ``{version, usecases: {<usecase>: {...}}}`` of its own."""
+    plain = lambda k: k.isin("title", "description")
+    one_line = lambda v: F.regexp_replace(v, r"\s*\n\s*", " ")  # noqa: E731 - line ends in JSON text stand between values only
+    pairs = F.transform(F.map_entries("fields"), lambda e: F.concat(
+        _json_text(e["key"]), F.lit(": "), F.when(plain(e["key"]), _json_text(e["value"])).otherwise(one_line(e["value"]))))
+    return entries.select("usecase", F.concat(
+        F.lit('{"version": '), _json_text("version"), F.lit(', "usecases": {'), _json_text("usecase"), F.lit(": {"),
+        F.array_join(pairs, ", "), F.lit("}}}")).alias("value"))
 
 
 def upsert_by_key(existing: DataFrame, new: DataFrame, key: str | list[str] = "usecase") -> DataFrame:
@@ -83,49 +114,40 @@ def upsert_by_key(existing: DataFrame, new: DataFrame, key: str | list[str] = "u
     return kept.unionByName(new, allowMissingColumns=True)
 
 
-def printed_array(values_col: str, fmt: str = "%.3f") -> F.Column:
-    """K9: ``[v1, v2, ...]`` with fixed decimals, from an array column."""
+def printed_array(values_col: str, fmt: str = "%.3f", first: Column | bool = True, last: Column | bool = True) -> Column:
+    """K9: ``[v1, v2, ...]`` with fixed decimals, from an array column.
+
+    Brackets stand only where ``first`` / ``last`` hold; a piece that isn't
+    the last ends in a comma, so the pieces' texts join to the whole one.
+    """
     return F.concat(
-        F.lit("["),
+        F.when(F.lit(first), "[").otherwise(""),
         F.array_join(F.transform(values_col, lambda x: F.format_string(fmt, x)), ", "),
-        F.lit("]"),
+        F.when(F.lit(last), "]").otherwise(", "),
     )
 
 
-def printed_arrays(df: DataFrame, group: list[str], value_cols: list[str]) -> DataFrame:
-    """K9 over long rows (``pos`` + values): one printed array per value column and chunk."""
-    packed = _packed(df, group, value_cols)
-    return packed.select(*group, "chunk", *[printed_array(c).alias(c) for c in value_cols])
+def printed_arrays(df: DataFrame, group: list[str], value_cols: list[str], piece: int = PIECE) -> DataFrame:
+    """K9 over long rows (``pos`` + values): the printed array of each value column, in pieces."""
+    packed = _packed(df, group, value_cols, piece)
+    first, last = F.col("chunk") == 0, F.col("last")
+    return packed.select(*group, "chunk", *[printed_array(c, first=first, last=last).alias(c) for c in value_cols])
 
 
-def worker_activities(tt: DataFrame, chunk: int = CHUNK) -> DataFrame:
-    """Per (workflow, worker) the tasks that worker ran, in start order.
+def worker_activities(starts: DataFrame, chunk: int = PIECE) -> DataFrame:
+    """Per (workflow, worker) the tasks that the worker started, in event order (``timing.worker_starts``).
 
     One row per ``(workflow, worker, chunk)`` with ``activities`` (at most
-    ``chunk`` task labels, ordered by ``(started_at, task)``) and ``tasks``,
-    the worker's total; concatenating the chunks in order gives the full
-    list. Positions come from the block ordinal, so a worker that ran a third
-    of all tasks is still numbered by many tasks. A NULL worker is its own
-    group (grouped on ``(is null, coalesce)`` so the keys are never NULL).
+    ``chunk`` task labels) and ``tasks``, the worker's total; concatenating
+    the chunks in order gives the full list.
     """
-    group = [WF, "_wnull", "_wkey"]
-    keyed = tt.select(
-        WF, "task",
-        F.col("worker").isNull().alias("_wnull"),
-        F.coalesce(F.col("worker"), F.lit("")).alias("_wkey"),
-        micros("started_at").alias("_start_us"),
-    )
-    ranked = ordinal(keyed, group, "_start_us", DAY_US, out="pos", tie_cols=("task",))
+    group = [WF, "worker"]
+    ranked = ordinal(starts.select(*group, "task", "seq"), group, "seq", out="pos", tie_cols=("task",))
     lists = (
         ranked.withColumn("chunk", F.floor(F.col("pos") / chunk).cast("long"))
         .groupBy(*group, "chunk")
         .agg(F.sort_array(F.collect_list(F.struct("pos", "task"))).alias("_items"))
     )
-    totals = keyed.groupBy(*group).agg(F.count(F.lit(1)).alias("tasks"))
+    totals = ranked.groupBy(*group).agg(F.count(F.lit(1)).alias("tasks"))
     return lists.join(totals, group).select(
-        WF,
-        F.when(~F.col("_wnull"), F.col("_wkey")).alias("worker"),
-        "chunk",
-        F.col("tasks").cast("long").alias("tasks"),
-        F.transform("_items", _field("task")).alias("activities"),
-    )
+        *group, "chunk", F.col("tasks").cast("long").alias("tasks"), F.transform("_items", _field("task")).alias("activities"))

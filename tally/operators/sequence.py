@@ -1,26 +1,16 @@
 """Order-dependent primitives that stay parallel inside a hot group.
 
 A plain ``Window.partitionBy(workflow)`` sends every row of a workflow to
-one task. If one workflow holds a third of all rows, that task does a third
-of the work. These helpers split each group into blocks of the numeric
-order key, number rows inside ``(group, block)`` and add the running count
-of earlier blocks, so:
+one task. Here rows are range-partitioned by ``(group, order, ties)``, so a
+group is cut by the data wherever its rows are many - whatever the unit or
+the spread of the order key - and numbered inside its partition; only one
+summary row per (group, partition) is windowed.
 
-* ``ordinal`` - dense 0-based position in the group (replaces
-  ``row_number``). Windows run per ``(group, block)``; only the small
-  per-block count table is windowed per group.
+* ``ordinal`` - dense 0-based position in the group (replaces ``row_number``).
 * ``ordinal(..., previous=, following=)`` - also the values of the row
-  before / after (replaces ``lag`` / ``lead``), from the same block window;
-  a block's edge rows read the neighbouring block's last / first row from
-  the small per-block table.
-* ``with_previous`` / ``with_next`` - the same for a frame that already has
-  a dense position, through an equi-join on ``(group, pos)``; the join key
-  is near-unique, so it never skews, but both sides are shuffled.
-
-``block_width`` is in units of the order key. Wider blocks cost less for
-small groups (one block = one plain window); narrower blocks split a hot
-group into more tasks. Defaults used here: 4096 for task numbers, one day of
-microseconds for timestamps.
+  before / after (replaces ``lag`` / ``lead``): from the same partition, or,
+  for the rows at its edges, from the neighbouring partition's summary.
+* ``dense_index`` - dense rank of the distinct values of a column.
 """
 
 from __future__ import annotations
@@ -28,104 +18,66 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-HOUR_US = 3_600_000_000
-DAY_US = 24 * HOUR_US
+from tally.session import land
 
 
 def ordinal(
     df: DataFrame,
     group_cols: list[str],
-    order_col: str,
-    block_width: int,
+    order_cols,
     out: str = "pos",
     tie_cols: tuple = (),
     previous: tuple = (),
     following: tuple = (),
     prev_prefix: str = "prev_",
     next_prefix: str = "next_",
-    block_cols: tuple = (),
+    num_partitions: int | None = None,
 ) -> DataFrame:
-    """Add ``out``: 0-based dense position of each row in its group by ``(order_col, *tie_cols)``.
-
-    ``previous`` / ``following`` name columns whose values from the row before
-    / after (in the same order) are added as ``prev_prefix + c`` /
-    ``next_prefix + c`` (NULL at the group's ends), like ``lag`` / ``lead``
-    over the whole group. They are taken inside the same ``(group, block)``
-    window; only a block's first or last row reads its neighbour from the
-    per-block summary, so they cost no extra shuffle of the rows.
+    """Add ``out``: 0-based dense position of each row in its group by ``(order_cols, *tie_cols)``.
 
-    ``order_col`` must be numeric and non-null; ties must be broken by
-    ``tie_cols`` for a deterministic result.
+    ``order_cols`` is one column (name or expression) or several; ties must
+    be broken by ``tie_cols`` for a deterministic result. ``previous`` /
+    ``following`` name columns whose values from the row before / after are
+    added as ``prev_prefix + c`` / ``next_prefix + c`` (NULL at the group's ends).
 
-    ``block_cols`` replaces the numeric blocks by given columns whose order
-    is consistent with ``order_col`` (e.g. the input split a row came from);
-    ``block_width`` is then unused.
+    Runs one job when called: the range-partitioned rows are landed with a
+    reliable checkpoint, so that numbering and counts see the same cuts and
+    the input is evaluated for them once. ``num_partitions`` defaults to the
+    session's shuffle partitions, coalesced by AQE.
     """
-    loc = "_local"
+    order = [order_cols] if isinstance(order_cols, (str, F.Column)) else list(order_cols)
     previous, following = tuple(previous), tuple(following)
-    if block_cols:
-        blocks = list(block_cols)
-        keyed = df
-    else:
-        blocks = ["_blk"]
-        keyed = df.withColumn("_blk", F.floor(F.col(order_col) / F.lit(block_width)).cast("long"))
-    w = Window.partitionBy(*group_cols, *blocks).orderBy(order_col, *tie_cols)
-    local = keyed.withColumns({
-        loc: F.row_number().over(w) - 1,
-        **{f"_lag_{c}": F.lag(c).over(w) for c in previous},
-        **{f"_lead_{c}": F.lead(c).over(w) for c in following},
-    })
-    # Per-block summary, from ``local``: it is already partitioned by
-    # (group, block), so the aggregate needs no second shuffle of the rows.
-    summary = [F.count(F.lit(1)).alias("_n")]
-    if previous:
-        summary.append(F.max_by(F.struct(*previous), loc).alias("_last"))
-    if following:
-        summary.append(F.min_by(F.struct(*following), loc).alias("_first"))
-    counts = local.groupBy(*group_cols, *blocks).agg(*summary)
-    # Without group columns this window holds one row per block: bounded by
-    # the number of blocks (e.g. input splits), not by the rows.
-    by_block = Window.partitionBy(*group_cols).orderBy(*blocks) if group_cols else Window.orderBy(*blocks)
-    earlier = by_block.rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(
-        *group_cols, *blocks, "_n",
-        F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_off"),
-        *([F.lag("_last").over(by_block).alias("_prev_blk")] if previous else []),
-        *([F.lead("_first").over(by_block).alias("_next_blk")] if following else []),
-    )
-    first = F.col(loc) == 0
-    last = F.col(loc) == F.col("_n") - 1
-    return (
-        local.join(offsets, [*group_cols, *blocks])
-        .withColumns({
-            out: (F.col("_off") + F.col(loc)).cast("long"),
-            **{prev_prefix + c: F.when(first, F.col("_prev_blk")[c]).otherwise(F.col(f"_lag_{c}"))
-               for c in previous},
-            **{next_prefix + c: F.when(last, F.col("_next_blk")[c]).otherwise(F.col(f"_lead_{c}"))
-               for c in following},
-        })
-        .drop(*([] if block_cols else ["_blk"]), loc, "_off", "_n", *(["_prev_blk"] if previous else []), *(["_next_blk"] if following else []),
-              *[f"_lag_{c}" for c in previous], *[f"_lead_{c}" for c in following])
-    )
-
-
-def _shifted(df: DataFrame, group_cols: list[str], pos_col: str, cols: list[str], prefix: str, step: int) -> DataFrame:
-    other = df.select(
-        *group_cols,
-        (F.col(pos_col) + F.lit(step)).alias(pos_col),
-        *[F.col(c).alias(prefix + c) for c in cols],
-    )
-    return df.join(other, [*group_cols, pos_col], "left")
-
-
-def with_previous(df: DataFrame, group_cols: list[str], pos_col: str, cols: list[str], prefix: str = "prev_") -> DataFrame:
-    """``lag``: columns ``prefix + c`` from the row at ``pos - 1`` (NULL for the first)."""
-    return _shifted(df, group_cols, pos_col, cols, prefix, 1)
-
-
-def with_next(df: DataFrame, group_cols: list[str], pos_col: str, cols: list[str], prefix: str = "next_") -> DataFrame:
-    """``lead``: columns ``prefix + c`` from the row at ``pos + 1`` (NULL for the last)."""
-    return _shifted(df, group_cols, pos_col, cols, prefix, -1)
+    keys = [F.col(c) if isinstance(c, str) else c for c in (*group_cols, *order, *tie_cols)]
+    dealt = df.repartitionByRange(num_partitions, *keys) if num_partitions else df.repartitionByRange(*keys)
+    cut = land(dealt.sortWithinPartitions(*keys).withColumns({
+        "_part": F.spark_partition_id(), "_row": F.monotonically_increasing_id()}))
+
+    run = [*group_cols, "_part"]
+    summary = cut.groupBy(*run).agg(
+        F.min("_row").alias("_first_row"), F.count(F.lit(1)).alias("_n"),
+        *([F.max_by(F.struct(*previous), "_row").alias("_last")] if previous else []),
+        *([F.min_by(F.struct(*following), "_row").alias("_first")] if following else []))
+    # One row per partition that a group touches (per partition, without groups).
+    by_part = Window.partitionBy(*group_cols).orderBy("_part") if group_cols else Window.orderBy("_part")
+    earlier = by_part.rowsBetween(Window.unboundedPreceding, -1)
+    offsets = summary.select(
+        *run, "_first_row", "_n", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_off"),
+        *([F.lag("_last").over(by_part).alias("_prev_part")] if previous else []),
+        *([F.lead("_first").over(by_part).alias("_next_part")] if following else []))
+
+    inside = Window.partitionBy(*run).orderBy("_row")
+    rows = cut.withColumns({**{f"_lag_{c}": F.lag(c).over(inside) for c in previous},
+                            **{f"_lead_{c}": F.lead(c).over(inside) for c in following}})
+    at = F.col("_row") - F.col("_first_row")
+    first, last = at == 0, at == F.col("_n") - 1
+    added = {
+        out: (F.col("_off") + at).cast("long"),
+        **{prev_prefix + c: F.when(first, F.col("_prev_part")[c]).otherwise(F.col(f"_lag_{c}")) for c in previous},
+        **{next_prefix + c: F.when(last, F.col("_next_part")[c]).otherwise(F.col(f"_lead_{c}")) for c in following},
+    }
+    return rows.join(offsets, run).withColumns(added).drop(
+        "_part", "_row", "_first_row", "_n", "_off", *(["_prev_part"] if previous else []),
+        *(["_next_part"] if following else []), *[f"_lag_{c}" for c in previous], *[f"_lead_{c}" for c in following])
 
 
 def dense_index(
@@ -137,11 +89,16 @@ def dense_index(
 ) -> DataFrame:
     """0-based dense rank of ``value_col`` within the group; NULL value -> -1.
 
-    Ranks are computed on the distinct ``(group, value)`` set (bounded by the
-    number of distinct workers), then joined back; AQE broadcasts that small
-    table when its measured size allows and otherwise splits skewed keys.
+    The distinct ``(group, value)`` pairs are ranked and joined back; AQE
+    broadcasts that table when its measured size allows and otherwise splits
+    skewed keys. Without groups the distinct values may be as many as the
+    rows: they are numbered by ``ordinal``, not by one global window.
+    ``order_exprs`` must tell any two values of a group apart.
     """
     distinct = df.select(*group_cols, value_col).where(F.col(value_col).isNotNull()).distinct()
-    w = Window.partitionBy(*group_cols).orderBy(*order_exprs) if group_cols else Window.orderBy(*order_exprs)
-    ranks = distinct.withColumn(out, (F.dense_rank().over(w) - 1).cast("int"))
+    if group_cols:
+        w = Window.partitionBy(*group_cols).orderBy(*order_exprs)
+        ranks = distinct.withColumn(out, (F.dense_rank().over(w) - 1).cast("int"))
+    else:
+        ranks = ordinal(distinct, [], order_exprs, out=out).withColumn(out, F.col(out).cast("int"))
     return df.join(ranks, [*group_cols, value_col], "left").withColumn(out, F.coalesce(F.col(out), F.lit(-1)))

@@ -22,16 +22,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tally.functions.timefn import (
-    activity_label, clamp_round_ms, label_number, micros, micros_between, normalize_event_type,
+    activity_label, clamp_round_ms, label_number, micros_between, normalize_event_type,
     parse_ts, percent, round_ms, seconds, strip_host, task_label,
 )
-from tally.operators.sequence import DAY_US, dense_index, ordinal
+from tally.operators.sequence import dense_index, ordinal
 from tally.session import land
 
 WF = "workflow_id"
 TASK_TIMING_COLUMNS = ["workflow_id", "task_no", "task", "created_at", "started_at", "completed_at",
                        "zero_at", "own_created_at", "worker"]
-TASK_BLOCK = 4096           # block width for task-number order keys
 SEQ_PAGE = 1_000_000_000    # event position = page * SEQ_PAGE + index in page
 NO_NUMBER = 1 << 62         # order key for labels without a number (sorted last)
 
@@ -64,11 +63,9 @@ def _task_order(df: DataFrame, out: str = "pos", previous=(), following=()) -> D
     if out in df.columns:
         if not previous and not following:
             return df
-        return ordinal(df, [WF], out, TASK_BLOCK, out="_given_pos", previous=previous,
-                       following=following).drop("_given_pos")
+        return ordinal(df, [WF], out, out="_given_pos", previous=previous, following=following).drop("_given_pos")
     keyed = df.withColumn("_tn", F.coalesce(F.col("task_no"), F.lit(NO_NUMBER)))
-    return ordinal(keyed, [WF], "_tn", TASK_BLOCK, out=out, tie_cols=("task",), previous=previous,
-                   following=following).drop("_tn")
+    return ordinal(keyed, [WF], "_tn", out=out, tie_cols=("task",), previous=previous, following=following).drop("_tn")
 
 
 def relative_us(df: DataFrame, cols=("created_at", "started_at", "completed_at")) -> DataFrame:
@@ -79,6 +76,22 @@ def relative_us(df: DataFrame, cols=("created_at", "started_at", "completed_at")
 # --- T1: event-history correlation -------------------------------------------
 
 
+def _history_events(pages: DataFrame) -> DataFrame:
+    """One row per event with a parsable time (P18), in event order by ``seq``."""
+    return _explode(pages, "history.events").select(
+        WF,
+        F.coalesce(F.col("_e.eventId").try_cast("long"), F.col("seq")).alias("seq"),
+        F.col("_e.eventId").alias("event_id"),
+        normalize_event_type("_e.eventType").alias("etype"),
+        parse_ts("_e.eventTime").alias("t"),
+        F.col("_e.activityTaskScheduledEventAttributes.activityId").alias("activity_id"),
+        F.col("_e.activityTaskStartedEventAttributes.scheduledEventId").alias("scheduled_ref"),
+        F.col("_e.activityTaskStartedEventAttributes.identity").alias("identity"),
+        F.col("_e.activityTaskCompletedEventAttributes.scheduledEventId").alias("completed_sched_ref"),
+        F.col("_e.activityTaskCompletedEventAttributes.startedEventId").alias("started_ref"),
+    ).where(F.col("t").isNotNull())
+
+
 def correlate_event_history(pages: DataFrame) -> DataFrame:
     """Scheduled / started / completed events -> one row per finished activity.
 
@@ -98,19 +111,7 @@ def correlate_event_history(pages: DataFrame) -> DataFrame:
     reliable checkpoint (``tally.session.land``) because three branches read
     them.
     """
-    ev = _explode(pages, "history.events")
-    ev = ev.select(
-        WF,
-        F.coalesce(F.col("_e.eventId").try_cast("long"), F.col("seq")).alias("seq"),
-        F.col("_e.eventId").alias("event_id"),
-        normalize_event_type("_e.eventType").alias("etype"),
-        parse_ts("_e.eventTime").alias("t"),
-        F.col("_e.activityTaskScheduledEventAttributes.activityId").alias("activity_id"),
-        F.col("_e.activityTaskStartedEventAttributes.scheduledEventId").alias("scheduled_ref"),
-        F.col("_e.activityTaskStartedEventAttributes.identity").alias("identity"),
-        F.col("_e.activityTaskCompletedEventAttributes.scheduledEventId").alias("completed_sched_ref"),
-        F.col("_e.activityTaskCompletedEventAttributes.startedEventId").alias("started_ref"),
-    ).where(F.col("t").isNotNull())
+    ev = _history_events(pages)
 
     # One grouped pass: every event is keyed by the scheduled event it belongs
     # to (its own id, the started event's scheduledEventId, the completed
@@ -133,7 +134,7 @@ def correlate_event_history(pages: DataFrame) -> DataFrame:
         )
     )
     # ``grouped`` feeds three branches (time zero, the activities, and the
-    # per-block counts of their ordinal); their pruned exchanges differ, so
+    # sampling for their ordinal); their pruned exchanges differ, so
     # without landing each branch would explode and shuffle the whole history
     # again. Landed once (reliable checkpoint), every branch reads it.
     grouped = land(grouped)
@@ -144,7 +145,7 @@ def correlate_event_history(pages: DataFrame) -> DataFrame:
         F.col("a.event_id").alias("started_event"), F.col("c.t").alias("completed_at"),
         F.col("c.started_ref").alias("completed_ref"),
     )
-    labelled = ordinal(scheduled, [WF], "sched_seq", TASK_BLOCK * 16, out="sched_no").withColumn(
+    labelled = ordinal(scheduled, [WF], "sched_seq", out="sched_no").withColumn(
         "task", activity_label("activity_id", "sched_no"))
     # Latest scheduled event per label wins, with only its own started/completed events.
     latest = (
@@ -178,29 +179,33 @@ def pivot_task_events(docs: DataFrame) -> DataFrame:
     is that of the last STARTED event naming one, else ``unknown``; tasks
     missing a phase are dropped; time zero is ``run.createdAt``.
     """
-    shape = (
-        _explode(docs, "shape")
-        .select(WF, "seq", F.col("_e.taskName").alias("task"), F.col("_e.taskExternalId").alias("task_id"))
-        .groupBy(WF, "task").agg(F.max_by("task_id", "seq").alias("task_id"))
-    )
-    ev = _explode(docs, "taskEvents").select(
-        WF, "seq",
-        F.col("_e.taskId").alias("task_id"),
-        F.col("_e.eventType").alias("etype"),
-        parse_ts("_e.timestamp").alias("t"),
-        F.col("_e.workerId").alias("worker"),
-    ).where(F.col("t").isNotNull())
-    of_type = lambda name: F.when(F.col("etype") == name, F.col("seq"))
-    phases = ev.groupBy(WF, "task_id").agg(
-        F.max_by("t", of_type("QUEUED")).alias("created_at"),
-        F.max_by("t", of_type("STARTED")).alias("started_at"),
-        F.max_by("t", of_type("FINISHED")).alias("completed_at"),
-        F.max_by("worker", F.when((F.col("etype") == "STARTED") & F.col("worker").isNotNull(), F.col("seq")))
-        .alias("worker"),
+    # One pass: names and events of a page are exploded together and meet in
+    # one aggregate per task id; a repeated name then keeps its last id.
+    nothing = F.lit(None).cast("string")
+    name = lambda x: F.struct(x["taskExternalId"].alias("task_id"), x["taskName"].alias("task"),
+                              nothing.alias("etype"), nothing.alias("t"), nothing.alias("worker"))
+    event = lambda x: F.struct(x["taskId"].alias("task_id"), nothing.alias("task"), x["eventType"].alias("etype"),
+                               x["timestamp"].alias("t"), x["workerId"].alias("worker"))
+    none = F.array().cast("array<struct<task_id string, task string, etype string, t string, worker string>>")
+    both = F.concat(F.coalesce(F.transform("shape", name), none), F.coalesce(F.transform("taskEvents", event), none))
+    rows = _explode(docs.select(WF, "page", both.alias("rows")), "rows").select(
+        WF, "seq", "_e.task_id", "_e.task", "_e.etype", parse_ts("_e.t").alias("t"), "_e.worker")
+    timed = lambda kind: F.when((F.col("etype") == kind) & F.col("t").isNotNull(), F.col("seq"))
+    per_id = rows.groupBy(WF, "task_id").agg(
+        F.collect_list(F.when(F.col("task").isNotNull(), F.struct("task", "seq"))).alias("names"),
+        F.max_by("t", timed("QUEUED")).alias("created_at"),
+        F.max_by("t", timed("STARTED")).alias("started_at"),
+        F.max_by("t", timed("FINISHED")).alias("completed_at"),
+        F.max_by("worker", F.when(F.col("worker").isNotNull(), timed("STARTED"))).alias("worker"),
+    ).where(F.col("task_id").isNotNull())
+    last = (
+        per_id.withColumn("_n", F.explode("names"))
+        .groupBy(WF, F.col("_n.task").alias("task"))
+        .agg(F.max_by(F.struct("created_at", "started_at", "completed_at", "worker"), "_n.seq").alias("p"))
+        .select(WF, "task", "p.*")
     )
     return (
-        shape.join(phases, [WF, "task_id"])
-        .where(F.col("created_at").isNotNull() & F.col("started_at").isNotNull() & F.col("completed_at").isNotNull())
+        last.where(F.col("created_at").isNotNull() & F.col("started_at").isNotNull() & F.col("completed_at").isNotNull())
         .join(_run_zero(docs), WF)
         .select(
             WF,
@@ -262,7 +267,7 @@ def history_phase_times(executions: DataFrame, task_types=("python", "script"))
         parse_ts(F.get(h, 1)["date"]).alias("started_at"),
         parse_ts(F.get(h, 2)["date"]).alias("success_at"),
     ).where(F.col("created_at").isNotNull() & F.col("started_at").isNotNull() & F.col("success_at").isNotNull())
-    runs = ordinal(runs, [WF], "seq", SEQ_PAGE, out="pos", previous=("success_at",))
+    runs = ordinal(runs, [WF], "seq", out="pos", previous=("success_at",))
     transition = F.coalesce(micros_between("prev_success_at", "created_at"), F.lit(0))
     assignment = micros_between("created_at", "started_at")
     execution = micros_between("started_at", "success_at")
@@ -290,6 +295,26 @@ def flatten_task_groups(dag_runs: DataFrame) -> DataFrame:
     )
 
 
+def phase_timing(phases: DataFrame) -> DataFrame:
+    """Phase rows (``workflow_id, pos, created_at, started_at, success_at``) -> ``task_timing``.
+
+    Time zero is the first row's creation; tasks are ``task_%02d`` by position.
+    """
+    zero = phases.groupBy(WF).agg(F.min_by("created_at", "pos").alias("zero_at"))
+    return phases.join(zero, WF).select(
+        WF, F.col("pos").alias("task_no"), "pos", task_label("pos").alias("task"), "created_at", "started_at",
+        F.col("success_at").alias("completed_at"), "zero_at", F.col("created_at").alias("own_created_at"),
+        F.lit(None).cast("string").alias("worker"))
+
+
+def task_group_phases(flat: DataFrame) -> DataFrame:
+    """``flatten_task_groups`` rows -> phase rows; tasks without all three times are left out."""
+    timed = flat.select(WF, "seq", F.col("id").alias("task_run_id"), parse_ts("queued_dttm").alias("created_at"),
+                        parse_ts("start_date").alias("started_at"), parse_ts("end_date").alias("success_at"))
+    whole = timed.dropna(subset=["created_at", "started_at", "success_at"])
+    return ordinal(whole, [WF], "seq", out="pos").select(WF, "pos", "task_run_id", "created_at", "started_at", "success_at")
+
+
 # --- T6 / T7: job hierarchies ------------------------------------------------
 
 
@@ -300,19 +325,23 @@ def job_hierarchy(jobs: DataFrame, completions: DataFrame, roots: DataFrame | No
     Single worker: the root's direct children. Multi worker: root ->
     sub-parent -> child, with the child's worker from ``completions`` (left
     joins); sub-parents without children are dropped (P17).
-    ``roots`` defaults to jobs without a parent.
+    ``roots`` (``root_id``) defaults to jobs without a parent. Rows carry
+    their root's start as ``root_started_at``.
     """
+    starts = jobs.select(F.col("id").alias("root_id"), F.col("started_at").alias("root_started_at"), "parent_job")
     if roots is None:
-        roots = jobs.where(F.col("parent_job").isNull()).select(F.col("id").alias("root_id"))
+        roots = starts.where(F.col("parent_job").isNull()).drop("parent_job")
+    else:
+        roots = starts.drop("parent_job").join(roots.select("root_id"), "root_id")
     children = jobs.select("id", "parent_job", "created_at", "started_at", "duration_ms")
     if not multi_worker:
         return (
             children.join(roots, F.col("parent_job") == F.col("root_id"))
-            .select("root_id", "id", "parent_job", "created_at", "started_at", "duration_ms",
+            .select("root_id", "root_started_at", "id", "parent_job", "created_at", "started_at", "duration_ms",
                     F.lit(None).cast("string").alias("worker"))
         )
     subs = jobs.join(roots, F.col("parent_job") == F.col("root_id")).select(
-        "root_id",
+        "root_id", "root_started_at",
         F.col("id").alias("sub_parent_id"),
         F.col("created_at").alias("sub_parent_created_at"),
         F.col("started_at").alias("sub_parent_started_at"),
@@ -321,12 +350,12 @@ def job_hierarchy(jobs: DataFrame, completions: DataFrame, roots: DataFrame | No
         subs.join(children, F.col("parent_job") == F.col("sub_parent_id"), "left")
         .join(completions.select("id", "worker"), "id", "left")
         .where(F.col("id").isNotNull())
-        .select("root_id", "sub_parent_id", "sub_parent_created_at", "sub_parent_started_at",
+        .select("root_id", "root_started_at", "sub_parent_id", "sub_parent_created_at", "sub_parent_started_at",
                 "id", "parent_job", "created_at", "started_at", "duration_ms", "worker")
     )
 
 
-def relative_job_times(hierarchy: DataFrame, jobs: DataFrame, multi_worker: bool = True) -> DataFrame:
+def relative_job_times(hierarchy: DataFrame, multi_worker: bool = True) -> DataFrame:
     """Hierarchy rows -> ``task_timing``.
 
     Zero is the root's ``started_at``; multi-worker rows take their
@@ -334,17 +363,12 @@ def relative_job_times(hierarchy: DataFrame, jobs: DataFrame, multi_worker: bool
     ``own_created_at``; completed = started + duration_ms. Tasks are numbered
     ``task_%02d`` in creation order (sub-parent creation first when multi-worker).
     """
-    zero = jobs.select(F.col("id").alias("root_id"), F.col("started_at").alias("zero_at"))
-    df = hierarchy.join(zero, "root_id")
+    df = hierarchy.withColumn("zero_at", F.col("root_started_at"))
     if multi_worker:
-        df = df.withColumn("_ord", micros("sub_parent_created_at"))
-        ties = ("sub_parent_id", "created_at", "id")
-        created = F.col("sub_parent_created_at")
+        order, created = ["sub_parent_created_at", "sub_parent_id", "created_at", "id"], F.col("sub_parent_created_at")
     else:
-        df = df.withColumn("_ord", micros("created_at"))
-        ties = ("id",)
-        created = F.col("created_at")
-    df = ordinal(df, ["root_id"], "_ord", DAY_US, out="task_no", tie_cols=ties)
+        order, created = ["created_at", "id"], F.col("created_at")
+    df = ordinal(df, ["root_id"], order, out="task_no")
     return df.select(
         F.col("root_id").alias(WF),
         "task_no",
@@ -507,14 +531,34 @@ def event_times(pages: DataFrame, types=(ACTIVITY_SCHEDULED, ACTIVITY_STARTED, A
     return ev.where(F.col("event_type").isin(*wanted))
 
 
-def tasks_per_worker(tt: DataFrame) -> DataFrame:
-    """Per (workflow, worker) the number of tasks and the first / last task label.
+def worker_starts(pages: DataFrame) -> DataFrame:
+    """One row per STARTED event of a scheduled activity, completed or not.
 
-    The full worker -> tasks mapping is the long ``task_timing`` table itself;
-    it is not packed into one list per worker, which could be unbounded.
+    ``workflow_id, worker, task, task_no, seq, started_at``; ``seq`` is the event order. Labels
+    are those of ``correlate_event_history``; a started event counts if its
+    scheduled event came before it. A missing identity is the empty worker.
+    """
+    ev = _history_events(pages)
+    scheduled = ordinal(ev.where(F.col("etype") == ACTIVITY_SCHEDULED).select(WF, "event_id", "activity_id", F.col("seq").alias("sched_seq")),
+                        [WF], "sched_seq", out="sched_no")
+    labelled = scheduled.select(WF, F.col("event_id").alias("scheduled_ref"), "sched_seq",
+                                activity_label("activity_id", "sched_no").alias("task"))
+    started = ev.where(F.col("etype") == ACTIVITY_STARTED).select(
+        WF, "scheduled_ref", "seq", F.coalesce("identity", F.lit("")).alias("worker"), F.col("t").alias("started_at"))
+    return (started.join(labelled, [WF, "scheduled_ref"]).where(F.col("sched_seq") < F.col("seq"))
+            .select(WF, "worker", "task", label_number("task", 1).alias("task_no"), "seq", "started_at"))
+
+
+def tasks_per_worker(starts: DataFrame) -> DataFrame:
+    """Per (workflow, worker) the number of started tasks and the first / last by task number.
+
+    Labels without a number come after those with one, by text. The full
+    worker -> tasks mapping is ``worker_starts`` itself; it is not packed into
+    one list per worker, which could be unbounded.
     """
-    return tt.groupBy(WF, "worker").agg(
+    by_number = F.struct(F.col("task_no").isNull().alias("unnumbered"), "task_no", "task")
+    return starts.groupBy(WF, "worker").agg(
         F.count(F.lit(1)).alias("tasks"),
-        F.min("task").alias("first_task"),
-        F.max("task").alias("last_task"),
+        F.min(by_number)["task"].alias("first_task"),
+        F.max(by_number)["task"].alias("last_task"),
     )

@@ -133,6 +133,61 @@ t1 as (
     from done
 )"""
 
+# One document entry per workflow.
+DOCUMENT = T1 + f""",
+d as (
+    select workflow_id, task_no,
+           {rms(diff('start_at', 'c_ts'))} as c, {rms(diff('start_at', 's_ts'))} as s,
+           {rms(diff('start_at', 'e_ts'))} as f,
+           dense_rank() over (partition by workflow_id order by k) - 1 as w,
+           count(distinct worker_id) over (partition by workflow_id) as workers
+    from t1
+),
+doc as (
+    select workflow_id as usecase, cast(any_value(workers) as integer) as workers, count(*) as tasks,
+           '[' || string_agg(printf('%.3f', c), ', ' order by task_no) || ']' as created_at,
+           '[' || string_agg(printf('%.3f', s), ', ' order by task_no) || ']' as started_at,
+           '[' || string_agg(printf('%.3f', f), ', ' order by task_no) || ']' as completed_at,
+           case when any_value(workers) > 1
+                then '[' || string_agg(printf('%d', w), ', ' order by task_no) || ']' end as worker_execution
+    from d group by workflow_id
+)"""
+
+
+def breakdown(rows: str) -> str:
+    """T9 over rows (workflow_id, pos, created, started, completed in microseconds from zero, assign)."""
+    return f"""
+x as (select *, lead(created_us) over (partition by workflow_id order by pos) - completed_us as trans_us from {rows}),
+a as (
+    select workflow_id, count(*) as n, arg_max(completed_us, pos) as total_us,
+           sum(completed_us - started_us) as exec_us, sum(assign_us) as assign_us, sum(trans_us) as trans_us
+    from x group by workflow_id
+)"""
+
+
+BREAKDOWN_COLUMNS = """
+select workflow_id, cast(n as bigint) as total_tasks,
+       cast(total_us as double) / cast(1000000 as double) as total_duration,
+       cast(exec_us as double) / n / cast(1000000 as double) as avg_execution,
+       cast(exec_us as double) / nullif(cast(total_us as double), 0) * cast(100 as double) as execution_pct,
+       cast(assign_us as double) / n / cast(1000000 as double) as avg_assignment,
+       cast(assign_us as double) / nullif(cast(total_us as double), 0) * cast(100 as double) as assignment_pct,
+       case when n > 1 then cast(trans_us as double) / (n - 1) / cast(1000000 as double) else 0.0 end
+           as avg_transition,
+       case when n > 1 then cast(trans_us as double) / nullif(cast(total_us as double), 0) * cast(100 as double)
+            else 0.0 end as transition_pct
+from a
+"""
+
+# Phase rows from the first row's creation.
+PHASE_ROWS = PHASES + """,
+z as (
+    select workflow_id, pos,
+           epoch_us(created_at) - first_us as created_us, epoch_us(started_at) - first_us as started_us,
+           epoch_us(success_at) - first_us as completed_us, assign_us
+    from (select *, epoch_us(first_value(created_at) over (partition by workflow_id order by pos)) as first_us from phases)
+),"""
+
 TIMING_SQL = {
     "t1_correlate_event_history": T1 + """
 select workflow_id, task, created_at, started_at, completed_at, duration, waiting_time, worker_id from t1
@@ -259,21 +314,40 @@ select workflow_id, cast(pos as bigint) as pos, relative_created, relative_start
               relative_completed) as line
 from v
 """,
-    "t14_benchmark_document": T1 + f""",
-d as (
-    select workflow_id, task_no, (row_number() over (partition by workflow_id order by task_no) - 1) // 1024 as chunk,
-           {rms(diff('start_at', 'c_ts'))} as c, {rms(diff('start_at', 's_ts'))} as s,
-           {rms(diff('start_at', 'e_ts'))} as f,
-           dense_rank() over (partition by workflow_id order by k) - 1 as w,
-           count(distinct worker_id) over (partition by workflow_id) as workers
-    from t1
-)
-select workflow_id, cast(chunk as bigint) as chunk, cast(any_value(workers) as integer) as workers,
-       '[' || string_agg(printf('%.3f', c), ', ' order by task_no) || ']' as created_at,
-       '[' || string_agg(printf('%.3f', s), ', ' order by task_no) || ']' as started_at,
-       '[' || string_agg(printf('%.3f', f), ', ' order by task_no) || ']' as completed_at,
-       '[' || string_agg(printf('%d', w), ', ' order by task_no) || ']' as worker_execution
-from d group by workflow_id, chunk
+    "t14_benchmark_document": DOCUMENT + """
+select '2.34.0' as version, usecase, 'run-log timings' as title, 'derived from events' as description,
+       'python' as language, workers, created_at, started_at, completed_at, worker_execution
+from doc
+""",
+    "t14_document_upsert": DOCUMENT + """
+select '2.34.0' as version, usecase,
+       case when cast(usecase as bigint) % 3 = 0 then 'the new one' else 'the "old" one' end as title,
+       workers, cast(tasks as bigint) as tasks, completed_at,
+       cast(case when workers > 1 then tasks else 0 end as bigint) as mapped
+from doc where cast(usecase as bigint) % 2 = 0 or cast(usecase as bigint) % 3 = 0
+""",
+    "t9_phase_rows": PHASE_ROWS + breakdown("z") + BREAKDOWN_COLUMNS,
+    "t5_dag_run_breakdown": PHASE_ROWS + breakdown("z") + BREAKDOWN_COLUMNS,
+    "k8_phase_report": PHASE_ROWS + breakdown("z") + f"""
+select workflow_id,
+       printf('# Performance Statistics\n\n## Total Duration: %ss\n\n## Average Times\n\n'
+              || '- **Execution time**: %ss (%s%% of total)\n'
+              || '  - The time it takes for the orchestrator to execute the task once it has been assigned to an executor\n\n'
+              || '- **Assignment time**: %ss (%s%% of total)\n'
+              || '  - The time it takes for a task to be assigned to an executor once it has been created in the queue\n\n'
+              || '- **Transition time**: %ss (%s%% of total)\n'
+              || '  - The time it takes to create the following task once a task is finished\n\n'
+              || 'Total tasks analyzed: %d\n',
+              {fixed('total_us', '1000000', 3)},
+              {fixed('exec_us', 'n * 1000000', 3)}, {fixed('exec_us', 'total_us', 2, 100)},
+              {fixed('assign_us', 'n * 1000000', 3)}, {fixed('assign_us', 'total_us', 2, 100)},
+              case when n > 1 then {fixed('trans_us', '(n - 1) * 1000000', 3)} else '0.000' end,
+              case when n > 1 then {fixed('trans_us', 'total_us', 2, 100)} else '0.00' end,
+              n) as report
+from a
+""",
+    "t12_csv_arrays": WAITEXEC + """
+select workflow_id, cast(pos as bigint) as pos, waiting_time, execution_time from we
 """,
     "k8_stats_report": JOBS + f""",
 x as (select *, lead(created_us) over (partition by workflow_id order by task_pos) - completed_us as trans_us from t7),
@@ -301,16 +375,24 @@ select workflow_id, cast(rn + 2 as varchar) as event_id,
        {iso('ts')} as event_time
 from life
 """,
-    "a17_tasks_per_worker": T1 + """
-select workflow_id, worker_id as worker, count(*) as tasks, min(task) as first_task, max(task) as last_task
-from t1 group by workflow_id, worker_id
+    # From the started events, in event order; the task need not have completed.
+    "a17_tasks_per_worker": BASE + """
+select workflow_id, coalesce(cast(k as varchar) || '@fixture-host', '') as worker, count(*) as tasks,
+       arg_min(printf('task_%02d', task_no), task_no) as first_task,
+       arg_max(printf('task_%02d', task_no), task_no) as last_task
+from life where phase = 1 group by all
 """,
-    "a17_worker_activities": T1 + """,
+    "a17_worker_activities": BASE + """,
+started as (
+    select workflow_id, coalesce(cast(k as varchar) || '@fixture-host', '') as worker_id,
+           printf('task_%02d', task_no) as task, rn
+    from life where phase = 1
+),
 ranked as (
     select workflow_id, worker_id, task,
-           row_number() over (partition by workflow_id, worker_id order by s_ts, task) - 1 as pos,
+           row_number() over (partition by workflow_id, worker_id order by rn) - 1 as pos,
            count(*) over (partition by workflow_id, worker_id) as tasks
-    from t1
+    from started
 )
 select workflow_id, worker_id as worker, cast(pos // 1024 as bigint) as chunk, cast(max(tasks) as bigint) as tasks,
        string_agg(task, ',' order by pos) as activities

@@ -12,6 +12,8 @@ changed input is always read anew.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,8 +21,10 @@ from tally.functions.timefn import micros_between, parse_ts, seconds
 from tally.operators import documents, timing
 from tally.operators.sequence import dense_index
 from tally.operators.timing import WF
-from tally.sinks.files import stats_report
+from tally.session import ensure_checkpoint_dir, land
+from tally.sinks import files
 from tally.sources import runlog_fixtures as fx
+from tally.sources import runlogs
 from tally.sources.tables import read_table
 
 TS_TEXT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
@@ -64,7 +68,7 @@ def _jobs(spark, sf_dir):
 
 def _job_timing(spark, sf_dir):
     jobs, completions = _jobs(spark, sf_dir)
-    return timing.relative_job_times(timing.job_hierarchy(jobs, completions), jobs)
+    return timing.relative_job_times(timing.job_hierarchy(jobs, completions))
 
 
 def t1_correlate_event_history(spark, sf_dir):
@@ -132,7 +136,7 @@ def t9_phase_breakdown_by_duration(spark, sf_dir):
 
 
 def k8_stats_report(spark, sf_dir):
-    return stats_report(timing.phase_breakdown_by_duration(_job_timing(spark, sf_dir)))
+    return files.stats_report(timing.phase_breakdown_by_duration(_job_timing(spark, sf_dir)))
 
 
 def t10_phase_breakdown_by_means(spark, sf_dir):
@@ -158,14 +162,56 @@ def t13_timing_table(spark, sf_dir):
 
 def t14_benchmark_document(spark, sf_dir):
     tt = timing.normalize_workers(_event_history_timing(spark, sf_dir), "numeric")
+    doc = _document(tt, "run-log timings")
+    return doc.select(
+        "version", "usecase", "title", "description", "language", "workers",
+        *[documents.printed_array(c).alias(c) for c in documents.ARRAYS],
+        documents.printed_array("worker_execution", "%d").alias("worker_execution"))
+
+
+def _document(tt: DataFrame, title: str) -> DataFrame:
     arrays = documents.benchmark_arrays(tt, "worker_index")
-    return arrays.select(
-        WF, "chunk", "workers",
-        documents.printed_array("created_at").alias("created_at"),
-        documents.printed_array("started_at").alias("started_at"),
-        documents.printed_array("completed_at").alias("completed_at"),
-        documents.printed_array("worker_execution", "%d").alias("worker_execution"),
-    )
+    return documents.benchmark_document(arrays, "python", title, "derived from events")
+
+
+def t14_document_upsert(spark, sf_dir):
+    """A stored document of every other workflow, written and read again, takes the new entries of every third."""
+    tt = land(timing.normalize_workers(_event_history_timing(spark, sf_dir), "numeric"))
+    number = F.col(WF).cast("long")
+    old = documents.document_entries(_document(tt.where(number % 2 == 0), 'the "old" one'))
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/document-{uuid.uuid4().hex}"
+    files.write_documents(old, path)
+    new = documents.document_entries(_document(tt.where(number % 3 == 0), "the new one"))
+    merged = documents.upsert_by_key(files.read_documents(spark, path), new)
+    files.write_documents(merged, path)
+    body = "workers int, created_at array<double>, started_at array<double>, completed_at array<double>, worker_execution array<int>"
+    stored = files.read_documents(spark, path).withColumn("b", F.from_json(F.col("fields")["python"], body))
+    return stored.select(
+        "version", "usecase", F.col("fields")["title"].alias("title"), F.col("b.workers").alias("workers"),
+        F.size("b.created_at").cast("long").alias("tasks"), documents.printed_array("b.completed_at").alias("completed_at"),
+        F.coalesce(F.size("b.worker_execution"), F.lit(0)).cast("long").alias("mapped"))
+
+
+def t9_phase_rows(spark, sf_dir):
+    tt = timing.phase_timing(_phase_times(spark, sf_dir))
+    return timing.phase_breakdown_by_duration(tt).select(timing.DURATION_BREAKDOWN_COLUMNS)
+
+
+def k8_phase_report(spark, sf_dir):
+    return files.phase_report(timing.phase_breakdown_by_duration(timing.phase_timing(_phase_times(spark, sf_dir))))
+
+
+def t5_dag_run_breakdown(spark, sf_dir):
+    flat = timing.flatten_task_groups(_doc(spark, sf_dir, fx.dag_run_pages))
+    tt = timing.phase_timing(timing.task_group_phases(flat))
+    return timing.phase_breakdown_by_duration(tt).select(timing.DURATION_BREAKDOWN_COLUMNS)
+
+
+def t12_csv_arrays(spark, sf_dir):
+    """Phase rows through the timing CSV: written, read again in line order, then the arrays."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/timing-csv-{uuid.uuid4().hex}"
+    files.write_timing_csv(_phase_times(spark, sf_dir), path, per_workflow=False)
+    return timing.waiting_execution(runlogs.read_csv_phases(spark, path))
 
 
 def s10_event_times(spark, sf_dir):
@@ -174,11 +220,11 @@ def s10_event_times(spark, sf_dir):
 
 
 def a17_tasks_per_worker(spark, sf_dir):
-    return timing.tasks_per_worker(_event_history_timing(spark, sf_dir))
+    return timing.tasks_per_worker(timing.worker_starts(_doc(spark, sf_dir, fx.event_history_pages)))
 
 
 def a17_worker_activities(spark, sf_dir):
-    acts = documents.worker_activities(_event_history_timing(spark, sf_dir))
+    acts = documents.worker_activities(timing.worker_starts(_doc(spark, sf_dir, fx.event_history_pages)))
     return acts.select(WF, "worker", "chunk", "tasks", F.array_join("activities", ",").alias("activities"))
 
 
@@ -199,6 +245,11 @@ TIMING_BUILDERS = {
     "k9_printed_arrays": k9_printed_arrays,
     "t13_timing_table": t13_timing_table,
     "t14_benchmark_document": t14_benchmark_document,
+    "t14_document_upsert": t14_document_upsert,
+    "t9_phase_rows": t9_phase_rows,
+    "k8_phase_report": k8_phase_report,
+    "t5_dag_run_breakdown": t5_dag_run_breakdown,
+    "t12_csv_arrays": t12_csv_arrays,
     "s10_event_times": s10_event_times,
     "a17_tasks_per_worker": a17_tasks_per_worker,
     "a17_worker_activities": a17_worker_activities,

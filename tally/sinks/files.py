@@ -8,12 +8,27 @@ workflow, one file set per output.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tally.functions.timefn import fixed3, fixed_ratio
+from tally.operators.documents import document_lines
 from tally.operators.timing import TIMING_TABLE_HEADER, WF
 
+# The report text.
+PHASE_REPORT = (
+    "# Performance Statistics\n\n## Total Duration: %ss\n\n## Average Times\n\n"
+    "- **Execution time**: %ss (%s%% of total)\n"
+    "  - The time it takes for the orchestrator to execute the task once it has been assigned to an executor\n\n"
+    "- **Assignment time**: %ss (%s%% of total)\n"
+    "  - The time it takes for a task to be assigned to an executor once it has been created in the queue\n\n"
+    "- **Transition time**: %ss (%s%% of total)\n"
+    "  - The time it takes to create the following task once a task is finished\n\n"
+    "Total tasks analyzed: %d\n"
+)
+
 
 def result_path(root: str, scale: str, query: str) -> str:
     return f"{root.rstrip('/')}/tpc-h/{scale}/output/{query}.parquet"
@@ -62,14 +77,27 @@ def _ordered_by_workflow(df: DataFrame, order_col: str, num_partitions: int | No
     return out.sortWithinPartitions(*keys)
 
 
-def write_timing_csv(phases: DataFrame, path: str, num_partitions: int | None = None) -> None:
-    """K6: one CSV directory per workflow (``workflow_id=<id>/``), header, no index.
+def _write_csv(rows: DataFrame, path: str, num_partitions: int | None, per_workflow: bool) -> None:
+    ordered = _ordered_by_workflow(rows, "pos", num_partitions).drop("pos")
+    writer = ordered.write.mode("overwrite").option("header", "true")
+    (writer.partitionBy(WF) if per_workflow else writer).csv(path)
+
 
-    A large workflow may span several part files (each with its header);
-    read in name order they give its tasks in order.
+def write_timing_csv(phases: DataFrame, path: str, num_partitions: int | None = None, per_workflow: bool = True) -> None:
+    """K6: CSV with header, no index, one directory per workflow (``workflow_id=<id>/``).
+
+    A large workflow may span several part files (each with its header); read
+    in name order they give its tasks in order. ``per_workflow=False`` keeps
+    the workflow as a column instead: with millions of workflows, a folder for
+    each would be millions of small files.
     """
-    (_ordered_by_workflow(timing_csv(phases), "pos", num_partitions).drop("pos")
-     .write.mode("overwrite").partitionBy(WF).option("header", "true").csv(path))
+    _write_csv(timing_csv(phases), path, num_partitions, per_workflow)
+
+
+def write_waiting_execution_csv(arrays: DataFrame, path: str, num_partitions: int | None = None,
+                                per_workflow: bool = True) -> None:
+    """K6 (arrays form): ``waiting_time, execution_time`` with 3 decimals, laid out like ``write_timing_csv``."""
+    _write_csv(waiting_execution_csv(arrays), path, num_partitions, per_workflow)
 
 
 def waiting_execution_csv(arrays: DataFrame) -> DataFrame:
@@ -113,6 +141,24 @@ def stats_report(stats: DataFrame) -> DataFrame:
     )
 
 
+def phase_report(stats: DataFrame) -> DataFrame:
+    """K8, second layout: each phase with what it means (fixed text), one report per workflow."""
+    n = F.col("total_tasks")
+    many = n > 1
+    return stats.select(
+        WF,
+        F.format_string(
+            PHASE_REPORT,
+            fixed_ratio("total_us", F.lit(1_000_000), 3),
+            fixed_ratio("exec_us", n * 1_000_000, 3), fixed_ratio("exec_us", "total_us", 2, 100),
+            fixed_ratio("assign_us", n * 1_000_000, 3), fixed_ratio("assign_us", "total_us", 2, 100),
+            F.when(many, fixed_ratio("trans_us", (n - 1) * 1_000_000, 3)).otherwise(F.lit("0.000")),
+            F.when(many, fixed_ratio("trans_us", "total_us", 2, 100)).otherwise(F.lit("0.00")),
+            n,
+        ).alias("report"),
+    )
+
+
 def write_text_by_workflow(df: DataFrame, text_col: str, path: str, order_col: str | None = None,
                            num_partitions: int | None = None) -> None:
     """Write one text file set per workflow (``workflow_id=<id>/``), lines in ``order_col`` order.
@@ -124,13 +170,31 @@ def write_text_by_workflow(df: DataFrame, text_col: str, path: str, order_col: s
     out.select(WF, text_col).write.mode("overwrite").partitionBy(WF).text(path)
 
 
-def write_documents(docs: DataFrame, path: str) -> None:
-    """K4/K5: document rows as JSON lines, partitioned by usecase."""
-    docs.write.mode("overwrite").partitionBy("usecase").json(path)
+def replace_folder(spark, staged: str, path: str) -> None:
+    """Put the written folder ``staged`` in the place of ``path``; the old one goes once the new one stands."""
+    jvm = spark.sparkContext._jvm
+    new, at, old = (jvm.org.apache.hadoop.fs.Path(x) for x in (staged, path, f"{staged}-replaced"))
+    fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    had = fs.exists(at)
+    if had and not fs.rename(at, old):
+        raise OSError(f"{path} can't be moved")
+    if not fs.rename(new, at):
+        raise OSError(f"{staged} can't be moved to {path}")
+    if had:
+        fs.delete(old, True)
+
+
+def write_documents(entries: DataFrame, path: str) -> None:
+    """K4/K5: document entries, one ``{version, usecases: {<usecase>: {...}}}`` a line; swapped in when whole."""
+    staged = f"{path.rstrip('/')}-{uuid.uuid4().hex}"
+    document_lines(entries).select("value").write.text(staged)
+    replace_folder(entries.sparkSession, staged, path)
+
 
+def read_documents(spark, path: str, multiline: bool = False) -> DataFrame:
+    """Entries ``version, usecase, fields`` of existing result documents; a missing path gives none.
 
-def read_documents(spark, path: str, schema) -> DataFrame:
-    """Existing result documents for a merge; a missing path gives an empty frame.
+    ``multiline`` reads files that hold one document with all its use cases.
 
     Unlike a reset-on-parse-error, a corrupt document fails the read
     (``FAILFAST``), so a merge never silently drops earlier results.
@@ -138,5 +202,7 @@ def read_documents(spark, path: str, schema) -> DataFrame:
     jvm_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     fs = jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if not fs.exists(jvm_path):
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
+        return spark.createDataFrame([], "version string, usecase string, fields map<string,string>")
+    docs = (spark.read.schema("version string, usecases map<string, map<string, string>>")
+            .option("mode", "FAILFAST").option("multiLine", str(multiline).lower()).json(path))
+    return docs.select("version", F.explode("usecases").alias("usecase", "fields"))

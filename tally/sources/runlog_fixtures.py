@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tally.functions.timefn import iso_string, micros
-from tally.operators.sequence import DAY_US, ordinal
+from tally.operators.sequence import ordinal
 from tally.session import land  # noqa: F401 - landed run logs are reliable checkpoints
 
 PAGE_TASKS = 32
@@ -34,8 +34,8 @@ def lifecycle_events(events: DataFrame) -> DataFrame:
         "event_id",
         F.col("ts").cast("timestamp").alias("ts"),
         F.get_json_object("props", "$.k").cast("int").alias("k"),
-    ).withColumn("ts_us", micros("ts"))
-    ev = ordinal(ev, ["workflow_id"], "ts_us", DAY_US, out="rn", tie_cols=("event_id",))
+    )
+    ev = ordinal(ev, ["workflow_id"], ["ts", "event_id"], out="rn")
     return ev.select(
         "workflow_id", "rn", "ts", "k",
         F.floor(F.col("rn") / 3).cast("long").alias("task_no"),
@@ -167,7 +167,7 @@ def run_document_pages(life: DataFrame) -> DataFrame:
 def id_list(life: DataFrame) -> DataFrame:
     """S14 shape: (pos, workflow_id), every workflow once, in numeric id order."""
     ids = life.select("workflow_id").distinct().withColumn("wf_num", F.col("workflow_id").cast("long"))
-    return ordinal(ids, [], "wf_num", 1 << 20, out="pos").select("pos", "workflow_id")
+    return ordinal(ids, [], "wf_num", out="pos").select("pos", "workflow_id")
 
 
 def execution_pages(life: DataFrame) -> DataFrame:

@@ -170,18 +170,41 @@ def read_dag_runs(spark: SparkSession, path, multiline: bool = False) -> DataFra
     return _json(spark, path, DAG_RUN, multiline)
 
 
-def read_jobs_jdbc(spark: SparkSession, url: str, table: str = "v2_as_completed_job",
-                   properties: dict | None = None, predicates: list[str] | None = None) -> DataFrame:
-    """Job table over JDBC; ``predicates`` split the read across tasks."""
-    props = properties or {}
-    if predicates:
-        return spark.read.jdbc(url, table, predicates=predicates, properties=props)
-    return spark.read.jdbc(url, table, properties=props)
+def job_predicates(root_ids: list[str], per_read: int = 100, multi_worker: bool = True) -> list[str]:
+    """WHERE texts that read the roots, their children and (multi worker) grandchildren, ``per_read`` roots each.
 
+    The database filters by parent id; each text is one task's read.
+    """
+    texts = []
+    for at in range(0, len(root_ids), per_read):
+        ids = ", ".join("'" + r.replace("'", "''") + "'" for r in root_ids[at:at + per_read])
+        below = f" OR parent_job IN (SELECT id FROM {{table}} WHERE parent_job IN ({ids}))" if multi_worker else ""
+        texts.append(f"id IN ({ids}) OR parent_job IN ({ids}){below}")
+    return texts
+
+
+def read_jobs_jdbc(spark: SparkSession, url: str, jobs_table: str, completions_table: str, root_ids: list[str],
+                   properties: dict | None = None, per_read: int = 100, multi_worker: bool = True) -> tuple[DataFrame, DataFrame]:
+    """``(jobs, completions)`` of the given roots over JDBC, read by as many tasks as there are predicates."""
+    texts = [t.format(table=jobs_table) for t in job_predicates(root_ids, per_read, multi_worker)]
+    jobs = spark.read.jdbc(url, jobs_table, predicates=texts, properties=properties or {})
+    of_jobs = [f"id IN (SELECT id FROM {jobs_table} WHERE {t})" for t in texts]
+    return jobs, spark.read.jdbc(url, completions_table, predicates=of_jobs, properties=properties or {})
+
+
+def read_task_runs(spark: SparkSession, path) -> DataFrame:
+    """Landed task-run listings (``id, created, start_time, end_time``) as JSON lines, unordered."""
+    return spark.read.schema(TASK_RUN).json(path)
+
+
+def task_run_phases(runs: DataFrame, workflow: str = "task_runs") -> DataFrame:
+    """S12 rows -> phase rows of one workflow of the given name, by creation order."""
+    from tally.operators.sequence import ordinal
 
-def read_task_runs(df: DataFrame) -> DataFrame:
-    """``SELECT id, created, start_time, end_time FROM task_run ORDER BY created``."""
-    return df.select("id", "created", "start_time", "end_time").orderBy("created", "id")
+    timed = runs.select(F.lit(workflow).alias("workflow_id"), F.col("id").alias("task_run_id"), F.col("created").alias("created_at"),
+                        F.col("start_time").alias("started_at"), F.col("end_time").alias("success_at"))
+    whole = timed.dropna(subset=["created_at", "started_at", "success_at"])
+    return ordinal(whole, ["workflow_id"], ["created_at", "task_run_id"], out="pos")
 
 
 def read_timing_csv(spark: SparkSession, path) -> DataFrame:
@@ -192,16 +215,32 @@ def read_timing_csv(spark: SparkSession, path) -> DataFrame:
     )
 
 
+def read_csv_phases(spark: SparkSession, path) -> DataFrame:
+    """S13 -> phase rows, in the order of the files' lines within each workflow.
+
+    ``path`` holds CSV with the workflow as a column or as folders (``write_timing_csv``).
+    """
+    from tally.operators.sequence import ordinal
+
+    lines = (spark.read.option("header", "true").option("timestampFormat", "yyyy-MM-dd HH:mm:ss[.SSSSSS][XXX]")
+             .schema(T.StructType([T.StructField("workflow_id", S), *TIMING_CSV.fields])).csv(path))
+    rows = lines.select(
+        "workflow_id", F.col("Task ID").alias("task_run_id"), F.col("Value").alias("value"),
+        F.col("Created Time").alias("created_at"), F.col("Started Time").alias("started_at"), F.col("Success Time").alias("success_at"),
+        F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_split"),
+        F.monotonically_increasing_id().alias("_line"))
+    return ordinal(rows, ["workflow_id"], ["_file", "_split", "_line"], out="pos").drop("_file", "_split", "_line")
+
+
 def read_id_list(spark: SparkSession, path: str) -> DataFrame:
     """Workflow ids one per line, stripped, blanks dropped, file order kept as ``pos``.
 
     Line order is part of the semantics (results are concatenated in file
     order). ``pos`` is the 0-based line number over all files in path order
-    (blank lines count, as in the file): each input split is a block,
-    ordered by ``(file path, split start)``; inside a split the scan keeps
-    line order, which ``monotonically_increasing_id`` records. The block
-    ordinal adds the line counts of earlier splits, so no task and no
-    driver sees more than one split's lines.
+    (blank lines count, as in the file). Lines are ordered by ``(file path,
+    split start, row in the split)``: the scan keeps line order, which
+    ``monotonically_increasing_id`` records. ``ordinal`` cuts that order by
+    the data, so no task and no driver sees a whole long list.
     """
     from tally.operators.sequence import ordinal
 
@@ -209,7 +248,7 @@ def read_id_list(spark: SparkSession, path: str) -> DataFrame:
         F.col("value").alias("line"),
         F.col("_metadata.file_path").alias("_file"),
         F.col("_metadata.file_block_start").alias("_split"),
-        F.monotonically_increasing_id().alias("_row"),
+        F.monotonically_increasing_id().alias("_row_in_split"),
     )
-    numbered = ordinal(lines, [], "_row", 0, out="pos", block_cols=("_file", "_split"))
+    numbered = ordinal(lines, [], ["_file", "_split", "_row_in_split"], out="pos")
     return numbered.select(F.trim(F.col("line")).alias("workflow_id"), "pos").where(F.col("workflow_id") != "")

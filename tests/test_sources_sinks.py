@@ -125,23 +125,107 @@ def test_benchmark_document_and_json_sink(spark, tmp_path):
         F.concat(F.col("id").cast("string"), F.lit("@h")).alias("worker"),
     )
     arrays = documents.benchmark_arrays(timing.normalize_workers(tt, "numeric"))
-    doc = documents.benchmark_document(arrays, "fibonacci_10_33", "python", "t", "d")
+    doc = documents.benchmark_document(arrays, "python", "t", "d", usecase=F.lit("fibonacci_10_33"))
     r = doc.first()
     assert r.created_at == [0.0, 2.0, 4.0] and r.completed_at == [1.5, 3.5, 5.5]
     assert r.worker_execution == [0, 1, 2] and r.workers == 3 and r.version == "2.34.0"
     out = str(tmp_path / "docs")
-    files.write_documents(doc, out)
-    assert spark.read.json(out).count() == 1
+    entries = documents.document_entries(doc)
+    files.write_documents(entries, out)
+    (line,) = [json.loads(line) for f in sorted((tmp_path / "docs").glob("part-*")) for line in f.read_text().splitlines()]
+    assert line == {"version": "2.34.0", "usecases": {"fibonacci_10_33": {"title": "t", "description": "d", "python": {
+        "workers": 3, "created_at": [0.0, 2.0, 4.0], "started_at": [0.5, 2.5, 4.5], "completed_at": [1.5, 3.5, 5.5],
+        "worker_execution": [0, 1, 2]}}}}
+
+
+def test_documents_are_merged_by_usecase_and_swapped(spark, tmp_path):
+    """A stored document with several use cases, pretty-printed, keeps those that aren't replaced."""
+    (tmp_path / "stored").mkdir()
+    old = {"version": "1", "usecases": {u: {"title": f'old "{u}"', "description": "", "rust": {"workers": 1, "created_at": [0.1]}}
+                                        for u in ("a", "b")}}
+    (tmp_path / "stored" / "doc.json").write_text(json.dumps(old, indent=4))
+    stored = files.read_documents(spark, str(tmp_path / "stored"), multiline=True)
+    assert sorted(r.usecase for r in stored.collect()) == ["a", "b"]
+    new = stored.where("usecase = 'b'").select(
+        F.lit("2").alias("version"), "usecase", F.map_concat("fields", F.create_map(F.lit("python"), F.lit('{"workers":2}'))).alias("fields"))
+    path = str(tmp_path / "doc")
+    files.write_documents(stored, path)
+    files.write_documents(documents.upsert_by_key(files.read_documents(spark, path), new), path)
+    got = {r.usecase: (r.version, dict(r.fields)) for r in files.read_documents(spark, path).collect()}
+    version, kept = got["a"]
+    assert version == "1" and kept["title"] == 'old "a"' and json.loads(kept["rust"]) == {"workers": 1, "created_at": [0.1]}
+    assert got["b"][0] == "2" and got["b"][1]["python"] == '{"workers":2}'
+    assert sorted(f.name for f in tmp_path.iterdir()) == ["doc", "stored"]
+
+
+def test_pieces_of_printed_arrays_join_to_the_whole(spark):
+    rows = spark.range(25).selectExpr("'w' as workflow_id", "id as pos", "id / 4 as v")
+    pieces = documents.printed_arrays(rows, ["workflow_id"], ["v"], piece=10).orderBy("chunk").collect()
+    whole = documents.printed_arrays(rows, ["workflow_id"], ["v"], piece=100).collect()
+    assert len(pieces) == 3 and "".join(p.v for p in pieces) == whole[0].v
+    assert whole[0].v.startswith("[0.000, 0.250") and whole[0].v.endswith("6.000]")
+
+
+def test_csv_phases_keep_line_order_and_feed_the_tables(spark, tmp_path):
+    start = F.to_timestamp(F.lit("2024-01-01 00:00:00"))
+    phases = spark.range(300).select(
+        F.when(F.col("id") % 3 == 0, "x").otherwise("y").alias("workflow_id"), F.col("id").alias("pos"),
+        F.col("id").cast("string").alias("task_run_id"), F.lit("v").alias("value"),
+        (start + F.make_dt_interval(secs=F.col("id") * 2)).alias("created_at"),
+        (start + F.make_dt_interval(secs=F.col("id") * 2 + 0.25)).alias("started_at"),
+        (start + F.make_dt_interval(secs=F.col("id") * 2 + 1)).alias("success_at"),
+        *[F.lit(0.0).alias(f"{c}_s") for c in ("transition", "assignment", "execution", "total")])
+    for per_workflow in (True, False):
+        out = str(tmp_path / f"csv-{per_workflow}")
+        files.write_timing_csv(phases, out, num_partitions=4, per_workflow=per_workflow)
+        back = runlogs.read_csv_phases(spark, out)
+        got = [(r.workflow_id, r.pos, r.task_run_id) for r in back.orderBy("workflow_id", "pos").collect()]
+        want = [("x", i, str(3 * i)) for i in range(100)] + [("y", i, str(i // 2 * 3 + 1 + i % 2)) for i in range(200)]
+        assert got == want
+        assert timing.timing_table(back).where("workflow_id = 'x' and pos = 1").first().relative_started == 6.25
+    arrays = str(tmp_path / "arrays")
+    files.write_waiting_execution_csv(timing.waiting_execution(back), arrays)
+    first = spark.read.option("header", "true").csv(arrays).where("workflow_id = 'x'").first()
+    assert (first.waiting_time, first.execution_time) == ("0.250", "0.750")
+
+
+def test_task_run_listing_and_job_predicates(spark, tmp_path):
+    runs = [{"id": f"r{i}", "created": f"2024-01-01T00:00:0{i}Z", "start_time": f"2024-01-01T00:00:0{i + 1}Z",
+             "end_time": None if i == 2 else f"2024-01-01T00:00:0{i + 2}Z"} for i in (3, 1, 2)]
+    (tmp_path / "runs.json").write_text("\n".join(json.dumps(r) for r in runs))
+    phases = runlogs.task_run_phases(runlogs.read_task_runs(spark, str(tmp_path / "runs.json")))
+    assert [(r.pos, r.task_run_id) for r in phases.orderBy("pos").collect()] == [(0, "r1"), (1, "r3")]
+    tt = timing.phase_timing(phases)
+    assert timing.phase_breakdown_by_duration(tt).first().total_tasks == 2
+    texts = runlogs.job_predicates(["a", "b'c", "d"], per_read=2)
+    assert len(texts) == 2 and "'b''c'" in texts[0] and texts[1].startswith("id IN ('d') OR parent_job IN ('d')")
+    assert "SELECT" not in runlogs.job_predicates(["a"], multi_worker=False)[0]
+
+
+def test_result_sinks_views_and_tables(spark, tmp_path, capsys):
+    df = spark.createDataFrame([(1, "x")], "k int, v string")
+    path = files.write_result(df, str(tmp_path), "1g", "q1")
+    assert path.endswith("/tpc-h/1g/output/q1.parquet") and spark.read.parquet(path).collect() == df.collect()
+    files.preview(spark.read.parquet(path))
+    assert "|1  |x  |" in capsys.readouterr().out
+    spark.sql(f"CREATE TABLE load_target (k INT, v STRING) USING parquet LOCATION '{tmp_path}/target'")
+    try:
+        tables.load_into_table(df, "load_target")
+        tables.load_into_table(df, "load_target")
+        assert spark.table("load_target").count() == 2
+    finally:
+        spark.sql("DROP TABLE load_target")
+    tables.configure_object_store(spark, access_key="a", secret_key="b", endpoint="http://store", path_style=True)
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    assert conf.get("fs.s3a.endpoint") == "http://store" and conf.get("fs.s3a.path.style.access") == "true"
 
 
 def test_read_documents_missing_path_is_empty(spark, tmp_path):
-    from pyspark.sql import types as T
-
-    schema = T.StructType([T.StructField("usecase", T.StringType())])
-    assert files.read_documents(spark, str(tmp_path / "none"), schema).count() == 0
+    assert files.read_documents(spark, str(tmp_path / "none")).count() == 0
     (tmp_path / "d").mkdir()
-    (tmp_path / "d" / "x.json").write_text('{"usecase": "a"}\n')
-    assert files.read_documents(spark, str(tmp_path / "d"), schema).count() == 1
+    (tmp_path / "d" / "x.json").write_text("{broken")
+    with pytest.raises(Exception, match="MALFORMED|malformed"):
+        files.read_documents(spark, str(tmp_path / "d")).collect()
 
 
 def test_streaming_landed_run_documents(spark, tmp_path):

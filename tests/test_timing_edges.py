@@ -3,11 +3,12 @@
 import random
 from datetime import datetime, timedelta
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tally.operators import timing
-from tally.operators.sequence import ordinal, with_next, with_previous
+from tally.operators.sequence import ordinal
 from tally.sources import runlogs
 
 T0 = datetime(2024, 1, 1, 12, 0, 0)
@@ -132,7 +133,7 @@ def test_job_hierarchy_multi_worker(spark):
     jobs, completions = jobs_frames(spark)
     h = timing.job_hierarchy(jobs, completions)
     assert sorted(r.id for r in h.collect()) == ["c1", "c2", "c3"]  # s-empty dropped
-    tt = timing.normalize_workers(timing.relative_job_times(h, jobs))
+    tt = timing.normalize_workers(timing.relative_job_times(h))
     out = timing.relative_us(tt, ("created_at", "started_at", "completed_at", "own_created_at")).orderBy("task_no").collect()
     assert [r.task for r in out] == ["task_00", "task_01", "task_02"]
     assert [r.created_at_us for r in out] == [1_000_000, 1_000_000, 5_000_000]  # sub-parent creation
@@ -144,14 +145,14 @@ def test_job_hierarchy_multi_worker(spark):
 def test_job_hierarchy_single_worker(spark):
     jobs, completions = jobs_frames(spark)
     h = timing.job_hierarchy(jobs, completions, multi_worker=False)
-    tt = timing.relative_job_times(h, jobs, multi_worker=False).orderBy("task_no")
+    tt = timing.relative_job_times(h, multi_worker=False).orderBy("task_no")
     assert [r.task for r in tt.collect()] == ["task_00", "task_01", "task_02"]
     assert [r.own_created_at for r in tt.collect()] == [T0 + timedelta(seconds=s) for s in (0.5, 1, 5)]
 
 
 def test_breakdown_single_task_and_overlap(spark):
     jobs, completions = jobs_frames(spark)
-    tt = timing.relative_job_times(timing.job_hierarchy(jobs, completions), jobs)
+    tt = timing.relative_job_times(timing.job_hierarchy(jobs, completions))
     (row,) = timing.phase_breakdown_by_duration(tt).collect()
     assert row.total_tasks == 3 and row.total_duration == 6.25
     # transitions: 1.0 - 3.0 (overlap, negative) and 5.0 - 4.0
@@ -166,14 +167,9 @@ def test_ordinal_matches_row_number_under_skew(spark):
     rows = [("hot", random.randrange(0, 10_000), i) for i in range(3000)]
     rows += [(f"g{i % 40}", random.randrange(0, 10_000), 10_000 + i) for i in range(600)]
     df = spark.createDataFrame(rows, "g string, o long, id long")
-    got = ordinal(df, ["g"], "o", 97, out="pos", tie_cols=("id",))
+    got = ordinal(df, ["g"], "o", out="pos", tie_cols=("id",), num_partitions=7)
     want = df.withColumn("pos", F.row_number().over(Window.partitionBy("g").orderBy("o", "id")) - 1)
     assert sorted(got.select("id", "pos").collect()) == sorted(want.select("id", F.col("pos").cast("long")).collect())
-    linked = with_next(with_previous(got, ["g"], "pos", ["id"]), ["g"], "pos", ["id"])
-    lag = F.lag("id").over(Window.partitionBy("g").orderBy("o", "id"))
-    lead = F.lead("id").over(Window.partitionBy("g").orderBy("o", "id"))
-    expect = df.select("id", lag.alias("prev_id"), lead.alias("next_id"))
-    assert sorted(linked.select("id", "prev_id", "next_id").collect()) == sorted(expect.collect())
 
 
 def test_ordinal_neighbours_match_lag_lead_under_skew(spark):
@@ -182,7 +178,7 @@ def test_ordinal_neighbours_match_lag_lead_under_skew(spark):
     rows += [(f"g{i % 30}", random.randrange(0, 5_000), 10_000 + i, i) for i in range(400)]
     rows += [("single", 5, 99_999, 1)]
     df = spark.createDataFrame(rows, "g string, o long, id long, v long")
-    got = ordinal(df, ["g"], "o", 61, out="pos", tie_cols=("id",), previous=("v", "id"), following=("v",))
+    got = ordinal(df, ["g"], "o", out="pos", tie_cols=("id",), previous=("v", "id"), following=("v",), num_partitions=9)
     w = Window.partitionBy("g").orderBy("o", "id")
     want = df.select(
         "id",
@@ -195,27 +191,53 @@ def test_ordinal_neighbours_match_lag_lead_under_skew(spark):
     assert sorted(got.select(cols).collect()) == sorted(want.select(cols).collect())
 
 
-def test_worker_activities_chunks_hot_worker_and_null_worker(spark):
+def test_worker_activities_chunks_and_hot_worker(spark):
     from tally.operators.documents import worker_activities
 
     random.seed(5)
-    rows = []
-    for i in range(200):
-        worker = "hot" if i % 3 else random.choice(["w1", "w2", None])
-        start = T0 + timedelta(seconds=random.randrange(0, 50), days=random.randrange(0, 3))
-        rows.append(("wf", f"task_{i:03d}", start, worker))
-    rows.append(("other", "task_000", T0, "hot"))
-    tt = spark.createDataFrame(rows, "workflow_id string, task string, started_at timestamp, worker string")
-    got = {(r.workflow_id, r.worker, r.chunk): (r.tasks, r.activities)
-           for r in worker_activities(tt, chunk=7).collect()}
+    rows = [("wf", f"task_{i:03d}", i, "hot" if i % 3 else random.choice(["w1", "w2", ""])) for i in random.sample(range(200), 200)]
+    rows.append(("other", "task_000", 0, "hot"))
+    starts = spark.createDataFrame(rows, "workflow_id string, task string, seq long, worker string")
+    got = {(r.workflow_id, r.worker, r.chunk): (r.tasks, r.activities) for r in worker_activities(starts, chunk=7).collect()}
     want = {}
     for wf, worker in {(r[0], r[3]) for r in rows}:
-        ordered = [r[1] for r in sorted((r for r in rows if r[0] == wf and r[3] == worker), key=lambda r: (r[2], r[1]))]
+        ordered = [r[1] for r in sorted((r for r in rows if r[0] == wf and r[3] == worker), key=lambda r: r[2])]
         for c in range(0, len(ordered), 7):
             want[(wf, worker, c // 7)] = (len(ordered), ordered[c:c + 7])
     assert got == want
 
 
+def test_tasks_per_worker_counts_started_tasks_by_number(spark):
+    """150 tasks of one worker, every third one never completed; one started without a scheduled event."""
+    evs = [START]
+    for i in range(150):
+        own = activity(10 + 10 * i, 1 + 2 * i, str(i), worker="7@h")
+        evs += own[:2] if i % 3 == 0 else own
+    stray = dict(activity(9000, 500, "999", worker="7@h")[1])
+    pages = history(spark, {"w": evs + [stray]})
+    (r,) = timing.tasks_per_worker(timing.worker_starts(pages)).collect()
+    assert (r.workflow_id, r.worker, r.tasks, r.first_task, r.last_task) == ("w", "7@h", 150, "task_00", "task_149")
+
+
+@pytest.mark.parametrize("rows", [
+    [("hour", i * 18_000, i) for i in range(4000)],               # 4000 rows within 72 seconds of microseconds
+    [("same", 5, i) for i in range(4000)],                        # one order key: only the ties differ
+])
+def test_ordinal_splits_a_group_by_its_rows(spark, rows):
+    df = spark.createDataFrame(rows, "g string, o long, id long").repartition(5)
+    got = ordinal(df, ["g"], "o", out="pos", tie_cols=("id",), num_partitions=8)
+    assert [r.pos for r in got.orderBy("id").collect()] == list(range(4000))
+    cut = df.repartitionByRange(8, "g", "o", "id").groupBy(F.spark_partition_id()).count().collect()
+    assert len(cut) == 8 and max(r["count"] for r in cut) < 1000
+
+
+def test_unnumbered_labels_are_ordered_by_text(spark):
+    rows = [("w", None, f"label-{i:04d}") for i in range(500)] + [("w", 3, "task_03"), ("w", 1, "task_01")]
+    tt = spark.createDataFrame(rows, "workflow_id string, task_no long, task string")
+    got = [r.task for r in timing._task_order(tt).orderBy("pos").collect()]
+    assert got == ["task_01", "task_03", *(f"label-{i:04d}" for i in range(500))]
+
+
 def test_history_split_into_pages_in_any_order_matches_one_page(spark):
     evs = [START]
     for i in range(12):

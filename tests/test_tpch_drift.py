@@ -98,3 +98,16 @@ def test_limit_minus_one_means_no_limit(frames, key):
     full = run(key, frames, limit=-1).collect()
     assert len(full) >= len(top) and full[:len(top)] == top
     assert len(run(key, frames, limit=None).collect()) == len(full)
+
+
+@pytest.mark.parametrize("excluded, offers, want", [
+    ([(1, "x Customer y Complaints")], [(1,), (2,), (None,)], 1),        # a NULL offer isn't known to be allowed
+    ([(1, "x Customer y Complaints"), (None, "Customer Complaints")], [(1,), (2,)], None),   # null_excluded: nobody is
+    ([(1, "fine")], [(1,), (2,), (None,)], 2),                            # nothing excluded: count distinct skips the NULL
+])
+def test_not_in_follows_the_null_rule(spark, excluded, offers, want):
+    part = spark.createDataFrame([(7, "Brand#11", "SMALL TIN", 9)], "p_partkey int, p_brand string, p_type string, p_size int")
+    partsupp = spark.createDataFrame([(7, s) for (s,) in offers], "ps_partkey int, ps_suppkey int")
+    supplier = spark.createDataFrame(excluded, "s_suppkey int, s_comment string")
+    got = [r.supplier_cnt for r in tpch.supplier_count(partsupp, part, supplier).collect()]
+    assert got == ([] if want is None else [want])
