@@ -16,7 +16,6 @@ from __future__ import annotations
 import heapq
 import json
 import re
-from collections import OrderedDict
 from functools import lru_cache
 
 import numpy as np
@@ -33,7 +32,7 @@ LONG_FRAGMENT = 100   # letters from which a heap finds the next merge
 WORD_END = "</w>"
 
 #: Unicode white space, and of it what str.split() takes but the pattern ``\s`` doesn't.
-_SPACE = re.compile("[\t-\r \x85\xa0  -     　]+")
+_SPACE = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
 _SPLIT_ONLY = re.compile("[\x1c-\x1f]")
 
 
@@ -203,30 +202,25 @@ def codec_of(path: str) -> WordBpe:
         return _codec(file.read())
 
 
-def _shipped(spark: SparkSession, path: str):
+def share_tokenizer(spark: SparkSession, path: str):
     """The tokenizer file's text as a broadcast: some MB, the same for any input."""
     ship_package(spark)
     with open(path, encoding="utf-8") as file:
         return spark.sparkContext.broadcast(file.read())
 
 
-_codecs: OrderedDict = OrderedDict()
-
-
-def _of(shared) -> WordBpe:
+def shared_codec(shared) -> WordBpe:
     """The codec of a broadcast definition, made once in each process."""
-    if shared.value is not _codecs.get("text"):
-        _codecs["text"], _codecs["codec"] = shared.value, _codec(shared.value)
-    return _codecs["codec"]
+    return _codec(shared.value)
 
 
 def encode_text(docs: DataFrame, tokenizer: str, text: str = "text", out: str = "ids") -> DataFrame:
     """``docs`` with ``out``: the ids of the whole text, little-endian 32-bit, as binary. Null is empty."""
-    shared = _shipped(docs.sparkSession, tokenizer)
+    shared = share_tokenizer(docs.sparkSession, tokenizer)
 
     @F.arrow_udf("binary")
     def ids(column: pa.Array) -> pa.Array:
-        codec = _of(shared)
+        codec = shared_codec(shared)
         return pa.array([codec.encode(x.as_py() or "") for x in column], pa.binary())
 
     return docs.withColumn(out, ids(F.col(text)))
@@ -234,11 +228,11 @@ def encode_text(docs: DataFrame, tokenizer: str, text: str = "text", out: str =
 
 def decode_ids(docs: DataFrame, tokenizer: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
     """``docs`` with ``out``: the text of the ids in column ``ids``, special tokens included. Null is empty."""
-    shared = _shipped(docs.sparkSession, tokenizer)
+    shared = share_tokenizer(docs.sparkSession, tokenizer)
 
     @F.arrow_udf("string")
     def decoded(column: pa.Array) -> pa.Array:
-        codec = _of(shared)
+        codec = shared_codec(shared)
         return pa.array([codec.decode(x.as_py() or b"").decode() for x in column], pa.string())
 
     return docs.withColumn(out, decoded(F.col(ids)))
@@ -250,11 +244,11 @@ def round_trip(docs: DataFrame, tokenizer: str, text: str = "text", out: str = "
     Null and empty texts have no ids and decode to the empty text. An existing
     column ``out`` is replaced; all others pass unchanged.
     """
-    shared = _shipped(docs.sparkSession, tokenizer)
+    shared = share_tokenizer(docs.sparkSession, tokenizer)
 
     @F.arrow_udf("ids binary, decoded string")
     def coded(column: pa.Array) -> pa.Array:
-        codec = _of(shared)
+        codec = shared_codec(shared)
         ids = [codec.encode(x.as_py() or "") for x in column]
         return pa.StructArray.from_arrays(
             [pa.array(ids, pa.binary()), pa.array([codec.decode(x).decode() for x in ids], pa.string())],

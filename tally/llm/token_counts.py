@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tally.llm.bpe import _of, _shipped
+from tally.llm.bpe import share_tokenizer, shared_codec
 from tally.llm.exact_dedup import flag_repeated
 from tally.llm.shared import BLANK, free_name
 
@@ -53,11 +53,11 @@ def read_cache(spark: SparkSession, cache: str, version: str) -> DataFrame | Non
 
 def _counted(texts: DataFrame, tokenizer: str) -> DataFrame:
     """``(content_digest, n_tokens)`` of ``(content_digest, text)`` rows, by encoding each."""
-    shared = _shipped(texts.sparkSession, tokenizer)
+    shared = share_tokenizer(texts.sparkSession, tokenizer)
 
     @F.arrow_udf("long")
     def tokens(column: pa.Array) -> pa.Array:
-        codec = _of(shared)
+        codec = shared_codec(shared)
         return pa.array([len(codec.encode(x.as_py() or "")) // 4 for x in column], pa.int64())
 
     return texts.select("content_digest", tokens(F.col("text")).alias("n_tokens"))
