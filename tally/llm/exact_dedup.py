@@ -32,11 +32,11 @@ def _slot(digest: Column, k: int, bits: int) -> Column:
     return F.pmod(F.xxhash64(F.lit(k), digest), F.lit(bits)) + 1
 
 
-def repeated_filter(digests: DataFrame, digest: str, bits: int) -> DataFrame:
-    """Bitmaps ``(bucket, bitmap)`` of the slots that at least two rows hit."""
-    slots = digests.select(F.explode(F.array(*[_slot(F.col(digest), k, bits) for k in range(HASHES)])).alias("slot"))
-    twice = slots.groupBy("slot").agg(F.count("*").alias("rows")).where("rows >= 2")
-    return twice.groupBy(F.bitmap_bucket_number("slot").alias("bucket")).agg(
+def _bitmaps(values: DataFrame, value: str, bits: int, least: int) -> DataFrame:
+    """``(bucket, bitmap)`` of the slots that at least ``least`` rows hit."""
+    slots = values.select(F.explode(F.array(*[_slot(F.col(value), k, bits) for k in range(HASHES)])).alias("slot"))
+    hit = slots.groupBy("slot").agg(F.count("*").alias("rows")).where(F.col("rows") >= least)
+    return hit.groupBy(F.bitmap_bucket_number("slot").alias("bucket")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bitmap"))
 
 
@@ -45,17 +45,12 @@ def filter_bits(rows: int) -> int:
     return min(MAX_BITS, 1 << max(15, (rows * BITS_PER_ROW - 1).bit_length()))
 
 
-def flag_repeated(df: DataFrame, digest: str, out: str, bits: int | None = None) -> DataFrame:
-    """``df`` with boolean ``out``: false only if no other row has the same ``digest``.
-
-    The filter has at most ``MAX_BITS`` bits, so broadcasting it is bounded.
-    """
-    bits = bits or filter_bits(df.select(digest).count() if digest in df.columns else df.count())
-    bitmaps = repeated_filter(df, digest, bits)
+def _look_up(df: DataFrame, value: str, bitmaps: DataFrame, bits: int, out: str) -> DataFrame:
+    """``df`` with boolean ``out``: all slots of ``value`` are set. The bitmaps, of at most ``MAX_BITS`` bits, are broadcast."""
     tests = []
     for k in range(HASHES):
         bucket, bitmap = free_name(df, f"bucket_{k}"), free_name(df, f"bitmap_{k}")
-        slot = _slot(F.col(digest), k, bits)
+        slot = _slot(F.col(value), k, bits)
         own = bitmaps.select(F.col("bucket").alias(bucket), F.col("bitmap").alias(bitmap))
         df = df.withColumn(f"{bucket}_of", F.bitmap_bucket_number(slot))
         df = df.join(F.broadcast(own), F.col(f"{bucket}_of") == F.col(bucket), "left")
@@ -67,6 +62,21 @@ def flag_repeated(df: DataFrame, digest: str, out: str, bits: int | None = None)
     return flagged.drop(*[c for bucket, bitmap, _ in tests for c in (bucket, bitmap, f"{bucket}_of")])
 
 
+def flag_repeated(df: DataFrame, digest: str, out: str, bits: int | None = None) -> DataFrame:
+    """``df`` with boolean ``out``: false only if no other row has the same ``digest``."""
+    bits = bits or filter_bits(df.select(digest).count())
+    return _look_up(df, digest, _bitmaps(df, digest, bits, least=2), bits, out)
+
+
+def flag_members(df: DataFrame, value: str, members: DataFrame, member: str, out: str) -> DataFrame:
+    """``df`` with boolean ``out``: false only if ``value`` isn't among ``members``.
+
+    Lets an exact join after it shuffle little more than the rows that match.
+    """
+    bits = filter_bits(members.count())
+    return _look_up(df, value, _bitmaps(members, member, bits, least=1), bits, out)
+
+
 def exact_dedup(df: DataFrame, digest: str, length: str, key: str, bits: int | None = None) -> DataFrame:
     """Group rows by ``digest`` and choose the longest row, then the smallest ``key``, of each.
 

@@ -8,7 +8,7 @@ and the registers of a union are the register-wise maxima.
 Documents with equal sets form a class with one representative. Bands of
 registers bring representatives together; in each bucket all are compared
 with one hub; then, only where a bucket still holds several components, pairs
-across components. A pair is first judged by the maximum-likelihood estimate
+across components that share enough with the others at all. A pair is first judged by the maximum-likelihood estimate
 of its similarity from the registers, then confirmed on the full sets.
 """
 
@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tally.llm.components import connected_components
+from tally.llm.exact_dedup import flag_members
 from tally.llm.shared import ship_package, written
 from tally.llm.textvec import mix, random_words, texts_of
 
@@ -147,14 +148,20 @@ def _shingle_set(text: bytes, shingle: int) -> set:
     return set(zip(*(words[j:] for j in range(shingle))))
 
 
+def _only(df: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of ``df`` whose ``id`` is in the written table ``ids``; few others shuffle."""
+    flagged = flag_members(df, "id", ids, "id", "maybe_needed").where("maybe_needed").drop("maybe_needed")
+    return flagged.join(ids, "id", "left_semi")
+
+
 def _confirm(pairs: DataFrame, sets: DataFrame, docs: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """The pairs ``(a, b)`` that are similar: by estimate first, then by their texts' full sets.
+    """The pairs ``(a, b)`` that are similar, written: by estimate first, then by their texts' full sets.
 
-    ``sets``: id, n_shingles, registers; ``docs``: id, text. A hub stands in
-    column a of many pairs; its registers and text cross the network once.
+    ``pairs``: a written table; ``sets``: id, n_shingles, registers; ``docs``:
+    id, text. A hub stands in column a of many pairs; its registers and text
+    cross the network once.
     """
-    of = lambda side: sets.select(F.col("id").alias(side), F.col("n_shingles").alias(f"n_{side}"),
-                                  F.col("registers").alias(f"r_{side}"))
+    named = lambda df, side, **columns: df.select(F.col("id").alias(side), *[F.col(c).alias(n) for n, c in columns.items()])
     least = percent / 100 - ESTIMATE_MARGIN
 
     @F.arrow_udf("boolean")
@@ -163,25 +170,54 @@ def _confirm(pairs: DataFrame, sets: DataFrame, docs: DataFrame, shingle: int, p
             return pa.array([], pa.bool_())
         return pa.array(estimate_similarity(_matrix(r_a), _matrix(r_b), n_a.to_numpy(), n_b.to_numpy()) >= least)
 
-    joined = pairs.join(of("b"), "b").join(of("a"), "a")
+    both_ends = lambda df, n: written(df.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "ids", 2 * n)
+    n_pairs = pairs.count()
+    own = _only(sets, both_ends(pairs, n_pairs))
+    joined = (pairs.join(named(own, "b", n_b="n_shingles", r_b="registers"), "b")
+              .join(named(own, "a", n_a="n_shingles", r_a="registers"), "a"))
     joined = joined.where(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
-    candidates = written(joined.where(likely("r_a", "r_b", "n_a", "n_b")).select("a", "b"), "candidates")
+    candidates = written(joined.where(likely("r_a", "r_b", "n_a", "n_b")).select("a", "b"), "candidates",
+                         n_pairs)
 
     @F.arrow_udf("boolean")
     def similar(a: pa.Array, text_a: pa.Array, text_b: pa.Array) -> pa.Array:
-        out, last, own = [], None, set()
+        out, last, mine = [], None, set()
         for one, left, right in zip(a.to_pylist(), text_a, text_b):
             if one != last:
-                last, own = one, _shingle_set((left.as_py() or "").encode(), shingle)
+                last, mine = one, _shingle_set((left.as_py() or "").encode(), shingle)
             other = _shingle_set((right.as_py() or "").encode(), shingle)
-            both = len(own & other)
-            out.append(both > 0 and 100 * both >= percent * (len(own) + len(other) - both))
+            both = len(mine & other)
+            out.append(both > 0 and 100 * both >= percent * (len(mine) + len(other) - both))
         return pa.array(out, pa.bool_())
 
-    needed = candidates.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    texts = written(docs.join(needed, "id", "left_semi"), "texts")
-    of = lambda side: texts.select(F.col("id").alias(side), F.col("text").alias(f"t_{side}"))
-    return candidates.join(of("b"), "b").join(of("a"), "a").where(similar("a", "t_a", "t_b")).select("a", "b")
+    n_candidates = candidates.count()
+    texts = written(_only(docs, both_ends(candidates, n_candidates)), "texts")
+    confirmed = (candidates.join(named(texts, "b", t_b="text"), "b").join(named(texts, "a", t_a="text"), "a")
+                 .where(similar("a", "t_a", "t_b")).select("a", "b"))
+    return written(confirmed, "links", n_candidates)
+
+
+def _shared_sizes(docs: DataFrame, shingle: int) -> DataFrame:
+    """``(id, n_common)``: how many of a document's shingles some other of these documents has too.
+
+    An upper bound of its overlap with any of them, by exact counts over all
+    their shingles. ``docs``: a written table of distinct sets (id, text).
+    """
+    @F.arrow_udf("array<long>")
+    def hashes(column: pa.Array) -> pa.Array:
+        out = []
+        for x in texts_of(column):
+            rows, values = _shingle_hashes(x, shingle)
+            edges = np.searchsorted(rows, np.arange(x.n + 1))
+            out += [values[a:b].view(np.int64) for a, b in zip(edges[:-1], edges[1:])]
+        return pa.array(out, pa.list_(pa.int64()))
+
+    each = docs.select("id", F.explode(hashes("text")).alias("shingle"))
+    common = each.groupBy("shingle").agg(F.count("*").alias("docs")).where("docs > 1")
+    # Joined by another key than the grouped one: both sides are dealt anew, so AQE may split a frequent shingle.
+    common = common.select(F.bitwise_not("shingle").alias("key"))
+    return (each.select("id", F.bitwise_not("shingle").alias("key")).join(common, "key")
+            .groupBy("id").agg(F.count("*").alias("n_common")))
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", shingle: int = 5,
@@ -191,48 +227,63 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", sh
     ``component_id`` is the least id linked through pairs with
     ``100 |A and B| >= percent |A or B|`` of their sets of word shingles. Texts
     without words have an empty set and no links. A row with a null key links
-    with nothing (component null); rows that share a key are one node.
+    with nothing (component null); rows that share a key are one node, and
+    where their texts differ one of them is compared across components.
     """
     own = docs.select(F.col(key).alias("id"), F.col(text).alias("text"))
     sketches = written(with_sketch(own, "text", shingle, "s").select("id", "s.*"), "sketches")
+    n = sketches.count()
     filled = sketches.where("id is not null and n_shingles > 0")
     # Grouped by the digest, joined by its text: AQE may then split a hot class.
     classes = filled.groupBy("set_digest").agg(F.min("id").alias("representative"), F.count("*").alias("members"))
-    classes = written(classes.where("members > 1").select(F.hex("set_digest").alias("digest"), "representative"), "classes")
+    classes = classes.where("members > 1").select(F.hex("set_digest").alias("digest"), "representative")
     membership = filled.select("id", F.hex("set_digest").alias("digest")).join(classes, "digest").where("id <> representative")
-    membership = written(membership.select(F.col("representative").alias("a"), F.col("id").alias("b")).distinct(), "membership")
+    membership = written(membership.select(F.col("representative").alias("a"), F.col("id").alias("b")).distinct(), "membership", n)
 
-    sets = filled.join(membership.select(F.col("b").alias("id")), "id", "left_anti").select("id", "n_shingles", "registers")
-    sets = written(sets, "sets")
+    # One document of each class: those that may be members are looked up, the rest stay where they are.
+    members = membership.select(F.col("b").alias("id"))
+    asked = flag_members(filled.select("id", "n_shingles", "registers"), "id", members, "id", "maybe_member")
+    sets = asked.where("not maybe_member").unionByName(asked.where("maybe_member").join(members, "id", "left_anti"))
+    sets = written(sets.drop("maybe_member"), "sets")
     band = [F.xxhash64(F.lit(i), F.substring("registers", 2 * ROWS * i + 1, 2 * ROWS)) for i in range(BANDS)]
     banded = sets.select("id", "n_shingles", F.explode(F.array(*band)).alias("bucket"))
-    shared = banded.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
-    # The bucket's number as text is another key than the grouped one: both sides are dealt anew.
-    collisions = written(banded.withColumn("bucket", F.col("bucket").cast("string"))
-                         .join(shared.withColumn("bucket", F.col("bucket").cast("string")), "bucket"), "collisions")
+    shared = written(banded.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1"), "shared", BANDS * n // 2, 200_000)
+    met = flag_members(banded, "bucket", shared, "bucket", "maybe_shared").where("maybe_shared").drop("maybe_shared")
+    n_met = shared.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
+    collisions = written(met.join(shared, "bucket"), "collisions", n_met)
 
     # The hub of a bucket meets most others over all buckets: in a star of copies that is the original.
     company = collisions.groupBy("id").agg(F.sum("size").alias("company"))
     first = F.struct((-F.col("company")).alias("less"), F.col("id").alias("id"))
-    hubs = written(collisions.join(company, "id").groupBy("bucket").agg(F.min(first)["id"].alias("hub")), "hubs")
-    pairs = collisions.join(hubs, "bucket").where("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
-    star_pairs = written(pairs, "star-pairs")
-    links = written(_confirm(star_pairs, sets, own, shingle, percent), "links")
+    hubs = collisions.join(company, "id").groupBy("bucket").agg(F.min(first)["id"].alias("hub"))
+    hubs = hubs.select(F.bitwise_not("bucket").alias("key"), "hub")
+    pairs = collisions.join(hubs, F.bitwise_not("bucket") == F.col("key")).where("id <> hub")
+    star_pairs = written(pairs.select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct(), "star-pairs", n_met)
+    links = _confirm(star_pairs, sets, own, shingle, percent)
     found = connected_components(links)
 
-    # Buckets that still hold several components: pairs across them, but not those already compared.
+    # Buckets that still hold several components: pairs across them that weren't compared yet. No pair
+    # overlaps by more than either document shares with all the others there, which rules most out unpaired.
     placed = (collisions.join(found, "id", "left")
               .select("bucket", "id", "n_shingles", F.coalesce("component", "id").alias("component")))
-    open_ = placed.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
-    rest = written(placed.join(open_.select(F.col("bucket").cast("string").alias("bucket")), "bucket", "left_semi"), "open")
-    left = rest.select("bucket", F.col("id").alias("a"), F.col("n_shingles").alias("n_a"), F.col("component").alias("c_a"))
-    right = rest.select("bucket", F.col("id").alias("b"), F.col("n_shingles").alias("n_b"), F.col("component").alias("c_b"))
-    across = (left.join(right, "bucket")
-              .where((F.col("a") < F.col("b")) & (F.col("c_a") != F.col("c_b"))
-                     & (100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")))
-              .select("a", "b").distinct())
+    several = (placed.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+               .where("low <> high").select(F.bitwise_not("bucket").alias("key")))
+    open_ = written(placed.join(several, F.bitwise_not("bucket") == F.col("key"), "left_semi"), "open", n_met)
+    n_open = open_.count()
+    open_ids = written(open_.select("id").distinct(), "ids", n_open)
+    texts = written(_only(own, open_ids).dropDuplicates(["id"]), "texts")
+    rest = written(open_.join(_shared_sizes(texts, shingle), "id")
+                   .where(100 * F.col("n_common") >= percent * F.col("n_shingles")), "rest", n_open)
+    left = rest.select("bucket", *[F.col(c).alias(f"{c}_a") for c in ("id", "n_shingles", "n_common", "component")])
+    right = rest.select("bucket", *[F.col(c).alias(f"{c}_b") for c in ("id", "n_shingles", "n_common", "component")])
+    most = F.least("n_common_a", "n_common_b")
+    possible = 100 * most >= percent * (F.col("n_shingles_a") + F.col("n_shingles_b") - most)
+    across = (left.join(right, (left["bucket"] == right["bucket"]) & (F.col("id_a") < F.col("id_b"))
+                        & (F.col("component_a") != F.col("component_b")) & possible)
+              .select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct())
     compared = star_pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    more = written(_confirm(across.join(compared, ["a", "b"], "left_anti"), sets, own, shingle, percent), "links")
+    new_pairs = written(across.join(compared, ["a", "b"], "left_anti"), "pairs")
+    more = _confirm(new_pairs, sets, texts, shingle, percent)
 
     if not more.isEmpty():
         found = connected_components(links.unionByName(more))
@@ -240,6 +291,6 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", sh
     # A member of a class has the component of its representative.
     of_members = membership.join(component_of, membership["a"] == component_of["node"], "left").select(
         F.col("b").alias("node"), F.coalesce("component", "a").alias("component"))
-    nodes = written(component_of.unionByName(of_members), "components")
+    nodes = written(component_of.unionByName(of_members), "components", n)
     return (sketches.select("id", "n_shingles").join(nodes, F.col("id") == F.col("node"), "left")
             .select("id", "n_shingles", F.coalesce("component", "id").alias("component_id")))

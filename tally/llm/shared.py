@@ -23,16 +23,25 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, rows: int | None = None, per_task: int = 50_000) -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it back.
 
     Cuts the lineage like a checkpoint, keeps the columns prunable, and a lost
-    executor costs nothing that was written.
+    executor costs nothing that was written. ``rows``, an upper bound counted
+    from what ``df`` is made of, lets a slim table be dealt anew to as many
+    tasks as its rows fill (``per_task`` each) before it is written, instead of
+    one small file for each shuffle partition. (``coalesce`` would run all the
+    merged partitions' joins in one task, with the memory of all their sorts.)
     """
-    path = shared_path(df.sparkSession, name)
+    spark = df.sparkSession
+    path = shared_path(spark, name)
     schema = df.schema
+    if rows is not None:
+        tasks = max(1, -(-rows // per_task))
+        if tasks < int(spark.conf.get("spark.sql.shuffle.partitions")):
+            df = df.repartition(tasks)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(schema).parquet(path)
+    return spark.read.schema(schema).parquet(path)
 
 
 def fold(doc_id: Column, folds: int) -> Column:
