@@ -100,7 +100,9 @@ def exact_dedup(df: DataFrame, digest: str, length: str, key: str, bits: int | N
               .agg(F.count("*").alias("group_size"), F.min(order).alias("first"))
               .select(F.lower(F.hex("digest_bytes")).alias(group), F.col("first.key").alias("keep_id"), "group_size"))
     copy = free_name(df, "copy_no")
-    same_key = Window.partitionBy(digest, key).orderBy(F.col(length).desc())
+    # By the digest reversed: dealt by digest alone, the join's partitions would do for this
+    # window, and a hot digest would stay in one task.
+    same_key = Window.partitionBy(F.reverse(F.col(digest)), key).orderBy(F.col(length).desc())
     chosen = (several.join(groups, F.col(digest) == F.col(group)).drop(group)
               .withColumn(copy, F.row_number().over(same_key))
               .withColumn("kept", F.col(key).eqNullSafe(F.col("keep_id")) & (F.col(copy) == 1)).drop(copy))
