@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from tally.llm.shared import ship_package
 
-REMEMBERED = 200_000  # words, and as many pre-tokens, in each of a process's two generations (some 100 MB in all)
+REMEMBERED = 150_000  # words, and as many pre-tokens, in each of a process's two generations (some 100 MB in all)
 LATIN_END = "\u0250"   # below: letters that are composed already, with settled classes and lower cases
 LONG_FRAGMENT = 100   # letters from which a heap finds the next merge
 WORD_END = "</w>"

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tally.session import ensure_checkpoint_dir
 
+BATCH_ROWS = 1000
 #: ``[^\x20\x09-\x0D]+`` as Java and DuckDB regular expressions read it.
 WORD = r"[^\x20\x09-\x0D]+"
 #: One or more of the characters that the exact-duplicate normalisation deletes.
@@ -65,12 +66,16 @@ def free_name(df: DataFrame, name: str) -> str:
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Send this package's modules to the executors once per application.
+    """Send this package's modules to the executors once per application, and keep Arrow batches small.
 
     A cluster job started with ``--py-files`` needs no such step; a driver that
-    merely has the repository on its own path does.
+    merely has the repository on its own path does. Texts are long: a batch
+    of Spark's 10,000 rows takes tens of MB in the JVM and again in Python, so
+    ``BATCH_ROWS`` is set unless the session has a value of its own.
     """
     sc = spark.sparkContext
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", None) is None:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     if getattr(sc, "_tally_shipped", False):
         return
     root = Path(__file__).resolve().parents[1]
