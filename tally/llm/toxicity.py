@@ -75,6 +75,22 @@ class ToxicityModel:
         return pa.array(_sigmoid(self.slope * out + self.shift))
 
 
+def _typical(in_p: np.ndarray, n_p: int, in_u: np.ndarray, n_u: int) -> np.ndarray:
+    """By how many standard errors each bucket is more frequent in toxic texts; 0 where it is rare or isn't."""
+    share_p, share_u = in_p / max(1, n_p), in_u / max(1, n_u)
+    out = (share_p - share_u) / np.sqrt(share_u * (1 - share_u) / max(1, n_p) + 1e-6)
+    out[(in_p < max(2, 0.002 * n_p)) | (share_p <= share_u)] = 0
+    return out
+
+
+def _texts_with(parts: list[np.ndarray]) -> np.ndarray:
+    """How many of the texts have each bucket, added up run by run."""
+    out = np.zeros(BUCKETS, dtype=np.int64)
+    for at in range(0, len(parts), 512):
+        out += np.bincount(np.concatenate(parts[at:at + 512]), minlength=BUCKETS)
+    return out
+
+
 def train_nnpu(rows: np.ndarray, buckets: np.ndarray, positive: np.ndarray, unlabelled: np.ndarray,
                prior: float) -> ToxicityModel:
     """Fit from the (row, bucket) pairs of texts; ``positive`` and ``unlabelled`` are row numbers.
@@ -89,10 +105,8 @@ def train_nnpu(rows: np.ndarray, buckets: np.ndarray, positive: np.ndarray, unla
         return model
     is_p, is_u = np.zeros(n, dtype=bool), np.zeros(n, dtype=bool)
     is_p[positive], is_u[unlabelled] = True, True
-    seen = np.bincount(buckets[is_p[rows]], minlength=BUCKETS)
-    in_p, in_u = seen / n_p, np.bincount(buckets[is_u[rows]], minlength=BUCKETS) / n_u
-    typical = (in_p - in_u) / np.sqrt(in_u * (1 - in_u) / n_p + 1e-6)
-    typical[(seen < max(2, 0.002 * n_p)) | (in_p <= in_u)] = 0
+    typical = _typical(np.bincount(buckets[is_p[rows]], minlength=BUCKETS), n_p,
+                       np.bincount(buckets[is_u[rows]], minlength=BUCKETS), n_u)
     chosen = np.argsort(-typical, kind="stable")[:FEATURES]
     chosen = chosen[typical[chosen] >= LEAST_TYPICAL]
     number = np.full(BUCKETS, -1)
@@ -180,8 +194,14 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, train: Column, text: str =
         return ToxicityModel(np.zeros(BUCKETS), 0.0)
     found = found.sort_by([("buckets", "ascending"), ("toxic", "ascending")])  # the same start for any order of arrival
     parts = [np.frombuffer(b, dtype="<i4") for b in found["buckets"].to_pylist()]
-    rows, buckets = np.repeat(np.arange(len(parts)), [len(p) for p in parts]), np.concatenate(parts).astype(np.int64)
     role = {name: np.flatnonzero(found[name].to_numpy()) for name in ("positive", "unlabelled", "calibration")}
+    marked = found["toxic"].to_numpy()[role["calibration"]] == 1
+    del found
+    # Buckets that are nowhere near typical go at once, so that few pairs are held while training.
+    of_role = {name: _texts_with([parts[i] for i in role[name]]) for name in ("positive", "unlabelled")}
+    near = _typical(of_role["positive"], len(role["positive"]), of_role["unlabelled"], len(role["unlabelled"])) >= LEAST_TYPICAL / 2
+    parts = [p[near[p]] for p in parts]
+    rows, buckets = np.repeat(np.arange(len(parts)), [len(p) for p in parts]), np.concatenate(parts).astype(np.int64)
     prior = n_toxic / max(1, n_marked)
     # Calibrated on margins of texts that the classifier hasn't seen: one of FOLDS parts is left out at a time.
     part = np.random.default_rng(3).permutation(len(parts)) % FOLDS
@@ -192,7 +212,6 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, train: Column, text: str =
         without = train_nnpu(rows[~left_out], buckets[~left_out], seen["positive"], seen["unlabelled"], prior)
         margins += without.margins(rows[left_out], buckets[left_out], len(parts)) * (part == k)
     model = train_nnpu(rows, buckets, role["positive"], role["unlabelled"], prior)
-    marked = found["toxic"].to_numpy()[role["calibration"]] == 1
     model.slope, model.shift = calibrate(margins[role["calibration"]], marked)
     return model
 
