@@ -21,7 +21,7 @@ from tally.functions.timefn import micros_between, parse_ts, seconds
 from tally.operators import documents, timing
 from tally.operators.sequence import dense_index
 from tally.operators.timing import WF
-from tally.session import ensure_checkpoint_dir, land
+from tally.session import ensure_checkpoint_dir
 from tally.sinks import files
 from tally.sources import runlog_fixtures as fx
 from tally.sources import runlogs
@@ -175,13 +175,13 @@ def _document(tt: DataFrame, title: str) -> DataFrame:
 
 
 def t14_document_upsert(spark, sf_dir):
-    """A stored document of every other workflow, written and read again, takes the new entries of every third."""
-    tt = land(timing.normalize_workers(_event_history_timing(spark, sf_dir), "numeric"))
-    number = F.col(WF).cast("long")
-    old = documents.document_entries(_document(tt.where(number % 2 == 0), 'the "old" one'))
+    """A stored document of all workflows by their event histories, written and read again, takes their entries by run document."""
+    tt = timing.normalize_workers(_event_history_timing(spark, sf_dir), "numeric")
+    old = documents.document_entries(_document(tt, 'the "old" one'))
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/document-{uuid.uuid4().hex}"
     files.write_documents(old, path)
-    new = documents.document_entries(_document(tt.where(number % 3 == 0), "the new one"))
+    runs = timing.normalize_workers(_run_document_timing(spark, sf_dir), "lexicographic")
+    new = documents.document_entries(_document(runs, "the new one"))
     merged = documents.upsert_by_key(files.read_documents(spark, path), new)
     files.write_documents(merged, path)
     body = "workers int, created_at array<double>, started_at array<double>, completed_at array<double>, worker_execution array<int>"
