@@ -31,8 +31,10 @@ BLOCKS = CONTAINERS | {
     "summary", "table", "tbody", "td", "tfoot", "th", "thead", "tr", "ul"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 SKIPPED = {"head", "script", "style", "title", "noscript", "template", "textarea", "iframe", "svg", "math", "select", "object"}
-#: What isn't part of an article, by tag and by a word of class or id.
+#: What isn't part of an article, by tag and by the leading word of a class or id.
 BOILERPLATE = {"nav", "header", "footer", "aside", "form", "button", "menu", "dialog"}
+#: What their class or id never makes boilerplate ("no-sidebar", "comments-open"): it tells of the page or its state.
+PAGE_PARTS = {"body", "main", "article"}
 BOILERPLATE_WORD = re.compile(
     r"(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|notices?|sidebar|menu|nav|navbar|navigation|"
     r"breadcrumbs?|footer|header|masthead|share|sharing|social|related|recommended|recommendations|comments?|replies|"
@@ -72,7 +74,7 @@ class Page:
 
     def text(self, path: str | None) -> str:
         """The blocks of the containers at ``path``; without any, of the page's best container."""
-        chosen = [c for c in self.containers if c.path == path]
+        chosen = [c for c in self.containers if c.path == path and c.last > c.first]
         if not chosen:
             chosen = [max(self.containers, key=lambda c: c.score)]
         out, done = [], 0
@@ -82,21 +84,30 @@ class Page:
         return " ".join(out)
 
 
-def _step(tag: str, attributes: str) -> tuple[str, bool]:
+def _step(tag: str, attributes: str, by_class: bool) -> tuple[str, bool]:
     """The element's generalised step in a path (digits as #), and whether it is boilerplate."""
+    by_class = by_class and tag not in PAGE_PARTS
     classes, boiler = "", tag in BOILERPLATE
     if attributes:
         for name, *values in _NAMES.findall(attributes):
             words = "".join(values).split()
             if name.lower() == "class" and not classes:
                 classes = "".join(f".{re.sub('[0-9]+', '#', w)}" for w in sorted(set(words)))
-            boiler |= any(BOILERPLATE_WORD.match(part) for w in words for part in re.split(r"[-_]+", w))
-        boiler |= bool(_HIDDEN.search(attributes))
+            boiler |= by_class and any(BOILERPLATE_WORD.match(re.split(r"[-_]+", w.lstrip("-_"))[0]) for w in words)
+        boiler |= bool(_HIDDEN.search(attributes if by_class else _NAMES.sub(" ", attributes)))
     return tag + classes, boiler
 
 
 def parse_page(html: str) -> Page:
-    """Read a page leniently: unclosed and stray tags, comments and scripts never stop it."""
+    """Read a page leniently: unclosed and stray tags, comments and scripts never stop it.
+
+    A page that has no text but what a class or id marks as boilerplate is read without that rule.
+    """
+    page = _parsed(html, by_class=True)
+    return page if page.blocks else _parsed(html, by_class=False)
+
+
+def _parsed(html: str, by_class: bool) -> Page:
     page = Page(containers=[_Container("body", -1)])
     # Open containers and boilerplate: (tag, container, boilerplate or inside it).
     open_: list[tuple[str, int, bool]] = [("body", 0, False)]
@@ -159,7 +170,7 @@ def parse_page(html: str) -> Page:
                 end = re.compile(rf"</{tag}\b[^>]*>|\Z" if tag != "head" else r"</head\b[^>]*>|(?=<body\b)|\Z", re.IGNORECASE).search(html, at)
                 at = max(end.end(), at)
         elif tag not in VOID and tag not in ("html",):
-            step, boiler = _step(tag, attributes)
+            step, boiler = _step(tag, attributes, by_class)
             _, inside, hidden = open_[-1]
             if boiler or hidden and tag in CONTAINERS:
                 end_block()

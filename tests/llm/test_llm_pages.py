@@ -39,6 +39,23 @@ def test_broken_pages():
         assert page.text(None) == text, html
 
 
+def test_classes_of_ordinary_pages():
+    """A class that names a state or a builder's part isn't boilerplate; a page is never emptied by classes."""
+    text = "<p>The text of the page.</p>"
+    for html in [f'<body class="no-sidebar">{text}', f'<body class="has-sidebar">{text}', f'<body class="modal-open">{text}', f'<body id="search">{text}',
+                 f'<article class="post comments-open">{text}</article>', f'<main class="search hidden x">{text}</main>',
+                 f'<div class="elementor-widget-text-editor">{text}</div>', f'<div class="page has-sidebar">{text}</div>',
+                 f'<body><div class="modal-open">{text}</div>', f'<body><div id="menu" class="x hidden">{text}</div>']:
+        assert parse_page(html).text(None) == "The text of the page.", html
+    for html in [f'<div class="{c}"><p>Not this.</p></div>{text}' for c in ("sidebar", "cookie-notice", "ad_top", "x comments", "x hidden y")]:
+        assert parse_page(html).text(None) == "The text of the page.", html
+    assert parse_page("<nav>Home</nav><div hidden>no</div>").text(None) == ""
+
+
+def test_empty_container_at_the_winning_path():
+    assert parse_page("<body><article></article><div><p>text</p></div>").text("body>article") == "text"
+
+
 def test_edges(spark):
     schema = "page_id long, url string, html string, host string, path string, text string"
     long_page = "<article>" + "<p>some words here</p>" * 20_000 + "</article>"
