@@ -1,8 +1,9 @@
 """Main text of web pages by the paths that a host's pages agree on.
 
 Each page's containers are scored by the text that stands right in them, links
-counting against it. Spark adds up, per host, the votes for each container's
-generalised tag-class path; the winning path is then used to read every page
+counting against it. A container in an article or main element votes for that
+whole, so that headline, lead and all parts stay together. Spark adds up, per
+host, the votes for each generalised tag-class path; the winning path is then used to read every page
 of the host again. A page without that path falls back to its own best one.
 """
 
@@ -11,6 +12,7 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass, field
 from html import unescape
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -54,6 +56,7 @@ class _Container:
     first: int = 0      # its blocks are first .. last - 1
     last: int = -1
     score: float = 0.0
+    kind: str = ""      # "article" or "main", by tag or role
 
 
 @dataclass
@@ -63,39 +66,63 @@ class Page:
     blocks: list[str] = field(default_factory=list)
     containers: list[_Container] = field(default_factory=list)
 
+    def wholes(self) -> list[int]:
+        """Of each container, the one that holds the whole it belongs to.
+
+        That is its outermost article, else its outermost main element, else
+        itself; and the main element around that, if at least half of its
+        text stands in it.
+        """
+        upto = [0, *accumulate(map(len, self.blocks))]
+        size = [upto[c.last] - upto[c.first] for c in self.containers]
+        article, main, out = [], [], []
+        for i, c in enumerate(self.containers):  # parents come first
+            article.append(article[c.parent] if c.parent >= 0 and article[c.parent] >= 0 else i if c.kind == "article" else -1)
+            main.append(main[c.parent] if c.parent >= 0 and main[c.parent] >= 0 else i if c.kind == "main" else -1)
+            whole = article[i] if article[i] >= 0 else main[i] if main[i] >= 0 else i
+            around = main[whole]
+            out.append(around if around >= 0 and 2 * size[whole] >= size[around] else whole)
+        return out
+
     def votes(self) -> dict[str, int]:
-        """Votes by path: those of its best container of each path."""
+        """Votes by path of a whole: those of its best container."""
         best = max((c.score for c in self.containers), default=0)
         out: dict[str, int] = {}
-        for c in self.containers:
+        for c, whole in zip(self.containers, self.wholes()):
             if c.score > 0 and c.score >= LEAST_SHARE * best:
-                out[c.path] = max(out.get(c.path, 0), round(VOTES * c.score / best))
+                at = self.containers[whole].path
+                out[at] = max(out.get(at, 0), round(VOTES * c.score / best))
         return out
 
     def text(self, path: str | None) -> str:
-        """The blocks of the containers at ``path``; without any, of the page's best container."""
-        chosen = [c for c in self.containers if c.path == path and c.last > c.first]
+        """The blocks of the containers at ``path``, each with the whole it belongs to; without any, of the page's best container."""
+        chosen = [i for i, c in enumerate(self.containers) if c.path == path and c.last > c.first]
         if not chosen:
-            chosen = [max(self.containers, key=lambda c: c.score)]
+            chosen = [max(range(len(self.containers)), key=lambda i: self.containers[i].score)]
+        wholes = self.wholes()
         out, done = [], 0
-        for c in chosen:  # in page order; one may stand in another
+        for i in sorted({wholes[i] for i in chosen}):  # in page order; one may stand in another
+            c = self.containers[i]
             out += self.blocks[max(c.first, done):c.last]
             done = max(done, c.last)
         return " ".join(out)
 
 
-def _step(tag: str, attributes: str, by_class: bool) -> tuple[str, bool]:
-    """The element's generalised step in a path (digits as #), and whether it is boilerplate."""
+def _step(tag: str, attributes: str, by_class: bool) -> tuple[str, bool, str]:
+    """The element's generalised step in a path (digits as #), whether it is boilerplate, and "article" or "main" if it is one."""
+    kind = tag if tag in ("article", "main") else ""
     by_class = by_class and tag not in PAGE_PARTS
     classes, boiler = "", tag in BOILERPLATE
     if attributes:
         for name, *values in _NAMES.findall(attributes):
             words = "".join(values).split()
+            if name.lower() == "role" and words and words[0].lower() in ("article", "main"):
+                kind = words[0].lower()
             if name.lower() == "class" and not classes:
                 classes = "".join(f".{re.sub('[0-9]+', '#', w)}" for w in sorted(set(words)))
             boiler |= by_class and any(BOILERPLATE_WORD.match(re.split(r"[-_]+", w.lstrip("-_"))[0]) for w in words)
         boiler |= bool(_HIDDEN.search(attributes if by_class else _NAMES.sub(" ", attributes)))
-    return tag + classes, boiler
+    return tag + classes + (f"[{kind}]" if kind and kind != tag else ""), boiler, kind
 
 
 def parse_page(html: str) -> Page:
@@ -170,7 +197,7 @@ def _parsed(html: str, by_class: bool) -> Page:
                 end = re.compile(rf"</{tag}\b[^>]*>|\Z" if tag != "head" else r"</head\b[^>]*>|(?=<body\b)|\Z", re.IGNORECASE).search(html, at)
                 at = max(end.end(), at)
         elif tag not in VOID and tag not in ("html",):
-            step, boiler = _step(tag, attributes, by_class)
+            step, boiler, kind = _step(tag, attributes, by_class)
             _, inside, hidden = open_[-1]
             if boiler or hidden and tag in CONTAINERS:
                 end_block()
@@ -178,7 +205,7 @@ def _parsed(html: str, by_class: bool) -> Page:
             elif tag == "body":
                 page.containers[0].path = step
             elif tag in CONTAINERS:
-                page.containers.append(_Container(f"{page.containers[inside].path}>{step}", inside, len(page.blocks)))
+                page.containers.append(_Container(f"{page.containers[inside].path}>{step}", inside, len(page.blocks), kind=kind))
                 open_.append((tag, len(page.containers) - 1, False))
     end_block()
     close(1)

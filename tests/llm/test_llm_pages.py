@@ -52,6 +52,22 @@ def test_classes_of_ordinary_pages():
     assert parse_page("<nav>Home</nav><div hidden>no</div>").text(None) == ""
 
 
+def test_whole_articles(spark):
+    """Headline, lead and differently classed parts of an article belong to it; what a main element holds beside a small part doesn't."""
+    long, more = "long text of the article " * 20, "more of the article " * 10
+    parts = f"<div class=a><p>{long}</p></div><div class=b><p>{more}</p></div>"
+    want = {0: f"Head {long}", 1: f"{long} {more}", 2: f"Head Lead {long} {more}", 3: f"{long} {more} {long}", 4: f"Head {long}", 5: "one two"}
+    pages = {0: f"<article><h1>Head</h1><div class=entry><p>{long}</p></div></article><div>Other</div>", 1: f"<article>{parts}</article><div>Other</div>",
+             2: f"<main><h1>Head</h1><p>Lead</p><article>{parts}</article></main><div>Other</div>",
+             3: f"<main>{parts}<div class=c><p>{long}</p></div></main><div>Other</div>",
+             4: f"<div role=article><h1>Head</h1><div class=entry><p>{long}</p></div></div><div>Other</div>",
+             5: f"<main><article>one</article><article>two</article><div class=x>{'<a>linked</a> <br>' * 30}</div></main>"}
+    rows = [(n, f"http://{n}.example/", html) for n, html in pages.items()]
+    got = {r["page_id"]: r["text"] for r in extract_main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for n in pages:
+        assert got[n] == " ".join(want[n].split()), n
+
+
 def test_empty_container_at_the_winning_path():
     assert parse_page("<body><article></article><div><p>text</p></div>").text("body>article") == "text"
 
