@@ -25,11 +25,11 @@ FIRST_READ = 4          # the first run reads so many times k vectors of a query
 
 
 def whole_vectors(table: DataFrame, key: str, vector: str, scale: int) -> DataFrame:
-    """``(id, dim, v)``: floor(scale * component) of the vectors without null or non-finite components."""
+    """``(id, dim, v)``: floor(scale * component) of the vectors without null or non-finite components, equal rows once."""
     finite = F.forall(vector, lambda x: F.coalesce(x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")), F.lit(False)))
     return (table.where(F.col(key).isNotNull() & F.col(vector).isNotNull() & finite)
             .select(F.col(key).alias("id"), F.size(vector).alias("dim"),
-                    F.transform(vector, lambda x: F.floor(F.lit(float(scale)) * x.cast("double"))).alias("v")))
+                    F.transform(vector, lambda x: F.floor(F.lit(float(scale)) * x.cast("double"))).alias("v")).distinct())
 
 
 def _matrix(column: pa.Array | pa.ChunkedArray, dim: int) -> np.ndarray:
@@ -57,6 +57,9 @@ def exact_top_k(table: DataFrame, queries: Column, k: int, key: str = "vec_id",
     non-finite components take no part; vectors are compared with those of
     their own length. Scores must fit 64 bits. Of many equal vectors only the
     k + 1 smallest ids can be results, so the others aren't candidates.
+    Rows that repeat an id and its scaled vector count once, as queries and as
+    candidates. An id with several vectors has a row for each: as a candidate
+    each can be a result, as a query their results are ranked together.
     """
     spark = table.sparkSession
     ship_package(spark)
@@ -116,7 +119,9 @@ def exact_top_k(table: DataFrame, queries: Column, k: int, key: str = "vec_id",
                  .where(F.col("place") == k).select("query_id", F.col("lower").alias("least")))
     reached = candidates.join(kth_lower, "query_id", "left").where(F.col("least").isNull() | (F.col("upper") >= F.col("least")))
     order = Window.partitionBy("query_id").orderBy(F.desc("upper"), "id")
-    ordered = written(reached.select("query_id", "id", "upper", F.row_number().over(order).alias("place")), "ordered")
+    # A pair of ids once, though either may have several vectors: their exact scores are all read together.
+    pairs_reached = reached.groupBy("query_id", "id").agg(F.max("upper").alias("upper"))
+    ordered = written(pairs_reached.withColumn("place", F.row_number().over(order)), "ordered")
 
     @F.arrow_udf("long")
     def product(q: pa.Array, v: pa.Array) -> pa.Array:
@@ -124,8 +129,8 @@ def exact_top_k(table: DataFrame, queries: Column, k: int, key: str = "vec_id",
                          if _wide(a, b) else int(np.dot(a.values.to_numpy(), b.values.to_numpy())) for a, b in zip(q, v)], pa.int64())
 
     def exact(pairs: DataFrame) -> DataFrame:
-        q = asked.select(F.col("id").alias("query_id"), F.col("v").alias("q"))
-        return pairs.join(q, "query_id").join(vectors.select("id", "v"), "id").select("query_id", "id", product("q", "v").alias("score"))
+        q = asked.select(F.col("id").alias("query_id"), "dim", F.col("v").alias("q"))
+        return pairs.join(q, "query_id").join(vectors, ["id", "dim"]).select("query_id", "id", product("q", "v").alias("score"))
 
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
     first = written(exact(ordered.where(F.col("place") <= FIRST_READ * k)), "first-read")

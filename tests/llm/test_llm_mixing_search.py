@@ -1,12 +1,13 @@
 """Source mixing and exact search against SQL and brute force."""
 
+import duckdb
 import numpy as np
 import pytest
 
 from tally.llm import queries
 from tally.llm.mixing import emit_copies, mix_sources, source_plan
 from tally.llm.vafile import exact_top_k
-from tests.llm.brute import duck_rows, rows_of
+from tests.llm.brute import duck_rows, plain, rows_of
 from pyspark.sql import functions as F
 
 SF = "/root/testdata/sf0.01"
@@ -95,3 +96,17 @@ def test_search_edges(spark):
     got = exact_top_k(df, F.col("vec_id") % 50 == 0, 5)
     assert sorted((r["query_id"], r["rank"], r["id"], r["score"]) for r in got.collect()) == brute_search(rows32, 5)
     assert exact_top_k(df.where("false"), F.col("vec_id") % 50 == 0, 5).count() == 0
+
+
+def test_search_counts_repeated_rows_once(spark, tables):
+    """Repeated queries and candidates, and ids with several vectors, against the SQL over the distinct rows."""
+    rng = np.random.default_rng(5)
+    rows = [(i, [float(x) for x in rng.normal(0, 0.2, 8).round(1)]) for i in range(1, 200)]
+    rows += [(i, [0.5] * 8) for i in (3, 5, 7, 11, 50, 60, 70, 80, 90)] + [(100, [0.5, 1.0]), (101, [0.5, 2.0])]
+    once = spark.createDataFrame(rows, "vec_id long, embedding array<float>").dropDuplicates()
+    repeated = once.union(once.where("vec_id in (3, 50, 100)")).union(once.where("vec_id in (3, 50)")).union(spark.createDataFrame([(3, [0.5] * 8)] * 9, once.schema))
+    got = rows_of(queries.op4_va_file_top_k(spark, tables(embeddings=repeated)))
+    con = duckdb.connect()
+    con.execute(f"create view embeddings as select * from read_parquet('{tables(embeddings=once)}/embeddings.parquet/*.parquet')")
+    want = con.execute(f"select query_id, rank, score, vec_id from ({queries.ORACLE_SQL['op4_va_file_top_k']})").fetchall()
+    assert got == sorted((tuple(map(plain, r)) for r in want), key=repr)
