@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tally.llm.bpe import round_trip
+from tally.llm.collocations import collocations
 from tally.llm.exact_dedup import exact_dedup, with_digest
 from tally.llm.html_consensus import extract_main_text
 from tally.llm.language_id import fit_language_filters, identify_language
@@ -101,6 +102,10 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"))
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents").select("lang", "text"))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_toxicity": op2_toxicity,
@@ -112,6 +117,7 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_mix_sources": op10_mix_sources,
+    "op13_collocations": op13_collocations,
 }
 
 #: DuckDB twins, where SQL can express the operator.
@@ -174,4 +180,45 @@ ORACLE_SQL: dict[str, str] = {
                          / 4294967296.0 < rate - floor(rate) THEN 1 ELSE 0 END) AS BIGINT) AS taken
         FROM d JOIN p ON d.source IS NOT DISTINCT FROM p.source
     """,
+    "op13_collocations": r"""
+        WITH p AS (
+            SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[.,;:!?\x0A-\x0D]')) AS piece
+            FROM documents),
+        w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+        g AS (
+            SELECT lang, 1 AS words, unnest(w) AS phrase FROM w
+            UNION ALL
+            SELECT lang, 2, unnest([w[i] || ' ' || w[i + 1] FOR i IN range(1, CAST(len(w) AS BIGINT))]) FROM w
+            UNION ALL
+            SELECT lang, 3, unnest([w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] FOR i IN range(1, CAST(len(w) AS BIGINT) - 1)])
+            FROM w),
+        f AS (SELECT lang, words, phrase, count(*) AS f FROM g GROUP BY ALL),
+        n AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE words = 1 GROUP BY lang),
+        c AS (SELECT lang, words, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE words > 1 AND f >= 10),
+        cuts AS (
+            SELECT lang, phrase, words, a, 1 AS k, w[1] AS x, array_to_string(w[2:], ' ') AS y FROM c
+            UNION ALL
+            SELECT lang, phrase, words, a, 2, w[1] || ' ' || w[2], w[3] FROM c WHERE words = 3),
+        s AS (
+            SELECT cuts.lang, cuts.phrase, cuts.words, a, k, x.f AS l, y.f AS r,
+                   CAST((CAST(1000000 AS HUGEINT) * a * a) // (CAST(x.f AS HUGEINT) * y.f) AS BIGINT) AS score
+            FROM cuts JOIN f x ON x.lang = cuts.lang AND x.phrase = cuts.x
+                      JOIN f y ON y.lang = cuts.lang AND y.phrase = cuts.y),
+        low AS (
+            SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS place FROM s)
+            WHERE place = 1),
+        inner_ AS (
+            SELECT lang, part, max(a) AS longer
+            FROM (SELECT lang, a, unnest([w[1] || ' ' || w[2], w[2] || ' ' || w[3]]) AS part FROM c WHERE words = 3)
+            GROUP BY lang, part),
+        kept AS (
+            SELECT low.* FROM low LEFT JOIN inner_ ON inner_.lang = low.lang AND inner_.part = low.phrase
+            WHERE longer IS NULL OR 100 * longer < 50 * a),
+        ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+        SELECT ranked.lang, rank, phrase, a, l, r, n, score
+        FROM ranked JOIN n ON n.lang = ranked.lang WHERE rank <= 2000
+    """,
 }

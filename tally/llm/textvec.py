@@ -112,8 +112,3 @@ def texts_of(column: pa.Array, chunk_bytes: int = CHUNK_BYTES) -> Iterator[Texts
         to = min(n, max(to, at + 1), at + 65536)
         yield Texts(at, raw, offsets[at:to + 1])
         at = to
-
-
-def segment_sum(values: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
-    """Sum of ``values`` per row number (``rows`` < n)."""
-    return np.bincount(rows, weights=values, minlength=n)
