@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tally.llm.bpe import round_trip
 from tally.llm.collocations import collocations
+from tally.llm.dialogue import damaged, repair_conversations
 from tally.llm.exact_dedup import exact_dedup, with_digest
 from tally.llm.html_consensus import extract_main_text
 from tally.llm.language_id import fit_language_filters, identify_language
@@ -102,6 +103,10 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"))
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_conversations(damaged(table(spark, sf_dir, "conversations")))
+
+
 def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations(table(spark, sf_dir, "documents").select("lang", "text"))
 
@@ -117,6 +122,7 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_mix_sources": op10_mix_sources,
+    "op12_conversation_repair": op12_conversation_repair,
     "op13_collocations": op13_collocations,
 }
 
