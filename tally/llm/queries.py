@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tally.llm.bpe import round_trip
 from tally.llm.collocations import collocations
+from tally.llm.crosspolytope import nearest_neighbours
 from tally.llm.dialogue import damaged, repair_conversations
 from tally.llm.exact_dedup import exact_dedup, with_digest
 from tally.llm.html_consensus import extract_main_text
@@ -103,6 +104,12 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"))
 
 
+def op11_cross_polytope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    found = nearest_neighbours(vectors, queries=F.col("vec_id") % 20 == 0, k=20)
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
 def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair_conversations(damaged(table(spark, sf_dir, "conversations")))
 
@@ -122,6 +129,7 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_mix_sources": op10_mix_sources,
+    "op11_cross_polytope": op11_cross_polytope,
     "op12_conversation_repair": op12_conversation_repair,
     "op13_collocations": op13_collocations,
 }
