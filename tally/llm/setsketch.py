@@ -7,19 +7,20 @@ and the registers of a union are the register-wise maxima.
 
 Documents with equal sets form a class with one representative. Bands of
 registers bring representatives together; in each bucket all are compared
-with one hub; then, only where a bucket still holds several components, pairs
-across components that share enough with the others at all. A pair is first judged by the maximum-likelihood estimate
-of its similarity from the registers, then confirmed on the full sets.
+with one hub. A pair is first judged by the maximum-likelihood estimate of its
+similarity from the registers, then confirmed on the full sets. Only where a
+bucket still holds several components, documents of different ones are
+compared, by their hashed sets inside a join in blocks; the links found go the same way.
 """
 
 from __future__ import annotations
 
-from functools import lru_cache
+from functools import lru_cache, reduce
 from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tally.llm.components import connected_components
@@ -31,6 +32,9 @@ BANDS, ROWS = 30, 5                      # at similarity 0.8 a pair misses all b
 REGISTERS = BANDS * ROWS
 BASE, RATE, TOP = 1.001, 20.0, (1 << 16) - 1   # 16-bit registers, good for sets of up to 10**18
 ESTIMATE_MARGIN = 0.2                    # pairs estimated this far below the threshold are not confirmed (6 sigma)
+BITS, BIT_SIGMA = 1024, 5                # registers of which one bit each is kept for pairs across components (misses 3 in 10**7)
+BIT_WORDS = [f"bits_{i}" for i in range(BITS // 64)]
+BUCKET_BLOCK = 256                       # documents of a bucket that one task compares with as many
 _K = np.uint64(0xD6E8FEB86659FD93)
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
@@ -70,10 +74,15 @@ def _shingle_hashes(x, shingle: int) -> tuple[np.ndarray, np.ndarray]:
     return rows[fresh], hashes[fresh]
 
 
-def _registers(hashes: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """One row of registers for each run of hashes that begins at ``starts``."""
-    low = np.empty((len(starts), REGISTERS), dtype=np.uint64)
-    for i, (flip, factor) in enumerate(zip(*_seeds())):
+@lru_cache(maxsize=1)
+def _bit_seeds() -> tuple[np.ndarray, np.ndarray]:
+    return random_words(303, BITS), random_words(404, BITS) | np.uint64(1)
+
+
+def _registers(hashes: np.ndarray, starts: np.ndarray, seeds: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """One row of registers, one for each seed, for each run of hashes that begins at ``starts``."""
+    low = np.empty((len(starts), len(seeds[0])), dtype=np.uint64)
+    for i, (flip, factor) in enumerate(zip(*seeds)):
         low[:, i] = np.minimum.reduceat((hashes ^ flip) * factor, starts)
     uniform = (low.astype(np.float64) + 0.5) / 2.0 ** 64
     value = np.floor(1.0 - np.log(-np.log1p(-np.minimum(uniform, 1 - 1e-12)) / RATE) / np.log(BASE))
@@ -88,7 +97,7 @@ def sketch_column(column: pa.Array, shingle: int) -> pa.Array:
         sizes.append(size)
         edge = np.concatenate([[0], np.cumsum(size)])
         filled = np.flatnonzero(size)
-        own = iter(_registers(hashes, edge[filled])) if len(filled) else iter(())
+        own = iter(_registers(hashes, edge[filled], _seeds())) if len(filled) else iter(())
         for i in range(x.n):
             if size[i]:
                 digests.append(blake2b(hashes[edge[i]:edge[i + 1]].tobytes(), digest_size=16).digest())
@@ -197,27 +206,56 @@ def _confirm(pairs: DataFrame, sets: DataFrame, docs: DataFrame, shingle: int, p
     return written(confirmed, "links", n_candidates)
 
 
-def _shared_sizes(docs: DataFrame, shingle: int) -> DataFrame:
-    """``(id, n_common)``: how many of a document's shingles some other of these documents has too.
-
-    An upper bound of its overlap with any of them, by exact counts over all
-    their shingles. ``docs``: a written table of distinct sets (id, text).
-    """
-    @F.arrow_udf("array<long>")
-    def hashes(column: pa.Array) -> pa.Array:
-        out = []
+def _hashed_sets(docs: DataFrame, shingle: int) -> DataFrame:
+    """``id, shingles, bits_0, ..``: 64-bit hashes of a document's distinct shingles, and the lowest bits of ``BITS`` more registers."""
+    @F.arrow_udf("shingles array<long>, bits array<long>")
+    def hashed(column: pa.Array) -> pa.Array:
+        sets, bits = [], []
         for x in texts_of(column):
             rows, values = _shingle_hashes(x, shingle)
             edges = np.searchsorted(rows, np.arange(x.n + 1))
-            out += [values[a:b].view(np.int64) for a, b in zip(edges[:-1], edges[1:])]
-        return pa.array(out, pa.list_(pa.int64()))
-
-    each = docs.select("id", F.explode(hashes("text")).alias("shingle"))
-    common = each.groupBy("shingle").agg(F.count("*").alias("docs")).where("docs > 1")
-    # Joined by another key than the grouped one: both sides are dealt anew, so AQE may split a frequent shingle.
-    common = common.select(F.bitwise_not("shingle").alias("key"))
-    return (each.select("id", F.bitwise_not("shingle").alias("key")).join(common, "key")
-            .groupBy("id").agg(F.count("*").alias("n_common")))
+            sets += [values[a:b].view(np.int64) for a, b in zip(edges[:-1], edges[1:])]
+            own = np.zeros((x.n, BITS), dtype=np.uint8)
+            filled = np.flatnonzero(np.diff(edges))
+            if len(filled):
+                own[filled] = _registers(values, edges[filled], _bit_seeds()) & 1
+            bits += list(np.packbits(own, axis=1).view(np.int64))
+        return pa.StructArray.from_arrays([pa.array(sets, pa.list_(pa.int64())), pa.array(bits, pa.list_(pa.int64()))], names=["shingles", "bits"])
+
+    words = [F.coalesce(F.get("h.bits", i), F.lit(0)).alias(c) for i, c in enumerate(BIT_WORDS)]
+    return docs.select("id", hashed("text").alias("h")).select("id", "h.shingles", *words)
+
+
+def _across(open_: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs ``(a, b)`` of different components that share a bucket and are similar by their hashed sets.
+
+    ``open_``: a written table ``bucket, id, n_shingles, component``; ``sets``:
+    of ``_hashed_sets``. The similarity stands in the join's condition, so a
+    loose group of copies gives a row for each link, not for each pair: first
+    the registers' lowest bits, which differ in ``(1 - J) / 2`` of the places
+    and rule out what differs by ``BIT_SIGMA`` more than a pair at the
+    threshold does, then the sets. A crowded bucket is cut into blocks of
+    ``BUCKET_BLOCK`` documents, each pair of blocks a key of its own.
+    """
+    differ = (1 - percent / 100) / 2
+    most = int(BITS * differ + BIT_SIGMA * (BITS * differ * (1 - differ)) ** 0.5)
+    blocks = open_.groupBy("bucket").agg(F.ceil(F.count("*") / BUCKET_BLOCK).cast("int").alias("blocks"))
+    blocks = blocks.select(F.bitwise_not("bucket").alias("key"), "blocks")
+    rows = (open_.join(blocks, F.bitwise_not("bucket") == F.col("key")).join(sets, "id")
+            .withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")))
+    kept = ("id", "n_shingles", "component", "shingles", *BIT_WORDS)
+    side = lambda x, own, other, blocks: rows.select(
+        "bucket", F.col("own").alias(own), F.explode(blocks).alias(other), *[F.col(c).alias(f"{c}_{x}") for c in kept])
+    left = side("a", "block_a", "block_b", F.sequence(F.col("own"), F.col("blocks") - 1))
+    right = side("b", "block_b", "block_a", F.sequence(F.lit(0), F.col("own")))
+    least, greatest = F.least("n_shingles_a", "n_shingles_b"), F.greatest("n_shingles_a", "n_shingles_b")
+    apart = reduce(Column.__add__, [F.bit_count(F.col(f"{c}_a").bitwiseXOR(F.col(f"{c}_b"))) for c in BIT_WORDS])
+    both = F.size(F.array_intersect("shingles_a", "shingles_b"))
+    similar = ((F.col("component_a") != F.col("component_b")) & ((left["block_a"] < left["block_b"]) | (F.col("id_a") < F.col("id_b")))
+               & (100 * least >= percent * greatest) & (apart <= most)
+               & ((100 + percent) * both >= percent * (F.col("n_shingles_a") + F.col("n_shingles_b"))))
+    same = (left["bucket"] == right["bucket"]) & (left["block_a"] == right["block_a"]) & (left["block_b"] == right["block_b"])
+    return left.join(right, same & similar).select(F.least("id_a", "id_b").alias("a"), F.greatest("id_a", "id_b").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", shingle: int = 5,
@@ -262,31 +300,27 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", sh
     links = _confirm(star_pairs, sets, own, shingle, percent)
     found = connected_components(links)
 
-    # Buckets that still hold several components: pairs across them that weren't compared yet. No pair
-    # overlaps by more than either document shares with all the others there, which rules most out unpaired.
+    # Buckets that still hold several components: links across them that weren't compared yet.
     placed = (collisions.join(found, "id", "left")
               .select("bucket", "id", "n_shingles", F.coalesce("component", "id").alias("component")))
     several = (placed.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
                .where("low <> high").select(F.bitwise_not("bucket").alias("key")))
     open_ = written(placed.join(several, F.bitwise_not("bucket") == F.col("key"), "left_semi"), "open", n_met)
-    n_open = open_.count()
-    open_ids = written(open_.select("id").distinct(), "ids", n_open)
+    open_ids = written(open_.select("id").distinct(), "ids", open_.count())
     texts = written(_only(own, open_ids).dropDuplicates(["id"]), "texts")
-    rest = written(open_.join(_shared_sizes(texts, shingle), "id")
-                   .where(100 * F.col("n_common") >= percent * F.col("n_shingles")), "rest", n_open)
-    left = rest.select("bucket", *[F.col(c).alias(f"{c}_a") for c in ("id", "n_shingles", "n_common", "component")])
-    right = rest.select("bucket", *[F.col(c).alias(f"{c}_b") for c in ("id", "n_shingles", "n_common", "component")])
-    most = F.least("n_common_a", "n_common_b")
-    possible = 100 * most >= percent * (F.col("n_shingles_a") + F.col("n_shingles_b") - most)
-    across = (left.join(right, (left["bucket"] == right["bucket"]) & (F.col("id_a") < F.col("id_b"))
-                        & (F.col("component_a") != F.col("component_b")) & possible)
-              .select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct())
-    compared = star_pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    new_pairs = written(across.join(compared, ["a", "b"], "left_anti"), "pairs")
+    hashed = written(_hashed_sets(texts, shingle), "hashed-sets")
+    new_pairs = written(_across(open_, hashed, percent), "pairs")
     more = _confirm(new_pairs, sets, texts, shingle, percent)
 
-    if not more.isEmpty():
-        found = connected_components(links.unionByName(more))
+    if not more.isEmpty():  # the components that the new links join are few: only those are run again
+        of = open_.select("id", "component").distinct()
+        end = lambda side: of.select(F.col("id").alias(side), F.col("component").alias(f"component_{side}"))
+        bridges = more.join(end("a"), "a").join(end("b"), "b").select("component_a", "component_b")
+        joined = connected_components(written(bridges, "bridges"), "component_a", "component_b")
+        joined = joined.select(F.col("id").alias("old"), F.col("component").alias("new"))
+        ends = of.join(joined, F.col("component") == F.col("old")).select("id", F.col("new").alias("component"))
+        grown = found.join(joined, F.col("component") == F.col("old"), "left").select("id", F.coalesce("new", "component").alias("component"))
+        found = written(grown.unionByName(ends).groupBy("id").agg(F.min("component").alias("component")), "components", n)
     component_of = found.select(F.col("id").alias("node"), "component")
     # A member of a class has the component of its representative.
     of_members = membership.join(component_of, membership["a"] == component_of["node"], "left").select(

@@ -78,6 +78,31 @@ def test_near_dedup_chains_and_stars(spark):
     assert got == near_components(docs, 4, 80)
 
 
+def test_loose_group_of_copies(spark):
+    """900 copies whose edits recur, a part of them linked with no hub: links as by brute force, no row for each pair."""
+    rng = random.Random(5)
+    base = [f"w{i}" for i in range(150)]
+    pool = [(at, f"e{at}") for at in rng.sample(range(150), 40)]
+    docs = {}
+    for n in range(900):
+        own = list(base)
+        for at, word in rng.sample(pool, rng.randint(1, 9)):
+            own[at] = word
+        docs[n] = " ".join(own)
+    got = {r["id"]: (r["n_shingles"], r["component_id"])
+           for r in near_duplicates(spark.createDataFrame(list(docs.items()), "doc_id long, text string").repartition(8), shingle=4).collect()}
+    want = near_components(docs, 4, 80)
+    assert got == want and len({c for _, c in want.values()}) > 20
+
+
+def test_clashing_columns_and_repeated_ids(spark):
+    text, other = " ".join(f"a{i}" for i in range(40)), " ".join(f"b{i}" for i in range(40))
+    rows = [(1, text), (2, text + " x"), (2, other), (3, other + " y"), (3, other + " y"), (4, "z " * 9)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "7 as id", "'k' as bucket", "'c' as component", "1 as shingles")
+    got = sorted((r["id"], r["component_id"]) for r in near_duplicates(df, shingle=4).collect())
+    assert got == [(1, 1), (2, 1), (2, 1), (3, 1), (3, 1), (4, 4)]
+
+
 def test_near_dedup_edges(spark, edge_docs, no_docs):
     got = near_duplicates(edge_docs, shingle=4).collect()
     assert len(got) == 13
