@@ -183,7 +183,7 @@ class WordBpe:
 
     def encode(self, text: str) -> bytes:
         """Ids of a text as little-endian unsigned 32-bit integers."""
-        parts = _SPACE.split(text) if _SPLIT_ONLY.search(text) else text.split()
+        parts = filter(None, _SPACE.split(text)) if _SPLIT_ONLY.search(text) else text.split()
         return b"".join(map(self.words.__getitem__, parts))
 
     def decode(self, ids: bytes) -> bytes:

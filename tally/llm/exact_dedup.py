@@ -62,10 +62,11 @@ def _look_up(df: DataFrame, value: str, bitmaps: DataFrame, bits: int, out: str)
     return flagged.drop(*[c for bucket, bitmap, _ in tests for c in (bucket, bitmap, f"{bucket}_of")])
 
 
-def flag_repeated(df: DataFrame, digest: str, out: str, bits: int | None = None) -> DataFrame:
-    """``df`` with boolean ``out``: false only if no other row has the same ``digest``."""
-    bits = bits or filter_bits(df.select(digest).count())
-    return _look_up(df, digest, _bitmaps(df, digest, bits, least=2), bits, out)
+def flag_repeated(df: DataFrame, digest: str, out: str, bits: int | None = None, among: DataFrame | None = None) -> DataFrame:
+    """``df`` with boolean ``out``: false only if no other row (of ``among``, if that holds them written) has the same ``digest``."""
+    among = df if among is None else among
+    bits = bits or filter_bits(among.select(digest).count())
+    return _look_up(df, digest, _bitmaps(among, digest, bits, least=2), bits, out)
 
 
 def flag_members(df: DataFrame, value: str, members: DataFrame, member: str, out: str) -> DataFrame:

@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tally.llm.bpe import share_tokenizer, shared_codec
-from tally.llm.exact_dedup import flag_repeated
-from tally.llm.shared import BLANK, free_name
+from tally.llm.exact_dedup import flag_members, flag_repeated
+from tally.llm.shared import BLANK, free_name, written
 
 CACHE_SCHEMA = T.StructType([
     T.StructField("content_digest", T.BinaryType()),
@@ -63,18 +63,31 @@ def _counted(texts: DataFrame, tokenizer: str) -> DataFrame:
     return texts.select("content_digest", tokens(F.col("text")).alias("n_tokens"))
 
 
-def fill_cache(docs: DataFrame, tokenizer: str, cache: str, text: str = "text") -> None:
+def _digests(docs: DataFrame, text: str) -> DataFrame:
+    """``content_digest, text`` of each row."""
+    return docs.select(content_digest(F.col(text)).alias("content_digest"), F.col(text).alias("text"))
+
+
+def fill_cache(docs: DataFrame, tokenizer: str, cache: str, text: str = "text", digests: DataFrame | None = None) -> None:
     """Encode the distinct texts of ``docs`` that the cache lacks and append their counts.
 
-    A Bloom filter finds the digests that may occur twice; only those texts
-    shuffle to be made distinct, all others are encoded where they are read.
+    ``digests``: the written ``content_digest`` of every row, if the caller has
+    them; what is missing and what may occur twice is found on them alone, so
+    the texts are read once more, to be encoded. Bloom filters of them tell
+    which texts have to shuffle: those that may be missing where the cache has
+    some, and those whose digest may occur twice; all others are encoded where
+    they are read.
     """
     version = tokenizer_digest(tokenizer)
-    missing = docs.select(content_digest(F.col(text)).alias("content_digest"), F.col(text).alias("text"))
+    if digests is None:
+        digests = written(_digests(docs, text).select("content_digest"), "digests")
+    missing, texts = digests, _digests(docs, text)
     stored = read_cache(docs.sparkSession, cache, version)
     if stored is not None:
-        missing = missing.join(stored.select("content_digest"), "content_digest", "left_anti")
-    flagged = flag_repeated(missing, "content_digest", "maybe_repeated")
+        missing = written(digests.join(stored.select("content_digest"), "content_digest", "left_anti"), "missing")
+        asked = flag_members(texts, "content_digest", missing, "content_digest", "maybe_missing").where("maybe_missing").drop("maybe_missing")
+        texts = asked.join(missing.distinct(), "content_digest", "left_semi")
+    flagged = flag_repeated(texts, "content_digest", "maybe_repeated", among=missing)
     # One text of each digest: per scan task first, then over the tasks.
     repeated = flagged.where("maybe_repeated").groupBy("content_digest").agg(F.first("text").alias("text"))
     alone = flagged.where("not maybe_repeated").select("content_digest", "text")
@@ -84,16 +97,19 @@ def fill_cache(docs: DataFrame, tokenizer: str, cache: str, text: str = "text")
 
 
 def count_tokens(docs: DataFrame, tokenizer: str, cache: str, text: str = "text", out: str = "n_tokens") -> DataFrame:
-    """``docs`` with ``out``, the number of tokens of the whole text (null: 0), through the cache.
+    """``docs`` without its text, with ``out``, the number of tokens of the whole text (null: 0), through the cache.
 
-    Repeated rows share one cache entry; all columns pass unchanged but an
-    existing ``out``, which is replaced.
+    Repeated rows share one cache entry; all columns but the text pass
+    unchanged (its rows would cross the network with every long text), an
+    existing ``out`` is replaced.
     """
-    fill_cache(docs, tokenizer, cache, text)
     spark, version = docs.sparkSession, tokenizer_digest(tokenizer)
     digest, own, count = free_name(docs, "content_of"), free_name(docs, "stored_digest"), free_name(docs, "stored_tokens")
+    rest = [c for c in docs.columns if c.lower() not in (text.lower(), out.lower())]
+    keyed = written(docs.select(*[F.col(f"`{c}`") for c in rest], content_digest(F.col(text)).alias(digest)), "keyed")
+    fill_cache(docs, tokenizer, cache, text, keyed.select(F.col(digest).alias("content_digest")))
     # The cache may hold a digest twice if two jobs ran at once: one entry of each. Its bytes are
     # grouped and their text is joined, so that AQE may split the partition of a much repeated text.
     stored = read_cache(spark, cache, version).select(F.hex("content_digest").alias(own), F.col("n_tokens").alias(count))
-    keyed = docs.drop(out).withColumn(digest, F.hex(content_digest(F.col(text))))
-    return keyed.join(stored, F.col(digest) == F.col(own)).withColumnRenamed(count, out).drop(digest, own)
+    joined = keyed.withColumn(digest, F.hex(digest)).join(stored, F.col(digest) == F.col(own))
+    return joined.withColumnRenamed(count, out).drop(digest, own)

@@ -41,6 +41,16 @@ def test_odd_texts(library):
         check(codec, library, text)
 
 
+def test_separators_beside_white_space(library):
+    """The signs that Python splits at and the file's pattern doesn't, beside every kind of white space."""
+    codec = codec_of(PATH)
+    rng = random.Random(7)
+    signs = ["\x1c", "\x1d", "\x1e", "\x1f", " ", "\n", "\t", "\u3000", "\x85", "\xa0", "a", "Bc", "é", "."]
+    texts = ["\x1f ", "\x1c\n", " \x1d ", "\x1e"] + ["".join(rng.choice(signs) for _ in range(rng.randint(1, 9))) for _ in range(30_000)]
+    for text in texts:
+        check(codec, library, text)
+
+
 def test_cuts_are_certain(library):
     """No token has two bytes next to each other where the table cuts, and some cuts fall inside words."""
     codec = codec_of(PATH)
