@@ -138,7 +138,7 @@ QUERIES = {
 ORACLE_SQL: dict[str, str] = {
     "op4_va_file_top_k": r"""
         WITH v AS (
-            SELECT vec_id, [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v
+            SELECT DISTINCT vec_id, [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v
             FROM embeddings
             WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
               AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
