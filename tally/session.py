@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -59,15 +60,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def land(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` with a reliable checkpoint in the shared ``spark.checkpoint.dir``.
+    """Write ``df`` as Parquet to a fresh folder of the shared ``spark.checkpoint.dir`` and read it back.
 
-    Cuts the lineage: later branches read the landed rows instead of
-    recomputing them, and a lost executor never forces the upstream to rerun.
-    Use it where one derived table feeds many analyses (a landed run log,
-    the canonical ``task_timing`` table).
+    Cuts the lineage like a checkpoint: later branches read the landed rows
+    instead of recomputing them, and a lost executor never forces the upstream
+    to rerun; unlike one, each branch reads only its columns. Use it where one
+    derived table feeds many analyses (a landed run log, the canonical
+    ``task_timing`` table). The folder is cleaned as the cluster does for checkpoints.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/landed-{uuid.uuid4().hex}"
+    schema = df.schema
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(schema).parquet(path)
 
 
 MB = 1 << 20

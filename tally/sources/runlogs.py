@@ -141,9 +141,6 @@ TIMING_CSV = T.StructType([
     T.StructField("Total Time (s)", T.DoubleType()),
 ])
 
-# X1 bulk inputs.
-BULK_INPUTS = T.StructType([T.StructField("id", T.LongType()), T.StructField("n", T.IntegerType())])
-
 
 def _json(spark: SparkSession, path, schema: T.StructType, multiline: bool) -> DataFrame:
     df = spark.read.schema(schema).option("multiLine", str(multiline).lower()).json(path)
