@@ -77,6 +77,38 @@ def benchmark_document(arrays: DataFrame, language: str, title: str, description
         "workers", *values)
 
 
+def document_segments(arrays: DataFrame, language: str, title: str, description: str,
+                      configured_workers: int | None = None) -> DataFrame:
+    """K4/T14 for workflows of any length: the document of each use case in pieces.
+
+    ``arrays``: of ``benchmark_arrays``. Rows ``usecase, part, chunk, value``:
+    part 0 is the header, parts 1.. are the arrays, a row for each chunk, the
+    last part closes the document. The values of a use case in the order of
+    ``part, chunk``, white space or nothing between them, are the JSON text
+    ``{"version": .., "usecases": {<usecase>: {title, description, <language>: {workers, arrays}}}}``;
+    no row holds more than a chunk. ``worker_execution`` is there only with more than one worker.
+    """
+    workers = F.col("workers") if configured_workers is None else F.lit(configured_workers)
+    values = [c for c in (*ARRAYS, "worker_execution") if c in arrays.columns]
+    body = F.explode(F.array(*[F.struct(
+        F.lit(i).alias("part"), F.lit(c).alias("name"), F.lit(c == "worker_execution").alias("mapped"),
+        F.array_join(F.transform(c, lambda x: F.format_string("%d" if c == "worker_execution" else "%.3f", x)), ", ").alias("text"))
+        for i, c in enumerate(values, 1)])).alias("b")
+    rows = arrays.select(F.col(WF).alias("usecase"), "chunk", "last", workers.alias("workers"), body).where("not b.mapped or workers > 1")
+    opened = F.when(F.col("chunk") == 0, F.concat(F.lit(', "'), F.col("b.name"), F.lit('": ['))).otherwise("")
+    closed = F.when(F.col("last"), "]").otherwise(", ")
+    pieces = rows.select("usecase", F.col("b.part").alias("part"), "chunk", F.concat(opened, "b.text", closed).alias("value"))
+    # Header and tail from the first chunk's row: every workflow has one.
+    head = F.concat(
+        F.lit('{"version": '), _json_text(F.lit(DOCUMENT_VERSION)), F.lit(', "usecases": {'), _json_text("usecase"), F.lit(': {"title": '),
+        _json_text(F.lit(title)), F.lit(', "description": '), _json_text(F.lit(description)), F.lit(", "), _json_text(F.lit(language)),
+        F.lit(': {"workers": '), F.col("workers").cast("string"))
+    ends = F.explode(F.array(F.struct(F.lit(0).alias("part"), head.alias("value")),
+                             F.struct(F.lit(len(values) + 1).alias("part"), F.lit("}}}}").alias("value")))).alias("e")
+    first = arrays.where("chunk = 0").select(F.col(WF).alias("usecase"), workers.alias("workers"))
+    return first.select("usecase", ends).select("usecase", "e.part", F.lit(0).cast("long").alias("chunk"), "e.value").unionByName(pieces)
+
+
 def _json_text(value) -> Column:
     """A string as JSON text, quoted and escaped."""
     return F.regexp_extract(F.to_json(F.array(value)), r"^\[(.*)\]$", 1)
@@ -104,14 +136,28 @@ def document_lines(entries: DataFrame) -> DataFrame:
         F.array_join(pairs, ", "), F.lit("}}}")).alias("value"))
 
 
-def upsert_by_key(existing: DataFrame, new: DataFrame, key: str | list[str] = "usecase") -> DataFrame:
+def last_of_key(rows: DataFrame, keys: list[str], order: Column | None = None) -> DataFrame:
+    """One row of each key: the one with the largest ``order``, or, without it, with the largest JSON text."""
+    by = F.to_json(F.struct(*rows.columns)) if order is None else order
+    return rows.groupBy(*keys).agg(F.max_by(F.struct(*rows.columns), by).alias("_last")).select("_last.*")
+
+
+def upsert_by_key(existing: DataFrame, new: DataFrame, key: str | list[str] = "usecase", order: Column | None = None) -> DataFrame:
     """K5: rows of ``new`` replace rows of ``existing`` with the same key; others kept.
 
-    Write the result to a fresh path and swap, never over the input in place.
+    Of rows of ``new`` that repeat a key, the last by ``order`` counts (see
+    ``last_of_key``). If ``existing`` has a ``version``, new rows take it: the
+    version is the document's, not the entry's.
+    Write the result to a fresh path and swap, never over the input in place
+    (``sinks.files.commit_documents`` does neither: it appends to a log).
     """
     keys = [key] if isinstance(key, str) else list(key)
-    kept = existing.join(new.select(*keys).distinct(), keys, "left_anti")
-    return kept.unionByName(new, allowMissingColumns=True)
+    last = last_of_key(new, keys, order)
+    kept = existing.join(last.select(*keys), keys, "left_anti").select(existing.columns)
+    if "version" in existing.columns and "version" in new.columns:
+        stored = existing.agg(F.max("version").alias("_stored"))  # one row, null if nothing is stored
+        last = last.join(F.broadcast(stored)).withColumn("version", F.coalesce("_stored", "version")).drop("_stored")
+    return kept.unionByName(last, allowMissingColumns=True)
 
 
 def printed_array(values_col: str, fmt: str = "%.3f", first: Column | bool = True, last: Column | bool = True) -> Column:

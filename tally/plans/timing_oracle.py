@@ -8,6 +8,7 @@ microseconds divided by 1e6; 3-decimal rounding is half-up on the integer.
 
 from __future__ import annotations
 
+# The report and document wording below, which must match.
 US = "epoch_us"
 
 
@@ -320,11 +321,46 @@ select '2.34.0' as version, usecase, 'run-log timings' as title, 'derived from e
 from doc
 """,
     "t14_document_upsert": DOCUMENT + """
-select '2.34.0' as version, usecase,
-       case when cast(usecase as bigint) % 3 = 0 then 'the new one' else 'the "old" one' end as title,
+select '2.34.0' as version, usecase, 'the new one' as title,
        workers, cast(tasks as bigint) as tasks, completed_at,
        cast(case when workers > 1 then tasks else 0 end as bigint) as mapped
-from doc where cast(usecase as bigint) % 2 = 0 or cast(usecase as bigint) % 3 = 0
+from doc
+""",
+    # The use case that was committed again has its last entry, the other one its only one.
+    "k5_document_commits": DOCUMENT + """,
+entries as (
+    select usecase, 'the new one' as title, workers, tasks, completed_at from doc
+    union all
+    select usecase || '/history', 'the "old" one', workers, tasks, completed_at from doc
+)
+select '2.34.0' as version, usecase, title, workers, cast(tasks as bigint) as tasks, completed_at,
+       cast(case when workers > 1 then tasks else 0 end as bigint) as mapped
+from entries
+""",
+    "k4_document_segments": DOCUMENT + """,
+pieces as (
+    select workflow_id, task_no // 1024 as chunk, max(workers) as workers, max(task_no) as top,
+           string_agg(printf('%.3f', c), ', ' order by task_no) as c, string_agg(printf('%.3f', s), ', ' order by task_no) as s,
+           string_agg(printf('%.3f', f), ', ' order by task_no) as f, string_agg(printf('%d', w), ', ' order by task_no) as w
+    from d group by workflow_id, task_no // 1024
+),
+ends as (select *, chunk = max(chunk) over (partition by workflow_id) as last from pieces),
+arrays as (
+    select workflow_id, chunk, last, 1 as part, 'created_at' as name, c as text from ends
+    union all select workflow_id, chunk, last, 2, 'started_at', s from ends
+    union all select workflow_id, chunk, last, 3, 'completed_at', f from ends
+    union all select workflow_id, chunk, last, 4, 'worker_execution', w from ends where workers > 1
+)
+select workflow_id as usecase, cast(part as integer) as part, cast(chunk as bigint) as chunk,
+       case when chunk = 0 then ', "' || name || '": [' else '' end || text || case when last then ']' else ', ' end as value
+from arrays
+union all
+select workflow_id, 0, 0,
+       '{"version": "2.34.0", "usecases": {"' || workflow_id || '": {"title": "run-log timings", "description": "derived from events", '
+       || '"python": {"workers": ' || cast(max(workers) as varchar)
+from d group by workflow_id
+union all
+select workflow_id, 5, 0, '}}}}' from d group by workflow_id
 """,
     "t9_phase_rows": PHASE_ROWS + breakdown("z") + BREAKDOWN_COLUMNS,
     "t5_dag_run_breakdown": PHASE_ROWS + breakdown("z") + BREAKDOWN_COLUMNS,

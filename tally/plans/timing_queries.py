@@ -174,16 +174,11 @@ def _document(tt: DataFrame, title: str) -> DataFrame:
     return documents.benchmark_document(arrays, "python", title, "derived from events")
 
 
-def t14_document_upsert(spark, sf_dir):
-    """A stored document of all workflows by their event histories, written and read again, takes their entries by run document."""
-    tt = timing.normalize_workers(_event_history_timing(spark, sf_dir), "numeric")
-    old = documents.document_entries(_document(tt, 'the "old" one'))
+def _stored_document(spark: SparkSession, *commits: DataFrame) -> DataFrame:
+    """The entries left in a fresh document after the commits."""
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/document-{uuid.uuid4().hex}"
-    files.write_documents(old, path)
-    runs = timing.normalize_workers(_run_document_timing(spark, sf_dir), "lexicographic")
-    new = documents.document_entries(_document(runs, "the new one"))
-    merged = documents.upsert_by_key(files.read_documents(spark, path), new)
-    files.write_documents(merged, path)
+    for entries in commits:
+        files.commit_documents(documents.document_entries(entries), path)
     body = "workers int, created_at array<double>, started_at array<double>, completed_at array<double>, worker_execution array<int>"
     stored = files.read_documents(spark, path).withColumn("b", F.from_json(F.col("fields")["python"], body))
     return stored.select(
@@ -192,6 +187,34 @@ def t14_document_upsert(spark, sf_dir):
         F.coalesce(F.size("b.worker_execution"), F.lit(0)).cast("long").alias("mapped"))
 
 
+def _both_documents(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The documents of all workflows by event history and by run document, derived from the same landed events."""
+    life = _life(spark, sf_dir)
+    histories = timing.correlate_event_history(fx.land(fx.event_history_pages(life)))
+    runs = timing.pivot_task_events(fx.land(fx.run_document_pages(life)))
+    old = _document(timing.normalize_workers(histories, "numeric"), 'the "old" one')
+    return fx.land(old), _document(timing.normalize_workers(runs, "lexicographic"), "the new one")
+
+
+def t14_document_upsert(spark, sf_dir):
+    """A stored document of all workflows by their event histories takes their entries by run document."""
+    return _stored_document(spark, *_both_documents(spark, sf_dir))
+
+
+def k5_document_commits(spark, sf_dir):
+    """Three commits: two use cases of every workflow by its event history, then one of them by its run document."""
+    old, new = _both_documents(spark, sf_dir)
+    history = old.withColumn("usecase", F.concat("usecase", F.lit("/history")))
+    return _stored_document(spark, old, history, new)
+
+
+def k4_document_segments(spark, sf_dir):
+    """The documents by event history in pieces of 1,024 tasks, no row holding a whole workflow."""
+    tt = timing.normalize_workers(_event_history_timing(spark, sf_dir), "numeric")
+    arrays = fx.land(documents.benchmark_arrays(tt, "worker_index"))
+    return documents.document_segments(arrays, "python", "run-log timings", "derived from events")
+
+
 def t9_phase_rows(spark, sf_dir):
     tt = timing.phase_timing(_phase_times(spark, sf_dir))
     return timing.phase_breakdown_by_duration(tt).select(timing.DURATION_BREAKDOWN_COLUMNS)
@@ -246,6 +269,8 @@ TIMING_BUILDERS = {
     "t13_timing_table": t13_timing_table,
     "t14_benchmark_document": t14_benchmark_document,
     "t14_document_upsert": t14_document_upsert,
+    "k5_document_commits": k5_document_commits,
+    "k4_document_segments": k4_document_segments,
     "t9_phase_rows": t9_phase_rows,
     "k8_phase_report": k8_phase_report,
     "t5_dag_run_breakdown": t5_dag_run_breakdown,

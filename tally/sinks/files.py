@@ -8,15 +8,20 @@ workflow, one file set per output.
 
 from __future__ import annotations
 
+import json
 import uuid
+from functools import reduce
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tally.functions.timefn import fixed3, fixed_ratio
-from tally.operators.documents import document_lines
+from tally.operators.documents import DOCUMENT_VERSION, document_lines, last_of_key
 from tally.operators.timing import TIMING_TABLE_HEADER, WF
 
+DOCUMENT_LINE = "version string, usecases map<string, map<string, string>>"
+
 # The report text.
 PHASE_REPORT = (
     "# Performance Statistics\n\n## Total Duration: %ss\n\n## Average Times\n\n"
@@ -170,39 +175,156 @@ def write_text_by_workflow(df: DataFrame, text_col: str, path: str, order_col: s
     out.select(WF, text_col).write.mode("overwrite").partitionBy(WF).text(path)
 
 
-def replace_folder(spark, staged: str, path: str) -> None:
-    """Put the written folder ``staged`` in the place of ``path``; the old one goes once the new one stands."""
-    jvm = spark.sparkContext._jvm
-    new, at, old = (jvm.org.apache.hadoop.fs.Path(x) for x in (staged, path, f"{staged}-replaced"))
-    fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    had = fs.exists(at)
-    if had and not fs.rename(at, old):
-        raise OSError(f"{path} can't be moved")
-    if not fs.rename(new, at):
-        raise OSError(f"{staged} can't be moved to {path}")
-    if had:
-        fs.delete(old, True)
+def write_documents(entries: DataFrame, path: str) -> None:
+    """K4: document entries, one ``{version, usecases: {<usecase>: {...}}}`` a line, to a new folder.
 
+    To add to or replace entries of a stored document, these files too: ``commit_documents``.
+    """
+    document_lines(entries).select("value").write.text(path)
 
-def write_documents(entries: DataFrame, path: str) -> None:
-    """K4/K5: document entries, one ``{version, usecases: {<usecase>: {...}}}`` a line; swapped in when whole."""
-    staged = f"{path.rstrip('/')}-{uuid.uuid4().hex}"
-    document_lines(entries).select("value").write.text(staged)
-    replace_folder(entries.sparkSession, staged, path)
+
+# --- the document as a commit log ------------------------------------------------
+#
+# <path>/parts/<id>/      entries of one commit, immutable
+# <path>/versions/<n>     {"version": .., "parts": [ids, oldest first]}: the document after commit n
+
+
+class CommitConflict(Exception):
+    """Another writer made the version first."""
+
+
+def _fs(spark, path: str):
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
+
+
+def document_state(spark, path: str) -> tuple[int, dict | None]:
+    """``(n, manifest)`` of the newest version below ``path``; ``(0, None)`` if it has none."""
+    fs, at = _fs(spark, f"{path.rstrip('/')}/versions")
+    names = [f.getPath().getName() for f in fs.listStatus(at)] if fs.exists(at) else []
+    newest = max((int(n) for n in names if n.isdigit()), default=0)
+    if not newest:
+        return 0, None
+    text = spark.read.option("wholetext", "true").text(f"{path.rstrip('/')}/versions/{newest:09d}").first()[0]
+    return newest, json.loads(text)
+
+
+def publish_version(spark, path: str, n: int, manifest: dict) -> None:
+    """Make version ``n`` in one step: a whole file is renamed to its number, which fails if that is there already.
+
+    HDFS refuses an existing target atomically.
+    """
+    jvm, root = spark.sparkContext._jvm, path.rstrip("/")
+    fs, staged = _fs(spark, f"{root}/staged/{uuid.uuid4().hex}")
+    out = fs.create(staged, False)
+    out.write(bytearray(json.dumps(manifest).encode()))
+    out.close()
+    target = jvm.org.apache.hadoop.fs.Path(f"{root}/versions/{n:09d}")
+    fs.mkdirs(target.getParent())
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    none = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
+    try:
+        context.rename(fs.makeQualified(staged), fs.makeQualified(target), none)
+    except Py4JJavaError as error:
+        fs.delete(staged, False)
+        if "FileAlreadyExists" in str(error.java_exception):
+            raise CommitConflict(f"{path}: version {n}") from error
+        raise
+
+
+def write_part(entries: DataFrame, path: str) -> str:
+    """Write the entries of one commit to a folder of their own; they count once a version names it. Returns its id."""
+    part = uuid.uuid4().hex
+    document_lines(last_of_key(entries, ["usecase"])).select("value").write.text(f"{path.rstrip('/')}/parts/{part}")
+    return part
+
+
+def commit_documents(entries: DataFrame, path: str, tries: int = 20) -> int:
+    """K5: entries replace those of the same use case, all others stay; returns the new version's number.
+
+    Nothing that is stored is written again: a commit adds one immutable part
+    and one version. A crash before the version leaves the document as it was;
+    a writer that finds its number taken goes on from the version that took
+    it, so no writer's entries are lost. The document keeps the ``version``
+    text of its first commit. ``compact_documents`` folds many parts into one.
+    """
+    spark = entries.sparkSession
+    part = write_part(entries, path)
+    for _ in range(tries):
+        n, manifest = document_state(spark, path)
+        if manifest is None:
+            stored = _plain_entries(spark, path)
+            first = (entries if stored is None else stored).agg(F.max("version")).first()[0]
+            manifest = {"version": first or DOCUMENT_VERSION, "parts": [] if stored is None else [write_part(stored, path)]}
+        try:
+            publish_version(spark, path, n + 1, {**manifest, "parts": [*manifest["parts"], part]})
+        except CommitConflict:
+            continue
+        return n + 1
+    raise CommitConflict(f"{path}: {tries} versions were taken by others")
+
+
+def compact_documents(spark, path: str) -> int:
+    """Write the document's entries as a single part and publish it; a commit in between makes it fail, not the commit.
+
+    Earlier versions and their parts stay readable until they are removed by hand.
+    """
+    n, manifest = document_state(spark, path)
+    if manifest is None:
+        return 0
+    part = write_part(read_documents(spark, path), path)
+    publish_version(spark, path, n + 1, {**manifest, "parts": [part]})
+    return n + 1
+
+
+def _plain_entries(spark, path: str, multiline: bool = False) -> DataFrame | None:
+    """Entries of the files right in ``path``, a document a line (or a file); None without such files."""
+    fs, at = _fs(spark, path)
+    if not fs.exists(at):
+        return None
+    if fs.getFileStatus(at).isDirectory():
+        files = [f.getPath().toString() for f in fs.listStatus(at) if f.isFile() and not f.getPath().getName().startswith(("_", "."))]
+    else:
+        files = [path]
+    if not files:
+        return None
+    docs = spark.read.schema(DOCUMENT_LINE).option("mode", "FAILFAST").option("multiLine", str(multiline).lower()).json(files)
+    return docs.select("version", F.explode("usecases").alias("usecase", "fields"))
+
+
+def _logged_entries(spark, path: str, manifest: dict) -> DataFrame:
+    """Entries of all parts, of each use case that of the newest part."""
+    parts = [spark.read.schema(DOCUMENT_LINE).option("mode", "FAILFAST").json(f"{path.rstrip('/')}/parts/{p}")
+             .select(F.lit(i).alias("part"), F.explode("usecases").alias("usecase", "fields")) for i, p in enumerate(manifest["parts"])]
+    rows = reduce(DataFrame.unionByName, parts)
+    if len(parts) > 1:  # only keys are grouped, the entries themselves stay where they are read
+        newest = rows.groupBy("usecase").agg(F.max("part").alias("part"))
+        rows = rows.join(newest, ["usecase", "part"], "left_semi")
+    return rows.select(F.lit(manifest["version"]).alias("version"), "usecase", "fields")
+
+
+def write_segments(segments: DataFrame, path: str, num_partitions: int | None = None) -> None:
+    """K4: the rows of ``document_segments``, a folder for each use case, a hot one written by many tasks.
+
+    The lines of a use case's files, read in name order, are its JSON document.
+    """
+    keys = ["usecase", "part", "chunk"]
+    dealt = segments.repartitionByRange(num_partitions, *keys) if num_partitions else segments.repartitionByRange(*keys)
+    dealt.sortWithinPartitions(*keys).select("usecase", "value").write.mode("overwrite").partitionBy("usecase").text(path)
 
 
 def read_documents(spark, path: str, multiline: bool = False) -> DataFrame:
     """Entries ``version, usecase, fields`` of existing result documents; a missing path gives none.
 
-    ``multiline`` reads files that hold one document with all its use cases.
+    ``path`` is the folder of a commit log (``commit_documents``), or files
+    with a document a line; ``multiline`` reads files that hold one document
+    with all its use cases.
 
     Unlike a reset-on-parse-error, a corrupt document fails the read
     (``FAILFAST``), so a merge never silently drops earlier results.
     """
-    jvm_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    fs = jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(jvm_path):
-        return spark.createDataFrame([], "version string, usecase string, fields map<string,string>")
-    docs = (spark.read.schema("version string, usecases map<string, map<string, string>>")
-            .option("mode", "FAILFAST").option("multiLine", str(multiline).lower()).json(path))
-    return docs.select("version", F.explode("usecases").alias("usecase", "fields"))
+    _, manifest = document_state(spark, path)
+    if manifest is not None:
+        return _logged_entries(spark, path, manifest)
+    stored = _plain_entries(spark, path, multiline)
+    return spark.createDataFrame([], "version string, usecase string, fields map<string,string>") if stored is None else stored

@@ -150,14 +150,118 @@ def test_documents_are_merged_by_usecase_and_swapped(spark, tmp_path):
         F.lit("2").alias("version"), "usecase", F.map_concat("fields", F.create_map(F.lit("python"), F.lit('{"workers":2}'))).alias("fields"))
     path = str(tmp_path / "doc")
     files.write_documents(stored, path)
-    files.write_documents(documents.upsert_by_key(files.read_documents(spark, path), new), path)
+    files.commit_documents(new, path)
     got = {r.usecase: (r.version, dict(r.fields)) for r in files.read_documents(spark, path).collect()}
     version, kept = got["a"]
     assert version == "1" and kept["title"] == 'old "a"' and json.loads(kept["rust"]) == {"workers": 1, "created_at": [0.1]}
-    assert got["b"][0] == "2" and got["b"][1]["python"] == '{"workers":2}'
+    # The document keeps the version it was made with.
+    assert got["b"][0] == "1" and got["b"][1]["python"] == '{"workers":2}'
     assert sorted(f.name for f in tmp_path.iterdir()) == ["doc", "stored"]
 
 
+def entries_of(spark, version, **titles):
+    rows = [(version, k, {"title": t, "description": "d", "python": '{"workers":1}'}) for k, t in titles.items()]
+    return spark.createDataFrame(rows, "version string, usecase string, fields map<string,string>")
+
+
+def titles_in(spark, path):
+    return {r.usecase: (r.version, r.fields["title"]) for r in files.read_documents(spark, path).collect()}
+
+
+def test_commit_log_keeps_replaces_and_compacts(spark, tmp_path):
+    path = str(tmp_path / "doc")
+    assert files.read_documents(spark, path).count() == 0
+    assert files.commit_documents(entries_of(spark, "1", a="a1", b="b1"), path) == 1
+    assert files.commit_documents(entries_of(spark, "9", b="b2", c="c2"), path) == 2
+    want = {"a": ("1", "a1"), "b": ("1", "b2"), "c": ("1", "c2")}
+    assert titles_in(spark, path) == want
+    assert files.compact_documents(spark, path) == 3 and titles_in(spark, path) == want
+    assert len(files.document_state(spark, path)[1]["parts"]) == 1
+    files.commit_documents(entries_of(spark, "1", c="c4"), path)
+    assert titles_in(spark, path) == {**want, "c": ("1", "c4")}
+    # A key repeated in one commit has one entry; an empty commit changes nothing.
+    twice = entries_of(spark, "1", d="x").unionByName(entries_of(spark, "1", d="y"))
+    files.commit_documents(twice, path)
+    files.commit_documents(twice.where("false"), path)
+    assert titles_in(spark, path) == {**want, "c": ("1", "c4"), "d": ("1", "y")}
+
+
+@pytest.mark.parametrize("step", ["write_part", "publish_version", "rename"])
+def test_a_crash_between_any_two_steps_loses_nothing(spark, tmp_path, monkeypatch, step):
+    path = str(tmp_path / "doc")
+    files.commit_documents(entries_of(spark, "1", a="a1"), path)
+    before = titles_in(spark, path)
+
+    def crash(*args, **kwargs):
+        if step == "rename":  # the version's file is written, not yet in its place
+            (tmp_path / "doc" / "staged").mkdir(exist_ok=True)
+            (tmp_path / "doc" / "staged" / "half").write_text('{"version"')
+        raise OSError("killed")
+
+    with monkeypatch.context() as m:
+        m.setattr(files, "write_part" if step == "write_part" else "publish_version", crash)
+        with pytest.raises(OSError):
+            files.commit_documents(entries_of(spark, "1", a="a2", b="b2"), path)
+    assert titles_in(spark, path) == before
+    files.commit_documents(entries_of(spark, "1", b="b3"), path)
+    assert titles_in(spark, path) == {**before, "b": ("1", "b3")}
+
+
+def test_two_writers_keep_each_others_entries(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "doc")
+    files.commit_documents(entries_of(spark, "1", a="a1"), path)
+    real, others = files.publish_version, []
+
+    def publish(session, at, n, manifest):
+        if not others:  # the other writer commits after this one has read the state
+            others.append(n)
+            files.commit_documents(entries_of(spark, "1", b="b2", a="a2"), path)
+        real(session, at, n, manifest)
+
+    monkeypatch.setattr(files, "publish_version", publish)
+    assert files.commit_documents(entries_of(spark, "1", c="c3"), path) == 3
+    assert titles_in(spark, path) == {"a": ("1", "a2"), "b": ("1", "b2"), "c": ("1", "c3")}
+    with pytest.raises(files.CommitConflict):
+        real(spark, path, 2, {"version": "1", "parts": []})
+
+
+def test_last_of_a_repeated_key_wins(spark):
+    old = spark.createDataFrame([("1", "a", 1), ("1", "b", 2)], "version string, usecase string, v int")
+    new = spark.createDataFrame([("2", "b", 30), ("2", "b", 20), ("2", "c", 9)], "version string, usecase string, v int")
+    got = sorted(tuple(r) for r in documents.upsert_by_key(old, new.withColumn("at", F.col("v") * -1), order=F.col("at")).select("version", "usecase", "v").collect())
+    assert got == [("1", "a", 1), ("1", "b", 20), ("1", "c", 9)]
+    assert [tuple(r) for r in documents.upsert_by_key(old.where("false"), new.where("v = 9")).collect()] == [("2", "c", 9)]
+
+
+def test_segments_join_to_one_document(spark, tmp_path):
+    """A hot workflow of 30,000 tasks beside small ones: no row above some KB, the files' lines parse as the whole document."""
+    tt = spark.range(30_010).select(
+        F.when(F.col("id") < 30_000, "hot").when(F.col("id") < 30_009, 'b"1').otherwise("one").alias("workflow_id"), F.col("id").alias("task_no"),
+        F.format_string("task_%02d", "id").alias("task"), F.lit("x").alias("extra"),
+        *[(F.to_timestamp(F.lit("2024-01-01 00:00:00")) + F.make_dt_interval(secs=F.col("id") + x)).alias(c)
+          for c, x in (("created_at", 0.0), ("started_at", 0.25), ("completed_at", 1.0))],
+        F.to_timestamp(F.lit("2024-01-01 00:00:00")).alias("zero_at"), F.concat((F.col("id") % 3).cast("string"), F.lit("@h")).alias("worker"))
+    arrays = documents.benchmark_arrays(timing.normalize_workers(tt, "numeric"))
+    segments = documents.document_segments(arrays, "python", 'a "title"', "d")
+    assert segments.agg(F.max(F.length("value"))).first()[0] < 20_000
+    files.write_segments(segments, str(tmp_path / "segments"), num_partitions=9)
+    hot = sorted((tmp_path / "segments" / "usecase=hot").glob("part-*"))
+    assert len(hot) > 3
+    doc = json.loads("\n".join(f.read_text() for f in hot))
+    body = doc["usecases"]["hot"]["python"]
+    assert doc["version"] == "2.34.0" and doc["usecases"]["hot"]["title"] == 'a "title"' and body["workers"] == 3
+    assert body["created_at"] == [float(i) for i in range(30_000)] and body["completed_at"] == [i + 1.0 for i in range(30_000)]
+    assert body["worker_execution"] == [i % 3 for i in range(30_000)]
+    whole = {r["usecase"]: r for r in documents.benchmark_document(arrays, "python", 'a "title"', "d").collect()}
+    values = {}
+    for r in segments.orderBy("part", "chunk").collect():
+        values[r.usecase] = values.get(r.usecase, "") + r.value
+    for usecase, text in values.items():
+        entry = json.loads(text)["usecases"][usecase]["python"]
+        assert entry.pop("workers") == whole[usecase]["workers"]
+        assert entry == {c: whole[usecase][c] for c in entry} and ("worker_execution" in entry) == (whole[usecase]["workers"] > 1)
+
+
 def test_pieces_of_printed_arrays_join_to_the_whole(spark):
     rows = spark.range(25).selectExpr("'w' as workflow_id", "id as pos", "id / 4 as v")
     pieces = documents.printed_arrays(rows, ["workflow_id"], ["v"], piece=10).orderBy("chunk").collect()
