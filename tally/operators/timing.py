@@ -87,7 +87,6 @@ def _history_events(pages: DataFrame) -> DataFrame:
         F.col("_e.activityTaskScheduledEventAttributes.activityId").alias("activity_id"),
         F.col("_e.activityTaskStartedEventAttributes.scheduledEventId").alias("scheduled_ref"),
         F.col("_e.activityTaskStartedEventAttributes.identity").alias("identity"),
-        F.col("_e.activityTaskCompletedEventAttributes.scheduledEventId").alias("completed_sched_ref"),
         F.col("_e.activityTaskCompletedEventAttributes.startedEventId").alias("started_ref"),
     ).where(F.col("t").isNotNull())
 
@@ -100,61 +99,64 @@ def correlate_event_history(pages: DataFrame) -> DataFrame:
       workflow without one yields no rows;
     * label: missing activityId -> ``task_%02d`` of the running number of
       scheduled events, digits -> ``task_%02d``, else verbatim;
-    * started and completed events attach to their scheduled event by
-      ``scheduledEventId``; the latest of each kind wins and the completion
-      must name that started event (``startedEventId``); for a repeated label
-      the latest scheduled event wins, with only its own started/completed
-      events;
+    * a completed event belongs to the started event that its
+      ``startedEventId`` names, any of the activity's starts, and with it to
+      that event's scheduled event; ``scheduledEventId`` of a completion isn't
+      needed. Of several starts and completions the latest of each counts;
+    * for a repeated label the latest scheduled event wins, with only its own
+      started/completed events;
     * activities lacking a phase are dropped (P16).
 
-    Runs one job when called: the per-activity groups are landed with a
-    reliable checkpoint (``tally.session.land``) because three branches read
-    them.
+    Runs jobs when called: the per-activity groups are landed
+    (``tally.session.land``) because three branches read them.
     """
     ev = _history_events(pages)
 
-    # One grouped pass: every event is keyed by the scheduled event it belongs
-    # to (its own id, the started event's scheduledEventId, the completed
-    # event's scheduledEventId); WORKFLOW_EXECUTION_STARTED events share the
-    # NULL key of their workflow. Later steps chain off this single exchange.
+    # Two hops, an exchange each, both on (workflow, event id), so a hot workflow is cut by its events:
+    # a completion meets the start it names, then starts meet their scheduled event;
+    # WORKFLOW_EXECUTION_STARTED events share the NULL key of their workflow.
     etype = F.col("etype")
-    key = (F.when(etype == ACTIVITY_SCHEDULED, F.col("event_id"))
-           .when(etype == ACTIVITY_STARTED, F.col("scheduled_ref"))
-           .when(etype == ACTIVITY_COMPLETED, F.col("completed_sched_ref")))
     of = lambda name: F.when(etype == name, F.col("seq"))
+    attempts = (
+        ev.where(etype.isin(ACTIVITY_STARTED, ACTIVITY_COMPLETED))
+        .withColumn("start_event", F.when(etype == ACTIVITY_STARTED, F.col("event_id")).otherwise(F.col("started_ref")))
+        .groupBy(WF, "start_event")
+        .agg(F.max_by(F.struct("t", "identity", "seq", "scheduled_ref"), of(ACTIVITY_STARTED)).alias("a"),
+             F.max_by(F.struct("t", "seq"), of(ACTIVITY_COMPLETED)).alias("c"))
+        .where(F.col("start_event").isNotNull() & F.col("a.scheduled_ref").isNotNull())
+        .select(WF, F.col("a.scheduled_ref").alias("sched_event"), "a", F.when(F.col("c.seq") > F.col("a.seq"), F.col("c")).alias("c"))
+    )
+    opened = ev.where(etype.isin(WORKFLOW_STARTED, ACTIVITY_SCHEDULED)).select(
+        WF, F.when(etype == ACTIVITY_SCHEDULED, F.col("event_id")).alias("sched_event"), "etype", "seq", "t", "activity_id")
     grouped = (
-        ev.where(etype.isin(WORKFLOW_STARTED, ACTIVITY_SCHEDULED, ACTIVITY_STARTED, ACTIVITY_COMPLETED))
-        .withColumn("sched_event", key)
+        opened.unionByName(attempts, allowMissingColumns=True)
         .groupBy(WF, "sched_event")
         .agg(
             F.max_by(F.struct("t", "activity_id", "seq"), of(ACTIVITY_SCHEDULED)).alias("s"),
-            F.max_by(F.struct("t", "identity", "event_id"), of(ACTIVITY_STARTED)).alias("a"),
-            F.max_by(F.struct("t", "started_ref"), of(ACTIVITY_COMPLETED)).alias("c"),
+            F.max_by("a", F.col("a.seq")).alias("a"),
+            F.max_by("c", F.col("c.seq")).alias("c"),
             F.min_by("t", of(WORKFLOW_STARTED)).alias("zero_at"),
         )
     )
     # ``grouped`` feeds three branches (time zero, the activities, and the
     # sampling for their ordinal); their pruned exchanges differ, so
     # without landing each branch would explode and shuffle the whole history
-    # again. Landed once (reliable checkpoint), every branch reads it.
+    # again. Landed once, every branch reads it.
     grouped = land(grouped)
     zero = grouped.where(F.col("sched_event").isNull() & F.col("zero_at").isNotNull()).select(WF, "zero_at")
     scheduled = grouped.where(F.col("sched_event").isNotNull() & F.col("s.t").isNotNull()).select(
         WF, F.col("s.seq").alias("sched_seq"), F.col("s.activity_id").alias("activity_id"),
         F.col("s.t").alias("created_at"), F.col("a.t").alias("started_at"), F.col("a.identity").alias("worker"),
-        F.col("a.event_id").alias("started_event"), F.col("c.t").alias("completed_at"),
-        F.col("c.started_ref").alias("completed_ref"),
+        F.col("c.t").alias("completed_at"),
     )
     labelled = ordinal(scheduled, [WF], "sched_seq", out="sched_no").withColumn(
         "task", activity_label("activity_id", "sched_no"))
     # Latest scheduled event per label wins, with only its own started/completed events.
     latest = (
         labelled.groupBy(WF, "task")
-        .agg(F.max_by(F.struct("created_at", "started_at", "worker", "started_event", "completed_at",
-                               "completed_ref"), "sched_seq").alias("l"))
+        .agg(F.max_by(F.struct("created_at", "started_at", "worker", "completed_at"), "sched_seq").alias("l"))
         .select(WF, "task", "l.*")
-        .where(F.col("started_at").isNotNull() & F.col("completed_at").isNotNull()
-               & (F.col("completed_ref") == F.col("started_event")))
+        .where(F.col("started_at").isNotNull() & F.col("completed_at").isNotNull())
     )
     return latest.join(zero, WF).select(
         WF,

@@ -70,6 +70,26 @@ def test_duplicate_label_latest_scheduled_wins(spark):
     assert row.worker == "2@h" and row.created_at == T0 + timedelta(seconds=5)
 
 
+def test_completion_by_the_start_it_names(spark):
+    """Without a scheduledEventId; naming the earlier of two starts; naming none; naming a start that comes after it."""
+    def done(eid, t, **ids):
+        return ev(eid, t, "EVENT_TYPE_ACTIVITY_TASK_COMPLETED", activityTaskCompletedEventAttributes=ids)
+
+    def again(eid, t, scheduled, worker):
+        return ev(eid, t, "EVENT_TYPE_ACTIVITY_TASK_STARTED", activityTaskStartedEventAttributes={"scheduledEventId": str(scheduled), "identity": worker})
+
+    evs = [START] + activity(10, 1, "1")[:2] + [done(12, 3, startedEventId="11")]
+    evs += activity(20, 5, "2", worker="1@h")[:2] + [again(22, 7, 20, "2@h"), done(23, 8, scheduledEventId="20", startedEventId="21")]
+    evs += activity(30, 10, "3")[:2] + [done(32, 12, scheduledEventId="30")]
+    evs += [activity(40, 13, "4")[0], done(41, 14, startedEventId="42"), again(42, 15, 40, "1@h")]
+    evs += activity(50, 16, "5")[:2] + [done(52, 18, scheduledEventId="999", startedEventId="51"), done(53, 19, startedEventId="51")]
+    out = {r.task: r for r in timing.correlate_event_history(history(spark, {"w": evs})).collect()}
+    at = lambda sec: T0 + timedelta(seconds=sec)
+    assert sorted(out) == ["task_01", "task_02", "task_05"]
+    assert out["task_01"].completed_at == at(3) and out["task_05"].completed_at == at(19)
+    assert (out["task_02"].started_at, out["task_02"].worker, out["task_02"].completed_at) == (at(7), "2@h", at(8))
+
+
 def test_nanosecond_times_and_zero(spark):
     evs = [ev(1, "2024-01-01T12:00:00.000000999Z", "WorkflowExecutionStarted")] + activity(10, 1.25, "0")
     (row,) = timing.correlate_event_history(history(spark, {"w": evs})).collect()
