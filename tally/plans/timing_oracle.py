@@ -155,6 +155,18 @@ doc as (
 )"""
 
 
+CHAINS = BASE + """,
+pages as (
+    select workflow_id, any_value(wf_num) as wf_num, rn // 6 as page,
+           max(rn // 6) over (partition by workflow_id) as last
+    from life group by workflow_id, rn // 6
+),
+kept as (
+    select *, (wf_num % 7 = 3 and last >= 2) or (wf_num % 7 = 5 and last > 0) as lost from pages
+    where not (wf_num % 7 = 3 and page = 1 and last >= 2) and not (wf_num % 7 = 5 and page = last and page > 0)
+)"""
+
+
 def breakdown(rows: str) -> str:
     """T9 over rows (workflow_id, pos, created, started, completed in microseconds from zero, assign)."""
     return f"""
@@ -410,6 +422,21 @@ select workflow_id, cast(rn + 2 as varchar) as event_id,
                   else 'EVENT_TYPE_ACTIVITY_TASK_COMPLETED' end as event_type,
        {iso('ts')} as event_time
 from life
+""",
+    # Pages of six events, landed as the fixture says; a run of missing pages is one gap.
+    "s6_page_report": CHAINS + """
+select workflow_id, cast(count(*) + count(*) filter (page % 3 = 1) as bigint) as landed, count(*) as pages,
+       count(*) filter (page % 3 = 1) as duplicates, cast(0 as bigint) as conflicts,
+       cast(case when any_value(lost) then 1 else 0 end as bigint) as gaps, not any_value(lost) as complete
+from kept group by workflow_id
+""",
+    "s6_events_once": CHAINS + f"""
+select l.workflow_id, cast(p.place as integer) as page, cast(rn + 2 as varchar) as event_id,
+       case phase when 0 then 'EVENT_TYPE_ACTIVITY_TASK_SCHEDULED' when 1 then 'EVENT_TYPE_ACTIVITY_TASK_STARTED'
+                  else 'EVENT_TYPE_ACTIVITY_TASK_COMPLETED' end as event_type,
+       {iso('ts')} as event_time
+from life l join (select *, row_number() over (partition by workflow_id order by page) - 1 as place from kept) p
+     on p.workflow_id = l.workflow_id and p.page = l.rn // 6
 """,
     # From the started events, in event order; the task need not have completed.
     "a17_tasks_per_worker": BASE + """

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tally.functions.timefn import micros_between, parse_ts, seconds
-from tally.operators import documents, timing
+from tally.operators import documents, pages, timing
 from tally.operators.sequence import dense_index
 from tally.operators.timing import WF
 from tally.session import ensure_checkpoint_dir
@@ -102,7 +102,7 @@ def t4_history_phase_times(spark, sf_dir):
 
 
 def t5_flatten_task_groups(spark, sf_dir):
-    flat = timing.flatten_task_groups(_doc(spark, sf_dir, fx.dag_run_pages))
+    flat = timing.flatten_task_groups(fx.dag_run_pages(_life(spark, sf_dir)))
     return flat.select(
         WF, "id", "queued_dttm", "start_date", "end_date",
         seconds(micros_between(parse_ts("queued_dttm"), parse_ts("start_date"))).alias("assignment_s"),
@@ -238,8 +238,26 @@ def t12_csv_arrays(spark, sf_dir):
 
 
 def s10_event_times(spark, sf_dir):
-    pages = _doc(spark, sf_dir, fx.event_history_pages)
-    return timing.event_times(pages).select(WF, "event_id", "event_type", "event_time")
+    history = fx.event_history_pages(_life(spark, sf_dir))
+    return timing.event_times(history).select(WF, "event_id", "event_type", "event_time")
+
+
+def _landed_chains(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """History pages landed as JSON, some twice, some missing, read by the reader."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/pages-{uuid.uuid4().hex}"
+    fx.landed_page_chains(_life(spark, sf_dir)).write.json(path)
+    return runlogs.read_event_history(spark, path)
+
+
+def s6_page_report(spark, sf_dir):
+    return pages.page_report(_landed_chains(spark, sf_dir))
+
+
+def s6_events_once(spark, sf_dir):
+    """S10 over pages landed twice and out of order: each event once, with the number of its page in the chain."""
+    once = pages.chained_pages(_landed_chains(spark, sf_dir))
+    return timing.event_times(once).select(
+        WF, F.floor(F.col("seq") / timing.SEQ_PAGE).cast("int").alias("page"), "event_id", "event_type", "event_time")
 
 
 def a17_tasks_per_worker(spark, sf_dir):
@@ -276,6 +294,8 @@ TIMING_BUILDERS = {
     "t5_dag_run_breakdown": t5_dag_run_breakdown,
     "t12_csv_arrays": t12_csv_arrays,
     "s10_event_times": s10_event_times,
+    "s6_page_report": s6_page_report,
+    "s6_events_once": s6_events_once,
     "a17_tasks_per_worker": a17_tasks_per_worker,
     "a17_worker_activities": a17_worker_activities,
 }

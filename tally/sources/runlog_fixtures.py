@@ -63,7 +63,7 @@ def _complete(tasks: DataFrame) -> DataFrame:
                        & F.col("completed_at").isNotNull())
 
 
-def event_history_pages(life: DataFrame) -> DataFrame:
+def event_history_pages(life: DataFrame, page_events: int = PAGE_EVENTS) -> DataFrame:
     """S6 shape: paged ``history.events`` with scheduled/started/completed events."""
     event_id = lambda n: (n + F.lit(2)).cast("string")  # noqa: E731 - id 1 is the start event
     base = F.col("rn") - F.col("phase")
@@ -87,7 +87,7 @@ def event_history_pages(life: DataFrame) -> DataFrame:
             event_id(base + 1).alias("startedEventId"),
         )).otherwise(null_struct).alias("activityTaskCompletedEventAttributes"),
     )
-    acts = life.select("workflow_id", F.floor(F.col("rn") / PAGE_EVENTS).cast("int").alias("page"),
+    acts = life.select("workflow_id", F.floor(F.col("rn") / page_events).cast("int").alias("page"),
                        activity.alias("e"), "ts")
     act_pages = acts.groupBy("workflow_id", "page").agg(F.collect_list("e").alias("evs"), F.min("ts").alias("first"))
     # The start event is derived from the (small) page table, not from a second pass over events.
@@ -124,6 +124,27 @@ def event_history_pages(life: DataFrame) -> DataFrame:
     )
 
 
+CHAIN_EVENTS = 6
+
+
+def landed_page_chains(life: DataFrame) -> DataFrame:
+    """History pages of six events with their tokens, badly landed.
+
+    Pages 1, 4, 7, .. are landed twice, all numbers are lost (0); workflows
+    whose id leaves 3 by 7 lack their second page if they have three or more,
+    and those that leave 5 lack their last page if they have two or more.
+    """
+    pages = event_history_pages(life, CHAIN_EVENTS)
+    last = pages.groupBy("workflow_id").agg(F.max("page").alias("last"))
+    token = lambda n: F.concat(F.lit("t-"), "workflow_id", F.lit("-"), n.cast("string"))
+    page, left = F.col("page"), F.col("workflow_id").cast("long") % 7
+    chained = pages.join(last, "workflow_id").withColumns({
+        "pageToken": F.when(page > 0, token(page)), "nextPageToken": F.when(page < F.col("last"), token(page + 1))})
+    kept = chained.where(~((left == 3) & (page == 1) & (F.col("last") >= 2)) & ~((left == 5) & (page == F.col("last")) & (page > 0)))
+    copies = F.explode(F.when(page % 3 == 1, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("copy")
+    return kept.select("*", copies).select("workflow_id", "run_id", F.lit(0).alias("page"), "history", "pageToken", "nextPageToken")
+
+
 def run_document_pages(life: DataFrame) -> DataFrame:
     """S7 shape: ``run.createdAt``, paged ``shape``, ``taskEvents`` and ``tasks``."""
     tasks = lifecycle_tasks(life)

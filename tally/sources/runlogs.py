@@ -41,6 +41,7 @@ EVENT_HISTORY = T.StructType([
             ])),
         ]))),
     ])),
+    T.StructField("pageToken", S),      # the token that the page was fetched with; null for the first page
     T.StructField("nextPageToken", S),
 ])
 
@@ -148,7 +149,10 @@ def _json(spark: SparkSession, path, schema: T.StructType, multiline: bool) -> D
 
 
 def read_event_history(spark: SparkSession, path, multiline: bool = False) -> DataFrame:
-    """Landed history pages; many files = concatenated pages."""
+    """Landed history pages; many files = concatenated pages.
+
+    Pages landed twice or not at all: ``operators.pages.chained_pages`` and ``page_report``.
+    """
     return _json(spark, path, EVENT_HISTORY, multiline)
 
 

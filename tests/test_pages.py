@@ -1,0 +1,65 @@
+"""Page chains: duplicates, order, gaps, long chains, against plain Python."""
+
+import random
+
+import pytest
+
+from tally.operators import pages, timing
+from tally.sources import runlogs
+from tests.test_timing_edges import START, activity
+
+
+def page(wf, token, following, events=(), number=0):
+    return {"workflow_id": wf, "page": number, "pageToken": token, "nextPageToken": following, "history": {"events": list(events)}}
+
+
+def table(spark, rows):
+    return spark.createDataFrame(rows, runlogs.EVENT_HISTORY)
+
+
+def report(spark, rows):
+    return {r.workflow_id: (r.landed, r.pages, r.duplicates, r.conflicts, r.gaps, r.complete) for r in pages.page_report(table(spark, rows)).collect()}
+
+
+def test_report(spark):
+    rows = [page("whole", None, "b"), page("whole", "b", "c"), page("whole", "c", "")] + [page("whole", "b", "c")] * 3
+    rows += [page("hole", None, "b"), page("hole", "d", None)]
+    rows += [page("cut", None, "b"), page("cut", "b", "c")]
+    rows += [page("headless", "b", None)]
+    rows += [page("two", None, "b"), page("two", None, "c"), page("two", "b", None), page("two", "c", None)]
+    rows += [page("numbers", None, None, number=n) for n in (0, 1, 2, 2, 4)]
+    assert report(spark, rows) == {
+        "whole": (6, 3, 3, 0, 0, True), "hole": (2, 2, 0, 0, 1, False), "cut": (2, 2, 0, 0, 1, False), "headless": (1, 1, 0, 0, 1, False),
+        "two": (4, 4, 0, 1, 0, False), "numbers": (5, 4, 1, 0, 1, False)}
+    assert report(spark, rows[:0]) == {} and pages.chained_pages(table(spark, [])).count() == 0
+
+
+def test_long_chains_are_ranked(spark):
+    rng = random.Random(3)
+    rows = []
+    for wf, n in (("long", 700), ("short", 3), ("one", 1)):
+        own = [page(wf, f"k{i}" if i else None, f"k{i + 1}" if i + 1 < n else None, [{"eventId": str(i)}]) for i in range(n)]
+        rows += own + rng.sample(own, n // 3)
+    rng.shuffle(rows)
+    got = {}
+    for r in pages.chained_pages(table(spark, rows).repartition(8)).collect():
+        got.setdefault(r.workflow_id, {})[r.page] = r.history.events[0].eventId
+    assert {wf: [own[i] for i in range(len(own))] for wf, own in got.items()} == {
+        "long": [str(i) for i in range(700)], "short": ["0", "1", "2"], "one": ["0"]}
+
+
+@pytest.mark.parametrize("n", [2, 3])
+def test_circle_is_refused(spark, n):
+    with pytest.raises(ValueError, match="circle"):
+        pages.chained_pages(table(spark, [page("w", f"k{i}", f"k{(i + 1) % n}") for i in range(n)] + [page("v", None, None)]))
+
+
+def test_a_page_landed_twice_changes_no_timing(spark):
+    events = [START] + [e for i in range(9) for e in activity(10 + 10 * i, i + 1, str(i))]
+    cut = [events[i:i + 5] for i in range(0, len(events), 5)]
+    rows = [page("w", f"k{i}" if i else None, f"k{i + 1}" if i + 1 < len(cut) else None, own) for i, own in enumerate(cut)]
+    rows_of = lambda df: sorted(map(str, df.collect()))
+    clean, twice = table(spark, rows), table(spark, rows + rows[1:3] * 2)
+    for operator in (timing.event_times, lambda df: timing.tasks_per_worker(timing.worker_starts(df)), timing.correlate_event_history):
+        assert rows_of(operator(pages.chained_pages(twice))) == rows_of(operator(pages.chained_pages(clean)))
+    assert rows_of(timing.event_times(twice)) != rows_of(timing.event_times(clean))
