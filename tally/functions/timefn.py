@@ -2,8 +2,8 @@
 
 All relative times are carried as integer microseconds and converted to
 seconds at the edge, so sums and differences are exact and the same on any
-engine. Rounding to milliseconds is done on the integer (half-up), which
-differs from Python's ``round(float, 3)`` only on exact half-milliseconds.
+engine. Rounding to milliseconds is that of the double (half-even on its binary
+value), decided on the integers and the double's exact distance from the midpoint.
 """
 
 from __future__ import annotations
@@ -44,8 +44,31 @@ def seconds_between(start, end) -> Column:
 
 
 def round_ms(us) -> Column:
-    """microseconds -> seconds rounded to 3 decimals (half-up on the integer)."""
-    return F.floor((col(us) + F.lit(500)) / F.lit(1000)) / F.lit(1000.0)
+    """microseconds -> seconds rounded to 3 decimals, half-even on the double's binary value.
+
+    That is what correct rounding of the double ``us / 1e6`` to three decimals
+    gives: off the half-milliseconds the integer decides; on one, whether the
+    double lies above or below it (most do), and only where it is exact, the even neighbour.
+    """
+    whole = F.floor(col(us) / F.lit(1000))
+    over = col(us) - whole * F.lit(1000)
+    return (whole + F.when(over == 500, _half_up_part(col(us), whole)).otherwise((over > 500).cast("long"))) / F.lit(1000.0)
+
+
+def _half_up_part(us: Column, whole: Column) -> Column:
+    """1 if the double ``us / 1e6`` rounds up from its half-millisecond, else 0.
+
+    The exact product of the double with 10**6 is compared with ``us``: split
+    in two parts of 26 bits, each part's product fits a double.
+    """
+    x = us.cast("double") / F.lit(1_000_000.0)
+    scaled = x * F.lit(134_217_729.0)           # 2**27 + 1
+    high = scaled - (scaled - x)
+    low = x - high
+    product = x * F.lit(1_000_000.0)
+    error = (high * F.lit(1_000_000.0) - product) + low * F.lit(1_000_000.0)
+    above = (product - us.cast("double")) + error
+    return F.when(above > 0, F.lit(1)).when(above < 0, F.lit(0)).otherwise(F.pmod(whole, F.lit(2))).cast("long")
 
 
 def clamp_round_ms(us) -> Column:

@@ -225,8 +225,12 @@ def bulk_task_times(docs: DataFrame, ids: DataFrame) -> DataFrame:
     ``ids`` has (pos, workflow_id) in list order; duplicates repeat, unknown
     ids are skipped. Output keeps ``pos``.
     """
+    # Only listed runs are grouped: the list meets the documents below their first exchange, as a
+    # broadcast if AQE finds it small, else as a runtime filter and a semi join whose partitions the grouping reuses.
+    listed = ids.select(WF).distinct()
     first = (
         docs.where(F.size("tasks") > 0)
+        .join(listed, WF, "left_semi")
         .groupBy(WF)
         .agg(F.min_by(F.struct(F.col("run.createdAt").alias("zero"), F.get("tasks", 0).alias("t")), "page").alias("d"))
         .select(

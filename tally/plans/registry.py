@@ -12,6 +12,7 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession
 
 from tally.plans import tpch
+from tally.plans.load_queries import LOAD_BUILDERS
 from tally.plans.timing_queries import TIMING_BUILDERS
 from tally.sources.fixtures import fixture_frames
 
@@ -20,4 +21,4 @@ def _tpch(key: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     return tpch.run_query(key, fixture_frames(spark, sf_dir, tpch.QUERIES[key].tables), fixture=True)
 
 
-QUERY_BUILDERS = {**{key: partial(_tpch, key) for key in tpch.QUERIES}, **TIMING_BUILDERS}
+QUERY_BUILDERS = {**{key: partial(_tpch, key) for key in tpch.QUERIES}, **TIMING_BUILDERS, **LOAD_BUILDERS}

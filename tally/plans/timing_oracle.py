@@ -3,7 +3,7 @@
 Written from the reference loop semantics over the flat lifecycle rows of
 ``events`` (FIXTURES.md §6), with plain window functions: the oracle is a
 single-node check, the Spark side is the scalable plan. Seconds are integer
-microseconds divided by 1e6; 3-decimal rounding is half-up on the integer.
+microseconds divided by 1e6; 3-decimal rounding is printf's, on the binary value.
 """
 
 from __future__ import annotations
@@ -17,8 +17,8 @@ def sec(expr: str) -> str:
 
 
 def rms(expr: str) -> str:
-    """3-decimal seconds from microseconds, half-up."""
-    return f"(floor(cast(({expr}) + 500 as double) / 1000) / cast(1000 as double))"
+    """3-decimal seconds from microseconds: the double as printf rounds it, on its exact binary value."""
+    return f"cast(printf('%.3f', cast(({expr}) as double) / 1000000) as double)"
 
 
 def clamp(expr: str) -> str:

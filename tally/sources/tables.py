@@ -7,7 +7,9 @@ text into Parquet, and expose tables as temp views for SQL text.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -149,37 +151,119 @@ def configure_object_store(
             hconf.set(key, value)
 
 
-def read_tbl(spark: SparkSession, path: str, table: str) -> DataFrame:
+BAD_LINE = "_bad_line"
+
+
+def read_tbl(spark: SparkSession, path: str, table: str, keep_bad: bool = False) -> DataFrame:
     """S3: read dbgen ``|``-separated text with the declared schema.
 
     dbgen ends every line with a separator, which the CSV reader sees as one
     extra empty column; it is declared and dropped. CHAR columns are trimmed.
+    A line that doesn't fit the schema ends the read, or, with ``keep_bad``,
+    is a row with the text of the line in ``_bad_line`` and its file and split in ``_file, _split``.
     """
     declared = schema(table)
-    with_tail = T.StructType(
-        [T.StructField(f.name, f.dataType, True) for f in declared.fields]
-        + [T.StructField("_trailing", T.StringType(), True)]
-    )
-    df = (
-        spark.read.schema(with_tail)
+    fields = [T.StructField(f.name, f.dataType, True) for f in declared.fields] + [T.StructField("_trailing", T.StringType(), True)]
+    if keep_bad:
+        fields.append(T.StructField(BAD_LINE, T.StringType(), True))
+    lines = (
+        spark.read.schema(T.StructType(fields))
         .option("sep", "|")
         .option("header", "false")
         .option("dateFormat", "yyyy-MM-dd")
-        .option("mode", "FAILFAST")
+        .option("mode", "PERMISSIVE" if keep_bad else "FAILFAST")
+        .option("columnNameOfCorruptRecord", BAD_LINE)
+        # A line is judged as a whole, whichever columns are read.
+        .option("columnPruning", str(not keep_bad).lower())
         .csv(path)
-        .drop("_trailing")
     )
+    if keep_bad:
+        lines = lines.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_split"))
+    df = lines.drop("_trailing")
     trims = {c: F.trim(F.col(c)) for c in char_columns(table)}
     return df.withColumns(trims) if trims else df
 
 
-def ingest_tbl(spark: SparkSession, src: str, dest_root: str, table: str) -> str:
-    """S3 + K1: land a ``.tbl`` file set as ``<dest_root>/<table>.parquet``."""
-    out = table_path(dest_root, table)
-    read_tbl(spark, src, table).write.mode("overwrite").parquet(out)
+def not_null_columns(table: str) -> list[str]:
+    return [f.name for f in schema(table).fields if not f.nullable]
+
+
+class TooManyRejects(Exception):
+    """More lines of a text load were bad than its limit allows; nothing was loaded."""
+
+
+def ingest_tbl(spark: SparkSession, src: str, dest_root: str, table: str, max_rejects: int = 0) -> str:
+    """S3 + K1: land a ``.tbl`` file set as ``<dest_root>/<table>.parquet``.
+
+    Bad lines - a wrong number of fields, a value that isn't of its type, an
+    empty field in a NOT NULL column - go to ``<dest_root>/<table>-rejects.parquet``
+    (``file, split, reason, line``) and all others are loaded. With more than
+    ``max_rejects`` of them the rejects are there to look at, the table isn't written.
+    """
+    out, aside = table_path(dest_root, table), table_path(dest_root, f"{table}-rejects")
+    lines = read_tbl(spark, src, table, keep_bad=True)
+    declared = [f.name for f in schema(table).fields]
+    empty = F.array_join(F.array_compact(F.array(*[F.when(F.col(c).isNull(), F.lit(c)) for c in not_null_columns(table)])), ", ")
+    told = lines.withColumn("_reason", F.when(F.col(BAD_LINE).isNotNull(), "line doesn't fit the schema")
+                            .when(empty != "", F.concat(F.lit("null in "), empty)))
+    text = F.coalesce(F.col(BAD_LINE), F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in declared], F.lit("")))
+    (told.where(F.col("_reason").isNotNull())
+     .select(F.col("_file").alias("file"), F.col("_split").alias("split"), F.col("_reason").alias("reason"), text.alias("line"))
+     .write.mode("overwrite").parquet(aside))
+    rejects = spark.read.parquet(aside).count()
+    if rejects > max_rejects:
+        raise TooManyRejects(f"{rejects} lines of {src}, limit {max_rejects}; see {aside}")
+    told.where(F.col("_reason").isNull()).select(declared).write.mode("overwrite").parquet(out)
     return out
 
 
+class LoadRefused(Exception):
+    """A load broke a declared constraint; the table is as it was."""
+
+
+def checked_load(df: DataFrame, root: str, table: str, load_id: str, key: list[str] | None = None) -> dict:
+    """Add ``df`` to the table below ``root`` as the load ``load_id``, once and only if it keeps the declarations.
+
+    Columns go by name: a declared one that ``df`` lacks is refused, others are
+    left out. Rows, and nulls of each NOT NULL column, are counted by
+    ``Dataset.observe`` in the pass that writes the load aside; then the load's
+    keys are checked against themselves and against the table. Only a load that
+    passes is renamed to ``<table>.parquet/load_id=<id>/``, so readers see all
+    of it or nothing; a load whose folder is there isn't done again. Returns its counts (``rows`` is 0 for a load that was there).
+    """
+    spark = df.sparkSession
+    declared = schema(table)
+    missing = [f.name for f in declared.fields if f.name not in df.columns]
+    if missing:
+        raise LoadRefused(f"{table}: no column {', '.join(missing)}")
+    path = table_path(root, table)
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(f"{path}/load_id={load_id}")
+    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(target):
+        return {"rows": 0}
+    staged = f"{root.rstrip('/')}/_staged/{table}-{uuid.uuid4().hex}"
+    seen = Observation()
+    checks = [F.count(F.lit(1)).alias("rows"), *[F.count(F.when(F.col(c).isNull(), 1)).alias(c) for c in not_null_columns(table)]]
+    rows = df.select([F.col(f.name).cast(f.dataType) for f in declared.fields])
+    rows.observe(seen, *checks).write.parquet(staged)
+    counts = dict(seen.get)
+    nulls = {c: n for c, n in counts.items() if c != "rows" and n}
+    if nulls:
+        raise LoadRefused(f"{table}: nulls in {nulls}; the load is in {staged}")
+    if key:
+        new = spark.read.schema(declared).parquet(staged).select(key)
+        twice = new.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where("n > 1").first()
+        if twice is None and fs.exists(target.getParent()):
+            twice = new.join(spark.read.schema(declared).parquet(path).select(key), key, "left_semi").first()
+        if twice is not None:
+            raise LoadRefused(f"{table}: a key more than once, such as {twice}; the load is in {staged}")
+    fs.mkdirs(target.getParent())
+    if not fs.rename(jvm.org.apache.hadoop.fs.Path(staged), target):
+        raise LoadRefused(f"{table}: {load_id} can't be put in its place")
+    return {"rows": counts["rows"]}
+
+
 def register_views(spark: SparkSession, root: str, names=TPCH_TABLES) -> dict[str, DataFrame]:
     """Expose each existing table under ``root`` as a temp view for SQL text."""
     frames = {}
@@ -196,5 +280,9 @@ def register_views(spark: SparkSession, root: str, names=TPCH_TABLES) -> dict[st
 
 
 def load_into_table(df: DataFrame, table: str, mode: str = "append") -> None:
-    """S5 (persisted form): ``INSERT INTO table SELECT * FROM scan``."""
-    df.write.mode(mode).insertInto(table)
+    """S5 (persisted form): ``INSERT INTO table SELECT * FROM scan``, columns by name.
+
+    A rerun appends again; ``checked_load`` doesn't.
+    """
+    columns = df.sparkSession.table(table).columns
+    df.select([F.col(c) for c in columns]).write.mode(mode).insertInto(table)

@@ -108,3 +108,15 @@ def test_no_cross_join_nested_loop_or_python_in_any_registered_plan(spark, key):
     for node in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
                  "FlatMapGroupsInPandas", "MapInPandas"):
         assert node not in p, (key, node)
+
+
+def test_bulk_task_times_reduces_before_grouping(spark):
+    """The id list meets the documents below the grouping's exchange."""
+    from tally.operators import timing
+    from tally.sources import runlogs
+
+    docs = spark.createDataFrame([("w", 0, ("2024-01-01T00:00:00Z",), [], [], [])], runlogs.RUN_DOCUMENT)
+    ids = spark.createDataFrame([(0, "w")], "pos long, workflow_id string")
+    plan = timing.bulk_task_times(docs, ids)._jdf.queryExecution().optimizedPlan().toString()
+    below = plan[plan.index("Aggregate [workflow_id"):]
+    assert "Join LeftSemi" in below

@@ -30,6 +30,51 @@ def test_tbl_money_and_dates_are_typed(spark, tmp_path):
     assert r.o_orderpriority == "5-LOW" and r.o_shippriority == 0
 
 
+def test_one_bad_line_leaves_all_others(spark, tmp_path):
+    src = tmp_path / "region.tbl"
+    src.write_text("0|AFRICA|x|\n1|AMERICA|y|\nnot a number|ASIA|z|\n3||w|\n4|MIDDLE EAST||\n5|TOO|many|fields|\n")
+    root = str(tmp_path / "landed")
+    with pytest.raises(tables.TooManyRejects):
+        tables.ingest_tbl(spark, str(src), root, "region", max_rejects=2)
+    assert not (tmp_path / "landed" / "region.parquet").exists()
+    out = tables.ingest_tbl(spark, str(src), root, "region", max_rejects=3)
+    assert sorted((r.r_regionkey, r.r_name) for r in spark.read.parquet(out).collect()) == [(0, "AFRICA"), (1, "AMERICA"), (4, "MIDDLE EAST")]
+    rejects = {r.line.split("|")[0]: r for r in spark.read.parquet(tables.table_path(root, "region-rejects")).collect()}
+    assert rejects.keys() == {"not a number", "3", "5"} and rejects["3"].reason == "null in r_name"
+    assert rejects["5"].line == "5|TOO|many|fields|" and all(r.file.endswith("region.tbl") and r.split == 0 for r in rejects.values())
+
+
+def test_checked_load_is_whole_once_and_by_name(spark, tmp_path):
+    root = str(tmp_path / "w")
+    rows = spark.createDataFrame([("x", 0, "A", 1), ("y", 1, "B", 2)], "r_comment string, r_regionkey int, r_name string, extra int")
+    assert tables.checked_load(rows, root, "region", "one", key=["r_regionkey"]) == {"rows": 2}
+    assert tables.checked_load(rows, root, "region", "one", key=["r_regionkey"]) == {"rows": 0}
+    read = lambda: sorted(map(tuple, spark.read.parquet(tables.table_path(root, "region")).collect()))
+    whole = [(0, "A", "x", "one"), (1, "B", "y", "one")]
+    assert read() == whole
+    null = spark.createDataFrame([(2, "C", None), (None, "D", None)], "r_regionkey int, r_name string, r_comment string")
+    with pytest.raises(tables.LoadRefused, match="nulls in {'r_regionkey': 1}"):
+        tables.checked_load(null, root, "region", "two")
+    with pytest.raises(tables.LoadRefused, match="a key more than once"):
+        tables.checked_load(rows.limit(1), root, "region", "three", key=["r_regionkey"])
+    with pytest.raises(tables.LoadRefused, match="a key more than once"):
+        tables.checked_load(rows.withColumn("r_regionkey", F.lit(9)), root, "region", "four", key=["r_regionkey"])
+    with pytest.raises(tables.LoadRefused, match="no column r_name"):
+        tables.checked_load(rows.drop("r_name"), root, "region", "five")
+    assert read() == whole
+
+
+def test_rounding_is_that_of_the_double(spark):
+    """All half-milliseconds of a thousand seconds, their neighbours, and negative ones, as Python rounds them."""
+    from tally.functions.timefn import round_ms
+    us = spark.range(1_000_000).select((F.col("id") * 1000 + 500).alias("us"))
+    for shift in (0, -1_000_000_000, 1_700_000_000_000_000):
+        got = us.select((F.col("us") + shift).alias("us")).select("us", round_ms("us").alias("r")).toPandas()
+        assert (got.r == [round(x / 1e6, 3) for x in got.us]).all()
+    near = spark.range(-3000, 3000).select(F.col("id").alias("us")).select("us", round_ms("us").alias("r")).toPandas()
+    assert (near.r == [round(x / 1e6, 3) for x in near.us]).all()
+
+
 def test_register_views_and_sql(spark):
     tables.register_views(spark, SF_SMALL)
     assert spark.sql("select count(*) c from nation").first().c == 25
