@@ -10,7 +10,9 @@ of the host again. A page without that path falls back to its own best one.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from dataclasses import dataclass, field
+from hashlib import blake2b
 from html import unescape
 from itertools import accumulate
 
@@ -35,12 +37,18 @@ VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "met
 SKIPPED = {"head", "script", "style", "title", "noscript", "template", "textarea", "iframe", "svg", "math", "select", "object"}
 #: What isn't part of an article, by tag and by the leading word of a class or id.
 BOILERPLATE = {"nav", "header", "footer", "aside", "form", "button", "menu", "dialog"}
-#: What their class or id never makes boilerplate ("no-sidebar", "comments-open"): it tells of the page or its state.
-PAGE_PARTS = {"body", "main", "article"}
+#: What a class or id never makes boilerplate ("no-sidebar", "comments-open"): it tells of the page or its state. An
+#: article is, only by a class that is such a word ("related").
+PAGE_PARTS = {"body", "main"}
 BOILERPLATE_WORD = re.compile(
     r"(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|notices?|sidebar|menu|nav|navbar|navigation|"
     r"breadcrumbs?|footer|header|masthead|share|sharing|social|related|recommended|recommendations|comments?|replies|"
     r"newsletter|subscribe|signup|login|search|pagination|pager|toolbar|widget|popup|modal)\Z", re.IGNORECASE)
+#: Within an article a name of several words is boilerplate only if it goes on with one of these ("share-buttons", not "header-image").
+BOILERPLATE_PART = re.compile(
+    r"(?:area|articles?|bar|blocks?|box|buttons?|container|content|form|icons?|inner|items?|labels?|links?|lists?|menu|nav|panel|placeholder|posts?|"
+    r"section|slots?|stories|top|bottom|units?|widgets?|wrap|wrapper|[0-9]+)\Z", re.IGNORECASE)
+PATH_STEPS = 40   # of a deeper path, the steps above are one digest
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>"
@@ -49,14 +57,16 @@ _NAMES = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]
 _HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none|aria-hidden\s*=\s*["']?true""", re.IGNORECASE)
 
 
-@dataclass
+@dataclass(slots=True)
 class _Container:
-    path: str
+    step: str
     parent: int
     first: int = 0      # its blocks are first .. last - 1
     last: int = -1
     score: float = 0.0
     kind: str = ""      # "article" or "main", by tag or role
+    depth: int = 0
+    digest: bytes = b""  # of the whole path
 
 
 @dataclass
@@ -66,6 +76,16 @@ class Page:
     blocks: list[str] = field(default_factory=list)
     containers: list[_Container] = field(default_factory=list)
 
+    def path(self, i: int) -> str:
+        """The tag-class path of a container; of one deeper than ``PATH_STEPS``, a digest stands for the upper part."""
+        steps = []
+        while i >= 0 and len(steps) < PATH_STEPS:
+            steps.append(self.containers[i].step)
+            i = self.containers[i].parent
+        if i >= 0:
+            steps.append(f"#{self.containers[i].digest.hex()}")
+        return ">".join(reversed(steps))
+
     def wholes(self) -> list[int]:
         """Of each container, the one that holds the whole it belongs to.
 
@@ -87,16 +107,20 @@ class Page:
     def votes(self) -> dict[str, int]:
         """Votes by path of a whole: those of its best container."""
         best = max((c.score for c in self.containers), default=0)
-        out: dict[str, int] = {}
+        best_of: dict[int, float] = {}
         for c, whole in zip(self.containers, self.wholes()):
             if c.score > 0 and c.score >= LEAST_SHARE * best:
-                at = self.containers[whole].path
-                out[at] = max(out.get(at, 0), round(VOTES * c.score / best))
+                best_of[whole] = max(best_of.get(whole, 0), c.score)
+        out: dict[str, int] = {}
+        for whole, score in best_of.items():
+            at = self.path(whole)
+            out[at] = max(out.get(at, 0), round(VOTES * score / best))
         return out
 
     def text(self, path: str | None) -> str:
         """The blocks of the containers at ``path``, each with the whole it belongs to; without any, of the page's best container."""
-        chosen = [i for i, c in enumerate(self.containers) if c.path == path and c.last > c.first]
+        step = (path or "").rpartition(">")[2]
+        chosen = [i for i, c in enumerate(self.containers) if c.step == step and c.last > c.first and self.path(i) == path]
         if not chosen:
             chosen = [max(range(len(self.containers)), key=lambda i: self.containers[i].score)]
         wholes = self.wholes()
@@ -108,11 +132,24 @@ class Page:
         return " ".join(out)
 
 
-def _step(tag: str, attributes: str, by_class: bool) -> tuple[str, bool, str]:
-    """The element's generalised step in a path (digits as #), whether it is boilerplate, and "article" or "main" if it is one."""
+def _marks(word: str, tag: str, in_article: bool) -> bool:
+    """Whether a class or id marks boilerplate: by its leading word; in an article, and of one, only by a name that says nothing else."""
+    first, *rest = re.split(r"[-_]+", word.lstrip("-_"))
+    if not BOILERPLATE_WORD.match(first):
+        return False
+    if tag == "article":
+        return not rest
+    return not in_article or all(BOILERPLATE_WORD.match(x) or BOILERPLATE_PART.match(x) for x in rest)
+
+
+def _step(tag: str, attributes: str, by_class: bool, in_article: bool) -> tuple[str, bool, str]:
+    """The element's generalised step in a path (digits as #), whether it is boilerplate, and "article" or "main" if it is one.
+
+    A header within an article or main element holds its headline.
+    """
     kind = tag if tag in ("article", "main") else ""
     by_class = by_class and tag not in PAGE_PARTS
-    classes, boiler = "", tag in BOILERPLATE
+    classes, boiler = "", tag in BOILERPLATE and not (tag == "header" and in_article)
     if attributes:
         for name, *values in _NAMES.findall(attributes):
             words = "".join(values).split()
@@ -120,11 +157,15 @@ def _step(tag: str, attributes: str, by_class: bool) -> tuple[str, bool, str]:
                 kind = words[0].lower()
             if name.lower() == "class" and not classes:
                 classes = "".join(f".{re.sub('[0-9]+', '#', w)}" for w in sorted(set(words)))
-            boiler |= by_class and any(BOILERPLATE_WORD.match(re.split(r"[-_]+", w.lstrip("-_"))[0]) for w in words)
-        boiler |= bool(_HIDDEN.search(attributes if by_class else _NAMES.sub(" ", attributes)))
+            boiler |= by_class and any(_marks(w, tag, in_article) for w in words)
+        boiler |= bool(_HIDDEN.search(attributes if by_class and tag != "article" else _NAMES.sub(" ", attributes)))
     return tag + classes + (f"[{kind}]" if kind and kind != tag else ""), boiler, kind
 
 
+def _digest(above: bytes, step: str) -> bytes:
+    return blake2b(above + b">" + step.encode("utf-8", "surrogatepass"), digest_size=12).digest()
+
+
 def parse_page(html: str) -> Page:
     """Read a page leniently: unclosed and stray tags, comments and scripts never stop it.
 
@@ -135,7 +176,9 @@ def parse_page(html: str) -> Page:
 
 
 def _parsed(html: str, by_class: bool) -> Page:
-    page = Page(containers=[_Container("body", -1)])
+    page = Page(containers=[_Container("body", -1, digest=b"body")])
+    tags = Counter()      # open elements by tag, so that a stray end tag costs nothing
+    articles = [False]    # of each open element: in an article or main element
     # Open containers and boilerplate: (tag, container, boilerplate or inside it).
     open_: list[tuple[str, int, bool]] = [("body", 0, False)]
     run: list[str] = []
@@ -157,7 +200,9 @@ def _parsed(html: str, by_class: bool) -> Page:
 
     def close(down_to: int) -> None:
         while len(open_) > down_to:
-            _, at, _ = open_.pop()
+            tag, at, _ = open_.pop()
+            tags[tag] -= 1
+            articles.pop()
             if at != open_[-1][1]:
                 page.containers[at].last = len(page.blocks)
 
@@ -188,7 +233,7 @@ def _parsed(html: str, by_class: bool) -> Page:
         if tag == "a":
             in_link = not closing
         if closing:
-            level = next((i for i in range(len(open_) - 1, 0, -1) if open_[i][0] == tag), 0)
+            level = next((i for i in range(len(open_) - 1, 0, -1) if open_[i][0] == tag), 0) if tags[tag] > 0 else 0
             if level:
                 end_block()
                 close(level)
@@ -197,16 +242,21 @@ def _parsed(html: str, by_class: bool) -> Page:
                 end = re.compile(rf"</{tag}\b[^>]*>|\Z" if tag != "head" else r"</head\b[^>]*>|(?=<body\b)|\Z", re.IGNORECASE).search(html, at)
                 at = max(end.end(), at)
         elif tag not in VOID and tag not in ("html",):
-            step, boiler, kind = _step(tag, attributes, by_class)
+            step, boiler, kind = _step(tag, attributes, by_class, articles[-1])
             _, inside, hidden = open_[-1]
             if boiler or hidden and tag in CONTAINERS:
                 end_block()
                 open_.append((tag, inside, True))
+                tags[tag] += 1
+                articles.append(articles[-1])
             elif tag == "body":
-                page.containers[0].path = step
+                page.containers[0].step, page.containers[0].digest = step, _digest(b"", step)
             elif tag in CONTAINERS:
-                page.containers.append(_Container(f"{page.containers[inside].path}>{step}", inside, len(page.blocks), kind=kind))
+                above = page.containers[inside]
+                page.containers.append(_Container(step, inside, len(page.blocks), kind=kind, depth=above.depth + 1, digest=_digest(above.digest, step)))
                 open_.append((tag, len(page.containers) - 1, False))
+                tags[tag] += 1
+                articles.append(articles[-1] or bool(kind))
     end_block()
     close(1)
     page.containers[0].last = len(page.blocks)

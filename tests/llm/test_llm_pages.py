@@ -68,6 +68,42 @@ def test_whole_articles(spark):
         assert got[n] == " ".join(want[n].split()), n
 
 
+def test_within_an_article():
+    """Its header with the headline stays, and what a class merely names; what it marks as boilerplate goes; teasers don't win."""
+    text = "the text of the article " * 4
+    for html, want in [
+            (f"<header>Site</header><article><header><h1>Title</h1></header><p>{text}</p></article>", f"Title {text}"),
+            (f'<article><div class="header-image"><p>caption</p></div><p>{text}</p></article>', f"caption {text}"),
+            (f'<article><div class="social-policy"><p>On policy.</p></div><p>{text}</p></article>', f"On policy. {text}"),
+            (f'<article><p>{text}</p><div class="share-buttons">Share</div><div class="related-posts">More</div><div class="comments">He says</div></article>', text),
+            (f'<article><p>{text}</p></article><article class="related"><p>{text * 3}</p></article>', text),
+            (f'<main><header><h1>Title</h1></header><div class="ad">Buy</div><p>{text}</p></main>', f"Title {text}"),
+            (f'<article class="post hidden"><p>{text}</p></article>', text)]:
+        assert parse_page(f"<body>{html}</body>").text(None) == " ".join(want.split()), html
+
+
+def test_deep_nesting_stays_small():
+    """50,000 containers in each other, with paths kept by parent, and stray end tags: no square of time or memory."""
+    import time
+    import tracemalloc
+
+    html = "".join(f'<div class="row-{i % 7}">' for i in range(50_000)) + "<p>deep text</p>" + "</section>" * 50_000
+    tracemalloc.start()
+    began = time.time()
+    page = parse_page(html)
+    votes = page.votes()
+    assert page.text(next(iter(votes))) == "deep text" and all(len(p) < 1000 for p in votes)
+    assert tracemalloc.get_traced_memory()[1] < 200 << 20 and time.time() - began < 60
+    tracemalloc.stop()
+
+
+def test_paths_of_one_vote_tie_by_name(spark):
+    rows = [(1, "http://t/1", "<body><div class=a><p>first</p></div></body>"), (2, "http://t/2", "<body><div class=b><p>other</p></div></body>"),
+            (3, "http://t/3", "<body><div class=a><p>aaaaa</p></div><div class=b><p>bbbbb</p></div></body>")]
+    got = {r["page_id"]: r["text"] for r in extract_main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {1: "first", 2: "other", 3: "bbbbb"}
+
+
 def test_empty_container_at_the_winning_path():
     assert parse_page("<body><article></article><div><p>text</p></div>").text("body>article") == "text"
 
