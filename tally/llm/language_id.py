@@ -18,13 +18,13 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tally.llm.shared import hash_share, ship_package
+from tally.llm.shared import ship_package
 from tally.llm.textvec import mix, texts_of
 
 GRAM = 4                    # bytes of an n-gram; a word counts with one blank on each side
 HASHES = 2                  # positions of an n-gram in the filters
 BITS_PER_GRAM = 16          # filter positions per n-gram kept (all languages together)
-SAMPLE_DOCS = 20_000        # bound of the labelled training sample
+SAMPLE_DOCS = 5_000         # bound of the labelled training sample of each language
 MIN_SHARE = 0.01            # an n-gram enters a filter if this share of the language's documents has it
 UNKNOWN = "und"
 REJECT_GRAMS = 20           # `accepted` judges coverage only from so many n-grams on
@@ -127,16 +127,22 @@ def fit_language_filters(docs: DataFrame, train: Column, text: str = "text", lan
                          key: str = "doc_id", sample_docs: int = SAMPLE_DOCS) -> LanguageFilters:
     """Learn the filters from rows of ``docs`` where ``train`` holds and text and lang are not null.
 
-    At most about ``sample_docs`` rows (by a hash of ``key``) are read in full.
+    Of each language at most about ``sample_docs`` rows (by a hash of ``key``)
+    are read in full, so a rare one is learned from as many rows as a common one.
     Spark counts each n-gram's documents per language; those in at least
     ``MIN_SHARE`` of a language's documents come to the driver: at most
-    n-grams-per-document / ``MIN_SHARE`` for a language.
+    n-grams-per-document / ``MIN_SHARE`` for a language. Languages are a closed
+    set of labels, some hundreds at most: their counts and filters are held for each.
     """
     ship_package(docs.sparkSession)
     usable = docs.where(train & F.col(text).isNotNull() & F.col(lang).isNotNull())
     usable = usable.select(F.col(text).alias("text"), F.col(lang).alias("lang"), F.col(key).alias("key"))
-    total = usable.select("key").count()
-    sample = usable.where(hash_share(F.col("key"), sample_docs, total)).select("text", "lang")
+    totals = {r["lang"]: r["n"] for r in usable.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    if not totals:
+        return LanguageFilters.build({}, {})
+    share = F.create_map(*[F.lit(x) for name, n in totals.items() for x in (name, int((1 << 30) * min(1.0, sample_docs / n)))])
+    chosen = F.pmod(F.xxhash64(F.lit("sample"), F.col("key")), F.lit(1 << 30)) < share[F.col("lang")]
+    sample = usable.where(chosen).select("text", "lang")
 
     def document_counts(batches):
         schema = pa.schema([("lang", pa.string()), ("gram", pa.int64()), ("docs", pa.int64())])

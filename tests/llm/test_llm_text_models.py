@@ -57,6 +57,49 @@ def test_language_edges(spark, edge_docs, no_docs):
     assert {r["language"]["lang_pred"] for r in identify_language(edge_docs, nothing).collect()} == {"und"}
 
 
+def test_a_rare_language_is_learned_at_every_size(spark):
+    """30 rows among 4,000 of another language, sampled to 50 a language: still predicted, and kept by the pipeline's rule."""
+    from tally.llm.language_id import accepted
+
+    common = [(i, f"the quick brown fox number {i} jumps over lazy dogs again", "en") for i in range(4000)]
+    rare = [(10_000 + i, f"zkrz przyjdzie wczoraj szczegolnie trzydziesci {i} dzwiek", "xx") for i in range(30)]
+    df = spark.createDataFrame(common + rare, "doc_id long, text string, lang string")
+    filters = fit_language_filters(df, train=F.lit(True), sample_docs=50)
+    got = identify_language(df, filters).withColumn("kept", accepted(F.col("language"))).groupBy("lang", "language.lang_pred", "kept").count().collect()
+    assert {(r["lang"], r["lang_pred"], r["kept"]) for r in got} == {("en", "en", True), ("xx", "xx", True)}
+
+
+def test_language_by_sets(spark):
+    """Predictions against plain sets of n-grams in place of the filters."""
+    rows = [(r["doc_id"], r["text"] or "", r["lang"]) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
+
+    def grams(text):
+        data = bytes(b | 32 if 65 <= b <= 90 else b for b in text.encode())
+        words = "".join(chr(b) if 97 <= b <= 122 or b >= 128 else " " for b in data).split()
+        return [w[i:i + 4] for word in words for w in [f" {word} "] for i in range(len(w) - 3)]
+
+    train, count = {}, {}
+    for i, text, lang in rows:
+        if lang is not None and zlib.crc32(str(i).encode()) % 3 != 1:
+            count[lang] = count.get(lang, 0) + 1
+            for g in set(grams(text)):
+                train.setdefault(lang, {}).setdefault(g, []).append(i)
+    kept = {lang: {g for g, own in found.items() if len(own) >= max(1 if count[lang] < 20 else 2, -(-count[lang] // 100))} for lang, found in train.items()}
+    got = {r["doc_id"]: r for r in queries.op1_language_id(spark, "/root/testdata/sf0.001").collect()}
+    agree = 0
+    for i, text, _ in rows:
+        own = grams(text)
+        if not own:
+            assert got[i]["lang_pred"] == "und"
+            agree += 1
+            continue
+        hits = {lang: sum(g in k for g in own) for lang, k in kept.items()}
+        best = max(hits.values())
+        agree += hits[got[i]["lang_pred"]] >= 0.98 * best
+        assert got[i]["n_grams"] == len(own), (i, len(own), got[i])
+    assert agree >= 0.99 * len(rows)
+
+
 def test_nnpu_finds_the_marker():
     """Positives carry bucket 7; a tenth of the unlabelled do."""
     rng = np.random.default_rng(0)
