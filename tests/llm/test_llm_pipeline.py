@@ -70,7 +70,7 @@ def test_queries_and_sql_are_registered():
     import __spark_entry__ as entry
 
     numbers = {int(name[2:].split("_")[0]) for name in entry.queries() if name.startswith("op")}
-    assert numbers == set(range(1, 11)) and "pipeline" in entry.queries()
+    assert numbers == set(range(1, 14)) and "pipeline" in entry.queries()
     assert {"op4_va_file_top_k", "op9_exact_dedup", "op10_mix_sources"} <= set(entry.oracle_sql())
     assert [name for name, _ in corpus_pipeline.STAGES] == [
         "language ID", "exact dedup", "MinHash near-dedup", "mixing sources", "BPE encoding"]
