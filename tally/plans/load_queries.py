@@ -1,14 +1,16 @@
-"""Registered load queries (S3-S5) over the given customers, and their DuckDB SQL."""
+"""Registered load queries (S3-S5) and queries over clustered storage (K1), and the load queries' DuckDB SQL."""
 
 from __future__ import annotations
 
 import uuid
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tally.plans import tpch
 from tally.session import ensure_checkpoint_dir
-from tally.sources import tables
+from tally.sources import clustered, tables
 from tally.sources.fixtures import fixture_frames
 
 
@@ -47,7 +49,18 @@ def s5_repeated_load(spark, sf_dir):
         F.col("c_custkey").cast("long").alias("key"), F.col("load_id").cast("string").alias("load_id"))
 
 
-LOAD_BUILDERS = {"s3_tbl_rejects": s3_tbl_rejects, "s5_repeated_load": s5_repeated_load}
+def k1_clustered(key, spark, sf_dir):
+    """A TPC-H query over orders and lineitem as a clustered load leaves them."""
+    frames = fixture_frames(spark, sf_dir, tpch.QUERIES[key].tables)
+    stored = clustered.clustered_frames(frames, f"load_{uuid.uuid4().hex}", _folder(spark, "clustered"), clustered.buckets_under(spark, sf_dir))
+    return tpch.run_query(key, stored, fixture=True)
+
+
+CLUSTERED_KEYS = {"k1_clustered_shipmode": "q6_shipmode_priority", "k1_clustered_promo": "q7_promo_effect",
+                  "k1_clustered_large_orders": "q9_large_orders"}
+
+LOAD_BUILDERS = {"s3_tbl_rejects": s3_tbl_rejects, "s5_repeated_load": s5_repeated_load,
+                 **{name: partial(k1_clustered, key) for name, key in CLUSTERED_KEYS.items()}}
 
 LOAD_SQL = {
     "s3_tbl_rejects": """

@@ -10,7 +10,7 @@ DOUBLE at the end and averages are ``sum / count``, as on the Spark side.
 
 from __future__ import annotations
 
-from tally.plans.load_queries import LOAD_SQL
+from tally.plans.load_queries import CLUSTERED_KEYS, LOAD_SQL
 from tally.plans.timing_oracle import TIMING_SQL
 
 LINEITEM_V = """
@@ -193,4 +193,4 @@ limit 100
 
 
 def oracle_sql() -> dict[str, str]:
-    return {**TPCH_SQL, **TIMING_SQL, **LOAD_SQL}
+    return {**TPCH_SQL, **TIMING_SQL, **LOAD_SQL, **{name: TPCH_SQL[key] for name, key in CLUSTERED_KEYS.items()}}

@@ -32,6 +32,7 @@ from decimal import Decimal
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tally.sources.clustered import dated
 
 
 def _one():
@@ -171,12 +172,12 @@ def shipping_priority(
     as_of = F.lit(p.as_of)
     segment = customer.where(F.col("c_mktsegment") == p.segment).select("c_custkey")
     open_orders = (
-        orders.where(F.col("o_orderdate") < as_of)
+        dated(orders, "o_orderdate", end=p.as_of)
         .select("o_orderkey", "o_custkey", "o_orderdate", "o_shippriority")
         .join(segment, F.col("o_custkey") == F.col("c_custkey"), "left_semi")
     )
     revenue = (
-        lineitem.where(F.col("l_shipdate") > as_of)
+        dated(lineitem, "l_shipdate", start=p.as_of).where(F.col("l_shipdate") > as_of)
         .groupBy("l_orderkey")
         .agg(F.sum(_disc_price()).alias("revenue_dec"))
     )
@@ -198,7 +199,6 @@ def local_supplier_volume(
     p: LocalSupplierVolumeParams = LocalSupplierVolumeParams(),
 ) -> DataFrame:
     """TPC-H Q5: revenue per nation where customer and supplier share the nation."""
-    start = F.lit(p.start)
     regions = region.where(F.col("r_name") == p.region).select("r_regionkey")
     nations = (
         nation.join(F.broadcast(regions), F.col("n_regionkey") == F.col("r_regionkey"), "left_semi")
@@ -209,7 +209,7 @@ def local_supplier_volume(
         .join(F.broadcast(nations), F.col("c_nationkey") == F.col("n_nationkey"), "left_semi")
     )
     order_nation = (
-        orders.where((F.col("o_orderdate") >= start) & (F.col("o_orderdate") < _plus_months(p.start, p.months)))
+        dated(orders, "o_orderdate", p.start, _plus_months(p.start, p.months))
         .select("o_orderkey", "o_custkey")
         .join(customers, F.col("o_custkey") == F.col("c_custkey"))
         .select("o_orderkey", "c_nationkey")
@@ -239,10 +239,9 @@ def revenue_forecast(lineitem: DataFrame, p: RevenueForecastParams = RevenueFore
     lo = p.discount - p.discount_delta  # Decimal arithmetic: exactly 0.05
     hi = p.discount + p.discount_delta  # exactly 0.07
     return (
-        lineitem.where(
-            (F.col("l_shipdate") >= F.lit(p.start))
-            & (F.col("l_shipdate") < _plus_months(p.start, p.months))
-            & F.col("l_discount").between(F.lit(lo), F.lit(hi))
+        dated(lineitem, "l_shipdate", p.start, _plus_months(p.start, p.months))
+        .where(
+            F.col("l_discount").between(F.lit(lo), F.lit(hi))
             & (F.col("l_quantity") < F.lit(p.max_quantity))
         )
         .agg(F.sum(F.col("l_extendedprice") * F.col("l_discount")).cast("double").alias("revenue"))
@@ -254,9 +253,8 @@ def returned_items(
     p: ReturnedItemsParams = ReturnedItemsParams(),
 ) -> DataFrame:
     """TPC-H Q10: top customers by revenue lost to returns in a quarter."""
-    start = F.lit(p.start)
     quarter = (
-        orders.where((F.col("o_orderdate") >= start) & (F.col("o_orderdate") < _plus_months(p.start, p.months)))
+        dated(orders, "o_orderdate", p.start, _plus_months(p.start, p.months))
         .select("o_orderkey", "o_custkey")
     )
     per_order = (
@@ -320,9 +318,8 @@ def shipmode_priority(
 
 def promo_effect(lineitem: DataFrame, part: DataFrame, p: PromoEffectParams = PromoEffectParams()) -> DataFrame:
     """TPC-H Q14: percentage of one month's revenue from promotional parts."""
-    start = F.lit(p.start)
     per_part = (
-        lineitem.where((F.col("l_shipdate") >= start) & (F.col("l_shipdate") < _plus_months(p.start, p.months)))
+        dated(lineitem, "l_shipdate", p.start, _plus_months(p.start, p.months))
         .groupBy("l_partkey")
         .agg(F.sum(_disc_price()).alias("rev"))
     )
