@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tally.llm.shared import hash_share, ship_package
+from tally.llm.shared import hash_share, ship_package, written
 from tally.llm.textvec import mix, texts_of
 
 BUCKETS = 1 << 18
@@ -83,12 +83,30 @@ def _typical(in_p: np.ndarray, n_p: int, in_u: np.ndarray, n_u: int) -> np.ndarr
     return out
 
 
-def _texts_with(parts: list[np.ndarray]) -> np.ndarray:
-    """How many of the texts have each bucket, added up run by run."""
-    out = np.zeros(BUCKETS, dtype=np.int64)
-    for at in range(0, len(parts), 512):
-        out += np.bincount(np.concatenate(parts[at:at + 512]), minlength=BUCKETS)
-    return out
+def _texts_with(sample: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """How many positive and unlabelled texts of ``sample`` have each bucket: tasks add up their own, Spark adds the tasks'."""
+    def partial(batches):
+        sums = np.zeros((2, BUCKETS), dtype=np.int64)
+        for batch in batches:
+            for part, *roles in zip(batch.column(0), batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+                own = np.frombuffer(part.as_buffer(), dtype="<i4")
+                for i in np.flatnonzero(roles):
+                    sums[i, own] += 1
+        seen = np.flatnonzero(sums.any(axis=0))
+        yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(sums[0, seen]), pa.array(sums[1, seen])], names=["bucket", "p", "u"])
+
+    found = (sample.select("buckets", "positive", "unlabelled").mapInArrow(partial, "bucket long, p long, u long")
+             .groupBy("bucket").agg(F.sum("p").alias("p"), F.sum("u").alias("u")).toArrow())
+    out = np.zeros((2, BUCKETS), dtype=np.int64)
+    for i, name in enumerate(("p", "u")):
+        out[i, found["bucket"].to_numpy()] = found[name].to_numpy()
+    return out[0], out[1]
+
+
+def _most_typical(typical: np.ndarray, least: float) -> np.ndarray:
+    """The ``FEATURES`` buckets with the highest values of at least ``least``; ties to the smaller bucket."""
+    chosen = np.argsort(-typical, kind="stable")[:FEATURES]
+    return chosen[typical[chosen] >= least]
 
 
 def train_nnpu(rows: np.ndarray, buckets: np.ndarray, positive: np.ndarray, unlabelled: np.ndarray,
@@ -107,8 +125,7 @@ def train_nnpu(rows: np.ndarray, buckets: np.ndarray, positive: np.ndarray, unla
     is_p[positive], is_u[unlabelled] = True, True
     typical = _typical(np.bincount(buckets[is_p[rows]], minlength=BUCKETS), n_p,
                        np.bincount(buckets[is_u[rows]], minlength=BUCKETS), n_u)
-    chosen = np.argsort(-typical, kind="stable")[:FEATURES]
-    chosen = chosen[typical[chosen] >= LEAST_TYPICAL]
+    chosen = _most_typical(typical, LEAST_TYPICAL)
     number = np.full(BUCKETS, -1)
     number[chosen] = np.arange(len(chosen))
     own = number[buckets] >= 0
@@ -160,8 +177,11 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, train: Column, text: str =
 
     Samples by a hash of the key, in rows: ``POSITIVES`` confirmed toxic texts,
     ``UNLABELLED`` texts of any label, ``CALIBRATION`` labelled ones. Their
-    distinct buckets come to the driver. The class prior is the toxic share of
-    all labelled training rows.
+    distinct buckets are written and counted by the tasks; the driver gets the
+    counts and, of each sampled text, those of the ``FEATURES`` most typical
+    buckets, so texts of any length add at most 4 bytes x ``FEATURES`` each.
+    Buckets that tie at the edge go in by number. The class prior is the toxic
+    share of all labelled training rows.
     """
     ship_package(docs.sparkSession)
     base = docs.where(train).select(F.col(key).alias("key"), F.col(text).alias("text"))
@@ -187,20 +207,28 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, train: Column, text: str =
         return pa.array(out, pa.binary())
 
     # At most some POSITIVES + UNLABELLED + CALIBRATION keys: the texts don't shuffle to be sampled.
-    sample = (base.dropna(subset=["key"]).join(F.broadcast(roles), "key")
-              .select("toxic", "positive", "unlabelled", "calibration", buckets_of("text").alias("buckets")))
-    found = sample.toArrow()
+    names = ["positive", "unlabelled", "calibration"]
+    sample = written(base.dropna(subset=["key"]).join(F.broadcast(roles), "key")
+                     .select("toxic", *names, buckets_of("text").alias("buckets")), "toxicity-sample")
+    in_p, in_u = _texts_with(sample)
+    n_p, n_u = sample.agg(*[F.count(F.when(F.col(name), 1)) for name in names[:2]]).first()
+    # Half the bound that training sets, as a fold's own counts differ from the sample's.
+    near = np.zeros(BUCKETS, dtype=bool)
+    near[_most_typical(_typical(in_p, n_p, in_u, n_u), LEAST_TYPICAL / 2)] = True
+
+    @F.arrow_udf("binary")
+    def near_of(column: pa.Array) -> pa.Array:
+        own = (np.frombuffer(b.as_buffer(), dtype="<i4") for b in column)
+        return pa.array([part[near[part]].tobytes() for part in own], pa.binary())
+
+    found = sample.select("toxic", *names, near_of("buckets").alias("buckets")).toArrow()
     if not found.num_rows:
         return ToxicityModel(np.zeros(BUCKETS), 0.0)
-    found = found.sort_by([("buckets", "ascending"), ("toxic", "ascending")])  # the same start for any order of arrival
+    found = found.sort_by([(name, "ascending") for name in ("buckets", "toxic", *names)])  # the same start for any order of arrival
     parts = [np.frombuffer(b, dtype="<i4") for b in found["buckets"].to_pylist()]
-    role = {name: np.flatnonzero(found[name].to_numpy()) for name in ("positive", "unlabelled", "calibration")}
+    role = {name: np.flatnonzero(found[name].to_numpy()) for name in names}
     marked = found["toxic"].to_numpy()[role["calibration"]] == 1
     del found
-    # Buckets that are nowhere near typical go at once, so that few pairs are held while training.
-    of_role = {name: _texts_with([parts[i] for i in role[name]]) for name in ("positive", "unlabelled")}
-    near = _typical(of_role["positive"], len(role["positive"]), of_role["unlabelled"], len(role["unlabelled"])) >= LEAST_TYPICAL / 2
-    parts = [p[near[p]] for p in parts]
     rows, buckets = np.repeat(np.arange(len(parts)), [len(p) for p in parts]), np.concatenate(parts).astype(np.int64)
     prior = n_toxic / max(1, n_marked)
     # Calibrated on margins of texts that the classifier hasn't seen: one of FOLDS parts is left out at a time.

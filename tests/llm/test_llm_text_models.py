@@ -3,12 +3,13 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from tally.llm import queries
 from tally.llm.language_id import LanguageFilters, fit_language_filters, identify_language
-from tally.llm.toxicity import BUCKETS, calibrate, train_nnpu
+from tally.llm.toxicity import BUCKETS, FEATURES, RIDGE, _buckets, _most_typical, _texts_with, calibrate, train_nnpu
 
 SF = "/root/testdata/sf0.01"
 SF_MORE = "/root/testdata/sf0.1"
@@ -149,3 +150,46 @@ def test_models_on_edges_and_empty_tables(spark, edge_docs, no_docs, tables, nam
     assert empty.count() == 0
     unlabelled = queries.QUERIES[name](spark, tables(documents=edge_docs, labels=labels.where("false")))
     assert unlabelled.count() == 13
+
+
+def test_toxicity_counts_and_choice_of_buckets_are_plain_ones(spark):
+    """What tasks count equals a loop over the texts; long texts send no more than their chosen buckets."""
+    rng = np.random.default_rng(5)
+    texts = [" ".join(f"w{int(i)}" for i in rng.integers(0, 4000, int(n))) for n in rng.integers(0, 3000, 60)] + [None, "", "w1 " * 50000]
+    rows = []
+    for i, text in enumerate(texts):
+        own = [b for _, _, _, bs in _buckets(pa.array([text], pa.string())) for b in bs]
+        rows.append((np.array(own, dtype="<i4").tobytes(), i % 3 == 0, i % 2 == 0))
+    sample = spark.createDataFrame(rows, "buckets binary, positive boolean, unlabelled boolean").repartition(3)
+    want = np.zeros((2, BUCKETS), dtype=np.int64)
+    for raw, *roles in rows:
+        for i, has in enumerate(roles):
+            if has:
+                for b in np.frombuffer(raw, dtype="<i4"):
+                    want[i, b] += 1
+    got = _texts_with(sample)
+    assert (got[0] == want[0]).all() and (got[1] == want[1]).all()
+    tied = np.zeros(BUCKETS)
+    tied[10:10 + 3 * FEATURES] = 5.0
+    tied[9] = 6.0
+    assert list(_most_typical(tied, 4.0)) == [9, *range(10, 9 + FEATURES)]
+    assert len(_most_typical(tied, 5.5)) == 1 and not len(_most_typical(tied, 7.0))
+
+
+def test_toxicity_risk_gradient_matches_a_loop():
+    """One feature that marks all positives: the fitted scores agree with a plain loop over the same risk."""
+    rng = np.random.default_rng(11)
+    n_p, n_u, prior = 80, 240, 0.2
+    has = np.concatenate([np.ones(n_p, bool), rng.random(n_u) < 0.25])
+    rows, buckets = np.flatnonzero(has), np.zeros(has.sum(), dtype=np.int64)
+    model = train_nnpu(rows, buckets, np.arange(n_p), np.arange(n_p, n_p + n_u), prior)
+
+    def risk(w, b):
+        loss = lambda z: np.log1p(np.exp(-z))
+        f = [w * h + b for h in has]
+        pos = sum(loss(z) for z in f[:n_p]) / n_p
+        neg = sum(loss(-z) for z in f[n_p:]) / n_u - prior * sum(loss(-z) for z in f[:n_p]) / n_p
+        return prior * pos + max(0.0, neg) + RIDGE / 2 * w * w
+
+    best = min((risk(w, b), w, b) for w in np.linspace(0, 14, 57) for b in np.linspace(-14, 0, 57))
+    assert risk(model.weights[0], model.bias) <= best[0] + 0.01
