@@ -8,7 +8,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tally.operators import timing
-from tally.operators.sequence import ordinal
+from tally.operators.sequence import dense_index, ordinal
 from tally.sources import runlogs
 
 T0 = datetime(2024, 1, 1, 12, 0, 0)
@@ -211,6 +211,34 @@ def test_ordinal_neighbours_match_lag_lead_under_skew(spark):
     assert sorted(got.select(cols).collect()) == sorted(want.select(cols).collect())
 
 
+def test_ordinal_running_sums_match_window_under_skew(spark):
+    random.seed(13)
+    rows = [("hot", random.randrange(0, 500), i, None if i % 9 == 0 else i) for i in range(2500)]
+    rows += [(f"g{i % 30}", random.randrange(0, 500), 10_000 + i, i) for i in range(400)]
+    df = spark.createDataFrame(rows, "g string, o long, id long, v long")
+    for group in (["g"], []):
+        got = ordinal(df, group, "o", tie_cols=("id",), running=("v",), following=("v",), num_partitions=9)
+        w = Window.partitionBy(*group).orderBy("o", "id")
+        want = df.select("id", F.coalesce(F.sum("v").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before_v"),
+                         F.lead("v").over(w).alias("next_v"))
+        assert sorted(got.select(want.columns).collect()) == sorted(want.collect())
+    assert ordinal(df.where("false"), [], "o", running=("v",)).count() == 0
+
+
+def test_dense_index_of_a_workflow_with_a_worker_a_task(spark):
+    """One workflow holds most of the distinct values; nulls get -1, repeats one index."""
+    rows = [("hot", f"w{i % 2000:04d}") for i in range(3000)] + [(f"g{i % 20}", f"w{i}") for i in range(200)]
+    rows += [("hot", None), ("none", None), (None, "w1")]
+    df = spark.createDataFrame(rows, "g string, w string")
+    got = sorted(map(tuple, dense_index(df, ["g"], "w", [F.col("w")]).select("g", "w", "worker_index").collect()), key=str)
+    values = {}
+    for g, w in rows:
+        values.setdefault(g, set()).add(w)
+    place = {(g, w): i for g, own in values.items() for i, w in enumerate(sorted(own - {None}))}
+    want = [(g, w, -1 if g is None or w is None else place[g, w]) for g, w in rows]
+    assert got == sorted(want, key=str)
+
+
 def test_worker_activities_chunks_and_hot_worker(spark):
     from tally.operators.documents import worker_activities
 
