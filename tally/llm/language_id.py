@@ -27,8 +27,8 @@ BITS_PER_GRAM = 16          # filter positions per n-gram kept (all languages to
 SAMPLE_DOCS = 5_000         # bound of the labelled training sample of each language
 MIN_SHARE = 0.01            # an n-gram enters a filter if this share of the language's documents has it
 UNKNOWN = "und"
-REJECT_GRAMS = 20           # `accepted` judges coverage only from so many n-grams on
 REJECT_COVERAGE = 0.2       # least share of a text's n-grams that its language must contain
+BENEFIT_GRAMS = 4           # known n-grams that `accepted` lends each text, so that a few odd words don't condemn it
 
 RESULT = "lang_pred string, score double, coverage double, n_grams long"
 
@@ -161,7 +161,7 @@ def fit_language_filters(docs: DataFrame, train: Column, text: str = "text", lan
     if not counts:
         return LanguageFilters.build({}, {})
     least = F.create_map(*[F.lit(x) for name, n in counts.items()
-                           for x in (name, max(1 if n < 20 else 2, int(np.ceil(MIN_SHARE * n))))])
+                           for x in (name, max(1, int(np.ceil(MIN_SHARE * n))))])
     kept = (sample.mapInArrow(document_counts, "lang string, gram long, docs long")
             .groupBy("lang", "gram").agg(F.sum("docs").alias("docs"))
             .where(F.col("docs") >= least[F.col("lang")])
@@ -191,6 +191,11 @@ def identify_language(docs: DataFrame, filters: LanguageFilters, text: str = "te
 
 
 def accepted(language: Column) -> Column:
-    """False for ``und`` and for texts most of whose n-grams no language contains."""
-    poor = (language["n_grams"] >= REJECT_GRAMS) & (language["coverage"] < REJECT_COVERAGE)
-    return (language["lang_pred"] != UNKNOWN) & ~poor
+    """False for ``und`` and for texts too few of whose n-grams their language contains.
+
+    One rule for every length: the text's coverage, after ``BENEFIT_GRAMS`` known
+    n-grams are added to its own, is at least ``REJECT_COVERAGE``. A text without
+    n-grams (a single letter, say) stays.
+    """
+    known = language["coverage"] * language["n_grams"] + BENEFIT_GRAMS
+    return (language["lang_pred"] != UNKNOWN) & (known >= REJECT_COVERAGE * (language["n_grams"] + BENEFIT_GRAMS))

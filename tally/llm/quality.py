@@ -154,9 +154,14 @@ def _log_loss(z: np.ndarray, y: np.ndarray) -> float:
 
 
 def train_network(vectors: np.ndarray, x: np.ndarray, y: np.ndarray) -> QualityModel:
-    """Two layers by Adam from a fixed start; every fifth row is held back for the temperature."""
+    """Two layers by Adam from a fixed start; every fifth row is held back for the temperature.
+
+    The temperature is the one of least log loss on those rows, plus the square of
+    its logarithm for all of them together, which holds it near 1 while rows are
+    few and weighs nothing when they are many. Fewer than five rows hold none back.
+    """
     rng = np.random.default_rng(17)
-    held = np.arange(len(y)) % 5 == 4 if len(y) >= 50 else np.zeros(len(y), dtype=bool)
+    held = np.arange(len(y)) % 5 == 4
     a, t = x[~held], y[~held]
     centre, spread = a.mean(axis=0), a.std(axis=0) + 1e-3
     n_in = x.shape[1]
@@ -177,13 +182,17 @@ def train_network(vectors: np.ndarray, x: np.ndarray, y: np.ndarray) -> QualityM
     model = QualityModel(vectors, centre, spread, theta[0], theta[1], theta[2], float(theta[3]))
     if held.any():
         z = model.logits(x[held])
-        model.temperature = float(min(np.geomspace(0.25, 8, 61), key=lambda c: _log_loss(z / c, y[held])))
+        model.temperature = float(min(np.geomspace(0.25, 8, 61), key=lambda c: _log_loss(z / c, y[held]) + np.log(c) ** 2 / held.sum()))
     return model
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame, train: Column, text: str = "text", key: str = "doc_id",
                 quality: str = "quality", sample: int = SAMPLE) -> QualityModel:
-    """Word vectors from all ``docs``; the network from at most about ``sample`` labelled rows where ``train`` holds."""
+    """Word vectors from all ``docs``; the network from at most about ``sample`` labelled rows where ``train`` holds.
+
+    Only ``key`` and ``quality`` of ``labels`` are read, under names of their own: other columns clash
+    with nothing. A key labelled twice counts as good if one of its labels is.
+    """
     vectors = fit_word_vectors(docs, text)
     shipped = docs.sparkSession.sparkContext.broadcast(vectors)
     base = docs.where(train).select(F.col(key).alias("key"), F.col(text).alias("text"))

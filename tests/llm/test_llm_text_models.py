@@ -1,5 +1,6 @@
 """Language, toxicity and quality: held-out accuracy on the test tables, and edge cases."""
 
+import re
 import zlib
 
 import numpy as np
@@ -9,6 +10,9 @@ from pyspark.sql import functions as F
 
 from tally.llm import queries
 from tally.llm.language_id import LanguageFilters, fit_language_filters, identify_language
+from tally.llm.quality import (DIM, NONZERO, WINDOW, WORDS, _log_loss, _tokens, fit_word_vectors, index_vectors, pooled,
+                               train_network)
+from tally.llm.textvec import texts_of
 from tally.llm.toxicity import BUCKETS, FEATURES, RIDGE, _buckets, _most_typical, _texts_with, calibrate, train_nnpu
 
 SF = "/root/testdata/sf0.01"
@@ -85,7 +89,7 @@ def test_language_by_sets(spark):
             count[lang] = count.get(lang, 0) + 1
             for g in set(grams(text)):
                 train.setdefault(lang, {}).setdefault(g, []).append(i)
-    kept = {lang: {g for g, own in found.items() if len(own) >= max(1 if count[lang] < 20 else 2, -(-count[lang] // 100))} for lang, found in train.items()}
+    kept = {lang: {g for g, own in found.items() if len(own) >= max(1, -(-count[lang] // 100))} for lang, found in train.items()}
     got = {r["doc_id"]: r for r in queries.op1_language_id(spark, "/root/testdata/sf0.001").collect()}
     agree = 0
     for i, text, _ in rows:
@@ -193,3 +197,69 @@ def test_toxicity_risk_gradient_matches_a_loop():
 
     best = min((risk(w, b), w, b) for w in np.linspace(0, 14, 57) for b in np.linspace(-14, 0, 57))
     assert risk(model.weights[0], model.bias) <= best[0] + 0.01
+
+
+def test_acceptance_is_one_rule_for_every_length(spark):
+    """Unknown n-grams count against a text bit by bit: no length switches the rule on."""
+    from tally.llm.language_id import BENEFIT_GRAMS, REJECT_COVERAGE, accepted
+
+    rows = [("en", known / n if n else 0.0, n) for n in (0, 1, 5, 16, 17, 19, 20, 21, 100, 5000) for known in range(0, n + 1, max(1, n // 20))]
+    rows += [("und", 0.0, 0), ("und", 0.0, 50)]
+    df = spark.createDataFrame(rows, "lang_pred string, coverage double, n_grams long")
+    got = {(r["lang_pred"], r["coverage"], r["n_grams"]): r["kept"] for r in df.withColumn("kept", accepted(F.struct(*df.columns))).collect()}
+    for (lang, coverage, n), kept in got.items():
+        know = round(coverage * n)
+        margin = know + BENEFIT_GRAMS - REJECT_COVERAGE * (n + BENEFIT_GRAMS)
+        if abs(margin) > 1e-9:
+            assert kept == (lang == "en" and margin > 0), (lang, coverage, n)
+    assert got["en", 0.0, 0] and got["en", 0.0, 5] and not got["en", 0.0, 17] and not got["en", 0.0, 5000]
+
+
+def test_word_vectors_and_pooling_by_dictionary(spark):
+    """Vectors of all words and means of all texts against dictionaries filled word by word."""
+    texts = [r["text"] for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text").collect()]
+    texts = [t for t in texts if t is None or len(t) < 6000] + ["", None, "one", "a-b été!!  x"]
+    place, sign = index_vectors()
+    numbers: dict[bytes, int] = {}
+
+    def words(text):
+        found = re.findall(rb"[A-Za-z\x80-\xff]+|[^A-Za-z\x80-\xff\x20\x09-\x0d]+", (text or "").encode())
+        for w in found:
+            if w not in numbers:
+                (run,) = texts_of(pa.array([w.decode()]))
+                numbers[w] = int(_tokens(run)[1][0])
+        return [numbers[w] for w in found]
+
+    sums: dict[int, list[int]] = {}
+    for text in texts:
+        own = words(text)
+        for i, w in enumerate(own):
+            total = sums.setdefault(w, [0] * DIM)
+            for near in own[max(0, i - WINDOW):i] + own[i + 1:i + 1 + WINDOW]:
+                for j in range(NONZERO):
+                    total[place[near][j]] += int(sign[near][j])
+    unit = {w: np.array(v) / max(1e-9, float(np.linalg.norm(v))) for w, v in sums.items()}
+    df = spark.createDataFrame([(t,) for t in texts], "text string").repartition(3)
+    vectors = fit_word_vectors(df)
+    assert vectors.shape == (WORDS, DIM)
+    for w, v in unit.items():
+        assert np.allclose(vectors[w], v, atol=1e-6)
+    assert not vectors[[i for i in range(WORDS) if i not in unit]].any()
+    means = np.concatenate([x[:, :DIM] for x in pooled(pa.array(texts, pa.string()), vectors)])
+    for text, mean in zip(texts, means, strict=True):
+        own = words(text)
+        want = sum((unit[w] for w in own), np.zeros(DIM)) / max(1, len(own))
+        assert np.allclose(mean, want, atol=1e-5)
+
+
+def test_temperature_is_fitted_from_few_rows_on():
+    """Labels that the inputs say nothing about: an overfitted network is cooled, with 45 rows as with 450."""
+    for n in (45, 450):
+        rng = np.random.default_rng(n)
+        x, y = rng.normal(size=(n, 20)), (rng.random(n) < 0.5).astype(float)
+        model = train_network(np.zeros((1, 1)), x, y)
+        held = np.arange(n) % 5 == 4
+        z = model.logits(x[held])
+        assert model.temperature > 1 and _log_loss(z / model.temperature, y[held]) < _log_loss(z, y[held])
+    few = train_network(np.zeros((1, 1)), x[:4], np.array([0.0, 1, 0, 1]))
+    assert few.temperature == 1.0
