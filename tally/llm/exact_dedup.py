@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tally.llm.shared import BLANK, free_name
+from tally.llm.shared import BLANK, free_name, written
 
 BITS_PER_ROW = 16
 HASHES = 2
@@ -85,8 +85,11 @@ def exact_dedup(df: DataFrame, digest: str, length: str, key: str, bits: int | N
     A null key sorts last. Rows that repeat one key within a group are one
     document: exactly one of them is kept. All other columns pass unchanged;
     existing ones of these three names are replaced.
+
+    ``df`` is written first, so that its digests are computed once: both passes
+    then read the digests, and only the last reads all columns.
     """
-    df = df.drop("keep_id", "group_size", "kept")
+    df = written(df.drop("keep_id", "group_size", "kept"), "digested")
     flag = free_name(df, "maybe_repeated")
     flagged = flag_repeated(df, digest, flag, bits)
     alone = flagged.where(~F.col(flag)).drop(flag).withColumns(
