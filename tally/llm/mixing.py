@@ -9,15 +9,16 @@ the sources in the order of cap / weight.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tally.llm.shared import WORD, free_name
+from tally.operators.sequence import ordinal
 
 WEIGHTS = (5, 2, 1)
 MAX_REPEAT = 3
-#: A plan of at most so many sources (some 100 bytes each) is broadcast; a longer one is joined by shuffle.
-BROADCAST_SOURCES = 100_000
+#: A plan of at most so many bytes is broadcast; a larger one is joined by shuffle.
+BROADCAST_BYTES = 16 << 20
 
 
 def n_words(text: Column) -> Column:
@@ -27,29 +28,27 @@ def n_words(text: Column) -> Column:
 
 def source_plan(sized: DataFrame, source: str, size: str, weights: tuple[int, ...] = WEIGHTS,
                 max_repeat: int = MAX_REPEAT) -> DataFrame:
-    """``(source, source_size, target)``, one row a source; a null source is one, the last."""
+    """``(source, source_size, target)``, one row a source; a null source is one, the last.
+
+    Sources may be as many as hosts: places and running sums come from range
+    cuts of the per-source totals, and only three numbers reach the driver.
+    Runs its jobs when called. Sources of equal cap / weight go by name, null last.
+    """
     totals = sized.groupBy(F.col(source).alias("source")).agg(F.sum(size).cast("long").alias("source_size"))
-    # Sources are few: these windows run over the per-source totals only.
-    by_name = Window.orderBy(F.col("source").asc_nulls_last())
     cycle = F.array(*[F.lit(w).cast("long") for w in weights])
-    plan = totals.withColumn("weight", F.element_at(cycle, (F.pmod(F.row_number().over(by_name) - 1, F.lit(len(weights))) + 1)))
-    plan = plan.withColumn("cap", F.col("source_size") * max_repeat)
+    named = ordinal(totals, [], F.col("source").asc_nulls_last(), out="place").withColumns({
+        "weight": F.element_at(cycle, (F.pmod("place", F.lit(len(weights))) + 1).cast("int")),
+        "cap": F.col("source_size") * max_repeat})
     ratio = (F.col("cap").cast("double") / F.col("weight")).asc()
-    by_ratio = Window.orderBy(ratio, F.col("source").asc_nulls_last())
-    everything = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing).partitionBy(F.lit(1))
-    below = by_ratio.rowsBetween(Window.unboundedPreceding, -1)
-    plan = plan.withColumns({
-        "all_size": F.sum("source_size").over(everything),
-        "cap_below": F.coalesce(F.sum("cap").over(below), F.lit(0)),
-        "weight_from": F.sum("weight").over(everything) - F.coalesce(F.sum("weight").over(below), F.lit(0)),
-    })
+    plan = ordinal(named, [], [ratio, F.col("source").asc_nulls_last()], out="by_ratio", running=("cap", "weight"))
+    every = plan.agg(F.sum("source_size").alias("size"), F.sum("weight").alias("weight")).first()
     # The level if all sources below are at their caps and none from here on is.
-    level = (F.col("all_size") - F.col("cap_below")).cast("double") / F.col("weight_from")
-    plan = plan.withColumn("level", level)
-    fits = F.col("cap").cast("double") >= F.col("weight") * F.col("level")
-    plan = plan.withColumn("final_level", F.max(F.when(fits, F.col("level"))).over(everything))
-    share = F.col("weight") * F.col("final_level")
-    target = F.when(F.col("final_level").isNull() | (F.col("cap").cast("double") < share), F.col("cap").cast("double")).otherwise(share)
+    level = (F.lit(every["size"]) - F.col("before_cap")).cast("double") / (F.lit(every["weight"]) - F.col("before_weight"))
+    fits = F.col("cap").cast("double") >= F.col("weight") * level
+    final = plan.agg(F.max(F.when(fits, level)).alias("level")).first()["level"]
+    share = F.col("weight") * F.lit(final).cast("double")
+    cap = F.col("cap").cast("double")
+    target = F.when(share.isNull() | (cap < share), cap).otherwise(share)
     return plan.select("source", "source_size", target.alias("target"))
 
 
@@ -71,7 +70,9 @@ def mix_sources(df: DataFrame, size: str, source: str = "source", key: str = "do
     df = df.drop("source_size", "target", "copies")
     of = free_name(df, "plan_source")
     plan = source_plan(df, source, size, weights, max_repeat).withColumnRenamed("source", of)
-    if plan.count() <= BROADCAST_SOURCES:
+    # A row is its source's bytes and some 60 for the numbers and the hash table.
+    n_bytes = plan.agg(F.sum(F.coalesce(F.octet_length(of), F.lit(0)).cast("long") + 60)).first()[0]
+    if (n_bytes or 0) <= BROADCAST_BYTES:
         plan = F.broadcast(plan)
     joined = df.join(plan, F.col(source).eqNullSafe(F.col(of))).drop(of)
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))

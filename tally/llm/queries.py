@@ -16,7 +16,7 @@ from tally.llm.language_id import fit_language_filters, identify_language
 from tally.llm.mixing import mix_sources, n_words
 from tally.llm.quality import fit_quality, score_quality
 from tally.llm.setsketch import near_duplicates
-from tally.llm.shared import fold, shared_path
+from tally.llm.shared import fold, shared_path, written
 from tally.llm.token_counts import count_tokens
 from tally.llm.toxicity import fit_toxicity, score_toxicity
 from tally.llm.vafile import exact_top_k
@@ -56,7 +56,8 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "source", n_words(F.col("text")).alias("size"))
+    # Written, so that the words are counted once, for the totals and for the rows.
+    docs = written(table(spark, sf_dir, "documents").select("doc_id", "source", n_words(F.col("text")).alias("size")), "sized")
     return mix_sources(docs, size="size").select(
         "doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 

@@ -43,6 +43,26 @@ def test_targets_by_resharing(spark, sizes):
     assert got.keys() == want.keys() and all(got[s] == pytest.approx(want[s]) for s in want)
 
 
+def test_targets_of_many_sources_over_several_cuts(spark, monkeypatch):
+    """700 sources, ties of cap / weight among them; joined by shuffle once the plan is over its bytes."""
+    rng = np.random.default_rng(3)
+    sizes = {f"host-{i:04d}": int(n) for i, n in enumerate(rng.choice([0, 1, 7, 50, 900, 40_000], 700))} | {None: 300}
+    df = spark.createDataFrame([(s, n) for s, n in sizes.items()], "source string, size long")
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = {r["source"]: (r["source_size"], r["target"]) for r in source_plan(df, "source", "size").collect()}
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    want = targets(sizes)
+    assert {s: n for s, (n, _) in got.items()} == sizes
+    assert all(got[s][1] == pytest.approx(want[s]) for s in want)
+    docs = df.withColumn("doc_id", F.xxhash64("source"))
+    small = rows_of(mix_sources(docs, "size"))
+    monkeypatch.setattr("tally.llm.mixing.BROADCAST_BYTES", 1000)
+    assert rows_of(mix_sources(docs, "size")) == small
+
+
 def test_mixing_comes_near_and_agrees(spark):
     df = spark.range(20_000).select(F.col("id").alias("doc_id"), F.concat(F.lit("s"), F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 7)).alias("source"),
                                     (F.pmod(F.hash("id"), F.lit(50)) + 1).cast("long").alias("size"))
