@@ -27,8 +27,8 @@ from tally.llm.exact_dedup import filter_bits
 from tally.llm.shared import ship_package, written
 from tally.llm.textvec import Texts, mix, texts_of
 
-SHARD_BYTES = 12 << 20     # text of one index: some 2 million words; one longer text is taken whole
-SLICE, SLICE_BYTES = 200_000, 64 << 20   # phrases written out at once, and their bytes
+SHARD_BYTES = 6 << 20      # text of one index: some 1 million words, up to 160 MB; one longer text is taken whole
+SLICE, SLICE_BYTES = 65_536, 2 << 20     # rows written out at once, and the bytes of their phrases
 NO_LANG = "und"
 BITMAP_BYTES = 4096        # of Spark's bitmap functions: 32,768 slots a bucket
 _K = np.uint64(0xD6E8FEB86659FD93)
@@ -40,20 +40,29 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
 
+def _stable_order(values: np.ndarray) -> np.ndarray:
+    """``argsort(values, kind="stable")`` of 32-bit values from 0, in 32 bits: value and place sort as one word, in place."""
+    packed = np.left_shift(values, 32, dtype=np.int64)
+    packed += np.arange(len(values), dtype=np.int32)
+    packed.sort()
+    return packed.astype(np.int32)  # the places, the lower halves
+
+
 class Bwt:
-    """Burrows-Wheeler transform of a circular sequence of symbols, its rows sorted by their first ``depth`` symbols.
+    """Burrows-Wheeler transform of a circular sequence of 32-bit symbols, its rows sorted by their first ``depth`` symbols.
 
     Intervals of patterns of up to ``depth`` symbols are those of the full transform.
     """
 
     def __init__(self, symbols: np.ndarray, depth: int):
-        order = np.argsort(symbols, kind="stable")
+        order = _stable_order(symbols)
         for _ in range(depth - 1):  # one LF step sorts by one more symbol in front
-            before = order - 1
-            order = before[np.argsort(symbols[before], kind="stable")]
-        self.order = order % len(symbols)
-        self.bwt = symbols[self.order - 1]
-        self.rows = np.argsort(self.bwt, kind="stable")  # LF maps rows[j] to j: symbols before it plus the symbol's rank
+            order -= 1
+            order = order[_stable_order(symbols[order])]
+        order %= len(symbols)
+        self.order = order
+        self.bwt = symbols[order - 1]
+        self.rows = _stable_order(self.bwt)  # LF maps rows[j] to j: symbols before it plus the symbol's rank
 
     def extend(self, low: np.ndarray, size: np.ndarray, other: np.ndarray) -> tuple[np.ndarray, ...]:
         """Extensions of disjoint intervals by one symbol in front: (parent, symbol, low, size, other).
@@ -61,22 +70,29 @@ class Bwt:
         ``other`` is where each interval begins in the transform of the
         reversed sequence; the symbol 0 extends nothing.
         """
+        inside = np.repeat((low - (np.cumsum(size) - size)).astype(np.int32), size)
+        inside += np.arange(len(inside), dtype=np.int32)
         label = np.full(len(self.bwt), -1, dtype=np.int32)
-        inside = np.arange(size.sum()) + np.repeat(low - (np.cumsum(size) - size), size)
         label[inside] = np.repeat(np.arange(len(low), dtype=np.int32), size)
+        del inside
         parent, symbol = label[self.rows], self.bwt[self.rows]
-        at = np.flatnonzero((parent >= 0) & (symbol > 0))
+        del label
+        at = np.flatnonzero((parent >= 0) & (symbol > 0)).astype(np.int32)
         parent, symbol = parent[at], symbol[at]
         first = np.flatnonzero(np.concatenate([np.ones(min(1, len(at)), bool), (parent[1:] != parent[:-1]) | (symbol[1:] != symbol[:-1])]))
-        count = np.diff(np.append(first, len(at)))
+        count = np.diff(np.append(first, len(at))).astype(np.int32)
         parent, symbol, new_low = parent[first], symbol[first], at[first]
+        del at, first
         # In the other transform the extensions of an interval follow each other by symbol, those by 0 first.
         inner = np.bincount(parent, weights=count, minlength=len(low)).astype(np.int64)
-        by_parent = np.argsort(parent, kind="stable")
-        before = np.cumsum(count[by_parent]) - count[by_parent]
+        by_parent = _stable_order(parent)
+        before = np.cumsum(count[by_parent], dtype=np.int32) - count[by_parent]
+        before -= (np.cumsum(inner) - inner).astype(np.int32)[parent[by_parent]]
         smaller = np.empty_like(before)
-        smaller[by_parent] = before - (np.cumsum(inner) - inner)[parent[by_parent]]
-        return parent, symbol, new_low, count, other[parent] + (size - inner)[parent] + smaller
+        smaller[by_parent] = before
+        del by_parent, before
+        smaller += (other + size - inner).astype(np.int32)[parent]
+        return parent, symbol, new_low, count, smaller
 
 
 def _pair_key(left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -104,11 +120,13 @@ class Shard:
         keep = ~_BETWEEN[x.data]
         letters = np.where(keep, _LOWER[x.data], np.uint8(32))
         keep[end] = True  # one blank after each word
-        self.parts.append((x.span_hash(x.prefix_hash(), start, end), end - start + 1, cut, code[row], letters[keep]))
+        self.parts.append((x.span_hash(x.prefix_hash(), start, end), (end - start + 1).astype(np.int32), cut, code[row], letters[keep]))
         self.size += len(x.data)
 
     def index(self) -> Index:
-        return Index(list(self.langs), *[np.concatenate(c) for c in zip(*self.parts)])
+        """The index; the shard is empty then, so that its parts don't stay beside it."""
+        columns, self.parts = list(zip(*self.parts)), []
+        return Index(list(self.langs), *[np.concatenate(columns.pop(0)) for _ in range(len(columns))])
 
 
 class Index:
@@ -121,14 +139,26 @@ class Index:
         salt = pa.array(langs, pa.string())
         lang_hash = np.concatenate([x.span_hash(x.prefix_hash(lower=False), x.start, x.end) for x in texts_of(salt)])
         self.langs, self.lang, self.letters = salt, lang, letters
-        self.offset = np.concatenate([[0], np.cumsum(lengths)])
-        self.keys, self.example, ids = np.unique(mix(hashes + lang_hash[lang] * _K), return_index=True, return_inverse=True)
-        n = len(ids)
-        place = np.arange(n) + np.cumsum(cut)
+        self.offset = np.zeros(len(lengths) + 1, dtype=np.int64)
+        np.cumsum(lengths, out=self.offset[1:])
+        hashes += (lang_hash * _K)[lang]
+        hashes = mix(hashes)
+        order = np.argsort(hashes)
+        hashes = hashes[order]
+        new = np.ones(len(hashes), dtype=bool)
+        new[1:] = hashes[1:] != hashes[:-1]
+        self.keys, self.example = hashes[new], order[new]
+        n = len(hashes)
+        ids = np.empty(n, dtype=np.int32)
+        ids[order] = np.cumsum(new, dtype=np.int32) - 1
+        del hashes, order, new
+        words = np.arange(n, dtype=np.int32)
+        place = np.cumsum(cut, dtype=np.int32)
         self.symbols = np.zeros(n + int(cut.sum()) + 1, dtype=np.int32)
+        place += words
         self.symbols[place] = ids + 1
-        self.word_at = np.zeros(len(self.symbols), dtype=np.int64)
-        self.word_at[place] = np.arange(n)
+        self.word_at = np.zeros(len(self.symbols), dtype=np.int32)
+        self.word_at[place] = words
         self.counts = np.bincount(ids, minlength=len(self.keys))
         self.low = len(self.symbols) - n + np.cumsum(self.counts) - self.counts  # the same in both directions
 
@@ -163,7 +193,9 @@ def _key_counts(index: Index) -> Iterator[pa.RecordBatch]:
     """``(key, n)`` of all words and word pairs of a shard."""
     left, right, _, size, _ = index.pairs(Bwt(index.symbols, 2))
     for keys, n in ((index.keys, index.counts), (_pair_key(index.keys[left - 1], index.keys[right - 1]), size)):
-        yield pa.record_batch([pa.array(keys.view(np.int64)), pa.array(n, pa.int64())], names=["key", "n"])
+        for at in range(0, len(keys), SLICE):
+            own = slice(at, at + SLICE)
+            yield pa.record_batch([pa.array(keys[own].view(np.int64)), pa.array(n[own], pa.int64())], names=["key", "n"])
 
 
 def _frequent_phrases(index: Index, bitmap: np.ndarray) -> Iterator[pa.RecordBatch]:

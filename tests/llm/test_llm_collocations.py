@@ -1,15 +1,18 @@
 """Collocations against SQL, a plain-Python version, and the index against counting."""
 
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from tally.llm import queries
-from tally.llm.collocations import Bwt, collocations
+from tally.llm.collocations import SHARD_BYTES, Bwt, Shard, _frequent_phrases, _key_counts, collocations
+from tally.llm.textvec import texts_of
 from tests.llm.brute import duck_rows, rows_of
 
 SF = "/root/testdata/sf0.01"
@@ -99,6 +102,35 @@ def test_index_counts_every_ngram(values):
         assert all(tuple(s[p:p + 3]) == g for p in places)
 
 
+def test_memory_of_a_full_shard():
+    """Both passes over a full shard of mostly different pairs stay below 200 MB, in batches of a few MB, with no word lost."""
+    rng = np.random.default_rng(3)
+    lines = [" ".join(f"w{w}" for w in rng.zipf(1.3, 400) % 1_000_000) for _ in range(1000)]
+    size = sum(map(len, lines)) + len(lines)
+    every = np.full(1 << 12, 255, dtype=np.uint8)
+    for rows_of in (_key_counts, lambda index: _frequent_phrases(index, every)):
+        tracemalloc.start()
+        try:
+            shard = Shard()
+            for i in range(-(-SHARD_BYTES // size)):
+                column = pa.array([" ".join(line.split(" ")[i:]) for line in lines])
+                for x in texts_of(column):
+                    shard.add(x, ["en"] * len(lines))
+            n_words = sum(len(part[0]) for part in shard.parts)
+            totals = most_rows = most_bytes = 0
+            for batch in rows_of(shard.index()):
+                most_rows, most_bytes = max(most_rows, batch.num_rows), max(most_bytes, batch.nbytes)
+                if "phrase" in batch.schema.names:
+                    one_word = [n for phrase, n in zip(batch["phrase"].to_pylist(), batch["n"].to_pylist()) if phrase and " " not in phrase]
+                    totals += sum(one_word)
+            peak = tracemalloc.get_traced_memory()[1]
+        finally:
+            tracemalloc.stop()
+        assert peak < 200 << 20
+        assert most_rows <= 100_000 and most_bytes < 8 << 20
+    assert totals == n_words
+
+
 @pytest.mark.parametrize("counts", [(10**9, 10**9, 10**9), (999_999_999_999, 10**12, 10**12)])
 def test_scores_pass_64_bits(spark, counts):
     a, left, right = counts
